@@ -61,3 +61,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds; rows may be very long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+
+
+def where_computed(df: DataFrame, condition: str) -> DataFrame:
+    """df.where(condition) for a condition on columns that took much to compute.
+
+    The optimizer pushes filters below projections and writes the columns out in
+    them, again and again where one builds on another. It leaves a filter in place
+    that also needs a row number.
+    """
+    kept = df.withColumn("_row", F.monotonically_increasing_id()).where(f"({condition}) and _row >= 0")
+    return kept.drop("_row")
