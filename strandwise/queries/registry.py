@@ -1,9 +1,239 @@
 """All registered queries of the interval library, and their SQL."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import transcripts as T
+from ..operators.analysis import Analysis, bed_rows
+from .fixtures import PARAMETERS as P
+from .fixtures import VIEWS, atlas, view
+
+RUN1, RUN2 = "run_1", "run_2"
+
+
+def _analysis(spark, d) -> Analysis:
+    a = atlas(spark, d)
+    return Analysis(a.transcripts, a.sources, a.genes, a.noncoding, view(spark, d, "gene_region"), view(spark, d, "run"), P.min_score, P.gene_margin, P.bin)
+
+
+def _round(df, *names):
+    return df.withColumns({n: F.round(n, 6) for n in names})
+
+
+def _flagged(spark, d):
+    return T.flag_refseq(T.collapse_tags(view(spark, d, "tag")), view(spark, d, "gene_region"), P.bin)
+
+
+def _protos(spark, d, p=P):
+    return T.proto_transcripts(_flagged(spark, d), p)
+
+
+def _stitched(spark, d):
+    clusters, _ = T.stitch(_protos(spark, d), P)
+    return clusters, T.source_rows(clusters)
+
+
+def _density(spark, d):
+    return T.set_density(*_stitched(spark, d), P).drop("members")
+
+
+FINAL = ["id", "chr", "strand", "s", "e", "refseq"]
+
 
 def queries() -> dict:
-    return {}
+    from dataclasses import replace
+
+    def tags(f):
+        return lambda spark, d: f(view(spark, d, "tag"), spark, d)
+
+    def on(f):
+        return lambda spark, d: f(atlas(spark, d))
+
+    def q(name, *args, rounded=(), **kw):
+        return lambda spark, d: _round(getattr(_analysis(spark, d), name)(*args, **kw), *rounded)
+
+    def peak(**kw):
+        return lambda spark, d: _analysis(spark, d).distal_peak(view(spark, d, "peak"), **kw)
+
+    proto = ["run_id", "chr", "strand", "s", "e", "refseq", "tag_count", "gaps"]
+    gapped = replace(P, max_gap=5, block=500)
+    return {
+        "run_registry": lambda spark, d: view(spark, d, "run"),
+        "collapse_tags": tags(lambda t, *_: T.collapse_tags(t)),
+        "union_runs_distinct": tags(lambda t, *_: t.select("chr", "s", "e", F.when(F.col("strand") == 0, "+").otherwise("-").alias("sign")).distinct()),
+        "extend_tags": tags(lambda t, spark, d: T.extend_tags(t, view(spark, d, "chromosome"), 200).select("run_id", "chr", "strand", "s", "e")),
+        "segment_in_range": tags(lambda t, *_: T.in_range(t, 1000, 3000, 1)),
+        "flag_refseq": _flagged,
+        "proto_transcripts": lambda spark, d: _protos(spark, d).select(*proto),
+        "proto_transcripts_gap": lambda spark, d: T.check_protos(_protos(spark, d, gapped)).select(*proto),
+        "proto_source": lambda spark, d: _round(_protos(spark, d), "run_density").select("run_id", "chr", "strand", "e", "tag_count", "run_density"),
+        "stitch_transcripts": lambda spark, d: _stitched(spark, d)[0].select(*FINAL, "n"),
+        "stitched_source": lambda spark, d: _stitched(spark, d)[1],
+        "set_density": lambda spark, d: _round(_density(spark, d), "density").select("id", "density"),
+        "allowed_edge": lambda spark, d: _round(T.allowed_edge(_density(spark, d), view(spark, d, "gene_region"), P), "edge").select("id", "edge"),
+        "allowed_edge_no_ext": lambda spark, d: _round(T.allowed_edge(_density(spark, d), view(spark, d, "gene_region"), P, extend=False), "edge").select("id", "edge"),
+        "above_threshold": on(lambda a: T.above_threshold(a.prep, a.prep_sources, P).select("id")),
+        "close_transcripts": on(lambda a: a.close.select("id", "max_end")),
+        "draw_edges": on(lambda a: a.transcripts.select(*FINAL)),
+        "final_source": on(lambda a: a.sources),
+        "annotate_genes": on(lambda a: a.genes),
+        "annotate_noncoding": on(lambda a: a.noncoding),
+        "distal_flag": on(lambda a: a.transcripts.select("id", "distal")),
+        "link_post_gene": on(lambda a: a.transcripts.select("id", "parent_id")),
+        "rpkm": on(lambda a: _round(a.transcripts, "rpkm").select("id", "rpkm")),
+        "atlas_score": on(lambda a: _round(a.transcripts, "score").select("id", "score")),
+        "standard_error": on(lambda a: _round(a.transcripts, "standard_error").select("id", "standard_error")),
+        "filtered_transcripts": on(lambda a: a.transcripts.where(F.col("score") >= P.min_score).select(*FINAL)),
+        "atlas_pipeline": on(lambda a: _round(a.transcripts, "rpkm", "score", "standard_error").select(*FINAL, "distal", "parent_id", "rpkm", "score", "standard_error")),
+        "q_bases_per_strand": q("bases_per_strand"),
+        "q_totals": q("totals"),
+        "q_refseq_major_minor": q("refseq_major_minor"),
+        "q_has_ncrna": q("has_ncrna"),
+        "q_unannotated": q("unannotated"),
+        "q_proximal": q("proximal"),
+        "q_parna": q("opposite", False, False),
+        "q_parna_gene": q("opposite", False, True),
+        "q_antisense": q("opposite", True, False),
+        "q_antisense_gene": q("opposite", True, True),
+        "q_distal": q("distal"),
+        "q_distal_peak": peak(any_parent=True),
+        "q_distal_no_peak": peak(how="left_anti"),
+        "q_distal_near_peak": peak(pad=2000),
+        "q_post_gene": q("post_gene"),
+        "q_expressed_widest": q("expressed_widest"),
+        "q_vectors": q("vectors"),
+        "q_tags_by_gene": q("tags_by_gene", RUN1),
+        "q_rpkm_one_run": q("in_run", RUN1, "rpkm1", rounded=["rpkm1"]),
+        "q_rpkm_two_runs": q("two_runs", RUN1, RUN2, rounded=["rpkm1", "rpkm2"]),
+        "q_fold_change": q("fold_change", RUN1, RUN2, rounded=["rpkm1", "rpkm2", "log_fold_change"]),
+        "q_gene_fold_change": q("gene_fold_change", RUN1, RUN2, rounded=["rpkm1", "rpkm2", "log_fold_change"]),
+        "q_expressed_genes": q("expressed_genes"),
+        "q_rows_per_chromosome": q("rows_per_chromosome"),
+        "bed_rows": lambda spark, d: bed_rows(atlas(spark, d).transcripts, view(spark, d, "chromosome"), P.min_score),
+    }
+
+
+def _fold(name: str, source: str, keys: str, order: str, gap: int, members: str) -> str:
+    """Common table expressions of the merging rule over source(keys, s, e, refseq, tag_count)."""
+    w = f"(PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""{name}1 AS (SELECT *, max(e) OVER {w} AS m FROM {source}),
+{name}2 AS (SELECT *, last_value(CASE WHEN m IS NULL OR e > m + 1 THEN refseq END IGNORE NULLS) OVER {w} AS pref FROM {name}1),
+{name}3 AS (SELECT *, coalesce(m IS NULL OR s > m + {gap} OR (e > m + 1 AND pref <> refseq), false) AS brk FROM {name}2),
+{name}4 AS (SELECT *, sum(CAST(brk AS INT)) OVER (PARTITION BY {keys} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS cid FROM {name}3),
+{name} AS (SELECT {keys}, max(CASE WHEN brk THEN greatest(coalesce(m + 1, s), s) END) AS s, max(e) AS e, bool_or(brk AND refseq) AS refseq,
+  CAST(sum(tag_count) AS BIGINT) AS tag_count, CAST(sum(CASE WHEN NOT brk AND s > m THEN 1 ELSE 0 END) AS BIGINT) AS gaps, count(*) AS n, min(s) AS first_s{members} FROM {name}4 GROUP BY {keys}, cid)"""
+
+
+ID = "CAST((chr * 2 + strand) * 1000000000000 + {} AS BIGINT)"
+LEN = "(e - s + 1)"
+
+
+def _prelude() -> str:
+    views = ",\n".join(f"{k} AS ({v})" for k, v in VIEWS.items())
+    return f"""WITH {views},
+flagged AS (SELECT run_id, chr, strand, s, e, count(*) AS tag_count, EXISTS (SELECT 1 FROM gene_region g WHERE g.chr = t.chr AND g.strand = t.strand AND g.s <= t.e AND t.s <= g.e) AS refseq
+  FROM tag t GROUP BY run_id, chr, strand, s, e),
+{_fold("proto", "flagged", "run_id, chr, strand", "s, e", 0, "")},
+{_fold("protogap", "flagged", "run_id, chr, strand", "s, e", 5, "")},
+{_fold("st", "(SELECT run_id, chr, strand, s, e, refseq, tag_count, gaps AS g FROM proto)", "chr, strand", "s, e, run_id", 0, "")},
+stitched AS (SELECT {ID.format("e")} AS id, chr, strand, CASE WHEN n = 1 THEN first_s ELSE s END AS s, e, refseq, n FROM st),
+ssource AS (SELECT {ID.format("ce")} AS id, chr, run_id, CAST(sum(tag_count) AS BIGINT) AS tag_count, CAST(sum(g) AS BIGINT) AS gaps
+  FROM (SELECT *, max(e) OVER (PARTITION BY chr, strand, cid) AS ce FROM st4) GROUP BY chr, strand, ce, run_id),
+dens AS (SELECT t.*, greatest(0.0, 1000.0::DOUBLE * x.tags / (x.runs * {LEN})) AS density FROM stitched t JOIN (SELECT id, sum(tag_count) AS tags, count(*) AS runs FROM ssource GROUP BY id) x USING (id)),
+reach AS (SELECT t.id, max(least(g.e - t.e + 1, (g.e - g.s + 1) * 0.2::DOUBLE)) AS o FROM dens t JOIN gene_region g ON g.chr = t.chr AND g.strand = t.strand AND t.e BETWEEN g.s AND g.e GROUP BY t.id),
+prep AS (SELECT t.*, CASE WHEN o IS NOT NULL THEN greatest(60.0::DOUBLE, o) ELSE 60.0::DOUBLE * least(density / 25.0::DOUBLE, 1.0::DOUBLE) END AS edge FROM dens t LEFT JOIN reach USING (id)),
+thr AS (SELECT * FROM prep WHERE id IN (SELECT id FROM ssource GROUP BY id HAVING avg(tag_count) > 1 AND (count(*) > 1 OR avg(tag_count) >= 3))),
+clos AS (SELECT a.id, a.chr, a.strand, a.s, a.refseq, greatest(max(b.e), a.e) AS max_end FROM thr a LEFT JOIN thr b ON a.chr = b.chr AND a.strand = b.strand AND a.refseq = b.refseq AND a.s <= b.s
+  AND (b.s - a.e) * (b.s - a.e) + (b.density - a.density) * (b.density - a.density) <= a.edge * a.edge GROUP BY a.id, a.chr, a.strand, a.s, a.refseq, a.e),
+dr AS (SELECT *, coalesce(s > max(max_end) OVER (PARTITION BY chr, strand ORDER BY s, max_end, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS b FROM clos),
+dr2 AS (SELECT *, sum(CAST(b AS INT)) OVER (PARTITION BY chr, strand ORDER BY s, max_end, id ROWS UNBOUNDED PRECEDING) AS c FROM dr),
+final AS (SELECT {ID.format("min(s)")} AS id, chr, strand, min(s) AS s, max(max_end) AS e, bool_or(b AND refseq) AS refseq FROM dr2 GROUP BY chr, strand, c),
+fsource AS (SELECT f.id, x.run_id, CAST(sum(x.tag_count) AS BIGINT) AS tag_count, count(*) - 1 AS gaps FROM final f JOIN prep p ON p.chr = f.chr AND p.strand = f.strand AND f.s <= p.s AND p.e <= f.e JOIN ssource x ON x.id = p.id GROUP BY f.id, x.run_id),
+annall AS (SELECT f.id AS transcript_id, g.id AS region_id, g.kind, CASE WHEN f.s = g.s AND f.e = g.e THEN 'is equal to' WHEN f.s <= g.s AND g.e <= f.e THEN 'contains' WHEN g.s <= f.s AND f.e <= g.e THEN 'is contained by' ELSE 'overlaps with' END AS relationship,
+  (least(f.e, g.e) - greatest(f.s, g.s) + 1) * 2 > g.e - g.s + 1 AS major
+  FROM final f JOIN (SELECT id, chr, strand, s, e, 'g' AS kind FROM gene_region UNION ALL SELECT id, chr, strand, s, e, 'n' FROM noncoding) g ON g.chr = f.chr AND g.s <= f.e AND f.s <= g.e AND (g.strand IS NULL OR g.strand = f.strand)),
+anng AS (SELECT transcript_id, region_id, relationship, major FROM annall WHERE kind = 'g'),
+annn AS (SELECT transcript_id, region_id, relationship, major FROM annall WHERE kind = 'n'),
+par AS (SELECT t.id, arg_min(g.id, CASE WHEN t.strand = 0 THEN t.s - g.e ELSE g.s - t.e END * 1000000000000000000::HUGEINT + g.id) AS parent_id FROM final t JOIN final g ON t.chr = g.chr AND t.strand = g.strand AND NOT t.refseq AND g.refseq
+  AND t.s <= CASE WHEN g.strand = 0 THEN g.e + 59 ELSE g.s - 1 END AND t.e >= CASE WHEN g.strand = 0 THEN g.e ELSE g.s - 60 END GROUP BY t.id),
+nrun AS (SELECT count(*) AS n FROM run),
+se AS (SELECT x.id, sqrt(greatest(0, (sum(v * v) - sum(v) * sum(v) / max(n)) / (max(n) - 1))) / sqrt(max(n)) AS se FROM (SELECT x.id, x.tag_count / r.total_tags * 1e7 AS v FROM fsource x JOIN run r ON r.id = x.run_id) x, nrun GROUP BY x.id),
+scored0 AS (SELECT f.*, NOT EXISTS (SELECT 1 FROM gene_region g WHERE g.chr = f.chr AND g.s - 1000 <= f.e AND f.s <= g.e + 1000) AS distal, par.parent_id,
+  x.tags / ((f.e - f.s + 1) / 1000.0::DOUBLE) / ((SELECT sum(tag_count) FROM ssource) / 1e6) AS rpkm, coalesce(se.se, 0) AS standard_error
+  FROM final f LEFT JOIN par ON par.id = f.id LEFT JOIN se ON se.id = f.id LEFT JOIN (SELECT id, sum(tag_count)::DOUBLE AS tags FROM fsource GROUP BY id) x ON x.id = f.id),
+t AS (SELECT *, rpkm * ln(greatest(1.0::DOUBLE, {LEN} - 200)) / ln(100.0::DOUBLE) AS score FROM scored0),
+ok AS (SELECT * FROM t WHERE score >= 1 AND parent_id IS NULL),
+bare AS (SELECT * FROM ok WHERE id NOT IN (SELECT transcript_id FROM annall)),
+sites AS (SELECT *, CASE WHEN strand = 0 THEN s ELSE e END - 1000 AS ts, CASE WHEN strand = 0 THEN s ELSE e END + 1000 AS te FROM gene_region),
+expr AS (SELECT region_id FROM anng JOIN ok ON ok.id = transcript_id WHERE major),
+r1 AS (SELECT ok.id, x.tag_count / ((e - s + 1) / 1000.0::DOUBLE) / (r.total_tags / 1000000.0::DOUBLE) AS rpkm1 FROM ok JOIN fsource x ON x.id = ok.id JOIN run r ON r.id = x.run_id AND r.source_table = 'run_1'),
+r2 AS (SELECT ok.id, x.tag_count / ((e - s + 1) / 1000.0::DOUBLE) / (r.total_tags / 1000000.0::DOUBLE) AS rpkm2 FROM ok JOIN fsource x ON x.id = ok.id JOIN run r ON r.id = x.run_id AND r.source_table = 'run_2'),
+fc AS (SELECT id, rpkm1, rpkm2, log2(rpkm1 / rpkm2) AS log_fold_change FROM r1 JOIN r2 USING (id))
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    final = ", ".join(FINAL)
+    proto = "run_id, chr, strand, s, e, refseq, tag_count, gaps"
+    overlap = "p.chr = b.chr AND p.{0} <= b.e AND b.s <= p.{1}"
+    count = "SELECT count(DISTINCT id) AS n FROM "
+    opposite = "bare b JOIN sites g ON g.chr = b.chr AND g.strand <> b.strand AND NOT b.distal AND "
+    start, inside = "b.s <= g.te AND g.ts <= b.e", "b.s <= g.e AND g.s <= b.e AND NOT (b.s <= g.te AND g.ts <= b.e)"
+    own = {
+        "run_registry": "SELECT * FROM run",
+        "collapse_tags": "SELECT run_id, chr, strand, s, e, count(*) AS tag_count FROM tag GROUP BY ALL",
+        "union_runs_distinct": "SELECT DISTINCT chr, s, e, CASE WHEN strand = 0 THEN '+' ELSE '-' END AS sign FROM tag",
+        "extend_tags": "SELECT run_id, chr, strand, greatest(CASE WHEN strand = 1 THEN s - 200 ELSE s END, 0) AS s, least(CASE WHEN strand = 0 THEN e + 200 ELSE e END, length - 1) AS e FROM tag JOIN chromosome c ON c.id = chr",
+        "segment_in_range": "SELECT * FROM tag WHERE e >= 1000 AND s <= 3000 AND strand = 1",
+        "flag_refseq": "SELECT * FROM flagged",
+        "proto_transcripts": f"SELECT {proto} FROM proto",
+        "proto_transcripts_gap": f"SELECT {proto} FROM protogap",
+        "proto_source": f"SELECT run_id, chr, strand, e, tag_count, round(1000.0::DOUBLE * tag_count / {LEN}, 6) AS run_density FROM proto",
+        "stitch_transcripts": f"SELECT {final}, n FROM stitched",
+        "stitched_source": "SELECT * FROM ssource",
+        "set_density": "SELECT id, round(density, 6) AS density FROM dens",
+        "allowed_edge": "SELECT id, round(edge, 6) AS edge FROM prep",
+        "allowed_edge_no_ext": "SELECT id, round(60.0::DOUBLE * least(density / 25.0::DOUBLE, 1.0::DOUBLE), 6) AS edge FROM dens",
+        "above_threshold": "SELECT id FROM thr",
+        "close_transcripts": "SELECT id, max_end FROM clos",
+        "draw_edges": f"SELECT {final} FROM final",
+        "final_source": "SELECT * FROM fsource",
+        "annotate_genes": "SELECT * FROM anng",
+        "annotate_noncoding": "SELECT * FROM annn",
+        "distal_flag": "SELECT id, distal FROM t",
+        "link_post_gene": "SELECT id, parent_id FROM t",
+        "rpkm": "SELECT id, round(rpkm, 6) AS rpkm FROM t",
+        "atlas_score": "SELECT id, round(score, 6) AS score FROM t",
+        "standard_error": "SELECT id, round(standard_error, 6) AS standard_error FROM t",
+        "filtered_transcripts": f"SELECT {final} FROM t WHERE score >= 1",
+        "atlas_pipeline": f"SELECT {final}, distal, parent_id, round(rpkm, 6) AS rpkm, round(score, 6) AS score, round(standard_error, 6) AS standard_error FROM t",
+        "q_bases_per_strand": f"SELECT strand, CAST(sum{LEN} AS BIGINT) AS bases FROM t GROUP BY strand",
+        "q_totals": "SELECT count(*) AS n_all, count(*) FILTER (score >= 1) AS n_1, count(*) FILTER (score >= 0.75) AS n_75 FROM t WHERE parent_id IS NULL",
+        "q_refseq_major_minor": "SELECT major, count(DISTINCT id) AS n FROM ok JOIN anng ON transcript_id = id GROUP BY major",
+        "q_has_ncrna": count + "ok JOIN annn ON transcript_id = id",
+        "q_unannotated": count + "bare",
+        "q_proximal": count + "bare WHERE NOT distal",
+        "q_parna": f"SELECT count(DISTINCT b.id) AS n FROM {opposite} {start}",
+        "q_parna_gene": f"SELECT count(DISTINCT b.id) AS n FROM {opposite} {start} WHERE g.id IN (SELECT region_id FROM expr)",
+        "q_antisense": f"SELECT count(DISTINCT b.id) AS n FROM {opposite} {inside}",
+        "q_antisense_gene": f"SELECT count(DISTINCT b.id) AS n FROM {opposite} {inside} WHERE g.id IN (SELECT region_id FROM expr)",
+        "q_distal": count + "bare WHERE distal",
+        "q_distal_peak": f"SELECT count(DISTINCT b.id) AS n FROM t b JOIN peak p ON {overlap.format('s', 'e - 1')} WHERE b.score >= 1 AND b.distal AND b.id NOT IN (SELECT transcript_id FROM annall)",
+        "q_distal_no_peak": f"SELECT count(*) AS n FROM bare b WHERE distal AND NOT EXISTS (SELECT 1 FROM peak p WHERE {overlap.format('s', 'e - 1')})",
+        "q_distal_near_peak": f"SELECT count(DISTINCT b.id) AS n FROM bare b JOIN peak p ON {overlap.format('s - 2000', 'e + 1999')} WHERE distal",
+        "q_post_gene": "SELECT a.id, a.chr, least(a.s, g.s) AS min_start, greatest(a.e, g.e) AS max_end, g.id AS gene_id, g.s AS gene_start, g.e AS gene_end, round(g.score, 6) AS gene_score FROM t a JOIN t g ON g.id = a.parent_id WHERE a.score >= 1 AND g.score >= 1",
+        "q_expressed_widest": "SELECT id, chr, s, e, region_id, identifier, reg_width FROM (SELECT ok.*, g.id AS region_id, g.identifier, g.e - g.s AS reg_width, row_number() OVER (PARTITION BY ok.id ORDER BY g.e - g.s DESC, g.id) AS k FROM ok JOIN anng ON transcript_id = ok.id AND major JOIN gene_region g ON g.id = region_id) WHERE k = 1",
+        "q_vectors": f"SELECT id, round(score, 6) AS score, round(rpkm, 6) AS rpkm, {LEN} AS length FROM t ORDER BY id",
+        "q_tags_by_gene": "SELECT identifier, CAST(sum(x.tag_count) AS BIGINT) AS tags FROM fsource x JOIN run r ON r.id = x.run_id AND r.source_table = 'run_1' JOIN anng ON transcript_id = x.id JOIN gene_region g ON g.id = region_id AND g.type = 'mRNA' GROUP BY identifier ORDER BY identifier",
+        "q_rpkm_one_run": "SELECT id, round(rpkm1, 6) AS rpkm1 FROM r1",
+        "q_rpkm_two_runs": "SELECT id, round(rpkm1, 6) AS rpkm1, round(rpkm2, 6) AS rpkm2 FROM r1 JOIN r2 USING (id)",
+        "q_fold_change": "SELECT id, round(rpkm1, 6) AS rpkm1, round(rpkm2, 6) AS rpkm2, round(log_fold_change, 6) AS log_fold_change FROM fc",
+        "q_gene_fold_change": "SELECT fc.id, round(rpkm1, 6) AS rpkm1, round(rpkm2, 6) AS rpkm2, round(log_fold_change, 6) AS log_fold_change, identifier FROM fc JOIN anng ON transcript_id = fc.id JOIN gene_region g ON g.id = region_id WHERE abs(log_fold_change) > 1",
+        "q_expressed_genes": "SELECT ok.id, identifier, round(score, 6) AS score FROM ok JOIN anng ON transcript_id = ok.id AND major JOIN gene_region g ON g.id = region_id",
+        "q_rows_per_chromosome": "SELECT chr, count(*) AS n FROM t GROUP BY chr ORDER BY n DESC, chr",
+        "bed_rows": """SELECT strand, chr, s AS start, concat_ws(chr(9), name, greatest(s, 0), least(e, length), concat('Transcript_', b.id), CAST(floor(round(score / (SELECT max(score) FROM t) * 1000, 6)) AS BIGINT),
+  CASE WHEN strand = 0 THEN '+' ELSE '-' END, greatest(s, 0), least(e, length), CASE WHEN strand = 0 THEN '0,0,255' ELSE '0,255,0' END) AS line FROM t b JOIN chromosome c ON c.id = b.chr WHERE score >= 1""",
+    }
+    head = _prelude()
+    return {k: head + v for k, v in own.items()}
