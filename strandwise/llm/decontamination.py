@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Benchmark n-grams found in the corpus are counted over all documents; the rarer
-half of each item's n-grams are its seeds, so an item keeps seeds however often it
-was copied. Documents that share seeds with an item are aligned to it word by
+Benchmark n-grams found in the corpus are counted over all documents, and those in
+few documents are seeds. An item that was copied so often that less than half of
+its n-grams are rare keeps all of them. Documents that share seeds with an item are aligned to it word by
 word around them, which scores edited and paraphrased copies.
 """
 
@@ -19,6 +19,8 @@ from .words import gram_places, grams, hashed_words
 GRAM = 4
 #: Benchmark n-grams that are sent to the tasks at a time (8 bytes each); more take more passes.
 GRAMS_AT_ONCE = 1_000_000
+#: An n-gram is rare in up to this share of the documents, or this many.
+RARE_SHARE, RARE_DOCUMENTS = 0.01, 100
 #: Score of a mismatch and of a gap, where a match scores 1.
 PENALTY = 0.5
 #: Share of an item's words that the alignment has to score.
@@ -104,9 +106,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = GRAM, least: fl
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, end_word long")
     hits = materialize(hits, "seed-hits")
     counts = hits.groupBy("gram").agg(F.sum(F.col("first").cast("int")).alias("df"))
-    by_item = Window.partitionBy("item_id").orderBy("df", "i_pos")
-    ranked = items.join(counts, "gram").withColumn("rank", F.row_number().over(by_item)).withColumn("all", F.count("*").over(Window.partitionBy("item_id")))
-    seeds = materialize(ranked.where(F.col("rank") <= F.greatest(F.lit(2), F.ceil(F.col("all") / 2))).select("item_id", "item_words", "i_pos", "gram"), "seeds")
+    rare = F.col("df") <= max(RARE_DOCUMENTS, int(RARE_SHARE * docs.count()))
+    own = Window.partitionBy("item_id")
+    seeds = items.join(counts, "gram").withColumn("rare", rare).withColumn("share", F.avg(F.col("rare").cast("int")).over(own))
+    seeds = materialize(seeds.where("rare or share < 0.5").select("item_id", "item_words", "i_pos", "gram"), "seeds")
     pairs = hits.join(seeds, "gram").select("doc_id", "item_id", "item_words", "i_pos", (F.col("pos") - F.col("i_pos")).alias("diagonal"))
     near = pairs.groupBy("doc_id", "item_id", "item_words").agg(F.countDistinct("i_pos").alias("n"), F.collect_set("diagonal").alias("diagonals"))
     near = materialize(near.where((F.col("n") >= 2) | (F.col("item_words") < 2 * k)).drop("n"), "seeded")
