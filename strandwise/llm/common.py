@@ -58,6 +58,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key is heavy if it has over one row in so many; there are at most so many heavy keys.
+HEAVY = 1000
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
+    """rows.join(counted, key), where counted has each key once, with its number of rows, n.
+
+    Heavy keys are broadcast, so their rows stay where they are; HEAVY bounds
+    them at any size of the input. The others are shuffled. Both sides are read
+    several times, so they should be written tables or cheap.
+    """
+    often = F.col("n") * HEAVY > rows.count()
+    heavy = F.broadcast(counted.where(often).drop("n"))
+    rest = rows.join(heavy.select(key), key, "left_anti").join(counted.where(~often).drop("n"), key)
+    return rows.join(heavy, key).unionByName(rest)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds; rows may be very long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))

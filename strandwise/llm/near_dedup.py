@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import body, materialize, small_batches
+from .common import body, join_counted, materialize, small_batches
 from .words import ODD, gram_places, grams, hashed_words, mix, salt
 
 SHINGLE = 5
@@ -123,20 +123,20 @@ def sign(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
 
 
 def verify(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Add ``sim`` to (a, b): the larger of probability and plain Jaccard, on whole texts."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sim", pa.float64())])
+    """Add to (a, b) the distances ``far`` (by probability Jaccard) and ``plain`` (by plain Jaccard) of the whole texts, and ``sim``, the larger similarity."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sim", pa.float64()), ("far", pa.float64()), ("plain", pa.float64())])
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 part = batch.slice(lo, 128)
                 x, y = (weighted_shingles(part[c].to_pylist(), k) for c in ("ta", "tb"))
-                sim = np.maximum(*similarities(*x, *y, part.num_rows))
-                yield pa.RecordBatch.from_arrays([part["a"], part["b"], pa.array(sim)], schema=schema)
+                weighted, plain = similarities(*x, *y, part.num_rows)
+                yield pa.RecordBatch.from_arrays([part["a"], part["b"], pa.array(np.maximum(weighted, plain)), pa.array(1 - weighted), pa.array(1 - plain)], schema=schema)
 
     a = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     b = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, sim double")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, sim double, far double, plain double")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -162,10 +162,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESH
 
     Equal weighted sets are one class at once. Of different ones, each bucket of
     a band first compares its members to its smallest; those that fail form the
-    bucket anew, for some rounds. The members still left are compared to one
-    another, and members that failed narrowly to those that passed narrowly:
-    distances obey the triangle inequality, so only members whose distances to
-    the first centre differ by at most 1 - threshold can be linked.
+    bucket anew, for some rounds. Links so far make classes. Then members that
+    failed are compared to the rest of their bucket where the classes still
+    differ and the distances to the first centre allow a link: each of the two
+    distances obeys the triangle inequality, so one of them has to differ by at
+    most 1 - threshold.
 
     Null and empty texts have no shingles and are one class; texts shorter than k
     words are one shingle. Rows of one doc_id count as one document. An empty
@@ -178,38 +179,45 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESH
     fp = ["fp1", "fp2"]
     sets = materialize(signed.groupBy(*fp).agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")), "sets")
     keyed = sets.select("node", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center")).where("n > 1").drop("n")
-    members = materialize(keyed.join(shared, "key"), "members")
+    keyed = materialize(keyed, "bands")
+
+    def centred(rows: DataFrame) -> DataFrame:
+        """Rows in buckets of several members, with the smallest one as ``center``."""
+        shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center")).where("n > 1")
+        return materialize(join_counted(rows, materialize(shared, "buckets"), "key"), "members")
 
     def compare(pairs: DataFrame) -> DataFrame:
         return materialize(verify(pairs.where("a <> b").distinct(), docs, k), "similarities")
 
     def judged(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         sims = compare(rows.select(F.col("node").alias("a"), F.col("center").alias("b")))
-        best = sims.groupBy(F.col("a").alias("node"), F.col("b").alias("center")).agg(F.max("sim").alias("sim"))
-        return sims, rows.where("node <> center").join(best, ["node", "center"])
+        best = sims.groupBy(F.col("a").alias("node"), F.col("b").alias("center")).agg(*[F.max(c).alias(c) for c in ("sim", "far", "plain")])
+        return sims, rows.where("node <> center").select("key", "node", "center").join(best, ["node", "center"])
 
-    sims, first = judged(members)
-    first = materialize(first.select("key", "node", (1 - F.col("sim")).alias("far")), "judged")
-    links, slack = [sims], 1 - threshold
-    rest = first.where(F.col("far") > slack)
+    sims, first = judged(centred(keyed))
+    first = materialize(first.select("key", "node", "sim", "far", "plain"), "judged")
+    links, rest = [sims], first.where(F.col("sim") < threshold).select("key", "node")
     for _ in range(1, STAR_ROUNDS):
         if rest.isEmpty():
             break
-        centers = rest.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center")).where("n > 1").drop("n")
-        sims, again = judged(rest.join(centers, "key"))
+        sims, again = judged(centred(rest))
         links.append(sims)
-        rest = materialize(again.where(F.col("sim") < threshold).select("key", "node", "far"), "rest")
-    if not first.where(F.col("far") > slack).isEmpty():
-        x, y = rest.alias("x"), rest.alias("y")
-        inner = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.abs(F.col("x.far") - F.col("y.far")) <= slack))
-        out, near = first.where((F.col("far") > slack) & (F.col("far") <= 2 * slack)).alias("x"), first.where(F.col("far") <= slack).alias("y")
-        across = out.join(near, (F.col("x.key") == F.col("y.key")) & (F.col("y.far") >= F.col("x.far") - slack))
-        pair = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
-        links.append(compare(inner.select(*pair).unionByName(across.select(*pair))))
+        rest = materialize(again.where(F.col("sim") < threshold).select("key", "node"), "rest")
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
     labels = components(found.where(F.col("sim") >= threshold))
+    if len(links) > 1:
+        known = first.join(labels.withColumnRenamed("v", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        known = materialize(known, "labelled")
+        mixed = known.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key", "n")
+        known = materialize(join_counted(known, materialize(mixed, "open-buckets"), "key"), "open-members")
+        out, other = known.where(F.col("sim") < threshold).alias("x"), known.alias("y")
+        alike = lambda c: F.abs(F.col(f"x.{c}") - F.col(f"y.{c}")) <= 1 - threshold + 1e-9
+        once = (F.col("y.sim") >= threshold) | (F.col("x.node") < F.col("y.node"))
+        across = out.join(other, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once & (alike("far") | alike("plain")))
+        late = compare(across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))).where(F.col("sim") >= threshold)
+        stars = labels.select(F.col("v").alias("a"), F.col("label").alias("b")).where("a <> b")
+        labels = components(stars.unionByName(late.select("a", "b")))
     classes = materialize(sets.select(*fp, "node").join(labels, F.col("node") == F.col("v"), "left").select(*fp, F.coalesce("label", "node").alias("class_id")), "classes")
     return signed.select("doc_id", *fp).join(classes, fp).select("doc_id", "class_id")
