@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import body, materialize, small_batches
+from .common import body, join_counted, materialize, small_batches
 from .words import gram_places, grams, hashed_words
 
 MIN_WORDS = 50
@@ -128,8 +128,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, k: int = GRAM
     docs = docs.select("doc_id", body().alias("text"))
     window = min_words - k + 1
     suffixes = materialize(select_suffixes(docs, k, window), "suffixes")
-    twice = suffixes.groupBy("gram").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("gram")
-    chosen = suffixes.join(twice, "gram").select("doc_id", "pos")
+    twice = suffixes.groupBy("gram").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a <> b").select("gram", "n")
+    chosen = join_counted(suffixes, materialize(twice, "repeated-grams"), "gram").select("doc_id", "pos")
     rows = materialize(with_context(chosen, docs, k, min_words), "contexts")
     order = ["gram", "r1", "r2", "r3", "r4", "doc_id", "pos"]
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
