@@ -8,6 +8,7 @@ sums over all batches' rollups.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,11 @@ LEDGER = "doc_id long, source string, lang string, tokenizer string, tokens long
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """(doc_id, source, lang, tokens); a null or empty text has no tokens."""
+    """(doc_id, source, lang, tokens, line_tokens); a null or empty text has no tokens.
+
+    ``line_tokens`` counts the text without its repeated lines. Both come from one
+    reading of the text, so a revision by lines moves counts and never texts.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches):
@@ -29,10 +34,15 @@ def count_tokens(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                counts = [len(x) // 4 for x in encoder.encode(part["text"].to_pylist())]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["source"], part["lang"], pa.array(counts, pa.int64())], names=["doc_id", "source", "lang", "tokens"])
+                texts = part["text"].to_pylist()
+                counts = np.array([len(x) // 4 for x in encoder.encode(texts)], np.int64)
+                lines = [list(dict.fromkeys(t.split("\n"))) for t in texts]
+                fewer = [i for i, t in enumerate(texts) if len(lines[i]) <= t.count("\n")]
+                by_lines = counts.copy()
+                by_lines[fewer] = [len(x) // 4 for x in encoder.encode(["\n".join(lines[i]) for i in fewer])]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["source"], part["lang"], pa.array(counts), pa.array(by_lines)], names=["doc_id", "source", "lang", "tokens", "line_tokens"])
 
-    return docs.select("doc_id", "source", "lang", body().alias("text")).mapInArrow(run, "doc_id long, source string, lang string, tokens long")
+    return docs.select("doc_id", "source", "lang", body().alias("text")).mapInArrow(run, "doc_id long, source string, lang string, tokens long, line_tokens long")
 
 
 class Store:
@@ -95,16 +105,16 @@ def maintained(docs: DataFrame, labels: DataFrame, tokenizer_path: str, store: S
 
     The load inserts all documents, counted by words and by the tokenizer. The
     deletion takes back documents labelled toxic. The revision counts documents
-    labelled as of low quality anew, without repeated lines. Null keys are keys of their own; repeated rows count each.
+    labelled as of low quality, and not as toxic, anew, without repeated lines. Null
+    keys are keys of their own; repeated rows count each.
     """
     counted = materialize(count_tokens(docs, tokenizer_path).withColumn("tokenizer", F.lit("word_bpe_49k")), "token-counts")
     space = docs.select("doc_id", "source", "lang", F.size(F.array_remove(F.split(body(), r"\s+"), "")).cast("long").alias("tokens"), F.lit("space").alias("tokenizer"))
-    load = counted.unionByName(space)
+    load = counted.drop("line_tokens").unionByName(space)
     store.insert("load", load)
     toxic = labels.where("toxic = 1").select("doc_id")
     store.delete("toxic", toxic.select("doc_id", F.explode(F.array(F.lit("word_bpe_49k"), F.lit("space"))).alias("tokenizer")), ["load"])
-    low = docs.join(labels.where("quality = 0 and toxic = 0").select("doc_id").distinct(), "doc_id", "left_semi")
-    unique = F.array_join(F.array_distinct(F.split(body(), "\n")), "\n")
-    store.revise("lines", count_tokens(low.withColumn("text", unique), tokenizer_path).withColumn("tokenizer", F.lit("word_bpe_49k")), ["load", "toxic"])
+    low = labels.where("quality = 0").join(toxic, "doc_id", "left_anti").select("doc_id").distinct()
+    store.revise("lines", counted.join(low, "doc_id", "left_semi").withColumn("tokens", F.col("line_tokens")), ["load", "toxic"])
     store.insert("load", load)
     return store.totals(["load", "toxic", "lines"])

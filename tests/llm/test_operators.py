@@ -104,6 +104,9 @@ def test_token_counts(spark, docs, empty):
     got = token_rollup.maintained(docs, labels, tokenizer_path(), store).where("tokenizer = 'space'").groupBy().sum("documents").first()[0]
     assert got == docs.count() - 1
     again = token_rollup.count_tokens(docs, tokenizer_path()).withColumn("tokenizer", F.lit("again"))
+    one = spark.createDataFrame([(1, "a b\nc\na b\n", "en", "s"), (2, "a b\nc\n", "en", "s"), (3, None, "en", "s")], "doc_id long, text string, lang string, source string")
+    n = {r.doc_id: (r.tokens, r.line_tokens) for r in token_rollup.count_tokens(one, tokenizer_path()).collect()}
+    assert n[1][1] == n[2][1] == n[2][0] < n[1][0] and n[3] == (0, 0)
     assert not store.insert("load", again)
     store = token_rollup.Store(spark, scratch_path(spark, "store"))
     assert token_rollup.maintained(empty, labels, tokenizer_path(), store).count() == 0
