@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import body, join_counted, materialize, small_batches
@@ -122,21 +122,66 @@ def sign(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, fp1 long, fp2 long, bands array<long>")
 
 
+def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    a = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
+    b = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Add to (a, b) the distances ``far`` (by probability Jaccard) and ``plain`` (by plain Jaccard) of the whole texts, and ``sim``, the larger similarity."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sim", pa.float64()), ("far", pa.float64()), ("plain", pa.float64())])
+    """Add to (a, b) ``sim``: the larger of probability and plain Jaccard of the whole texts."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sim", pa.float64())])
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 part = batch.slice(lo, 128)
                 x, y = (weighted_shingles(part[c].to_pylist(), k) for c in ("ta", "tb"))
-                weighted, plain = similarities(*x, *y, part.num_rows)
-                yield pa.RecordBatch.from_arrays([part["a"], part["b"], pa.array(np.maximum(weighted, plain)), pa.array(1 - weighted), pa.array(1 - plain)], schema=schema)
+                yield pa.RecordBatch.from_arrays([part["a"], part["b"], pa.array(np.maximum(*similarities(*x, *y, part.num_rows)))], schema=schema)
 
-    a = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    b = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, sim double, far double, plain double")
+    return _with_texts(pairs, docs).mapInArrow(run, "a long, b long, sim double")
+
+
+def differences(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Add to (a, b) ``size``, the number of a's shingles, and ``apart``, those that just one of a and b has."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("size", pa.int64()), ("apart", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
+                (tx, vx, _), (ty, vy, _) = (weighted_shingles(part[c].to_pylist(), k) for c in ("ta", "tb"))
+                apart = [np.setxor1d(vx[tx == i], vy[ty == i], assume_unique=True).view(np.int64) for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([part["a"], part["b"], pa.array(np.bincount(tx, minlength=part.num_rows)), pa.array(apart, pa.list_(pa.int64()))], schema=schema)
+
+    return _with_texts(pairs, docs).mapInArrow(run, "a long, b long, size long, apart array<long>")
+
+
+def close_pairs(members: DataFrame, docs: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(a, b) among members (node, center, label, sim) of one center with different labels, one of which at least is not within reach of it: all of plain Jaccard >= threshold, few others.
+
+    Two sets differ in as many shingles as their differences from the center
+    do. A pair within the threshold has differences of sizes m and n with at
+    least o in common, where m + n - 2 o is at most what the threshold leaves to
+    differ. In one order for all, the first common one then has a rank of at
+    most m - o + 1 and n - o + 1. The order goes from rare to frequent, so what
+    just one member has comes first and meets nothing, however large the group.
+    """
+    of = ["node", "center"]
+    found = differences(members.select(F.col("node").alias("a"), F.col("center").alias("b")), docs, k)
+    found = materialize(found.dropDuplicates(["a", "b"]), "differences").select(F.col("a").alias("node"), F.col("b").alias("center"), "size", F.size("apart").alias("n"), "apart")
+    single = found.select("node", "center", "size", "n", F.explode("apart").alias("shingle"))
+    often = single.groupBy("center", "shingle").agg(F.count("*").alias("f"))
+    rank = F.row_number().over(Window.partitionBy(*of).orderBy("f", "shingle"))
+    ranked = single.join(often, ["center", "shingle"]).withColumn("rank", rank)
+    ranked = ranked.where((F.col("f") > 1) & (F.col("rank") <= F.col("size") * (1 / threshold - 1) + 1))
+    ranked = materialize(ranked.join(members.select(*of, "label", (F.col("sim") >= threshold).alias("near")), of), "ranked")
+    x, y = ranked.where("not near").alias("x"), ranked.alias("y")
+    common = (F.col("x.n") + F.col("y.n") - (F.col("x.size") + F.col("y.size")) * ((1 - threshold) / (1 + threshold))) / 2 - 1e-6
+    early = (F.col("x.rank") <= F.col("x.n") - common + 1) & (F.col("y.rank") <= F.col("y.n") - common + 1)
+    once = F.col("y.near") | (F.col("x.node") < F.col("y.node"))
+    same = (F.col("x.center") == F.col("y.center")) & (F.col("x.shingle") == F.col("y.shingle"))
+    return x.join(y, same & (F.col("x.label") != F.col("y.label")) & once & early).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -163,10 +208,10 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESH
     Equal weighted sets are one class at once. Of different ones, each bucket of
     a band first compares its members to its smallest; those that fail form the
     bucket anew, for some rounds. Links so far make classes. Then members that
-    failed are compared to the rest of their bucket where the classes still
-    differ and the distances to the first centre allow a link: each of the two
-    distances obeys the triangle inequality, so one of them has to differ by at
-    most 1 - threshold.
+    failed are compared to those of the same first center with which they have
+    enough of their differences from it in common (``close_pairs``), where the
+    classes still differ. This last step is exact for plain Jaccard; links by
+    probability Jaccard alone are those to centers.
 
     Null and empty texts have no shingles and are one class; texts shorter than k
     words are one shingle. Rows of one doc_id count as one document. An empty
@@ -191,11 +236,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESH
 
     def judged(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         sims = compare(rows.select(F.col("node").alias("a"), F.col("center").alias("b")))
-        best = sims.groupBy(F.col("a").alias("node"), F.col("b").alias("center")).agg(*[F.max(c).alias(c) for c in ("sim", "far", "plain")])
+        best = sims.groupBy(F.col("a").alias("node"), F.col("b").alias("center")).agg(F.max("sim").alias("sim"))
         return sims, rows.where("node <> center").select("key", "node", "center").join(best, ["node", "center"])
 
     sims, first = judged(centred(keyed))
-    first = materialize(first.select("key", "node", "sim", "far", "plain"), "judged")
+    first = materialize(first.select("key", "node", "center", "sim"), "judged")
     links, rest = [sims], first.where(F.col("sim") < threshold).select("key", "node")
     for _ in range(1, STAR_ROUNDS):
         if rest.isEmpty():
@@ -208,15 +253,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESH
         found = found.unionByName(more)
     labels = components(found.where(F.col("sim") >= threshold))
     if len(links) > 1:
-        known = first.join(labels.withColumnRenamed("v", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        known = first.select("node", "center", "sim").distinct().join(labels.withColumnRenamed("v", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
         known = materialize(known, "labelled")
-        mixed = known.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key", "n")
-        known = materialize(join_counted(known, materialize(mixed, "open-buckets"), "key"), "open-members")
-        out, other = known.where(F.col("sim") < threshold).alias("x"), known.alias("y")
-        alike = lambda c: F.abs(F.col(f"x.{c}") - F.col(f"y.{c}")) <= 1 - threshold + 1e-9
-        once = (F.col("y.sim") >= threshold) | (F.col("x.node") < F.col("y.node"))
-        across = out.join(other, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once & (alike("far") | alike("plain")))
-        late = compare(across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))).where(F.col("sim") >= threshold)
+        mixed = known.groupBy("center").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("center", "n")
+        members = materialize(join_counted(known, materialize(mixed, "open-centers"), "center"), "open-members")
+        late = compare(close_pairs(members, docs, k, threshold)).where(F.col("sim") >= threshold)
         stars = labels.select(F.col("v").alias("a"), F.col("label").alias("b")).where("a <> b")
         labels = components(stars.unionByName(late.select("a", "b")))
     classes = materialize(sets.select(*fp, "node").join(labels, F.col("node") == F.col("v"), "left").select(*fp, F.coalesce("label", "node").alias("class_id")), "classes")

@@ -157,3 +157,20 @@ def test_packing(docs, empty, rows):
             at += p.length
         assert at <= 2048
     assert packing.pack(empty, tokenizer_path()).count() == 0
+
+
+def test_near_duplicates_of_a_large_group(spark):
+    """Copies of a text that is not the smallest, some so changed that only another copy is near: every plain link is kept."""
+    rng = random.Random(8)
+    base = words(rng, 100).split()
+    texts = []
+    for i in range(120):
+        w = list(texts[-1]) if i % 3 == 2 else list(base)
+        for _ in range(1 + i % 4):
+            w[rng.randrange(len(w))] = f"edit{i % 17}"
+        texts.append(w)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")).collect()}
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts]
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            assert len(x & y) < 0.8 * len(x | y) or got[i] == got[j]
