@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import evaluation as E
 from ..operators import transcripts as T
 from ..operators.analysis import Analysis, bed_rows
 from .fixtures import PARAMETERS as P
@@ -41,6 +42,26 @@ def _density(spark, d):
 FINAL = ["id", "chr", "strand", "s", "e", "refseq"]
 
 
+#: Least numbers of tags by which the evaluation queries draw candidate sets from proto-transcripts.
+LEAST_TAGS = [1, 2, 3]
+
+
+def _evaluated(f):
+    """f of reference genes and of the final transcripts."""
+
+    def run(spark, d):
+        plain = lambda df: df.select("chr", "strand", "s", "e")
+        return f(plain(view(spark, d, "gene_region")), plain(atlas(spark, d).transcripts))
+
+    return run
+
+
+def _error_matrix(spark, d):
+    sets = _protos(spark, d).withColumn("least", F.explode(F.array(*map(F.lit, LEAST_TAGS)))).where("tag_count >= least")
+    out = E.grid_error_matrix(view(spark, d, "gene_region"), sets, "run_id", "least", LEAST_TAGS, P.bin)
+    return out.select("run_id", *[F.round(F.col(str(x)), 6).alias(f"error_{x}") for x in LEAST_TAGS])
+
+
 def queries() -> dict:
     from dataclasses import replace
 
@@ -110,6 +131,12 @@ def queries() -> dict:
         "q_gene_fold_change": q("gene_fold_change", RUN1, RUN2, rounded=["rpkm1", "rpkm2", "log_fold_change"]),
         "q_expressed_genes": q("expressed_genes"),
         "q_rows_per_chromosome": q("rows_per_chromosome"),
+        "count_broken": _evaluated(lambda g, t: E.count_broken(g, t, width=P.bin)),
+        "count_run_together": _evaluated(lambda g, t: E.count_run_together(g, t, width=P.bin)),
+        "summed_error": _evaluated(lambda g, t: _round(E.summed_error(g, t, width=P.bin), "error")),
+        "compare_sets": _evaluated(lambda g, t: _round(E.compare_sets(g, t, P.bin), "forward", "backward")),
+        "grid_error_matrix": _error_matrix,
+        "sequence_identifiers": lambda spark, d: view(spark, d, "gene_region").select("identifier", F.when(F.col("identifier").startswith("NM"), "mRNA").when(F.col("identifier").startswith("NR"), "RNA").alias("type")).distinct(),
         "bed_rows": lambda spark, d: bed_rows(atlas(spark, d).transcripts, view(spark, d, "chromosome"), P.min_score),
     }
 
@@ -173,6 +200,29 @@ fc AS (SELECT id, rpkm1, rpkm2, log2(rpkm1 / rpkm2) AS log_fold_change FROM r1 J
 """
 
 
+def _broken_sql(whole: str, parts: str, by: str = "") -> str:
+    """Rows of whole, each with whether the first part that ends past its start and the last that starts before its end break it."""
+    keys = f"{by}chr, strand"
+    same = " AND ".join(f"p.{k} = w.{k}" for k in keys.split(", "))
+    return f"""(SELECT w.*, coalesce(f.k <> l.k AND f.e <= w.e AND l.s >= w.s, false) AS broken FROM (SELECT {keys}, s, e FROM {whole}) w
+  LEFT JOIN LATERAL (SELECT arg_min(struct_pack(k := k, s := s, e := e), k) AS x FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY s, e) AS k FROM {parts}) p WHERE {same} AND p.e >= w.s) f0 ON true
+  LEFT JOIN LATERAL (SELECT arg_max(struct_pack(k := k, s := s, e := e), k) AS x FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY s, e) AS k FROM {parts}) p WHERE {same} AND p.s <= w.e) l0 ON true,
+  LATERAL (SELECT f0.x.k AS k, f0.x.e AS e) f, LATERAL (SELECT l0.x.k AS k, l0.x.s AS s) l)"""
+
+
+def _error_sql(reference: str, target: str) -> str:
+    known = f"(SELECT * FROM {reference} WHERE (chr, strand) IN (SELECT (chr, strand) FROM {target}))"
+    return f"((SELECT avg(CAST(broken AS DOUBLE)) FROM {_broken_sql(known, target)}) + (SELECT avg(CAST(broken AS DOUBLE)) FROM {_broken_sql(target, known)}))"
+
+
+def _matrix_sql() -> str:
+    sets = "(SELECT run_id, least, chr, strand, s, e FROM proto, (VALUES (1), (2), (3)) v(least) WHERE tag_count >= least)"
+    known = f"(SELECT x.run_id, x.least, g.chr, g.strand, g.s, g.e FROM gene_region g JOIN (SELECT DISTINCT run_id, least, chr, strand FROM {sets}) x ON x.chr = g.chr AND x.strand = g.strand)"
+    share = lambda a, b: f"(SELECT run_id, least, avg(CAST(broken AS DOUBLE)) AS x FROM {_broken_sql(a, b, 'run_id, least, ')} GROUP BY run_id, least)"
+    cells = ", ".join(f"round(max(a.x + b.x) FILTER (a.least = {x}), 6) AS error_{x}" for x in LEAST_TAGS)
+    return f"SELECT a.run_id, {cells} FROM {share(known, sets)} a JOIN {share(sets, known)} b USING (run_id, least) GROUP BY a.run_id"
+
+
 def oracle_sql() -> dict[str, str]:
     final = ", ".join(FINAL)
     proto = "run_id, chr, strand, s, e, refseq, tag_count, gaps"
@@ -232,6 +282,12 @@ def oracle_sql() -> dict[str, str]:
         "q_gene_fold_change": "SELECT fc.id, round(rpkm1, 6) AS rpkm1, round(rpkm2, 6) AS rpkm2, round(log_fold_change, 6) AS log_fold_change, identifier FROM fc JOIN anng ON transcript_id = fc.id JOIN gene_region g ON g.id = region_id WHERE abs(log_fold_change) > 1",
         "q_expressed_genes": "SELECT ok.id, identifier, round(score, 6) AS score FROM ok JOIN anng ON transcript_id = ok.id AND major JOIN gene_region g ON g.id = region_id",
         "q_rows_per_chromosome": "SELECT chr, count(*) AS n FROM t GROUP BY chr ORDER BY n DESC, chr",
+        "count_broken": f"SELECT count(*) FILTER (broken) AS n FROM {_broken_sql('gene_region', 'final')}",
+        "count_run_together": f"SELECT count(*) FILTER (broken) AS n FROM {_broken_sql('final', 'gene_region')}",
+        "summed_error": f"SELECT round({_error_sql('gene_region', 'final')}, 6) AS error",
+        "compare_sets": f"SELECT round({_error_sql('gene_region', 'final')}, 6) AS forward, round({_error_sql('final', 'gene_region')}, 6) AS backward",
+        "grid_error_matrix": _matrix_sql(),
+        "sequence_identifiers": "SELECT DISTINCT identifier, CASE substr(identifier, 1, 2) WHEN 'NM' THEN 'mRNA' WHEN 'NR' THEN 'RNA' END AS type FROM gene_region",
         "bed_rows": """SELECT strand, chr, s AS start, concat_ws(chr(9), name, greatest(s, 0), least(e, length), concat('Transcript_', b.id), CAST(floor(round(score / (SELECT max(score) FROM t) * 1000, 6)) AS BIGINT),
   CASE WHEN strand = 0 THEN '+' ELSE '-' END, greatest(s, 0), least(e, length), CASE WHEN strand = 0 THEN '0,0,255' ELSE '0,255,0' END) AS line FROM t b JOIN chromosome c ON c.id = b.chr WHERE score >= 1""",
     }

@@ -9,7 +9,7 @@ from strandwise.queries import registry
 DATA = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["proto_transcripts_gap", "stitch_transcripts", "allowed_edge", "atlas_pipeline", "q_antisense_gene", "q_distal_no_peak", "bed_rows"])
+@pytest.mark.parametrize("name", ["proto_transcripts_gap", "stitch_transcripts", "allowed_edge", "atlas_pipeline", "q_antisense_gene", "q_distal_no_peak", "compare_sets", "grid_error_matrix", "sequence_identifiers", "bed_rows"])
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     if not os.path.isdir(DATA):
