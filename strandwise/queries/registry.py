@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import evaluation as E
 from ..operators import transcripts as T
 from ..operators.analysis import Analysis, bed_rows
+from ..sources import readers
+from ..sources.shared import stored_text
 from .fixtures import PARAMETERS as P
 from .fixtures import VIEWS, atlas, view
 
@@ -42,6 +44,36 @@ def _density(spark, d):
 FINAL = ["id", "chr", "strand", "s", "e", "refseq"]
 
 
+#: Lines of text formats, from the interval tables; a tag's sequence is as long as the tag.
+LINES = {
+    "sam": ("tag", "concat_ws('\t', 'q', strand * 16, concat('chr', chr - 1), s + 1, s % 40, '*', '*', 0, 0, repeat('A', CAST(e - s AS INT)), '*')"),
+    "bowtie": ("tag", "concat_ws('\t', 'q', if(strand = 1, '-', '+'), concat('chr', chr - 1), s, repeat('A', CAST(e - s AS INT)), '*')"),
+    "tags": ("tag", "concat_ws('\t', if(strand = 1, '-', '+'), concat('chr', chr - 1), s, repeat('A', CAST(e - s AS INT)))"),
+    "refgene": ("gene_region", "concat_ws('\t', id, identifier, concat('chr', chr - 1), if(strand = 1, '-', '+'), s, e)"),
+    "bed": ("gene_region", "concat_ws('\t', concat('chr', chr - 1), s, e, identifier, 0, if(strand = 1, '-', '+'))"),
+    "macs": ("peak", "concat_ws('\t', concat('chr', chr - 1), s, e, e - s, s + 100, id % 1000, id % 70, id % 30)"),
+    "sicer": ("peak", "concat_ws('\t', concat('chr', chr - 1), s, e, id % 1000, id % 9, concat('1.5e-', id % 50), id % 30, '0.25')"),
+    "bed_peaks": ("peak", "concat_ws('\t', concat('chr', chr - 1), s, e, id, id % 1000)"),
+}
+
+
+def _text(spark, d, name):
+    source, line = LINES[name]
+    return stored_text(view(spark, d, source).select(F.expr(line).alias("value")), name)
+
+
+def _tags4(spark, d, flip=False):
+    return T.normalize_tags(readers.read_tags4(spark, _text(spark, d, "tags")), view(spark, d, "chromosome"), flip)
+
+
+def _peaks(read, name, *numbers):
+    def run(spark, d):
+        found = read(spark, _text(spark, d, name), view(spark, d, "chromosome"))
+        return found.withColumns({n: F.col(n).cast("double") for n in numbers})
+
+    return run
+
+
 #: Least numbers of tags by which the evaluation queries draw candidate sets from proto-transcripts.
 LEAST_TAGS = [1, 2, 3]
 
@@ -131,6 +163,16 @@ def queries() -> dict:
         "q_gene_fold_change": q("gene_fold_change", RUN1, RUN2, rounded=["rpkm1", "rpkm2", "log_fold_change"]),
         "q_expressed_genes": q("expressed_genes"),
         "q_rows_per_chromosome": q("rows_per_chromosome"),
+        "read_sam": lambda spark, d: readers.read_tags(spark, _text(spark, d, "sam"), "sam"),
+        "read_bowtie": lambda spark, d: readers.read_tags(spark, _text(spark, d, "bowtie"), "bowtie"),
+        "read_tags4": lambda spark, d: readers.read_tags(spark, _text(spark, d, "tags")),
+        "normalize_tags": _tags4,
+        "normalize_tags_flipped": lambda spark, d: _tags4(spark, d, True),
+        "load_refgene": lambda spark, d: readers.read_refgene(spark, _text(spark, d, "refgene")),
+        "load_bed_regions": lambda spark, d: readers.read_bed_regions(spark, _text(spark, d, "bed")),
+        "peaks_macs": _peaks(readers.read_macs, "macs", "tag_count", "log_ten_p_value", "fold_enrichment"),
+        "peaks_sicer": _peaks(readers.read_sicer, "sicer", "tag_count", "p_value", "fold_enrichment", "fdr_threshold"),
+        "peaks_bed": _peaks(readers.read_bed_peaks, "bed_peaks", "score"),
         "count_broken": _evaluated(lambda g, t: E.count_broken(g, t, width=P.bin)),
         "count_run_together": _evaluated(lambda g, t: E.count_run_together(g, t, width=P.bin)),
         "summed_error": _evaluated(lambda g, t: _round(E.summed_error(g, t, width=P.bin), "error")),
@@ -230,7 +272,20 @@ def oracle_sql() -> dict[str, str]:
     count = "SELECT count(DISTINCT id) AS n FROM "
     opposite = "bare b JOIN sites g ON g.chr = b.chr AND g.strand <> b.strand AND NOT b.distal AND "
     start, inside = "b.s <= g.te AND g.ts <= b.e", "b.s <= g.e AND g.s <= b.e AND NOT (b.s <= g.te AND g.ts <= b.e)"
+    sign, chrom = "CASE WHEN strand = 1 THEN '-' ELSE '+' END AS strand_char", "concat('chr', chr - 1) AS chromosome"
+    tag = f"SELECT {sign}, {chrom}, s AS start, repeat('A', e - s) AS sequence FROM tag"
+    region = f"SELECT identifier, {chrom}, {sign}, s, e FROM gene_region"
     own = {
+        "read_sam": tag + " WHERE s % 40 >= 10",
+        "read_bowtie": tag,
+        "read_tags4": tag,
+        "normalize_tags": "SELECT chr, strand, s, e FROM tag",
+        "normalize_tags_flipped": "SELECT chr, 1 - strand AS strand, s, e FROM tag",
+        "load_refgene": region,
+        "load_bed_regions": region,
+        "peaks_macs": "SELECT chr, s, e, e - s AS length, s + 100 AS summit, CAST(id % 1000 AS DOUBLE) AS tag_count, CAST(id % 70 AS DOUBLE) AS log_ten_p_value, CAST(id % 30 AS DOUBLE) AS fold_enrichment FROM peak",
+        "peaks_sicer": "SELECT chr, s, e, e - s AS length, CAST(id % 1000 AS DOUBLE) AS tag_count, 1.5::DOUBLE AS p_value, CAST(-(id % 50) AS INT) AS p_value_exp, CAST(id % 30 AS DOUBLE) AS fold_enrichment, 0.25::DOUBLE AS fdr_threshold, 0 AS fdr_threshold_exp FROM peak",
+        "peaks_bed": "SELECT chr, s, e, e - s AS length, CAST(id % 1000 AS DOUBLE) AS score FROM peak",
         "run_registry": "SELECT * FROM run",
         "collapse_tags": "SELECT run_id, chr, strand, s, e, count(*) AS tag_count FROM tag GROUP BY ALL",
         "union_runs_distinct": "SELECT DISTINCT chr, s, e, CASE WHEN strand = 0 THEN '+' ELSE '-' END AS sign FROM tag",

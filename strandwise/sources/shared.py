@@ -27,3 +27,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_text(lines: DataFrame, name: str) -> str:
+    """The path of a folder of text files with the lines (value)."""
+    path = f"{shared_dir(lines.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    lines.write.text(path)
+    return path
