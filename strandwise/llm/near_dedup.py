@@ -47,7 +47,7 @@ def weighted_shingles(texts: list[str | None], k: int) -> tuple[np.ndarray, np.n
 def prob_minhash(text: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int, registers: int) -> np.ndarray:
     """Signatures, n x registers. Texts without shingles keep zeros."""
     earliest, owner = np.full(n * registers, np.inf), np.zeros(n * registers, np.uint64)
-    time = np.zeros(len(value))
+    time, latest = np.zeros(len(value)), np.zeros(n)
     arrival = 0
     while len(value):
         arrival += 1
@@ -57,7 +57,9 @@ def prob_minhash(text: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int
         np.minimum.at(earliest, to, time)
         first = time == earliest[to]
         owner[to[first]] = value[first]
-        on = time < earliest.reshape(n, registers).max(axis=1)[text]
+        live = text[np.diff(text, prepend=-1) > 0]
+        latest[live] = earliest.reshape(n, registers)[live].max(axis=1)
+        on = time < latest[text]
         text, value, weight, time = text[on], value[on], weight[on], time[on]
     return owner.reshape(n, registers)
 
@@ -108,16 +110,19 @@ def sign(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                 n = part.num_rows
                 text, value, weight = weighted_shingles(part["text"].to_pylist(), k)
                 fp1, fp2 = fingerprints(text, value, weight, n)
-                # Sets of up to three shingles reach 0.8 only when they are equal.
                 sizes = np.bincount(text, minlength=n)
-                few = sizes[text] <= 3
-                owner = prob_minhash(text[~few], value[~few], weight[~few], n, bands * rows)
-                owner[sizes <= 3] = fp1[sizes <= 3].view(np.uint64)[:, None]
+                # A lone shingle owns all registers. Sets of up to three shingles meet by one key
+                # where they are equal but for weights, and by bands where weights make unequal ones close.
+                lone = sizes[text] == 1
+                owner = prob_minhash(text[~lone], value[~lone], weight[~lone], n, bands * rows)
+                owner[text[lone]] = value[lone][:, None]
+                whole, _ = fingerprints(text, value, np.ones(len(value)), n)
                 keys = np.zeros((n, bands), np.uint64)
                 for i in range(rows):
                     keys = mix(keys * ODD + owner[:, i::rows][:, :bands])
                 keys = mix(keys + np.arange(1, bands + 1, dtype=np.uint64) * ODD).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(fp1), pa.array(fp2), pa.array([row if s > 3 else None for row, s in zip(list(keys), sizes, strict=True)], pa.list_(pa.int64()))], schema=schema)
+                lists = [None if not s else row if s > 3 else np.append(row, f) for row, s, f in zip(list(keys), sizes, whole, strict=True)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(fp1), pa.array(fp2), pa.array(lists, pa.list_(pa.int64()))], schema=schema)
 
     return docs.mapInArrow(run, "doc_id long, fp1 long, fp2 long, bands array<long>")
 

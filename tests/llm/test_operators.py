@@ -174,3 +174,10 @@ def test_near_duplicates_of_a_large_group(spark):
     for i, x in enumerate(sets):
         for j, y in enumerate(sets[:i]):
             assert len(x & y) < 0.8 * len(x | y) or got[i] == got[j]
+
+
+def test_near_duplicates_of_few_shingles(spark):
+    """Sets of up to three shingles that are equal but for weights, or close by their weights."""
+    texts = ["word " * 100, "word " * 101, "a b c " * 40, "a b c " * 60, "x y " * 100, "x y " * 100 + "z", "other " * 100]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, 6: 6}
