@@ -4,8 +4,8 @@ A document is a weighted set of five-word shingles, each as heavy as it is
 frequent there. Every shingle sends arrivals of a Poisson process of its weight
 to random registers; the earliest arrival at each register is the signature, and
 a shingle stops as soon as it is later than all registers. Two signatures agree
-in a register with the probability Jaccard similarity. Bands of registers propose
-pairs, the pairs are verified on whole texts, and verified links make classes.
+in a register with the probability Jaccard similarity. Texts with repeats have a
+second signature of their unweighted set. Bands of registers propose pairs, the pairs are verified on whole texts, and verified links make classes.
 """
 
 from __future__ import annotations
@@ -99,6 +99,14 @@ def similarities(ta, va, wa, tb, vb, wb, n: int) -> tuple[np.ndarray, np.ndarray
     return weighted, plain
 
 
+def band_keys(owner: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One key for each band of the signatures, n x bands."""
+    keys = np.zeros((len(owner), bands), np.uint64)
+    for i in range(rows):
+        keys = mix(keys * ODD + owner[:, i::rows][:, :bands])
+    return mix(keys + np.arange(1, bands + 1, dtype=np.uint64) * ODD).view(np.int64)
+
+
 def sign(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, fp1, fp2, bands) of every document; bands is null without shingles."""
     schema = pa.schema([("doc_id", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("bands", pa.list_(pa.int64()))])
@@ -111,17 +119,21 @@ def sign(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                 text, value, weight = weighted_shingles(part["text"].to_pylist(), k)
                 fp1, fp2 = fingerprints(text, value, weight, n)
                 sizes = np.bincount(text, minlength=n)
+                even = np.bincount(text, weight, n) == sizes
                 # A lone shingle owns all registers. Sets of up to three shingles meet by one key
                 # where they are equal but for weights, and by bands where weights make unequal ones close.
                 lone = sizes[text] == 1
                 owner = prob_minhash(text[~lone], value[~lone], weight[~lone], n, bands * rows)
                 owner[text[lone]] = value[lone][:, None]
                 whole, _ = fingerprints(text, value, np.ones(len(value)), n)
-                keys = np.zeros((n, bands), np.uint64)
-                for i in range(rows):
-                    keys = mix(keys * ODD + owner[:, i::rows][:, :bands])
-                keys = mix(keys + np.arange(1, bands + 1, dtype=np.uint64) * ODD).view(np.int64)
-                lists = [None if not s else row if s > 3 else np.append(row, f) for row, s, f in zip(list(keys), sizes, whole, strict=True)]
+                keys = band_keys(owner, bands, rows)
+                # Plain links need bands of the unweighted set; without repeats they are the same bands.
+                odd = ~even[text] & (sizes[text] > 3)
+                plain = band_keys(prob_minhash(text[odd], value[odd], np.ones(int(odd.sum())), n, bands * rows), bands, rows)
+                lists = []
+                for i in range(n):
+                    row = keys[i] if even[i] or sizes[i] <= 3 else np.union1d(keys[i], plain[i])
+                    lists.append(None if not sizes[i] else row if sizes[i] > 3 else np.append(row, whole[i]))
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(fp1), pa.array(fp2), pa.array(lists, pa.list_(pa.int64()))], schema=schema)
 
     return docs.mapInArrow(run, "doc_id long, fp1 long, fp2 long, bands array<long>")

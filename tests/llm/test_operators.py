@@ -181,3 +181,14 @@ def test_near_duplicates_of_few_shingles(spark):
     texts = ["word " * 100, "word " * 101, "a b c " * 40, "a b c " * 60, "x y " * 100, "x y " * 100 + "z", "other " * 100]
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, 6: 6}
+
+
+def test_near_duplicates_by_plain_sets(spark):
+    """Plain Jaccard of 0.8 and more where one text repeats a line so often that its weights differ much."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(5):
+        base, line = words(rng, 204), words(rng, 10)
+        texts += [base, base + " " + (line + " ") * 300]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(10)}
