@@ -4,19 +4,19 @@ Suffixes are kept only at content-selected places: the smallest k-gram hash of
 each window of k-grams. Equal passages select the same places, so any passage
 of at least MIN_WORDS words that repeats has one in common. Kept suffixes are
 sorted by their words; neighbours in that order share the longest beginnings,
-and matches are extended left and right from there.
+and matches are extended left and right from there. Where more suffixes begin
+alike than are compared, hashes of all runs of MIN_WORDS words decide.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import body, join_counted, materialize, small_batches
-from .words import gram_places, grams, hashed_words
+from .words import ODD, grams, hashed_words, mix
 
 MIN_WORDS = 50
 GRAM = 10
@@ -30,9 +30,14 @@ def minimisers(value: np.ndarray, window: int) -> np.ndarray:
         return np.zeros(0, np.int64)
     if len(value) <= window:
         return np.array([int(value.argmin())])
+    return np.unique(selected(value, window))
+
+
+def selected(value: np.ndarray, window: int) -> np.ndarray:
+    """Place of the smallest hash of each window; there is one window at least."""
     views = np.lib.stride_tricks.sliding_window_view(value, window)
     out = [views[i : i + 4096].argmin(axis=1) + np.arange(i, min(i + 4096, len(views))) for i in range(0, len(views), 4096)]
-    return np.unique(np.concatenate(out))
+    return np.concatenate(out)
 
 
 def select_suffixes(docs: DataFrame, k: int, window: int) -> DataFrame:
@@ -79,6 +84,9 @@ def with_context(chosen: DataFrame, docs: DataFrame, k: int, reach: int) -> Data
                     own, brief = words[bounds[i] : bounds[i + 1]], short[bounds[i] : bounds[i + 1]]
                     value = grams(own, k)
                     places = np.sort(np.array(places, np.int64))
+                    places = places[places < len(value)]
+                    if not len(places):
+                        continue
                     keys = np.stack([np.where(places + j * k < len(value), value[np.minimum(places + j * k, len(value) - 1)], np.uint64(0)) for j in range(5)], axis=1).view(np.int64)
                     _, kept = np.unique(keys, axis=0, return_index=True)
                     for p, key in zip(places[kept].tolist(), keys[kept].tolist(), strict=True):
@@ -86,8 +94,44 @@ def with_context(chosen: DataFrame, docs: DataFrame, k: int, reach: int) -> Data
                             column.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
 
+    return _with_places(chosen, docs).mapInArrow(run, SUFFIX)
+
+
+def _with_places(chosen: DataFrame, docs: DataFrame) -> DataFrame:
     places = chosen.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
-    return docs.join(places, "doc_id").select("doc_id", "places", "text").mapInArrow(run, SUFFIX)
+    return docs.join(places, "doc_id").select("doc_id", "places", "text")
+
+
+def windows(chosen: DataFrame, docs: DataFrame, k: int, min_words: int) -> DataFrame:
+    """(doc_id, s, key): first word and hash of every run of min_words words whose selected place is chosen."""
+    schema = pa.schema([("doc_id", pa.int64()), ("s", pa.int32()), ("key", pa.int64())])
+    steps = [*range(0, min_words - k, k), min_words - k]
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
+                words, bounds = hashed_words(part["text"].to_pylist())
+                all_grams = grams(words, k)
+                of, firsts, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+                for i, places in enumerate(part["places"].to_pylist()):
+                    own = all_grams[bounds[i] : max(bounds[i], bounds[i + 1] - k + 1)]
+                    n = len(own) - (min_words - k)
+                    if n <= 0:
+                        continue
+                    wanted = np.zeros(len(own), bool)
+                    wanted[[p for p in places if p < len(own)]] = True
+                    s = np.flatnonzero(wanted[selected(own, min_words - k + 1)])
+                    key = np.zeros(len(s), np.uint64)
+                    for step in steps:
+                        key = mix(key * ODD + own[s + step])
+                    of.append(np.full(len(s), i))
+                    firsts.append(s)
+                    keys.append(key)
+                of = np.concatenate(of)
+                yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(of)), pa.array(np.concatenate(firsts), pa.int32()), pa.array(np.concatenate(keys).view(np.int64))], schema=schema)
+
+    return _with_places(chosen, docs).mapInArrow(run, "doc_id long, s int, key long")
 
 
 def _common(a: bytes, b: bytes, backwards: bool) -> int:
@@ -119,9 +163,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, k: int = GRAM
     no row, and so have null, empty and short texts and an empty table. Rows of
     one doc_id count as one document. Other columns are ignored.
 
-    The suffix table is sorted over the cluster by ranges that also split equal
-    suffixes; each task compares neighbours, and the ends of all tasks' ranges
-    are compared in a small last step.
+    A gram with up to ``neighbours`` + 1 places is sorted with its suffixes in one
+    task, where each is compared to all before it. For one with more, the runs
+    of min_words words around its places are looked up by their hashes, so that
+    no number of neighbours decides, and every place gets its span.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -129,41 +174,40 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, k: int = GRAM
     window = min_words - k + 1
     suffixes = materialize(select_suffixes(docs, k, window), "suffixes")
     twice = suffixes.groupBy("gram").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a <> b").select("gram", "n")
-    chosen = join_counted(suffixes, materialize(twice, "repeated-grams"), "gram").select("doc_id", "pos")
-    rows = materialize(with_context(chosen, docs, k, min_words), "contexts")
+    twice = materialize(twice.withColumn("few", F.col("n") <= neighbours + 1), "repeated-grams")
+    chosen = materialize(join_counted(suffixes, twice, "gram").select("doc_id", "pos", "few"), "places")
+    rows = with_context(chosen.where("few"), docs, k, min_words)
     order = ["gram", "r1", "r2", "r3", "r4", "doc_id", "pos"]
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    schema = pa.schema([("doc_id", pa.int64()), ("s", pa.int64()), ("e", pa.int64()), ("part", pa.int32()), ("gram", pa.int64()), ("left", pa.binary()), ("right", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
 
     def run(batches):
-        part, tail, ahead = TaskContext.get().partitionId(), [], []
+        tail = []
         for batch in batches:
             given = list(zip(*[batch[c].to_pylist() for c in ("doc_id", "pos", "gram", "left", "right")], strict=True))
-            found = matches(tail + given, min_words, neighbours)
-            if len(ahead) < neighbours:
-                ahead += given[: neighbours - len(ahead)]
+            found = set(matches(tail + given, min_words, neighbours))
             tail = (tail + given)[-neighbours:]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*[(*m, None, None, None, None) for m in set(found)], strict=True) if found else [[]] * 7, schema, strict=True)], schema=schema)
-        edge = [(d, p, p, 2 * part + side, g, x, y) for side, rows in enumerate((ahead, tail)) for d, p, g, x, y in rows]
-        if edge:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*edge, strict=True), schema, strict=True)], schema=schema)
-
-    compared = materialize(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, "doc_id long, s long, e long, part int, gram long, left binary, right binary"), "compared")
-    edges = compared.where("part is not null").withColumn("seam", F.floor((F.col("part") + 1) / 2)).withColumn("side", F.col("part") % 2)
-
-    def seams(table: pa.Table) -> pa.Table:
-        rows = table.sort_by([("side", "descending")]).select(["doc_id", "s", "gram", "left", "right"])
-        found = matches(list(zip(*[c.to_pylist() for c in rows.columns], strict=True)), min_words, 2 * neighbours)
-        return pa.table({c: pa.array([m[i] for m in found], pa.int64()) for i, c in enumerate(("doc_id", "s", "e"))})
-
-    spans = compared.where("part is null").select("doc_id", "s", "e").unionByName(edges.groupBy("seam").applyInArrow(seams, "doc_id long, s long, e long"))
-    merged = F.aggregate(
-        F.array_sort(F.collect_set(F.struct("s", "e"))),
-        F.array().cast("array<struct<s:bigint,e:bigint>>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.element_at(done, F.greatest(F.lit(1), F.size(done)))["e"] >= x.s),
-            F.array_append(F.slice(done, 1, F.size(done) - 1), F.struct(F.element_at(done, F.greatest(F.lit(1), F.size(done)))["s"].alias("s"), F.greatest(F.element_at(done, F.greatest(F.lit(1), F.size(done)))["e"], x.e).alias("e"))),
-        ).otherwise(F.array_append(done, x)),
-    )
-    out = spans.groupBy("doc_id").agg(merged.alias("spans"))
-    return out.withColumn("repeated_words", F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x.e - x.s))
+            yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in found], pa.int64()) for i in range(3)], schema=schema)
+
+    compared = rows.repartition(parts, "gram").sortWithinPartitions(*order).mapInArrow(run, "doc_id long, s long, e long")
+    looked = materialize(windows(chosen.where("not few"), docs, k, min_words), "windows")
+    shared = looked.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a <> b").select("key", "n")
+    again = join_counted(looked, materialize(shared, "shared-windows"), "key").select("doc_id", F.col("s").cast("long").alias("s"), (F.col("s") + min_words).cast("long").alias("e"))
+    spans = materialize(compared.unionByName(again), "spans")
+    pairs = spans.groupBy("doc_id").agg(F.collect_set(F.struct("s", "e")).alias("found"))
+    span = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+
+    def merge(batches):
+        for batch in batches:
+            out, total = [], []
+            for found in batch["found"]:
+                s, e = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("s", "e"))
+                at = np.argsort(s, kind="stable")
+                s, e = s[at], np.maximum.accumulate(e[at])
+                first = np.flatnonzero(np.append(True, s[1:] > e[:-1]))
+                s, e = s[first], e[np.append(first[1:], len(e)) - 1]
+                out.append([{"s": x, "e": y} for x, y in zip(s.tolist(), e.tolist(), strict=True)])
+                total.append(int((e - s).sum()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(out, span), pa.array(total, pa.int64())], names=["doc_id", "spans", "repeated_words"])
+
+    return pairs.mapInArrow(merge, "doc_id long, spans array<struct<s:bigint,e:bigint>>, repeated_words long")

@@ -192,3 +192,32 @@ def test_near_duplicates_by_plain_sets(spark):
         texts += [base, base + " " + (line + " ") * 300]
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got == {i: i - i % 2 for i in range(10)}
+
+
+def all_runs(texts):
+    """Spans by all runs of 50 words."""
+    held, split = {}, [t.split() for t in texts]
+    for i, w in enumerate(split):
+        for s in range(len(w) - 49):
+            held.setdefault(tuple(w[s : s + 50]), set()).add(i)
+    want = {}
+    for i, w in enumerate(split):
+        for s in range(len(w) - 49):
+            if len(held[tuple(w[s : s + 50])]) > 1:
+                own = want.setdefault(i, [])
+                if own and own[-1][1] >= s:
+                    own[-1][1] = s + 50
+                else:
+                    own.append([s, s + 50])
+    return want
+
+
+def test_repeated_passages_that_end_in_a_frequent_tail(spark):
+    rng = random.Random(5)
+    tail = words(rng, 45)
+    texts = [words(rng, 80) + " " + tail + " " + words(rng, 80) for _ in range(60)]
+    for _ in range(12):
+        passage = words(rng, 10) + " " + tail
+        texts += [words(rng, 60) + " " + passage + " " + words(rng, 60) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: [list(x) for x in r.spans] for r in suffix_dedup.repeated_passages(docs).collect()} == all_runs(texts)
