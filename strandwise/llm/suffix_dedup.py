@@ -67,10 +67,7 @@ SUFFIX = "doc_id long, pos int, gram long, r1 long, r2 long, r3 long, r4 long, l
 
 
 def with_context(chosen: DataFrame, docs: DataFrame, k: int, reach: int) -> DataFrame:
-    """Suffixes with their sort key (hashes of the following k-grams) and word hashes around.
-
-    Of suffixes of one document that go on alike, the first is kept.
-    """
+    """Suffixes with their sort key (hashes of the following k-grams) and word hashes around."""
     schema = pa.schema([("doc_id", pa.int64()), ("pos", pa.int32()), *[(c, pa.int64()) for c in ("gram", "r1", "r2", "r3", "r4")], ("left", pa.binary()), ("right", pa.binary())])
 
     def run(batches):
@@ -88,8 +85,7 @@ def with_context(chosen: DataFrame, docs: DataFrame, k: int, reach: int) -> Data
                     if not len(places):
                         continue
                     keys = np.stack([np.where(places + j * k < len(value), value[np.minimum(places + j * k, len(value) - 1)], np.uint64(0)) for j in range(5)], axis=1).view(np.int64)
-                    _, kept = np.unique(keys, axis=0, return_index=True)
-                    for p, key in zip(places[kept].tolist(), keys[kept].tolist(), strict=True):
+                    for p, key in zip(places.tolist(), keys.tolist(), strict=True):
                         for column, x in zip(rows, (doc, p, *key, brief[max(0, p - reach) : p].tobytes(), brief[p : p + reach].tobytes()), strict=True):
                             column.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)

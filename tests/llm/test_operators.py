@@ -221,3 +221,13 @@ def test_repeated_passages_that_end_in_a_frequent_tail(spark):
         texts += [words(rng, 60) + " " + passage + " " + words(rng, 60) for _ in range(2)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: [list(x) for x in r.spans] for r in suffix_dedup.repeated_passages(docs).collect()} == all_runs(texts)
+
+
+def test_repeated_passages_twice_in_a_document(spark):
+    rng = random.Random(6)
+    block, often = words(rng, 300), words(rng, 300)
+    texts = [" ".join([words(rng, 30), block, words(rng, 70), block]), words(rng, 40) + " " + block + " " + words(rng, 20), words(rng, 30) + (" " + often) * 10, words(rng, 25) + " " + often]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_dedup.repeated_passages(docs).collect()}
+    assert {i: [list(x) for x in r.spans] for i, r in got.items()} == all_runs(texts)
+    assert (got[0].repeated_words, got[2].repeated_words) == (600, 3000)
