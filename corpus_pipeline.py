@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.llm import decontamination, near_dedup, packing, pii, quality
-from strandwise.llm.common import materialize, where_computed
+from strandwise.llm.common import materialize, stand_ins, where_computed, without_stand_ins
 from strandwise.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -22,15 +22,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each class stays."""
+    """The smallest doc_id of each class stays. A row without one is a document of its own, which any doc_id precedes."""
+    docs, first = stand_ins(docs)
     kept = near_dedup.near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return without_stand_ins(docs.join(kept, "doc_id", "left_semi").select(*COLUMNS), first)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; a row without doc_id is a document of its own."""
+    docs, first = stand_ins(docs)
     found = decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    return without_stand_ins(docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS), first)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

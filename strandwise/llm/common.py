@@ -89,3 +89,20 @@ def where_computed(df: DataFrame, condition: str) -> DataFrame:
     """
     kept = df.withColumn("_row", F.monotonically_increasing_id()).where(f"({condition}) and _row >= 0")
     return kept.drop("_row")
+
+
+def stand_ins(docs: DataFrame) -> tuple[DataFrame, int | None]:
+    """docs with a doc_id of its own, above all others, for each row without one; and the lowest of these.
+
+    Docs without such rows are returned as they are, with None. Others are
+    written first, so that every reader sees the same numbers.
+    """
+    n, top = docs.agg(F.count_if(F.col("doc_id").isNull()), F.max("doc_id")).first()
+    if not n:
+        return docs, None
+    first = max(0, -1 if top is None else top) + 1
+    return materialize(docs.withColumn("doc_id", F.coalesce("doc_id", F.monotonically_increasing_id() + first)), "stand-ins"), first
+
+
+def without_stand_ins(docs: DataFrame, first: int | None) -> DataFrame:
+    return docs if first is None else docs.withColumn("doc_id", F.when(F.col("doc_id") < first, F.col("doc_id")))

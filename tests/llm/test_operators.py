@@ -231,3 +231,18 @@ def test_repeated_passages_twice_in_a_document(spark):
     got = {r.doc_id: r for r in suffix_dedup.repeated_passages(docs).collect()}
     assert {i: [list(x) for x in r.spans] for i, r in got.items()} == all_runs(texts)
     assert (got[0].repeated_words, got[2].repeated_words) == (600, 3000)
+
+
+def test_pipeline_keeps_documents_without_id(spark, tmp_path):
+    """Each is a document of its own: unique ones stay, copies of one with an id go, and of copies among them one stays."""
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    a, b, c, item = words(rng, 80), words(rng, 80), words(rng, 80), words(rng, 20)
+    texts = [(None, a), (None, b), (1, b), (None, c), (None, c), (None, words(rng, 60) + " " + item), (2, words(rng, 70))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(map(str, [texts[i] for i in (0, 2, 3, 5, 6)]))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(map(str, texts[:5] + texts[6:]))
