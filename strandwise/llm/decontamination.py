@@ -1,71 +1,51 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: gapped two-word seeds, then Smith-Waterman alignment.
 
-Benchmark n-grams found in the corpus are counted over all documents, and those in
-few documents are seeds. An item that was copied so often that less than half of
-its n-grams are rare keeps all of them. Documents that share seeds with an item are aligned to it word by
-word around them, which scores edited and paraphrased copies.
+Seeds are two words of an item that stand next to each other or one apart, in
+the document as well. Any copy that the alignment accepts has so many of them
+within twice the item's length (``least_pairs``) that documents with fewer are
+left out without loss; where there are enough, the item is aligned word by word.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import body, materialize, small_batches
-from .words import gram_places, grams, hashed_words
+from .common import body, small_batches
+from .words import ODD, gram_places, hashed_words, mix
 
+#: Shorter items match nothing.
 GRAM = 4
-#: Benchmark n-grams that are sent to the tasks at a time (8 bytes each); more take more passes.
-GRAMS_AT_ONCE = 1_000_000
-#: An n-gram is rare in up to this share of the documents, or this many.
-RARE_SHARE, RARE_DOCUMENTS = 0.01, 100
+#: Characters of items that are sent to the tasks at a time, as words and pairs; more take more passes.
+CHARS_AT_ONCE = 4_000_000
 #: Score of a mismatch and of a gap, where a match scores 1.
 PENALTY = 0.5
 #: Share of an item's words that the alignment has to score.
 LEAST_SCORE = 0.5
-#: Words looked at beyond an item's length on both sides of its seeds.
-MARGIN = 10
 
 
-def item_grams(benchmark: DataFrame, k: int) -> DataFrame:
-    """(item_id, item_words, i_pos, gram) of every k-gram of every item."""
-    schema = pa.schema([("item_id", pa.int64()), ("item_words", pa.int32()), ("i_pos", pa.int32()), ("gram", pa.int64())])
+def pair_hashes(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place of the first word in it, hash) of every two words of a text next to each other or one apart."""
+    texts, places, values = [], [], []
+    for step in (1, 2):
+        text, place = gram_places(bounds, step + 1)
+        texts.append(text)
+        places.append(place - bounds[text])
+        values.append(mix(mix(words[place] * ODD) + words[place + step]))
+    return np.concatenate(texts), np.concatenate(places), np.concatenate(values)
 
-    def run(batches):
-        for batch in batches:
-            words, bounds = hashed_words(batch["text"].to_pylist())
-            text, place = gram_places(bounds, k)
-            ids = batch["item_id"].take(pa.array(text))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(bounds)[text], pa.int32()), pa.array(place - bounds[text], pa.int32()), pa.array(grams(words, k)[place].view(np.int64))], schema=schema)
-
-    return benchmark.select("item_id", body().alias("text")).mapInArrow(run, "item_id long, item_words int, i_pos int, gram long")
-
-
-def seed_hits(docs: DataFrame, wanted: np.ndarray, k: int) -> DataFrame:
-    """(doc_id, pos, gram, first) of the wanted k-grams; first marks one place for each document."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.sort(wanted))
-    schema = pa.schema([("doc_id", pa.int64()), ("pos", pa.int32()), ("gram", pa.int64()), ("first", pa.bool_())])
 
-    def run(batches):
-        known = sent.value
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                words, bounds = hashed_words(part["text"].to_pylist())
-                text, place = gram_places(bounds, k)
-                value = grams(words, k)[place].view(np.int64)
-                at = np.minimum(np.searchsorted(known, value), len(known) - 1)
-                hit = known[at] == value
-                text, place, value = text[hit], place[hit], value[hit]
-                first = np.zeros(len(text), bool)
-                if len(text):
-                    order = np.lexsort((place, value, text))
-                    first[order] = np.concatenate(([True], (np.diff(text[order]) != 0) | (np.diff(value[order]) != 0)))
-                yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(text)), pa.array(place - bounds[text], pa.int32()), pa.array(value), pa.array(first)], schema=schema)
+def least_pairs(lengths: np.ndarray, least: float, penalty: float) -> np.ndarray:
+    """How many pairs of neighbouring matches with one edit at most between them an accepted alignment has at least.
 
-    return docs.mapInArrow(run, "doc_id long, pos int, gram long, first boolean")
+    M matches and E edits score M - penalty E, so E is at most (M - least L) / penalty
+    for an item of L words; of the M - 1 gaps between matches, E / 2 at most hold two
+    edits or more. What is left is linear in M, which lies between least L and L.
+    """
+    few, all_ = least * lengths - 1, lengths - 1 - (1 - least) * lengths / (2 * penalty)
+    return np.maximum(1, np.ceil(np.minimum(few, all_) - 1e-9)).astype(np.int64)
 
 
 def align(item: np.ndarray, words: np.ndarray, penalty: float) -> tuple[float, int]:
@@ -87,56 +67,95 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = GRAM, least: fl
     """(doc_id, item_id, score, end_word): documents that hold a copy of an item, also an edited one.
 
     ``score`` is the alignment score by the item's words. Items shorter than k
-    words have no seeds and match nothing, and so do null and empty texts.
-    Repeated items each get their rows, repeated documents one. An empty table
-    on either side gives none. Other columns are ignored.
+    words match nothing, and so do null and empty texts. Rows of one item_id or
+    doc_id count as one, and so do those without; the best of them counts. An
+    empty table on either side gives none. Other columns are ignored.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("doc_id", body().alias("text"))
-    items = materialize(item_grams(benchmark, k), "item-grams")
-    distinct = items.select("gram").distinct()
-    blocks = max(1, -(-distinct.count() // GRAMS_AT_ONCE))
-    hits = None
+    items = benchmark.select("item_id", body().alias("text"))
+    chars = items.agg(F.sum(F.length("text") + 1)).first()[0] or 0
+    blocks = -(-chars // CHARS_AT_ONCE)
+    found = None
     for b in range(blocks):
-        rows = distinct.where(F.pmod("gram", F.lit(blocks)) == b).collect()
+        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
         if rows:
-            found = seed_hits(docs, np.array([r.gram for r in rows], np.int64), k)
-            hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, end_word long")
-    hits = materialize(hits, "seed-hits")
-    counts = hits.groupBy("gram").agg(F.sum(F.col("first").cast("int")).alias("df"))
-    rare = F.col("df") <= max(RARE_DOCUMENTS, int(RARE_SHARE * docs.count()))
-    own = Window.partitionBy("item_id")
-    seeds = items.join(counts, "gram").withColumn("rare", rare).withColumn("share", F.avg(F.col("rare").cast("int")).over(own))
-    seeds = materialize(seeds.where("rare or share < 0.5").select("item_id", "item_words", "i_pos", "gram"), "seeds")
-    pairs = hits.join(seeds, "gram").select("doc_id", "item_id", "item_words", "i_pos", (F.col("pos") - F.col("i_pos")).alias("diagonal"))
-    near = pairs.groupBy("doc_id", "item_id", "item_words").agg(F.countDistinct("i_pos").alias("n"), F.collect_set("diagonal").alias("diagonals"))
-    near = materialize(near.where((F.col("n") >= 2) | (F.col("item_words") < 2 * k)).drop("n"), "seeded")
+            part = align_near(docs, [r.item_id for r in rows], [r.text for r in rows], k, least, penalty)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        return spark.createDataFrame([], "doc_id long, item_id long, score double, end_word long")
+    return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.min("end_word").alias("end_word"))
+
+
+def align_near(docs: DataFrame, ids: list, texts: list[str], k: int, least: float, penalty: float) -> DataFrame:
+    """(doc_id, item_id, score, end_word) of alignments that score enough, where an item has enough pairs close together."""
+    words, bounds = hashed_words(texts)
+    of, place, value = pair_hashes(words, bounds)
+    lengths = np.diff(bounds)
+    keep = lengths[of] >= k
+    of, place, value = of[keep], place[keep], value[keep]
+    order = np.argsort(value, kind="stable")
+    # An accepted copy has at most one edit a match, so it reaches over twice the item's words at most.
+    reach = np.int64(np.ceil(lengths * (1 + (1 - least) / penalty)))
+    sent = docs.sparkSession.sparkContext.broadcast((value[order], of[order].astype(np.int32), place[order].astype(np.int32), words, bounds, reach, least_pairs(lengths, least, penalty), ids))
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())])
 
     def run(batches):
+        known, item_of, item_at, item_words, item_bounds, reach, needed, ids = sent.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                part = batch.slice(lo, 128)
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
                 words, bounds = hashed_words(part["text"].to_pylist())
-                other, item_bounds = hashed_words(part["item"].to_pylist())
-                scores, ends = [], []
-                for i, diagonals in enumerate(part["diagonals"].to_pylist()):
-                    own, item = words[bounds[i] : bounds[i + 1]], other[item_bounds[i] : item_bounds[i + 1]]
-                    best, end, ahead = 0.0, 0, None
-                    for d in sorted(diagonals):
-                        if ahead is not None and d < ahead:
-                            continue  # the last window already reaches over this diagonal
-                        at = max(0, d - MARGIN)
-                        score, stop = align(item, own[at : d + 2 * len(item) + MARGIN], penalty)
-                        ahead = d + len(item) // 2
+                text, at, value = pair_hashes(words, bounds)
+                first = np.searchsorted(known, value)
+                met = np.flatnonzero(known[np.minimum(first, len(known) - 1)] == value) if len(known) else np.zeros(0, np.int64)
+                n = np.searchsorted(known, value[met], "right") - first[met]
+                entry = np.repeat(first[met] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                item, own = item_of[entry].astype(np.int64), item_at[entry].astype(np.int64)
+                text, at = np.repeat(text[met], n), np.repeat(at[met], n)
+                wide = np.int64(1) << np.int64(32)
+                group = text * len(ids) + item
+                order = np.lexsort((at, own, group))
+                group, own, at, item, text = group[order], own[order], at[order], item[order], text[order]
+                again = np.zeros(len(at), bool)
+                again[1:] = (group[1:] == group[:-1]) & (own[1:] == own[:-1]) & (at[1:] == at[:-1])
+                group, own, at, item, text = (x[~again] for x in (group, own, at, item, text))
+                # Places that begin a hit of their item place: the count over (start, start + reach) is of
+                # distinct item places, as +1 from max(previous place + 1, place - reach) to place.
+                same = np.zeros(len(at), bool)
+                same[1:] = (group[1:] == group[:-1]) & (own[1:] == own[:-1])
+                before = np.where(same, np.append(-1, at[:-1])[: len(at)], -1)
+                since = np.maximum(before + 1, at - reach[item] + 1)
+                since = np.maximum(since, 0)
+                spot = np.concatenate((group * wide + since, group * wide + at + 1))
+                step = np.concatenate((np.ones(len(at), np.int64), -np.ones(len(at), np.int64)))
+                order = np.argsort(spot, kind="stable")
+                spot, level = spot[order], np.cumsum(step[order])
+                last = np.append(spot[1:] != spot[:-1], True) if len(spot) else np.zeros(0, bool)
+                spot, level = spot[last], level[last]
+                hot = level >= needed[(spot // wide) % len(ids)]
+                out = []
+                for g in np.unique(spot[hot] // wide).tolist():
+                    t, q = divmod(g, len(ids))
+                    own_words, item_own = words[bounds[t] : bounds[t + 1]], item_words[item_bounds[q] : item_bounds[q + 1]]
+                    best, end, r = 0.0, 0, int(reach[q])
+                    # Counts hold until the next change, so a stretch of starts reaches there.
+                    lo_at, hi_at = np.searchsorted(spot, g * int(wide)), np.searchsorted(spot, (g + 1) * int(wide))
+                    places, on = spot[lo_at:hi_at] - g * int(wide), hot[lo_at:hi_at]
+                    ranges = []
+                    for i in np.flatnonzero(on).tolist():
+                        a, z = max(0, int(places[i]) - r), int(places[i + 1] if i + 1 < len(places) else places[i]) + r + 2
+                        if ranges and a <= ranges[-1][1]:
+                            ranges[-1][1] = max(z, ranges[-1][1])
+                        else:
+                            ranges.append([a, z])
+                    for a, z in ranges:
+                        score, stop = align(item_own, own_words[a:z], penalty)
                         if score > best:
-                            best, end = score, at + stop
-                    scores.append(best / max(1, len(item)))
-                    ends.append(end)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["item_id"], pa.array(scores), pa.array(ends, pa.int64())], schema=schema)
-
-    texts = benchmark.select("item_id", body().alias("item")).dropDuplicates(["item_id"])
-    scored = near.join(texts, "item_id").join(docs, "doc_id").select("doc_id", "item_id", "diagonals", "item", "text").mapInArrow(run, "doc_id long, item_id long, score double, end_word long")
-    return scored.where(F.col("score") >= least).groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.min("end_word").alias("end_word"))
+                            best, end = score, a + stop
+                    if best >= least * len(item_own):
+                        out.append((part["doc_id"][t].as_py(), ids[q], best / len(item_own), end))
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    return docs.mapInArrow(run, "doc_id long, item_id long, score double, end_word long")

@@ -246,3 +246,33 @@ def test_pipeline_keeps_documents_without_id(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     left = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
     assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(map(str, texts[:5] + texts[6:]))
+
+
+def test_decontamination_of_edited_copies(spark):
+    """Every copy that an alignment with the whole document accepts is found: words changed, left out and put in."""
+    import numpy as np
+    from strandwise.llm.words import hashed_words
+
+    rng = random.Random(9)
+    items = [words(rng, n) for n in (4, 5, 8, 16, 16, 20, 30)]
+    texts = []
+    for i in range(280):
+        own = items[i % 7].split()
+        kind, out = i % 4, []
+        for j, w in enumerate(own):
+            change = j % 4 == 3 if i < 28 else rng.random() < (0.15, 0.25, 0.3)[i % 3]
+            out += [w] if not change else [["zz"], [], ["zz", w], ["yy", "zz", w]][kind]
+        if i >= 252:
+            out = [x for w in own for x in (w, "zz")]
+        texts.append(words(rng, 30) + " " + " ".join(out) + " " + words(rng, 30))
+    hashed = [hashed_words([t])[0] for t in texts]
+    want = {}
+    for j, item in enumerate(items):
+        w = hashed_words([item])[0]
+        for i, h in enumerate(hashed):
+            score = decontamination.align(w, h, decontamination.PENALTY)[0] / len(w)
+            if score >= decontamination.LEAST_SCORE:
+                want[i, j] = score
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got == pytest.approx(want) and len(want) > 200
