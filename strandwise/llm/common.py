@@ -65,14 +65,18 @@ HEAVY = 1000
 def join_counted(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
     """rows.join(counted, key), where counted has each key once, with its number of rows, n.
 
-    Heavy keys are broadcast, so their rows stay where they are; HEAVY bounds
-    them at any size of the input. The others are shuffled. Both sides are read
-    several times, so they should be written tables or cheap.
+    Heavy keys, of which HEAVY bounds the number at any size of the input, are named to
+    the driver: their rows stay where they are and meet a broadcast of these keys only.
+    The others are shuffled. Both sides are read several times, so they should be
+    written tables or cheap.
     """
     often = F.col("n") * HEAVY > rows.count()
-    heavy = F.broadcast(counted.where(often).drop("n"))
-    rest = rows.join(heavy.select(key), key, "left_anti").join(counted.where(~often).drop("n"), key)
-    return rows.join(heavy, key).unionByName(rest)
+    names = [r[0] for r in counted.where(often).select(key).collect()]
+    if not names:
+        return rows.join(counted.drop("n"), key)
+    heavy = F.col(key).isin(names)
+    rest = rows.where(~heavy).join(counted.where(~heavy).drop("n"), key)
+    return rows.where(heavy).join(F.broadcast(counted.where(heavy).drop("n")), key).unionByName(rest)
 
 
 def small_batches(spark: SparkSession) -> None:

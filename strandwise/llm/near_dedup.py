@@ -219,16 +219,23 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes that further links make of labelled ones."""
+    stars = labels.select(F.col("v").alias("a"), F.col("label").alias("b")).where("a <> b")
+    return components(stars.unionByName(links.select("a", "b")))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id): documents of one class are linked by similarities of at least the threshold.
 
     Equal weighted sets are one class at once. Of different ones, each bucket of
     a band first compares its members to its smallest; those that fail form the
-    bucket anew, for some rounds. Links so far make classes. Then members that
-    failed are compared to those of the same first center with which they have
-    enough of their differences from it in common (``close_pairs``), where the
-    classes still differ. This last step is exact for plain Jaccard; links by
-    probability Jaccard alone are those to centers.
+    bucket anew, for some rounds, as long as it holds several classes. Links so far
+    make classes. Then members that failed are compared to those of the same first
+    center with which they have enough of their differences from it in common
+    (``close_pairs``), where the classes still differ. This last step is exact for
+    plain Jaccard; links by probability Jaccard alone are those to centers of the
+    buckets (some thirty of them) that a pair shares.
 
     Null and empty texts have no shingles and are one class; texts shorter than k
     words are one shingle. Rows of one doc_id count as one document. An empty
@@ -240,42 +247,49 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESH
     signed = materialize(sign(docs, k, bands, rows), "signatures")
     fp = ["fp1", "fp2"]
     sets = materialize(signed.groupBy(*fp).agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")), "sets")
-    keyed = sets.select("node", F.explode("bands").alias("key"))
-    keyed = materialize(keyed, "bands")
+    keyed = materialize(sets.select("node", F.explode("bands").alias("key")), "bands")
 
     def centred(rows: DataFrame) -> DataFrame:
         """Rows in buckets of several members, with the smallest one as ``center``."""
         shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center")).where("n > 1")
         return materialize(join_counted(rows, materialize(shared, "buckets"), "key"), "members")
 
+    first_members = centred(keyed)
+    # Only texts that share a bucket move from here on.
+    met = first_members.select(F.col("node").alias("doc_id")).distinct()
+    texts = materialize(docs.join(met, "doc_id", "left_semi"), "candidates")
+
     def compare(pairs: DataFrame) -> DataFrame:
-        return materialize(verify(pairs.where("a <> b").distinct(), docs, k), "similarities")
+        return materialize(verify(pairs.where("a <> b").distinct(), texts, k), "similarities")
 
     def judged(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         sims = compare(rows.select(F.col("node").alias("a"), F.col("center").alias("b")))
         best = sims.groupBy(F.col("a").alias("node"), F.col("b").alias("center")).agg(F.max("sim").alias("sim"))
-        return sims, rows.where("node <> center").select("key", "node", "center").join(best, ["node", "center"])
+        return sims.where(F.col("sim") >= threshold).select("a", "b"), rows.where("node <> center").select("key", "node", "center").join(best, ["node", "center"])
+
+    def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        known = rows.join(labels.withColumnRenamed("v", "node"), "node", "left")
+        return materialize(known.withColumn("label", F.coalesce("label", "node")), "labelled")
+
+    def still_open(known: DataFrame, key: str) -> DataFrame:
+        """Labelled rows whose key holds several classes."""
+        mixed = known.groupBy(key).agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select(key, "n")
+        return materialize(join_counted(known, materialize(mixed, "open-keys"), key), "open")
 
-    sims, first = judged(centred(keyed))
+    links, first = judged(first_members)
     first = materialize(first.select("key", "node", "center", "sim"), "judged")
-    links, rest = [sims], first.where(F.col("sim") < threshold).select("key", "node")
+    labels = components(links)
+    rest = first.where(F.col("sim") < threshold).select("key", "node")
     for _ in range(1, STAR_ROUNDS):
+        rest = still_open(labelled(rest, labels), "key").select("key", "node")
         if rest.isEmpty():
             break
-        sims, again = judged(centred(rest))
-        links.append(sims)
+        more, again = judged(centred(rest))
+        labels = joined_classes(labels, more)
         rest = materialize(again.where(F.col("sim") < threshold).select("key", "node"), "rest")
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
-    labels = components(found.where(F.col("sim") >= threshold))
-    if len(links) > 1:
-        known = first.select("node", "center", "sim").distinct().join(labels.withColumnRenamed("v", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        known = materialize(known, "labelled")
-        mixed = known.groupBy("center").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("center", "n")
-        members = materialize(join_counted(known, materialize(mixed, "open-centers"), "center"), "open-members")
-        late = compare(close_pairs(members, docs, k, threshold)).where(F.col("sim") >= threshold)
-        stars = labels.select(F.col("v").alias("a"), F.col("label").alias("b")).where("a <> b")
-        labels = components(stars.unionByName(late.select("a", "b")))
+    members = still_open(labelled(first.select("node", "center", "sim").distinct(), labels), "center")
+    if not members.isEmpty():
+        late = compare(close_pairs(members, texts, k, threshold)).where(F.col("sim") >= threshold)
+        labels = joined_classes(labels, late)
     classes = materialize(sets.select(*fp, "node").join(labels, F.col("node") == F.col("v"), "left").select(*fp, F.coalesce("label", "node").alias("class_id")), "classes")
     return signed.select("doc_id", *fp).join(classes, fp).select("doc_id", "class_id")
