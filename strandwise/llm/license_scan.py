@@ -3,8 +3,8 @@
 All rolling word k-gram hashes of all documents are joined to the positions of
 the same k-grams in licence templates. Hits with the same offset between
 document and template lie on one diagonal; neighbouring diagonals merge, so a
-word put in or left out does not split a match. What has enough votes is
-verified word by word and labels the document.
+word put in or left out does not split a match. Every vote is verified word by
+word, and what covers enough of a template labels the document.
 """
 
 from __future__ import annotations
@@ -12,30 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .arrays import let
 from .common import body
-
-# Phrases of the base labels, and wording of well-known licences by label.
-PHRASES = {
-    "cc by": "cc-by",
-    "general public license": "gpl",
-    "all rights reserved": "reserved",
-}
-TEMPLATES = (
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("gpl", "this work is licensed under the gnu general public license version"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by", "licensed under cc by nc 4 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("reserved", "copyright all rights reserved"),
-    ("public-domain", "this is free and unencumbered software released into the public domain"),
-    ("warranty", "the software is provided as is without warranty of any kind express or implied"),
-)
+from .license_texts import PHRASES, TEMPLATES
 
 #: What separates words, after A-Z became a-z.
 BREAK = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
@@ -46,6 +25,10 @@ GRAM = 3
 DIAGONAL_SLACK = 3
 #: Share of a template's words that a match has to hold.
 MIN_COVER = 0.6
+#: Score of a phrase that stands without the wording of a template.
+PHRASE_SCORE = 0.5
+#: Words of a document that one row of the scan holds, so that long texts are cut up.
+BLOCK = 64
 
 
 def words_of(text: Column) -> Column:
@@ -54,29 +37,54 @@ def words_of(text: Column) -> Column:
 
 def grams(words: Column, k: int) -> Column:
     """Hashes of all runs of k words, in order; empty where there are fewer words."""
-    at = lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)])
-    return F.when(F.size(words) >= k, F.transform(F.sequence(F.lit(0), F.size(words) - k), at)).otherwise(F.array().cast("array<bigint>"))
+
+    def hashed(w: Column) -> Column:
+        at = lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)])
+        return F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(0), F.size(w) - k), at)).otherwise(F.array().cast("array<bigint>"))
+
+    return let(words, hashed)
+
+
+def blocks(words: Column, k: int) -> Column:
+    """array<struct<at, b>>: stretches of the words that overlap by k - 1, so each run of k lies in just one."""
+
+    def cut(w: Column) -> Column:
+        last = F.floor((F.size(w) - k) / BLOCK).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct((i * BLOCK).alias("at"), F.slice(w, i * BLOCK + 1, F.lit(BLOCK + k - 1)).alias("b")))
+        return F.when(F.size(w) >= k, parts).otherwise(F.array().cast("array<struct<at:int,b:array<string>>>"))
+
+    return let(words, cut)
 
 
 def template_table(spark: SparkSession, templates, k: int) -> DataFrame:
-    """(template, label, t_words, t_pos, gram): a few hundred rows, whatever the corpus."""
+    """(template, label, t_words, t_pos, gram, t_run): as many rows as the templates have words, whatever the corpus."""
     rows = [(i, label, text.split()) for i, (label, text) in enumerate(templates)]
     given = spark.createDataFrame(rows, "template int, label string, words array<string>")
-    return given.select("template", "label", "words", F.size("words").alias("t_words"), F.posexplode(grams(F.col("words"), k)).alias("t_pos", "gram"))
+    placed = given.select("template", "label", "words", F.size("words").alias("t_words"), F.posexplode(grams(F.col("words"), k)).alias("t_pos", "gram"))
+    return placed.select("template", "label", "t_words", "t_pos", "gram", F.slice("words", F.col("t_pos") + 1, k).alias("t_run"))
 
 
 def base_places(words: Column) -> Column:
     """Starts and labels of the phrases, as array<struct<p, label>> by start."""
-    joined = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
 
-    def starts(phrase: str) -> Column:
+    def starts(w: Column, joined: Column, phrase: str) -> Column:
         parts = phrase.split()
-        same = lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(len(parts))]) == phrase
-        found = F.filter(F.sequence(F.lit(0), F.size(words) - len(parts)), same)
+
+        def same(i: Column) -> Column:
+            equal = F.get(w, i) == parts[0]
+            for j, part in enumerate(parts[1:], 1):
+                equal = equal & (F.get(w, i + j) == part)
+            return equal
+
+        found = F.filter(F.sequence(F.lit(0), F.size(w) - len(parts)), same)
         places = F.transform(found, lambda p: F.struct(p.alias("p"), F.lit(PHRASES[phrase]).alias("label")))
         return F.when(joined.contains(f" {phrase} "), places).otherwise(F.array().cast("array<struct<p:int,label:string>>"))
 
-    return F.array_sort(F.concat(*[starts(x) for x in PHRASES]))
+    def all_of(w: Column) -> Column:
+        joined = F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
+        return let(joined, lambda j: F.array_sort(F.concat(*[starts(w, j, x) for x in PHRASES])))
+
+    return let(words, all_of)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=TEMPLATES, k: int = GRAM, slack: int = DIAGONAL_SLACK, min_cover: float = MIN_COVER) -> DataFrame:
@@ -85,15 +93,21 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
     A null or empty text has no words and no labels, and score 0. Repeated rows
     get the same result each. An empty table gives none. Other columns of docs
     are ignored. ``score`` is the largest share of a template that a verified
-    match covers, 1 where a base phrase stands.
+    match covers, and PHRASE_SCORE at least where a base phrase stands. Templates
+    of fewer than k words match nothing. Texts go through the join in blocks of
+    words, so the work of one text grows with its length.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body(text)).alias("text_hash"), words_of(body(text)).alias("w"))
     known = F.broadcast(template_table(docs.sparkSession, templates, k))
-    hits = rows.select("doc_id", "text_hash", "w", F.posexplode(grams(F.col("w"), k)).alias("pos", "gram")).join(known, "gram")
+    parts = rows.select("doc_id", "text_hash", F.explode(blocks(F.col("w"), k)).alias("part"))
+    parts = parts.select("doc_id", "text_hash", "part.at", "part.b", grams(F.col("part.b"), k).alias("g"))
+    hits = parts.select("doc_id", "text_hash", "at", "b", F.posexplode("g").alias("i", "gram")).join(known, "gram")
     own = ["doc_id", "text_hash", "template"]
-    # Verification looks at the words themselves, so an equal hash of other words gets no vote.
-    equal = F.slice("w", F.col("pos") + 1, k) == F.slice("words", F.col("t_pos") + 1, k)
-    votes = hits.where(equal).select(*own, "label", "t_words", "t_pos", "pos", (F.col("pos") - F.col("t_pos")).alias("diagonal"))
+    # Verification looks at the words themselves, so an equal hash of other words gets no
+    # vote. Within coalesce it is no key of the join, and only hits come to it.
+    equal = F.coalesce(F.slice("b", F.col("i") + 1, k) == F.col("t_run"), F.lit(False))
+    pos = F.col("at") + F.col("i")
+    votes = hits.where(equal).select(*own, "label", "t_words", "t_pos", pos.alias("pos"), (pos - F.col("t_pos")).alias("diagonal"))
     lines = votes.groupBy(*own, "label", "t_words", "diagonal").agg(F.collect_set("t_pos").alias("held"), F.min("pos").alias("first"), F.max("pos").alias("last"))
     by_diagonal = Window.partitionBy(*own).orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(by_diagonal)
@@ -118,6 +132,6 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
         F.array_max(F.transform("places", lambda x: x.p)).cast("long").alias("last_word"),
         F.array_join(F.array_sort(labels), ",").alias("base_labels"),
         F.array_join(F.array_sort(both), ",").alias("labels"),
-        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce("cover", F.lit(0.0))).alias("score"),
+        F.greatest(F.when(F.size("places") > 0, PHRASE_SCORE).otherwise(0.0), F.coalesce("cover", F.lit(0.0))).alias("score"),
         F.coalesce("spans", F.array().cast("array<struct<first:int,end:int,label:string>>")).alias("spans"),
     )
