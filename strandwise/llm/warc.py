@@ -2,9 +2,10 @@
 
 Writing makes one response record for each payload, split into continuation
 records when it is long, and revisit records for further pages with the payload.
+Every record is a gzip member of its own, and each file begins with a warcinfo record.
 Reading parses the archives, groups continuation records by their origin, puts
-them in segment order, verifies the total length, and decodes the chunked
-transfer framing.
+them in segment order, verifies the total length, decodes the chunked transfer
+framing, and looks up what a revisit refers to.
 """
 
 from __future__ import annotations
@@ -18,16 +19,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch_path, small_batches
+from .common import join_counted, materialize, scratch_path, small_batches
 
 SEGMENT_BYTES = 32 << 10
+#: A member's last byte is zero below 16 MB of record, and the text writer adds it.
+MOST_SEGMENT_BYTES = 8 << 20
 CHUNK_BYTES = 8 << 10
 #: Records of one archive file; with the segment size, this bounds a file.
 RECORDS_PER_FILE = 2000
+#: Compressed bytes that reading inflates at a time, and bytes that they may become.
+READ_BYTES, INFLATED_BYTES = 64 << 10, 4 << 20
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-PAGES = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-PARSED = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("origin", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+PARSED = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("kind", pa.string()), ("record_id", pa.string()), ("refers", pa.string()), ("origin", pa.string()), ("copy", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
+RESPONSE = pa.schema([PARSED.field(c) for c in ("page_id", "payload_bytes", "payload_digest", "record_id")])
+PARSED_SQL = "page_id long, payload_bytes long, payload_digest string, kind string, record_id string, refers string, origin string, copy string, segment int, total long, block binary"
 
 
 def digest(payload: bytes) -> str:
@@ -45,6 +52,8 @@ def dechunked(framed: bytes) -> bytes:
         stop = framed.index(b"\r\n", at)
         n = int(framed[at:stop].split(b";")[0], 16)
         if not n:
+            if framed[stop:] != b"\r\n\r\n":
+                raise ValueError("chunked body goes on after its end")
             return b"".join(out)
         out.append(framed[stop + 2 : stop + 2 + n])
         if framed[stop + 2 + n : stop + 4 + n] != b"\r\n":
@@ -53,28 +62,50 @@ def dechunked(framed: bytes) -> bytes:
 
 
 def record(fields: dict, block: bytes) -> bytes:
-    """One record without its last line feed, which the text writer adds."""
+    """One record as a gzip member, without its last byte, a zero."""
     head = "".join(f"{k}: {v}\r\n" for k, v in fields.items() if v is not None)
-    return b"WARC/1.1\r\n" + head.encode() + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r"
+    whole = b"WARC/1.1\r\n" + head.encode() + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+    deflate = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return (deflate.compress(whole) + deflate.flush())[:-1]
 
 
-def page_records(page, url: str | None, payload: bytes, first, unique: str, segment_bytes: int, chunk_bytes: int):
-    own = f"<urn:page:{'' if page is None else page}:{unique}"
-    fields = {"WARC-Type": "response", "WARC-Record-ID": f"{own}>", "WARC-Date": DATE, "WARC-Target-URI": (url or "").replace("\r", "").replace("\n", "") or None, "WARC-Payload-Digest": f"sha1:{digest(payload)}", "X-Page": page}
-    if first is not None:
-        yield record(fields | {"WARC-Type": "revisit", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": f"<urn:page:{first}>", "X-Payload-Length": len(payload)}, b"")
-        return
+def record_id(page, of: str) -> str:
+    """The id of a page's record, from its number and payload digest; a repeated row repeats its record and so its id."""
+    return f"<urn:page:{'' if page is None else page}:{of}>"
+
+
+def _head(page, url: str | None, of: str) -> dict:
+    target = (url or "").replace("\r", "").replace("\n", "") or None
+    return {"WARC-Type": "response", "WARC-Record-ID": record_id(page, of), "WARC-Date": DATE, "WARC-Target-URI": target, "WARC-Payload-Digest": f"sha1:{of}", "X-Page": page}
+
+
+def revisit_record(page, url: str | None, key: bytes, first: int) -> bytes:
+    of = base64.b32encode(key).decode()
+    return record(_head(page, url, of) | {"WARC-Type": "revisit", "WARC-Profile": PROFILE, "WARC-Refers-To": record_id(first, of)}, b"")
+
+
+def response_records(page, url: str | None, payload: bytes, copy: str, segment_bytes: int, chunk_bytes: int):
+    fields = _head(page, url, digest(payload))
+    own = fields["WARC-Record-ID"]
     block = HTTP + chunked(payload, chunk_bytes)
     parts = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
+    fields["Content-Type"] = "application/http; msgtype=response"
     if len(parts) == 1:
-        yield record(fields | {"Content-Type": "application/http; msgtype=response"}, block)
+        yield record(fields, block)
         return
     for n, part in enumerate(parts, 1):
-        total = len(block) if n == len(parts) else None
         if n == 1:
-            yield record(fields | {"Content-Type": "application/http; msgtype=response", "WARC-Segment-Number": 1}, part)
+            yield record(fields | {"WARC-Segment-Number": 1, "X-Copy": copy}, part)
         else:
-            yield record({"WARC-Type": "continuation", "WARC-Record-ID": f"{own}:{n}>", "WARC-Date": DATE, "WARC-Segment-Origin-ID": f"{own}>", "WARC-Segment-Number": n, "WARC-Segment-Total-Length": total}, part)
+            total = len(block) if n == len(parts) else None
+            yield record({"WARC-Type": "continuation", "WARC-Record-ID": f"{own[:-1]}:{n}>", "WARC-Date": DATE, "WARC-Segment-Origin-ID": own, "WARC-Segment-Number": n, "WARC-Segment-Total-Length": total, "X-Copy": copy}, part)
+
+
+def revisits_of(rows: DataFrame) -> DataFrame:
+    """(page_id, url, key, first) of the rows (page_id, url, key) that revisit the smallest page_id with their payload."""
+    rows = materialize(rows, "payload-keys")
+    shared = materialize(rows.groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "shared-payloads")
+    return join_counted(rows, shared, "key").where(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", "url", "key", "first")
 
 
 def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
@@ -83,71 +114,117 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     Of pages with equal payloads the one with the smallest page_id is the
     response. A null html is an empty payload. Rows that repeat the smallest
     page_id are responses each; a null page_id never is one beside a known one.
+    Payloads are shuffled once, by page, and only to leave out those of revisits;
+    what pages share is found among their digests.
     """
+    if not 0 < segment_bytes <= MOST_SEGMENT_BYTES:
+        raise ValueError(f"segments have 1 to {MOST_SEGMENT_BYTES} bytes")
     small_batches(pages.sparkSession)
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")).withColumn("key", F.unhex(F.sha1("payload")))
-    firsts = rows.groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    rows = rows.join(firsts, "key", "left").select("page_id", "url", "payload", later.alias("first"))
-
-    def run(batches):
-        part, n = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            out, held = [], 0
-            for page, url, payload, first in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                n += 1
-                for made in page_records(page, url, payload, first, f"{part}-{n}", segment_bytes, chunk_bytes):
-                    out.append(made)
-                    held += len(made)
-                if held > 4 << 20:
+    revisits = materialize(revisits_of(rows.select("page_id", "url", "key")), "revisits")
+    gone = revisits.select(F.col("page_id").alias("p"), F.col("key").alias("k")).distinct()
+    responses = rows.join(gone, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("key") == F.col("k")), "left_anti")
+
+    def written(make):
+        def run(batches):
+            part, n, rows_seen = TaskContext.get().partitionId(), 0, 0
+            for batch in batches:
+                out, held = [], 0
+                for values in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    rows_seen += 1
+                    for made in make(f"{part}-{rows_seen}", *values):
+                        if n % records_per_file == 0:
+                            info = {"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:archive:{part}-{n}>", "WARC-Date": DATE, "Content-Type": "application/warc-fields"}
+                            out.append(record(info, b"format: WARC File Format 1.1\r\n"))
+                            n += 1
+                        out.append(made)
+                        n += 1
+                        held += len(made)
+                    if held > 4 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+                        out, held = [], 0
+                if out:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
-                    out, held = [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
-    made = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-    made.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records_per_file).text(path)
+        return run
+
+    whole = responses.select("page_id", "url", "payload").mapInArrow(written(lambda copy, page, url, payload: response_records(page, url, payload, copy, segment_bytes, chunk_bytes)), "value binary")
+    again = revisits.mapInArrow(written(lambda _, page, url, key, first: [revisit_record(page, url, key, first)]), "value binary")
+    made = whole.unionByName(again).select(F.col("value").cast("string").alias("value"))
+    made.write.option("lineSep", "\x00").option("maxRecordsPerFile", records_per_file).text(path)
+
+
+def inflated(data: bytes):
+    """Pieces of what the gzip members of an archive hold; an archive that ends within one raises."""
+    at, inflate = 0, zlib.decompressobj(31)
+    while data:
+        if inflate.eof:
+            if at == len(data):
+                return
+            inflate = zlib.decompressobj(31)
+        given = data[at : at + READ_BYTES]
+        more = inflate.decompress(given, INFLATED_BYTES)
+        at += len(given) - len(inflate.unused_data) - len(inflate.unconsumed_tail)
+        if not given and not more and not inflate.eof:
+            raise ValueError("archive ends within a gzip member")
+        if more:
+            yield more
 
 
 def parse(data: bytes):
-    """(fields, block) of each record of a gzip archive, inflated piece by piece."""
-    inflate, held, at = zlib.decompressobj(31), b"", 0
+    """(fields, block) of each record of an archive: gzip members of one or more records each."""
+    held, at, pieces = b"", 0, inflated(data)
     while True:
         stop = held.find(b"\r\n\r\n", at)
         if stop >= 0:
-            fields = dict(x.split(": ", 1) for x in held[at:stop].decode().split("\r\n")[1:])
+            fields = {k: v.strip() for k, _, v in (x.partition(":") for x in held[at:stop].decode().split("\r\n")[1:])}
             end = stop + 4 + int(fields["Content-Length"])
             if len(held) >= end + 4:
                 yield fields, held[stop + 4 : end]
                 at = end + 4
                 continue
-        more = inflate.decompress(data, 4 << 20)
-        data = inflate.unconsumed_tail
-        if not more:
+        more = next(pieces, None)
+        if more is None:
             if held[at:].strip():
                 raise ValueError("archive ends within a record")
             return
         held, at = held[at:] + more, 0
 
 
-def _page(fields: dict):
-    return int(fields["X-Page"]) if "X-Page" in fields else None
-
-
-def _read_block(fields_page, block: bytes, claimed: str) -> tuple:
-    body = block[block.index(b"\r\n\r\n") + 4 :]
-    payload = dechunked(body)
+def _response(page, block: bytes, claimed: str, own: str) -> tuple:
+    payload = dechunked(block[block.index(b"\r\n\r\n") + 4 :])
     found = digest(payload)
     if found != claimed:
-        raise ValueError(f"page {fields_page}: payload digest {found}, {claimed} recorded")
-    return fields_page, len(payload), found, "response", None
+        raise ValueError(f"{own}: payload digest {found}, {claimed} recorded")
+    return page, len(payload), found, own
+
+
+def _parsed(fields: dict, block: bytes) -> tuple | None:
+    """A row of PARSED for a record; None for one that is no part of a page."""
+    kind, own, claimed = fields["WARC-Type"], fields["WARC-Record-ID"], fields.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
+    page = int(fields["X-Page"]) if "X-Page" in fields else None
+    if kind == "revisit":
+        return page, None, claimed, kind, own, fields["WARC-Refers-To"], *[None] * 5
+    if "WARC-Segment-Number" in fields:
+        total = fields.get("WARC-Segment-Total-Length")
+        return page, None, claimed, kind, own, None, fields.get("WARC-Segment-Origin-ID", own), fields.get("X-Copy", ""), int(fields["WARC-Segment-Number"]), total and int(total), block
+    if kind == "response":
+        page, size, found, own = _response(page, block, claimed, own)
+        return page, size, found, kind, own, *[None] * 6
+    return None
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Pages of the archives: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    A missing segment, a wrong total length or digest, or a broken frame raises:
-    such an archive was not written whole.
+    A missing or repeated segment, a wrong total length or digest, a broken frame, an
+    archive cut off, and a revisit of a record that is not there raise: such archives
+    were not written whole. Segments may stand in any order and in different files.
+    A revisit's size is that of the response it refers to.
     """
     small_batches(spark)
 
@@ -156,22 +233,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             for data in batch["content"]:
                 rows = []
                 for fields, block in parse(data.as_py()):
-                    kind, claimed = fields["WARC-Type"], fields.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-                    if kind == "revisit":
-                        rows.append((_page(fields), int(fields["X-Payload-Length"]), claimed, kind, int(fields["WARC-Refers-To"][10:-1]), *[None] * 4))
-                    elif "WARC-Segment-Number" in fields:
-                        total = fields.get("WARC-Segment-Total-Length")
-                        rows.append((_page(fields), None, claimed or None, kind, None, fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"]), int(fields["WARC-Segment-Number"]), total and int(total), block))
-                    else:
-                        rows.append((*_read_block(_page(fields), block, claimed), *[None] * 4))
+                    if row := _parsed(fields, block):
+                        rows.append(row)
                     if len(rows) >= 1000:
-                        yield _rows(rows)
+                        yield _batch(rows, PARSED)
                         rows = []
                 if rows:
-                    yield _rows(rows)
-
-    def _rows(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PARSED, strict=True)], schema=PARSED)
+                    yield _batch(rows, PARSED)
 
     def join(batches):
         for batch in batches:
@@ -179,16 +247,25 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             for origin, parts in zip(batch["origin"].to_pylist(), batch["parts"].to_pylist(), strict=True):
                 block = b"".join(p["block"] for p in parts)
                 if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or parts[-1]["total"] != len(block):
-                    raise ValueError(f"{origin}: segments are missing")
-                rows.append(_read_block(parts[0]["page_id"], block, parts[0]["payload_digest"]))
+                    raise ValueError(f"{origin}: segments are missing, repeated or of another length")
+                rows.append(_response(parts[0]["page_id"], block, parts[0]["payload_digest"], origin))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(PARSED)[:5], strict=True)], names=PARSED.names[:5])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    parsed = materialize(files.mapInArrow(run, PAGES + ", origin string, segment int, total long, block binary"), "warc-records")
-    whole = parsed.where("origin is null").drop("origin", "segment", "total", "block")
-    parts = parsed.where("origin is not null").groupBy("origin").agg(F.array_sort(F.collect_list(F.struct("segment", "total", "block", "page_id", "payload_digest"))).alias("parts"))
-    return whole.unionByName(parts.mapInArrow(join, PAGES))
+                yield _batch(rows, RESPONSE)
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    parsed = materialize(files.mapInArrow(run, PARSED_SQL), "warc-records")
+    whole = parsed.where("origin is null and kind = 'response'").select(*RESPONSE.names)
+    parts = parsed.where("origin is not null").groupBy("origin", "copy").agg(F.array_sort(F.collect_list(F.struct("segment", "total", "block", "page_id", "payload_digest"))).alias("parts"))
+    joined = materialize(parts.mapInArrow(join, "page_id long, payload_bytes long, payload_digest string, record_id string"), "warc-joined")
+    responses = whole.unionByName(joined)
+    revisits = parsed.where("kind = 'revisit'").select("page_id", F.col("payload_digest").alias("claimed"), "refers")
+    wanted = revisits.groupBy("refers").agg(F.count("*").alias("n"))
+    targets = wanted.join(responses.withColumnRenamed("page_id", "refers_to"), F.col("refers") == F.col("record_id"), "left")
+    targets = materialize(targets.groupBy("refers", "n").agg(F.first("refers_to").alias("refers_to"), F.first("payload_bytes").alias("payload_bytes"), F.first("payload_digest").alias("payload_digest")), "warc-targets")
+    sound = F.coalesce(F.col("payload_digest") == F.col("claimed"), F.lit(False))
+    size = F.when(sound, F.col("payload_bytes")).otherwise(F.raise_error(F.concat(F.lit("no response with this payload: "), F.col("refers"))).cast("long"))
+    again = join_counted(revisits, targets, "refers").select("page_id", size.alias("payload_bytes"), "payload_digest", F.lit("revisit").alias("record_type"), "refers_to")
+    return responses.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).unionByName(again)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
