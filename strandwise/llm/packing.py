@@ -9,6 +9,7 @@ windows of other partitions, in tasks of bounded size.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from itertools import compress
@@ -42,7 +43,8 @@ class WordIds:
     The vocabulary splits at white space before it merges, so a text's ids are
     those of its words in order, and a word goes through the tokenizer once.
     Plain Latin words are also looked up without case and final points and
-    other marks, which this vocabulary lower-cases and splits off.
+    other marks, which this vocabulary lower-cases and splits off. The vocabulary's
+    special tokens are found in a text before all else, so it is split at them.
     """
 
     def __init__(self, path: str):
@@ -50,7 +52,8 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = {x.content: np.asarray([i], "<u4").tobytes() for i, x in self.tokenizer.get_added_tokens_decoder().items()}
+        self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -88,6 +91,13 @@ class WordIds:
             known.update(zip(other, self.each(other), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.special or not any(x in t for x in self.special for t in texts):
+            return self.encode_plain(texts)
+        parts = [self.at_special.split(t) for t in texts]  # plain text and special tokens by turns
+        plain = iter(self.encode_plain([x for part in parts for x in part[::2]]))
+        return [b"".join(self.special[x] if i % 2 else next(plain) for i, x in enumerate(part)) for part in parts]
+
+    def encode_plain(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > REMEMBERED_WORDS:
             self.known = {"": b""}

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import body, materialize, small_batches
+from .common import SPACE, body, materialize, small_batches
 from .packing import word_ids
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -59,11 +59,19 @@ class Store:
     def _place(self, kind: str, batch: str) -> str:
         return f"{self.path}/{kind}/batch={batch}"
 
+    def _committed_path(self, batch: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._place('rollup', batch)}/_SUCCESS")
+
     def committed(self, batch: str) -> bool:
-        jvm = self.spark._jvm
-        done = jvm.org.apache.hadoop.fs.Path(f"{self._place('rollup', batch)}/_SUCCESS")
+        done = self._committed_path(batch)
         return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
 
+    def batches(self) -> list[str]:
+        """Names of all committed batches; one that broke off before its rollup was whole is none."""
+        done = self._committed_path("*")
+        found = done.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(done)
+        return sorted(x.getPath().getParent().getName().removeprefix("batch=") for x in found or [])
+
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add signed rows (LEDGER) under the batch's name; False if they are there already."""
         if self.committed(batch):
@@ -74,29 +82,31 @@ class Store:
         sums.write.mode("overwrite").parquet(self._place("rollup", batch))
         return True
 
+    def _read(self, kind: str, schema: str) -> DataFrame:
+        paths = [self._place(kind, b) for b in self.batches()]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
     def insert(self, batch: str, counted: DataFrame) -> bool:
         return self.commit(batch, counted.withColumn("sign", F.lit(1)))
 
-    def live(self, batches: list[str], keys: DataFrame) -> DataFrame:
-        """What the named batches hold of (doc_id, tokenizer) keys: the rows to take back."""
-        rows = self.spark.read.schema(LEDGER).parquet(*[self._place("ledger", b) for b in batches])
-        held = rows.join(keys.select("doc_id", "tokenizer").distinct(), ["doc_id", "tokenizer"], "left_semi")
+    def live(self, keys: DataFrame) -> DataFrame:
+        """What the committed batches hold of (doc_id, tokenizer) keys: the rows to take back."""
+        held = self._read("ledger", LEDGER).join(keys.select("doc_id", "tokenizer").distinct(), ["doc_id", "tokenizer"], "left_semi")
         net = held.groupBy("doc_id", *KEYS, "tokens").agg(F.sum("sign").alias("n")).where("n > 0")
         return net.withColumn("sign", -F.col("n")).drop("n")
 
-    def delete(self, batch: str, keys: DataFrame, before: list[str]) -> bool:
-        """Take back the rows of (doc_id, tokenizer) keys that earlier batches hold."""
-        return self.commit(batch, self.live(before, keys))
+    def delete(self, batch: str, keys: DataFrame) -> bool:
+        """Take back the rows of (doc_id, tokenizer) keys that committed batches hold."""
+        return self.commit(batch, self.live(keys))
 
-    def revise(self, batch: str, counted: DataFrame, before: list[str]) -> bool:
-        """Replace what earlier batches hold for the counted documents by the new counts."""
+    def revise(self, batch: str, counted: DataFrame) -> bool:
+        """Replace what committed batches hold for the counted documents by the new counts."""
         counted = counted.select("doc_id", *KEYS, "tokens", F.lit(1).cast("long").alias("sign"))
-        return self.commit(batch, counted.unionByName(self.live(before, counted)))
+        return self.commit(batch, counted.unionByName(self.live(counted)))
 
-    def totals(self, batches: list[str]) -> DataFrame:
+    def totals(self) -> DataFrame:
         """Documents and tokens by key; keys that came to nothing are left out."""
-        rows = self.spark.read.schema(ROLLUP).parquet(*[self._place("rollup", b) for b in batches])
-        sums = rows.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+        sums = self._read("rollup", ROLLUP).groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
         return sums.where("documents <> 0 or tokens <> 0")
 
 
@@ -109,12 +119,12 @@ def maintained(docs: DataFrame, labels: DataFrame, tokenizer_path: str, store: S
     keys are keys of their own; repeated rows count each.
     """
     counted = materialize(count_tokens(docs, tokenizer_path).withColumn("tokenizer", F.lit("word_bpe_49k")), "token-counts")
-    space = docs.select("doc_id", "source", "lang", F.size(F.array_remove(F.split(body(), r"\s+"), "")).cast("long").alias("tokens"), F.lit("space").alias("tokenizer"))
+    space = docs.select("doc_id", "source", "lang", F.size(F.array_remove(F.split(body(), f"[{SPACE}]+"), "")).cast("long").alias("tokens"), F.lit("space").alias("tokenizer"))
     load = counted.drop("line_tokens").unionByName(space)
     store.insert("load", load)
     toxic = labels.where("toxic = 1").select("doc_id")
-    store.delete("toxic", toxic.select("doc_id", F.explode(F.array(F.lit("word_bpe_49k"), F.lit("space"))).alias("tokenizer")), ["load"])
+    store.delete("toxic", toxic.select("doc_id", F.explode(F.array(F.lit("word_bpe_49k"), F.lit("space"))).alias("tokenizer")))
     low = labels.where("quality = 0").join(toxic, "doc_id", "left_anti").select("doc_id").distinct()
-    store.revise("lines", counted.join(low, "doc_id", "left_semi").withColumn("tokens", F.col("line_tokens")), ["load", "toxic"])
+    store.revise("lines", counted.join(low, "doc_id", "left_semi").withColumn("tokens", F.col("line_tokens")))
     store.insert("load", load)
-    return store.totals(["load", "toxic", "lines"])
+    return store.totals()
