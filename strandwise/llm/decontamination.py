@@ -4,6 +4,7 @@ Seeds are two words of an item that stand next to each other or one apart, in
 the document as well. Any copy that the alignment accepts has so many of them
 within twice the item's length (``least_pairs``) that documents with fewer are
 left out without loss; where there are enough, the item is aligned word by word.
+Items too short for that are looked up whole.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import body, small_batches
-from .words import ODD, gram_places, hashed_words, mix
+from .words import ODD, gram_places, grams, hashed_words, mix
 
-#: Shorter items match nothing.
+#: Items of fewer words match where all their words stand next to each other, without alignment.
 GRAM = 4
-#: Characters of items that are sent to the tasks at a time, as words and pairs; more take more passes.
-CHARS_AT_ONCE = 4_000_000
+#: Characters of items that are sent to the tasks at a time, as words and pairs (some 6 bytes for each); more take more passes.
+CHARS_AT_ONCE = 16_000_000
 #: Score of a mismatch and of a gap, where a match scores 1.
 PENALTY = 0.5
 #: Share of an item's words that the alignment has to score.
@@ -66,8 +67,9 @@ def align(item: np.ndarray, words: np.ndarray, penalty: float) -> tuple[float, i
 def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = GRAM, least: float = LEAST_SCORE, penalty: float = PENALTY) -> DataFrame:
     """(doc_id, item_id, score, end_word): documents that hold a copy of an item, also an edited one.
 
-    ``score`` is the alignment score by the item's words. Items shorter than k
-    words match nothing, and so do null and empty texts. Rows of one item_id or
+    ``score`` is the alignment score by the item's words. An item shorter than k
+    words matches where it stands whole, with score 1. Null and empty texts match
+    nothing. ``end_word`` is the end of the first match with the best score. Rows of one item_id or
     doc_id count as one, and so do those without; the best of them counts. An
     empty table on either side gives none. Other columns are ignored.
     """
@@ -85,7 +87,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = GRAM, least: fl
             found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], "doc_id long, item_id long, score double, end_word long")
-    return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.min("end_word").alias("end_word"))
+    best = F.max(F.struct("score", (-F.col("end_word")).alias("end"))).alias("best")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.score", (-F.col("best.end")).alias("end_word"))
+
+
+def whole_places(words: np.ndarray, bounds: np.ndarray, items: dict[int, dict[int, list[int]]]) -> list[tuple[int, int, int]]:
+    """(text, item, end) of the first place of each short item in each text; items by number of words and hash."""
+    out = {}
+    for n, known in items.items():
+        text, place = gram_places(bounds, n)
+        value = grams(words, n)[place]
+        for i in np.flatnonzero(np.isin(value, np.fromiter(known, np.uint64, len(known)))).tolist():
+            for item in known[int(value[i])]:
+                out.setdefault((int(text[i]), item), int(place[i] - bounds[text[i]]) + n)
+    return [(t, q, end) for (t, q), end in out.items()]
 
 
 def align_near(docs: DataFrame, ids: list, texts: list[str], k: int, least: float, penalty: float) -> DataFrame:
@@ -93,16 +108,20 @@ def align_near(docs: DataFrame, ids: list, texts: list[str], k: int, least: floa
     words, bounds = hashed_words(texts)
     of, place, value = pair_hashes(words, bounds)
     lengths = np.diff(bounds)
+    short: dict[int, dict[int, list[int]]] = {}
+    for i in np.flatnonzero((lengths > 0) & (lengths < k)).tolist():
+        whole = int(grams(words[bounds[i] : bounds[i + 1]], int(lengths[i]))[0])
+        short.setdefault(int(lengths[i]), {}).setdefault(whole, []).append(i)
     keep = lengths[of] >= k
     of, place, value = of[keep], place[keep], value[keep]
     order = np.argsort(value, kind="stable")
     # An accepted copy has at most one edit a match, so it reaches over twice the item's words at most.
     reach = np.int64(np.ceil(lengths * (1 + (1 - least) / penalty)))
-    sent = docs.sparkSession.sparkContext.broadcast((value[order], of[order].astype(np.int32), place[order].astype(np.int32), words, bounds, reach, least_pairs(lengths, least, penalty), ids))
+    sent = docs.sparkSession.sparkContext.broadcast((value[order], of[order].astype(np.int32), place[order].astype(np.int32), words, bounds, reach, least_pairs(lengths, least, penalty), ids, short))
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())])
 
     def run(batches):
-        known, item_of, item_at, item_words, item_bounds, reach, needed, ids = sent.value
+        known, item_of, item_at, item_words, item_bounds, reach, needed, ids, short = sent.value
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
@@ -135,7 +154,7 @@ def align_near(docs: DataFrame, ids: list, texts: list[str], k: int, least: floa
                 last = np.append(spot[1:] != spot[:-1], True) if len(spot) else np.zeros(0, bool)
                 spot, level = spot[last], level[last]
                 hot = level >= needed[(spot // wide) % len(ids)]
-                out = []
+                out = [(part["doc_id"][t].as_py(), ids[q], 1.0, end) for t, q, end in whole_places(words, bounds, short)]
                 for g in np.unique(spot[hot] // wide).tolist():
                     t, q = divmod(g, len(ids))
                     own_words, item_own = words[bounds[t] : bounds[t + 1]], item_words[item_bounds[q] : item_bounds[q + 1]]
