@@ -138,11 +138,11 @@ def test_packing(docs, empty, rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
-    got = packing.pack(docs.where("doc_id <> 2"), tokenizer_path()).collect()
-    for i, t, *_ in rows[0]:
-        if i == 2:
-            continue
+    odd = ["a <|endoftext|> b<|startoftext|><|endoftext|>C.", "<|endoftext|", "Éa e\u0301 don't\u00a0x\t1,234 \u4e2d\u6587 I\u0307 \ufb01 \u200d x", "\u0301 \n\u0301a", "<|ENDOFTEXT|> \U0001f600!?"]
+    given = [r for r in rows[0] if r[0] != 2] + [(100 + i, t) for i, t in enumerate(odd)]
+    extra = docs.sparkSession.createDataFrame([(100 + i, t) for i, t in enumerate(odd)], "doc_id long, text string")
+    got = packing.pack(docs.where("doc_id <> 2").select("doc_id", "text").unionByName(extra), tokenizer_path()).collect()
+    for i, t, *_ in given:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
         own = sorted((p for p in got if p.doc_id == i), key=lambda p: p.start)
         assert [p.start for p in own] == [sum(q.length for q in own[:k]) for k in range(len(own))]
