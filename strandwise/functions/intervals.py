@@ -26,6 +26,11 @@ def place_id(position: str) -> Column:
     return ((F.col("chr") * 2 + F.col("strand")) * F.lit(POSITIONS) + F.col(position)).cast("long")
 
 
+def chromosome_of(transcript_id: str) -> Column:
+    """The chromosome that a transcript id tells."""
+    return F.floor(F.col(transcript_id) / F.lit(2 * POSITIONS)).cast("long")
+
+
 def rpkm(s, e, tags, total) -> Column:
     """Tags per kilobase and million tags of one run."""
     return F.col(tags) / ((F.col(e) - F.col(s) + 1) / 1000.0) / (F.col(total) / 1000000.0)

@@ -127,7 +127,7 @@ class Analysis:
 
 
 def bed_rows(transcripts: DataFrame, chromosomes: DataFrame, min_score: float = 1.0) -> DataFrame:
-    """Lines of a browser track, and the strand whose file they belong to."""
+    """Lines of a browser track, and the strand whose file they belong to. Scores are in 1000ths of the highest of both strands."""
     shown = transcripts.where(F.col("score") >= min_score)
     top = F.broadcast(shown.agg(F.max("score").alias("top")))
     c = chromosomes.select(F.col("id").alias("chr"), "name", "length")
@@ -135,6 +135,19 @@ def bed_rows(transcripts: DataFrame, chromosomes: DataFrame, min_score: float =
     start, end = F.greatest("s", F.lit(0)), F.least("e", "length")
     sign = F.when(F.col("strand") == 0, "+").otherwise("-")
     colour = F.when(F.col("strand") == 0, "0,0,255").otherwise("0,255,0")
-    level = F.floor(F.round(F.col("score") / F.col("top") * 1000, 6))
+    level = F.round(F.col("score") / F.col("top") * 1000, 6)
     line = F.concat_ws("\t", "name", start, end, F.concat(F.lit("Transcript_"), F.col("id")), level, sign, start, end, colour)
     return rows.select("strand", "chr", F.col("s").alias("start"), line.alias("line"))
+
+
+def write_bed(transcripts: DataFrame, chromosomes: DataFrame, path: str, name: str, min_score: float = 1.0) -> None:
+    """A folder of text for each strand: a track line, then its transcripts by chromosome and start.
+
+    Rows are dealt out by ranges, so the files of a folder, in the order of their names, are the track.
+    """
+    rows = bed_rows(transcripts, chromosomes, min_score)
+    track = lambda strand, sign: f'track name={name}_{strand} description="Transcripts, {sign} strand" useScore=1 itemRgb=On'
+    heads = transcripts.sparkSession.createDataFrame([(s, None, None, track(s, sign)) for s, sign in enumerate("+-")], rows.schema)
+    order = ["strand", F.col("chr").asc_nulls_first(), "start", "line"]
+    lines = rows.unionByName(heads).repartitionByRange(*order).sortWithinPartitions(*order)
+    lines.select("strand", F.col("line").alias("value")).write.partitionBy("strand").text(path)

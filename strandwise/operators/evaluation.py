@@ -19,7 +19,7 @@ KEYS = ("chr", "strand")
 
 def normalize_intervals(df: DataFrame, more=()) -> DataFrame:
     """(chr, strand, s, e) of rows (chr, start, end, strand); + and - become 0 and 1, a name without ``chr`` raises."""
-    named = F.when(F.col("chr").startswith("chr"), F.col("chr")).otherwise(F.raise_error("first column is missing chromosome data").cast("string"))
+    named = F.when(F.col("chr").startswith("chr"), F.col("chr")).otherwise(F.raise_error("a chromosome name does not begin with chr").cast("string"))
     sign = F.col("strand").cast("string")
     strand = F.when(sign == "-", 1).when(sign == "+", 0).otherwise(sign.try_cast("int"))
     return df.select(*more, named.alias("chr"), strand.alias("strand"), F.col("start").cast("long").alias("s"), F.col("end").cast("long").alias("e"))
@@ -86,3 +86,11 @@ def grid_error_matrix(reference: DataFrame, candidates: DataFrame, row: str, col
     """Errors of many candidate sets: one line for each value of row, one column for each of values; null without a set."""
     errors = summed_error(reference, candidates, (row, column), width)
     return errors.groupBy(row).pivot(column, values).agg(F.first("error"))
+
+
+def best_setting(matrix: DataFrame, row: str, values: list) -> DataFrame:
+    """(row, column, error) of the smallest error of a matrix, the lowest row and the first column of equals; no row without any error."""
+    cells = F.explode(F.array(*[F.struct(F.col(str(x)).alias("error"), F.lit(i).alias("place"), F.lit(str(x)).alias("column")) for i, x in enumerate(values)])).alias("cell")
+    found = matrix.select(row, cells).where("cell.error is not null")
+    least = found.agg(F.min(F.struct(F.col("cell.error").alias("error"), F.col(row), F.col("cell.place").alias("place"), F.col("cell.column").alias("column"))).alias("m"))
+    return least.where("m is not null").select(f"m.{row}", "m.column", "m.error")

@@ -11,12 +11,14 @@ from ..functions.intervals import overlaps
 BIN = 1000
 
 
-def overlap_pairs(left: DataFrame, right: DataFrame, keys=("chr",), width: int = BIN, condition: Column | None = None) -> DataFrame:
+def overlap_pairs(left: DataFrame, right: DataFrame, keys=("chr",), width: int = BIN, condition: Column | None = None, salt: int = 1) -> DataFrame:
     """Pairs of overlapping closed intervals, as structs ``l`` and ``r``, each pair once.
 
     Both sides are exploded to the bins that they touch and joined on keys and
     bin; a pair counts in its first shared bin only, so nothing is made distinct.
-    Rows with a null in a key or end, or with e < s, have no pairs.
+    Rows with a null in a key or end, or with e < s, have no pairs. A crowded bin is
+    split by ``salt``: its left rows are dealt to so many parts, each of which meets
+    all right rows of the bin; adaptive execution splits large parts further.
     """
 
     def binned(df: DataFrame, name: str) -> DataFrame:
@@ -24,7 +26,12 @@ def overlap_pairs(left: DataFrame, right: DataFrame, keys=("chr",), width: int =
         proper = df.where("s <= e")
         return proper.select(F.struct(*df.columns).alias(name), *[F.col(k).alias(f"_{k}") for k in keys], F.explode(bins).alias("_bin"))
 
-    pairs = binned(left, "l").join(binned(right, "r"), ["_bin", *[f"_{k}" for k in keys]])
+    by, a, b = ["_bin", *[f"_{k}" for k in keys]], binned(left, "l"), binned(right, "r")
+    if salt > 1:
+        by.append("_salt")
+        a = a.withColumn("_salt", F.pmod(F.xxhash64("l"), F.lit(salt)))
+        b = b.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+    pairs = a.join(b, by)
     first = F.col("_bin") == F.floor(F.greatest("l.s", "r.s") / width)
     pairs = pairs.where(overlaps("l", "r") & first)
     return (pairs if condition is None else pairs.where(condition)).select("l", "r")

@@ -11,53 +11,72 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def segment(df: DataFrame, keys, max_gap: int = 0, order=("s", "e"), block: int | None = None) -> DataFrame:
-    """(keys, s, e, refseq, n, tag_count, gaps, first_s, members) of each cluster.
+def cluster_rows(df: DataFrame, keys, max_gap: int = 0, order=("s", "e"), block: int | None = None) -> DataFrame:
+    """df (s, e, refseq) with each row's ``cluster``, numbered by key, ``opens`` it or not, and ``reached``, the furthest end before it.
 
-    df has s, e, refseq (null counts as false) and tag_count; ``members`` holds
-    the rows' starts and ends. With ``block``, no key's rows go to one task:
-    windows run within stretches of that many positions, and what crosses from
-    one to the next is carried by windows over the much smaller table of stretches.
+    A null refseq counts as false. With ``block``, no key's rows go to one task:
+    windows run within stretches of that many positions of the first order column,
+    and two windows over the much smaller table of stretches carry on what crosses
+    from one to the next: the furthest end, then the last flag with the number of
+    clusters. A row that does not extend the furthest end never opens a cluster, so of a
+    stretch only its first extending row depends on the flag that is carried in.
     """
     keys = list(keys)
     df = df.withColumn("refseq", F.coalesce("refseq", F.lit(False)))
-    part = keys
+    part = [*keys, "_blk"] if block else keys
     if block:
-        df = df.withColumn("_blk", F.floor(F.col("s") / block))
-        part = [*keys, "_blk"]
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-
-    def carry(df: DataFrame, aggregate, over, name: str) -> DataFrame:
-        table = df.groupBy(*part).agg(aggregate.alias("_x")).select(*part, over(F.col("_x")).over(blocks).alias(name))
-        return df.join(table, part)
-
-    df = df.withColumn("_m", F.max("e").over(w))
+        df = df.withColumn("_blk", F.floor(F.col(order[0]) / block))
+    w = Window.partitionBy(*part).orderBy(*order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     if block:
-        df = carry(df, F.max("e"), F.max, "_c").withColumn("_m", F.greatest("_m", "_c")).drop("_c")
-    extends = F.col("_m").isNull() | (F.col("e") > F.col("_m") + 1)
+        ends = df.groupBy(*part).agg(F.max("e").alias("_end")).select(*part, F.max("_end").over(earlier).alias("_reached"))
+        df = df.join(ends, part).withColumn("reached", F.greatest(F.max("e").over(before), "_reached")).drop("_reached")
+    else:
+        df = df.withColumn("reached", F.max("e").over(before))
+    extends = F.col("reached").isNull() | (F.col("e") > F.col("reached") + 1)
     df = df.withColumn("_flag", F.when(extends, F.col("refseq")))
-    df = df.withColumn("_last", F.last("_flag", ignorenulls=True).over(w))
-    if block:
-        latest = F.max_by("_flag", F.when(F.col("_flag").isNotNull(), F.struct(*order)))
-        df = carry(df, latest, lambda c: F.last(c, ignorenulls=True), "_c").withColumn("_last", F.coalesce("_last", "_c")).drop("_c")
-    breaks = F.col("_m").isNull() | (F.col("s") > F.col("_m") + max_gap) | ((F.col("e") > F.col("_m") + 1) & (F.col("_last") != F.col("refseq")))
-    df = df.withColumn("_brk", F.coalesce(breaks, F.lit(False)))
-    upto = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_cid", F.sum(F.col("_brk").cast("long")).over(upto))
-    if block:
-        df = carry(df, F.sum(F.col("_brk").cast("long")), F.sum, "_c").withColumn("_cid", F.col("_cid") + F.coalesce("_c", F.lit(0))).drop("_c")
-    return (
-        df.groupBy(*keys, "_cid")
-        .agg(
-            F.max(F.when(F.col("_brk"), F.greatest(F.coalesce(F.col("_m") + 1, F.col("s")), F.col("s")))).alias("s"),
-            F.max("e").alias("e"),
-            F.max(F.when(F.col("_brk"), F.col("refseq"))).alias("refseq"),
-            F.count("*").alias("n"),
-            F.sum("tag_count").alias("tag_count"),
-            F.sum((~F.col("_brk") & (F.col("s") > F.col("_m"))).cast("long")).alias("gaps"),
-            F.min("s").alias("first_s"),
-            F.sort_array(F.collect_list(F.struct(*[c for c in ("s", "e", "run_id", "gaps", "tag_count") if c in df.columns]))).alias("members"),
-        )
-        .drop("_cid")
+    df = df.withColumn("_last", F.last("_flag", ignorenulls=True).over(before))
+
+    def opened(refseq, s, reached, last):
+        return F.coalesce(reached.isNull() | (s > reached + max_gap) | (last != refseq), F.lit(False))
+
+    own = opened(F.col("refseq"), F.col("s"), F.col("reached"), F.col("_last"))
+    if not block:
+        df = df.withColumn("opens", extends & own).withColumn("cluster", F.sum(F.col("opens").cast("long")).over(upto))
+        return df.drop("_flag", "_last")
+    place = F.when(extends, F.struct(*order))
+    inner = extends & F.col("_last").isNotNull() & own
+    table = df.groupBy(*part).agg(
+        F.max_by("_flag", place).alias("_flag"),
+        F.min_by(F.struct("refseq", "s", "reached"), place).alias("_first"),
+        F.count_if(inner).alias("_inner"),
     )
+    table = table.withColumn("_carried", F.last("_flag", ignorenulls=True).over(earlier))
+    table = table.withColumn("_head", F.col("_first").isNotNull() & opened(F.col("_first.refseq"), F.col("_first.s"), F.col("_first.reached"), F.col("_carried")))
+    ahead = F.sum(F.col("_inner") + F.col("_head").cast("long")).over(earlier)
+    table = table.select(*part, "_head", F.coalesce(ahead, F.lit(0)).alias("_ahead"))
+    df = df.drop("_flag").join(table, part)
+    df = df.withColumn("opens", extends & F.when(F.col("_last").isNull(), F.col("_head")).otherwise(own))
+    df = df.withColumn("cluster", F.col("_ahead") + F.sum(F.col("opens").cast("long")).over(upto))
+    return df.drop("_last", "_head", "_ahead", "_blk")
+
+
+def clusters_of(rows: DataFrame, keys) -> DataFrame:
+    """(keys, cluster, s, e, refseq, n, tag_count, gaps, first_s) of numbered rows; a start is clipped to what earlier clusters reach."""
+    clipped = F.greatest(F.coalesce(F.col("reached") + 1, F.col("s")), F.col("s"))
+    return rows.groupBy(*keys, "cluster").agg(
+        F.max(F.when(F.col("opens"), clipped)).alias("s"),
+        F.max("e").alias("e"),
+        F.max(F.when(F.col("opens"), F.col("refseq"))).alias("refseq"),
+        F.count("*").alias("n"),
+        F.sum("tag_count").alias("tag_count"),
+        F.sum((~F.col("opens") & (F.col("s") > F.col("reached"))).cast("long")).alias("gaps"),
+        F.min("s").alias("first_s"),
+    )
+
+
+def segment(df: DataFrame, keys, max_gap: int = 0, order=("s", "e"), block: int | None = None) -> DataFrame:
+    """(keys, s, e, refseq, n, tag_count, gaps, first_s) of each cluster of df (s, e, refseq, tag_count)."""
+    return clusters_of(cluster_rows(df, keys, max_gap, order, block), keys).drop("cluster")

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.intervals import contains, length, place_id
 from .joins import overlap_pairs
-from .segments import segment
+from .segments import cluster_rows, clusters_of, segment
 
 
 @dataclass(frozen=True)
 class Parameters:
-    """Defaults suit a mammalian genome."""
+    """Defaults suit a mammalian genome. Windows run within stretches of ``block`` positions; None takes whole strands."""
 
     max_gap: int = 0
     tag_extension: int = 0
@@ -27,7 +27,7 @@ class Parameters:
     post_gene_distance: int = 500
     gene_margin: int = 1000
     count_pseudo_run: bool = True
-    block: int | None = None
+    block: int | None = 1 << 20
     bin: int = 1000
 
 
@@ -61,6 +61,12 @@ def extend_tags(tags: DataFrame, chromosomes: DataFrame, by: int) -> DataFrame:
     return out.drop("_length")
 
 
+def union_of_runs(tags: DataFrame) -> DataFrame:
+    """Distinct places (chr, s, e, sign) over all runs, in the order of their starts."""
+    sign = F.when(F.col("strand") == 0, "+").otherwise("-").alias("sign")
+    return tags.select("chr", "s", "e", sign).distinct().orderBy("s")
+
+
 def in_range(tags: DataFrame, start: int | None = None, end: int | None = None, strand: int | None = None) -> DataFrame:
     """Tags that overlap the closed range, on one strand if given."""
     for condition, given in ((F.col("e") >= F.lit(start), start), (F.col("s") <= F.lit(end), end), (F.col("strand") == F.lit(strand), strand)):
@@ -68,9 +74,19 @@ def in_range(tags: DataFrame, start: int | None = None, end: int | None = None,
     return tags
 
 
-def proto_transcripts(tags: DataFrame, p: Parameters) -> DataFrame:
-    """Tags of each run merged into proto-transcripts, with the run's density."""
-    out = segment(tags, ("run_id", "chr", "strand"), p.max_gap, block=p.block).drop("n", "first_s", "members")
+def proto_transcripts(tags: DataFrame, p: Parameters, chromosomes: DataFrame | None = None) -> DataFrame:
+    """Tags of each run merged into proto-transcripts, with the run's density.
+
+    Where tag_extension is set, tags are lengthened within their chromosome first, and
+    keep the order of their own starts and ends.
+    """
+    order = ("s", "e")
+    if p.tag_extension:
+        if chromosomes is None:
+            raise ValueError("extending tags takes the lengths of chromosomes")
+        order = ("own_s", "own_e")
+        tags = extend_tags(tags.withColumns({"own_s": F.col("s"), "own_e": F.col("e")}), chromosomes, p.tag_extension)
+    out = segment(tags, ("run_id", "chr", "strand"), p.max_gap, order, p.block).drop("n", "first_s")
     return out.withColumn("run_density", F.lit(float(p.density_multiplier)) * F.col("tag_count") / length())
 
 
@@ -80,27 +96,44 @@ def check_protos(protos: DataFrame) -> DataFrame:
     return protos.withColumn("e", F.when(wrong, F.raise_error("transcript without length or tags").cast("long")).otherwise(F.col("e")))
 
 
-def stitch(protos: DataFrame, p: Parameters) -> tuple[DataFrame, DataFrame]:
-    """Proto-transcripts of all runs merged; and their source rows by run.
+def stitch_rows(protos: DataFrame, p: Parameters) -> DataFrame:
+    """Proto-transcripts of all runs, each with the number of the cluster that it joins on its strand."""
+    return cluster_rows(protos, ("chr", "strand"), 0, ("s", "e", "run_id"), p.block)
 
-    A cluster of one keeps its own start, also where the rule would clip it.
-    """
-    clusters = segment(protos, ("chr", "strand"), 0, order=("s", "e", "run_id"), block=p.block)
-    clusters = clusters.withColumn("id", place_id("e")).withColumn("s", F.when(F.col("n") == 1, F.col("first_s")).otherwise(F.col("s")))
-    clusters = clusters.select("id", "chr", "strand", "s", "e", "refseq", "n", "members")
-    return clusters, source_rows(clusters)
 
+def stitched_transcripts(rows: DataFrame) -> DataFrame:
+    """(id, chr, strand, s, e, refseq, n, cluster) of numbered rows. A cluster of one keeps its own start, also where the rule would clip it."""
+    found = clusters_of(rows, ("chr", "strand"))
+    found = found.withColumn("id", place_id("e")).withColumn("s", F.when(F.col("n") == 1, F.col("first_s")).otherwise(F.col("s")))
+    return found.select("id", "chr", "strand", "s", "e", "refseq", "n", "cluster")
 
-def source_rows(stitched: DataFrame) -> DataFrame:
-    """Tags and gaps of stitched transcripts by run, from their members."""
-    rows = stitched.select("id", "chr", F.explode("members").alias("m")).groupBy("id", "chr", F.col("m.run_id").alias("run_id"))
-    return rows.agg(F.sum("m.tag_count").alias("tag_count"), F.sum("m.gaps").alias("gaps"))
+
+def lineage(rows: DataFrame, stitched: DataFrame) -> DataFrame:
+    """(id, chr, strand, run_id, s, e): the proto-transcripts of each stitched one, row by row, however many there are."""
+    ids = stitched.select("id", "chr", "strand", "cluster")
+    return rows.join(ids, ["chr", "strand", "cluster"]).select("id", "chr", "strand", "run_id", "s", "e")
+
+
+def source_rows(rows: DataFrame, stitched: DataFrame) -> DataFrame:
+    """Tags and gaps of stitched transcripts by run. Sums come before the join, so only one row for each run and cluster meets its id."""
+    keys = ["chr", "strand", "cluster"]
+    sums = rows.groupBy(*keys, "run_id").agg(F.sum("tag_count").alias("tag_count"), F.sum("gaps").alias("gaps"))
+    return sums.join(stitched.select("id", *keys), keys).select("id", "chr", "run_id", "tag_count", "gaps")
+
+
+def stitch(protos: DataFrame, p: Parameters) -> tuple[DataFrame, DataFrame]:
+    """Proto-transcripts of all runs merged; and their source rows by run."""
+    rows = stitch_rows(protos, p)
+    stitched = stitched_transcripts(rows)
+    return stitched, source_rows(rows, stitched)
 
 
-def set_density(stitched: DataFrame, sources: DataFrame, p: Parameters) -> DataFrame:
-    """density: tags by run and length."""
+def set_density(stitched: DataFrame, sources: DataFrame, p: Parameters, null_only: bool = False) -> DataFrame:
+    """density: tags by run and length. With null_only, a density that is there already stays."""
     sums = sources.groupBy("id").agg(F.sum("tag_count").alias("_tags"), F.count("run_id").alias("_runs"))
     density = F.greatest(F.lit(0.0), F.lit(float(p.density_multiplier)) * F.col("_tags") / (F.col("_runs") * length()))
+    if null_only:
+        density = F.coalesce(F.col("density"), density)
     return stitched.join(sums, "id").withColumn("density", density).drop("_tags", "_runs")
 
 
@@ -133,15 +166,11 @@ def close_transcripts(prep: DataFrame, p: Parameters) -> DataFrame:
 
 
 def draw_edges(close: DataFrame, p: Parameters) -> DataFrame:
-    """Transcripts within reach merged into final ones; the first row gives the flag."""
-    rows = close.select("chr", "strand", "s", F.col("max_end").alias("e"), "id", "refseq")
-    one = rows.select("chr", "strand", "s", "e", "id", F.lit(False).alias("refseq"), F.lit(1).alias("tag_count"), F.col("refseq").alias("own"))
-    w = Window.partitionBy("chr", "strand").orderBy("s", "e", "id")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    starts = F.coalesce(F.col("s") > F.max("e").over(before), F.lit(True))
-    one = one.withColumn("_new", starts.cast("long")).withColumn("_c", F.sum("_new").over(w))
-    out = one.groupBy("chr", "strand", "_c").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("own", F.struct("s", "e", "id")).alias("refseq"))
-    return out.drop("_c").withColumn("id", place_id("s"))
+    """Transcripts within reach merged into final ones; the first row gives the flag, and flags keep none apart."""
+    rows = close.select("chr", "strand", "s", F.col("max_end").alias("e"), "id", F.col("refseq").alias("own"), F.lit(False).alias("refseq"))
+    rows = cluster_rows(rows, ("chr", "strand"), 0, ("s", "e", "id"), p.block)
+    out = rows.groupBy("chr", "strand", "cluster").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("own", F.struct("s", "e", "id")).alias("refseq"))
+    return out.drop("cluster").withColumn("id", place_id("s"))
 
 
 def final_sources(final: DataFrame, prep: DataFrame, sources: DataFrame, p: Parameters) -> DataFrame:

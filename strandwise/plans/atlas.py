@@ -15,9 +15,6 @@ from ..sources.shared import stored
 class Atlas:
     """Output tables and the steps on the way."""
 
-    tags: DataFrame
-    protos: DataFrame
-    stitched: DataFrame
     prep: DataFrame
     prep_sources: DataFrame
     close: DataFrame
@@ -27,19 +24,26 @@ class Atlas:
     noncoding: DataFrame
 
 
-def build_atlas(tags: DataFrame, genes: DataFrame, noncoding: DataFrame, runs: DataFrame, p: Parameters | None = None) -> Atlas:
-    """Tables that several later steps read are written to the shared folder: clusters, prep, and final transcripts."""
-    p = p or Parameters()
+def build_prep(tags: DataFrame, genes: DataFrame, p: Parameters, chromosomes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Stitched transcripts with density and edge, and their source rows. Tables that several steps read are written once."""
     flagged = T.flag_refseq(T.collapse_tags(tags), genes, p.bin)
-    protos = T.proto_transcripts(flagged, p)
-    clusters, _ = T.stitch(protos, p)
-    stitched = stored(clusters, "stitched")
-    prep_sources = T.source_rows(stitched)
-    prep = T.allowed_edge(T.set_density(stitched.drop("members"), prep_sources, p), genes, p)
-    prep = stored(prep, "prep")
+    rows = stored(T.stitch_rows(stored(T.proto_transcripts(flagged, p, chromosomes), "protos"), p), "stitch-rows")
+    stitched = stored(T.stitched_transcripts(rows), "stitched")
+    sources = stored(T.source_rows(rows, stitched), "prep-sources")
+    prep = T.allowed_edge(T.set_density(stitched.drop("cluster"), sources, p), genes, p)
+    return stored(prep, "prep"), sources
+
+
+def build_final(prep: DataFrame, prep_sources: DataFrame, genes: DataFrame, noncoding: DataFrame, runs: DataFrame, p: Parameters) -> Atlas:
     close = T.close_transcripts(T.above_threshold(prep, prep_sources, p), p)
     drawn = stored(T.draw_edges(close, p), "drawn")
     sources = stored(T.final_sources(drawn, prep, prep_sources, p), "sources")
     final = T.link_post_gene(T.distal_flag(drawn, genes, p), p)
     final = stored(T.score(final, sources, prep_sources, runs, p), "transcripts")
-    return Atlas(flagged, protos, stitched, prep, prep_sources, close, final, sources, T.annotate(final, genes, p), T.annotate(final, noncoding, p))
+    return Atlas(prep, prep_sources, close, final, sources, T.annotate(final, genes, p), T.annotate(final, noncoding, p))
+
+
+def build_atlas(tags: DataFrame, genes: DataFrame, noncoding: DataFrame, runs: DataFrame, p: Parameters | None = None, chromosomes: DataFrame | None = None) -> Atlas:
+    """Prep and final tables; where p extends tags, chromosomes (id, name, length) are needed."""
+    p = p or Parameters()
+    return build_final(*build_prep(tags, genes, p, chromosomes), genes, noncoding, runs, p)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.transcripts import Parameters
 from ..plans.atlas import Atlas, build_atlas
+from ..sources.shared import stored
 
 #: A chromosome of the fixtures has 10,000 positions, so reaches are short.
-PARAMETERS = Parameters(max_edge=60, density_multiplier=1000, edge_scaling_factor=25, post_gene_distance=60, bin=100)
+PARAMETERS = Parameters(max_edge=60, density_multiplier=1000, edge_scaling_factor=25, post_gene_distance=60, bin=100, block=1000)
 
 TAG_E = "(l_orderkey*37 + l_partkey*11) % 9800 + 20 + CAST(l_quantity AS BIGINT)"
 #: Valid in Spark and DuckDB; later views read earlier ones.
@@ -40,3 +43,15 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def atlas(spark: SparkSession, sf_dir: str, p: Parameters = PARAMETERS) -> Atlas:
     return build_atlas(*(view(spark, sf_dir, x) for x in ("tag", "gene_region", "noncoding", "run")), p)
+
+
+_kept: dict[tuple[str, str], Atlas] = {}
+
+
+def kept_atlas(spark: SparkSession, sf_dir: str) -> Atlas:
+    """The atlas of a folder, built by the first query of an application and read from the shared folder by later ones."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _kept:
+        made = atlas(spark, sf_dir)
+        _kept[key] = replace(made, **{name: stored(getattr(made, name), name) for name in ("close", "genes", "noncoding")})
+    return _kept[key]

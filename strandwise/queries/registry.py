@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
+from ..operators import annotation as N
 from ..operators import evaluation as E
 from ..operators import transcripts as T
-from ..operators.analysis import Analysis, bed_rows
+from ..operators.analysis import Analysis, bed_rows, write_bed
+from ..plans.store import AtlasStore, add_runs, rebuild_final, save_atlas
 from ..sources import readers
-from ..sources.shared import stored_text
+from ..sources.shared import scratch, stored_text
 from .fixtures import PARAMETERS as P
-from .fixtures import VIEWS, atlas, view
+from .fixtures import VIEWS, atlas, kept_atlas, view
 
 RUN1, RUN2 = "run_1", "run_2"
 
 
 def _analysis(spark, d) -> Analysis:
-    a = atlas(spark, d)
+    a = kept_atlas(spark, d)
     return Analysis(a.transcripts, a.sources, a.genes, a.noncoding, view(spark, d, "gene_region"), view(spark, d, "run"), P.min_score, P.gene_margin, P.bin)
 
 
@@ -33,33 +37,113 @@ def _protos(spark, d, p=P):
 
 
 def _stitched(spark, d):
-    clusters, _ = T.stitch(_protos(spark, d), P)
-    return clusters, T.source_rows(clusters)
+    return T.stitch(_protos(spark, d), P)
+
+
+def _lineage(spark, d):
+    rows = T.stitch_rows(_protos(spark, d), P)
+    return T.lineage(rows, T.stitched_transcripts(rows))
 
 
 def _density(spark, d):
-    return T.set_density(*_stitched(spark, d), P).drop("members")
+    return T.set_density(*_stitched(spark, d), P)
+
+
+def _density_of_null_only(spark, d):
+    stitched, sources = _stitched(spark, d)
+    return T.set_density(stitched.withColumn("density", F.when(F.col("n") == 1, 0.5)), sources, P, null_only=True)
 
 
 FINAL = ["id", "chr", "strand", "s", "e", "refseq"]
 
 
-#: Lines of text formats, from the interval tables; a tag's sequence is as long as the tag.
+NAME = "concat('chr', chr - 1)"
+SIGN = "if(strand = 1, '-', '+')"
+SEQ = "repeat('A', CAST(e - s AS INT))"
+#: Lines of text formats, from the interval tables; a tag's sequence is as long as the tag. Flags are those of unmapped,
+#: secondary and supplementary reads beside plain ones, some lines are short and some are headers.
 LINES = {
-    "sam": ("tag", "concat_ws('\t', 'q', strand * 16, concat('chr', chr - 1), s + 1, s % 40, '*', '*', 0, 0, repeat('A', CAST(e - s AS INT)), '*')"),
-    "bowtie": ("tag", "concat_ws('\t', 'q', if(strand = 1, '-', '+'), concat('chr', chr - 1), s, repeat('A', CAST(e - s AS INT)), '*')"),
-    "tags": ("tag", "concat_ws('\t', if(strand = 1, '-', '+'), concat('chr', chr - 1), s, repeat('A', CAST(e - s AS INT)))"),
-    "refgene": ("gene_region", "concat_ws('\t', id, identifier, concat('chr', chr - 1), if(strand = 1, '-', '+'), s, e)"),
-    "bed": ("gene_region", "concat_ws('\t', concat('chr', chr - 1), s, e, identifier, 0, if(strand = 1, '-', '+'))"),
-    "macs": ("peak", "concat_ws('\t', concat('chr', chr - 1), s, e, e - s, s + 100, id % 1000, id % 70, id % 30)"),
-    "sicer": ("peak", "concat_ws('\t', concat('chr', chr - 1), s, e, id % 1000, id % 9, concat('1.5e-', id % 50), id % 30, '0.25')"),
-    "bed_peaks": ("peak", "concat_ws('\t', concat('chr', chr - 1), s, e, id, id % 1000)"),
+    "sam": ("tag", f"""CASE WHEN s % 97 = 0 THEN concat('@CO\t', s) WHEN s % 11 = 0 THEN concat_ws('\t', 'q', 0, {NAME}) ELSE concat_ws('\t', 'q',
+        strand * 16 + CASE s % 7 WHEN 0 THEN 4 WHEN 1 THEN 256 WHEN 2 THEN 2048 ELSE 0 END, {NAME}, s + 1, s % 40, '*', '*', 0, 0, {SEQ}, '*') END"""),
+    "bowtie": ("tag", f"concat_ws('\t', 'q', {SIGN}, {NAME}, s, {SEQ}, '*')"),
+    "tags": ("tag", f"concat_ws('\t', {SIGN}, {NAME}, s, {SEQ})"),
+    "chrominfo": ("chromosome", "concat_ws('\t', if(id % 9 = 0, concat(name, '_random'), name), length - 1, 'path')"),
+    "refgene": ("gene_region", f"concat_ws('\t', id, identifier, {NAME}, {SIGN}, s, e)"),
+    "bed": ("gene_region", f"concat_ws('\t', {NAME}, s, e, identifier, 0, {SIGN})"),
+    "bed_rna": ("noncoding", f"if(id % 3 = 0, null, concat_ws('\t', {NAME}, s, e, concat('FR', id), 0, {SIGN}))"),
+    "summary": ("noncoding", """concat('"FR', id, '",a,"', description, ', note",', type, ',', if(id % 4 = 0, 'Homo sapiens', 'Mus musculus (mouse)'), ',src', id % 5, ',9')"""),
+    "macs": ("peak", f"concat_ws('\t', {NAME}, s, e, e - s, s + 100, id % 1000, id % 70, id % 30)"),
+    "sicer": ("peak", f"concat_ws('\t', {NAME}, s, e, id % 1000, id % 9, concat('1.5e-', id % 50), id % 30, '0.25')"),
+    "bed_peaks": ("peak", f"concat_ws('\t', {NAME}, s, e, id, id % 1000)"),
+    "homer": ("peak", f"concat_ws('\t', concat('p', id), {NAME}, s, e, if(id % 2 = 0, '+', '-'), id % 1000, 0.5, id % 90, concat('2.5e-', id % 40), id % 30)"),
+}
+HEADS = {
+    "summary": "ID,acc,Description,SO name,Organism,Xref,Length",
+    "bed": "chrom\tstart\tend\tname\tscore\tstrand",
+    "homer": "#PeakID\tchr\tstart\tend\tstrand\tNormalized Tag Count\tfocus ratio\tfindPeaks Score\tp-value vs Local\tFold Change vs Local",
 }
 
 
 def _text(spark, d, name):
     source, line = LINES[name]
-    return stored_text(view(spark, d, source).select(F.expr(line).alias("value")), name)
+    lines = view(spark, d, source)
+    if name == "chrominfo":  # one file, as ids go by its order
+        lines = lines.orderBy("id").coalesce(1)
+    lines = lines.select(F.expr(line).alias("value")).where("value is not null")
+    if name in HEADS and name != "bed":
+        lines = lines.unionByName(spark.createDataFrame([(HEADS[name],)], lines.schema))
+    return stored_text(lines, name)
+
+
+def _intervals(spark, d):
+    """Intervals of a file with a header line."""
+    source, line = LINES["bed"]
+    lines = view(spark, d, source).select(F.expr(line).alias("value"))
+    return readers.read_intervals(spark, stored_text(lines.unionByName(spark.createDataFrame([(HEADS["bed"],)], lines.schema)), "intervals"))
+
+
+def _rna(spark, d):
+    regions, summary = readers.read_bed_regions(spark, _text(spark, d, "bed_rna")), readers.read_ncrna_summary(spark, _text(spark, d, "summary"), "Mus musculus")
+    return regions, summary, N.noncoding_rna(summary, regions)
+
+
+def _rna_regions(spark, d):
+    return N.noncoding_regions(*_rna(spark, d), view(spark, d, "chromosome"))
+
+
+def _gene_regions(spark, d):
+    genes = readers.read_refgene(spark, _text(spark, d, "refgene"))
+    return N.gene_regions(genes, N.sequence_identifiers(genes), view(spark, d, "chromosome"), P.gene_margin)
+
+
+#: Thresholds of a second final set over the prep tables of the first.
+STRICTER = replace(P, min_one_run_tags=5)
+
+
+def _saved(spark, d):
+    store = AtlasStore(spark, scratch(spark, "atlas"))
+    save_atlas(store, atlas(spark, d))
+    return store
+
+
+def _rebuilt(spark, d):
+    store = _saved(spark, d)
+    rebuild_final(store, *(view(spark, d, x) for x in ("gene_region", "noncoding", "run")), STRICTER)
+    return store.read("transcripts")
+
+
+def _grown(spark, d):
+    """Two runs first, then the third."""
+    store, flagged = AtlasStore(spark, scratch(spark, "atlas")), _flagged(spark, d)
+    add_runs(store, flagged.where("run_id < 3"), P)
+    add_runs(store, flagged.where("run_id = 3"), P)
+    return store
+
+
+def _track(spark, d):
+    path = scratch(spark, "track")
+    write_bed(kept_atlas(spark, d).transcripts, view(spark, d, "chromosome"), path, "transcripts", P.min_score)
+    return spark.read.text(path).select(F.col("strand").cast("int").alias("strand"), F.col("value").alias("line"))
 
 
 def _tags4(spark, d, flip=False):
@@ -83,25 +167,26 @@ def _evaluated(f):
 
     def run(spark, d):
         plain = lambda df: df.select("chr", "strand", "s", "e")
-        return f(plain(view(spark, d, "gene_region")), plain(atlas(spark, d).transcripts))
+        return f(plain(view(spark, d, "gene_region")), plain(kept_atlas(spark, d).transcripts))
 
     return run
 
 
-def _error_matrix(spark, d):
+def _matrix(spark, d):
     sets = _protos(spark, d).withColumn("least", F.explode(F.array(*map(F.lit, LEAST_TAGS)))).where("tag_count >= least")
-    out = E.grid_error_matrix(view(spark, d, "gene_region"), sets, "run_id", "least", LEAST_TAGS, P.bin)
-    return out.select("run_id", *[F.round(F.col(str(x)), 6).alias(f"error_{x}") for x in LEAST_TAGS])
+    return E.grid_error_matrix(view(spark, d, "gene_region"), sets, "run_id", "least", LEAST_TAGS, P.bin)
 
 
-def queries() -> dict:
-    from dataclasses import replace
+def _error_matrix(spark, d):
+    return _matrix(spark, d).select("run_id", *[F.round(F.col(str(x)), 6).alias(f"error_{x}") for x in LEAST_TAGS])
 
+
+def queries() -> dict:
     def tags(f):
         return lambda spark, d: f(view(spark, d, "tag"), spark, d)
 
     def on(f):
-        return lambda spark, d: f(atlas(spark, d))
+        return lambda spark, d: f(kept_atlas(spark, d))
 
     def q(name, *args, rounded=(), **kw):
         return lambda spark, d: _round(getattr(_analysis(spark, d), name)(*args, **kw), *rounded)
@@ -109,21 +194,29 @@ def queries() -> dict:
     def peak(**kw):
         return lambda spark, d: _analysis(spark, d).distal_peak(view(spark, d, "peak"), **kw)
 
+    def whole(t):
+        return _round(t, "rpkm", "score", "standard_error").select(*FINAL, "distal", "parent_id", "rpkm", "score", "standard_error")
+
     proto = ["run_id", "chr", "strand", "s", "e", "refseq", "tag_count", "gaps"]
     gapped = replace(P, max_gap=5, block=500)
     return {
-        "run_registry": lambda spark, d: view(spark, d, "run"),
+        "run_registry": tags(lambda t, *_: N.run_registry(t)),
         "collapse_tags": tags(lambda t, *_: T.collapse_tags(t)),
-        "union_runs_distinct": tags(lambda t, *_: t.select("chr", "s", "e", F.when(F.col("strand") == 0, "+").otherwise("-").alias("sign")).distinct()),
+        "union_runs_distinct": tags(lambda t, *_: T.union_of_runs(t)),
         "extend_tags": tags(lambda t, spark, d: T.extend_tags(t, view(spark, d, "chromosome"), 200).select("run_id", "chr", "strand", "s", "e")),
         "segment_in_range": tags(lambda t, *_: T.in_range(t, 1000, 3000, 1)),
         "flag_refseq": _flagged,
         "proto_transcripts": lambda spark, d: _protos(spark, d).select(*proto),
         "proto_transcripts_gap": lambda spark, d: T.check_protos(_protos(spark, d, gapped)).select(*proto),
+        "proto_transcripts_extended": lambda spark, d: T.proto_transcripts(_flagged(spark, d), replace(P, tag_extension=200), view(spark, d, "chromosome")).select(*proto),
         "proto_source": lambda spark, d: _round(_protos(spark, d), "run_density").select("run_id", "chr", "strand", "e", "tag_count", "run_density"),
         "stitch_transcripts": lambda spark, d: _stitched(spark, d)[0].select(*FINAL, "n"),
         "stitched_source": lambda spark, d: _stitched(spark, d)[1],
+        "cluster_lineage": lambda spark, d: _lineage(spark, d).select("id", "run_id", "s", "e"),
+        "incremental_stitch": lambda spark, d: _grown(spark, d).read("stitched").select(*FINAL, "n"),
+        "incremental_source": lambda spark, d: _grown(spark, d).read("stitched_sources").select("id", "chr", "run_id", "tag_count", "gaps"),
         "set_density": lambda spark, d: _round(_density(spark, d), "density").select("id", "density"),
+        "set_density_null_only": lambda spark, d: _round(_density_of_null_only(spark, d), "density").select("id", "density"),
         "allowed_edge": lambda spark, d: _round(T.allowed_edge(_density(spark, d), view(spark, d, "gene_region"), P), "edge").select("id", "edge"),
         "allowed_edge_no_ext": lambda spark, d: _round(T.allowed_edge(_density(spark, d), view(spark, d, "gene_region"), P, extend=False), "edge").select("id", "edge"),
         "above_threshold": on(lambda a: T.above_threshold(a.prep, a.prep_sources, P).select("id")),
@@ -138,7 +231,9 @@ def queries() -> dict:
         "atlas_score": on(lambda a: _round(a.transcripts, "score").select("id", "score")),
         "standard_error": on(lambda a: _round(a.transcripts, "standard_error").select("id", "standard_error")),
         "filtered_transcripts": on(lambda a: a.transcripts.where(F.col("score") >= P.min_score).select(*FINAL)),
-        "atlas_pipeline": on(lambda a: _round(a.transcripts, "rpkm", "score", "standard_error").select(*FINAL, "distal", "parent_id", "rpkm", "score", "standard_error")),
+        "atlas_pipeline": lambda spark, d: whole(atlas(spark, d).transcripts),
+        "persisted_atlas": lambda spark, d: whole(_saved(spark, d).read("transcripts")),
+        "rebuilt_final": lambda spark, d: whole(_rebuilt(spark, d)),
         "q_bases_per_strand": q("bases_per_strand"),
         "q_totals": q("totals"),
         "q_refseq_major_minor": q("refseq_major_minor"),
@@ -168,18 +263,31 @@ def queries() -> dict:
         "read_tags4": lambda spark, d: readers.read_tags(spark, _text(spark, d, "tags")),
         "normalize_tags": _tags4,
         "normalize_tags_flipped": lambda spark, d: _tags4(spark, d, True),
+        "load_chromosome": lambda spark, d: readers.read_chromosomes(spark, _text(spark, d, "chrominfo")),
+        "load_ncrna_summary": lambda spark, d: readers.read_ncrna_summary(spark, _text(spark, d, "summary"), "Mus musculus"),
+        "read_intervals": lambda spark, d: _intervals(spark, d).drop("file"),
+        "normalize_intervals": lambda spark, d: E.normalize_intervals(_intervals(spark, d)),
+        "gene_regions": _gene_regions,
+        "noncoding_rna": lambda spark, d: _rna(spark, d)[2],
+        "noncoding_regions": _rna_regions,
+        "refseq_transcripts": lambda spark, d: _round(N.consolidated_genes(view(spark, d, "gene_region"), P), "density", "edge"),
+        "first_region": lambda spark, d: N.first_regions(view(spark, d, "gene_region"), "identifier"),
+        "first_noncoding_region": lambda spark, d: N.first_regions(view(spark, d, "noncoding"), "type"),
         "load_refgene": lambda spark, d: readers.read_refgene(spark, _text(spark, d, "refgene")),
         "load_bed_regions": lambda spark, d: readers.read_bed_regions(spark, _text(spark, d, "bed")),
         "peaks_macs": _peaks(readers.read_macs, "macs", "tag_count", "log_ten_p_value", "fold_enrichment"),
         "peaks_sicer": _peaks(readers.read_sicer, "sicer", "tag_count", "p_value", "fold_enrichment", "fdr_threshold"),
         "peaks_bed": _peaks(readers.read_bed_peaks, "bed_peaks", "score"),
+        "peaks_homer": _peaks(readers.read_homer, "homer", "tag_count", "score", "p_value", "fold_enrichment"),
         "count_broken": _evaluated(lambda g, t: E.count_broken(g, t, width=P.bin)),
         "count_run_together": _evaluated(lambda g, t: E.count_run_together(g, t, width=P.bin)),
         "summed_error": _evaluated(lambda g, t: _round(E.summed_error(g, t, width=P.bin), "error")),
         "compare_sets": _evaluated(lambda g, t: _round(E.compare_sets(g, t, P.bin), "forward", "backward")),
         "grid_error_matrix": _error_matrix,
-        "sequence_identifiers": lambda spark, d: view(spark, d, "gene_region").select("identifier", F.when(F.col("identifier").startswith("NM"), "mRNA").when(F.col("identifier").startswith("NR"), "RNA").alias("type")).distinct(),
-        "bed_rows": lambda spark, d: bed_rows(atlas(spark, d).transcripts, view(spark, d, "chromosome"), P.min_score),
+        "grid_best_setting": lambda spark, d: _round(E.best_setting(_matrix(spark, d), "run_id", LEAST_TAGS), "error"),
+        "sequence_identifiers": lambda spark, d: N.sequence_identifiers(readers.read_refgene(spark, _text(spark, d, "refgene"))),
+        "bed_track": _track,
+        "bed_rows": lambda spark, d: bed_rows(kept_atlas(spark, d).transcripts, view(spark, d, "chromosome"), P.min_score),
     }
 
 
@@ -198,13 +306,17 @@ ID = "CAST((chr * 2 + strand) * 1000000000000 + {} AS BIGINT)"
 LEN = "(e - s + 1)"
 
 
-def _prelude() -> str:
+def _prelude(least_tags: int = 3) -> str:
     views = ",\n".join(f"{k} AS ({v})" for k, v in VIEWS.items())
     return f"""WITH {views},
 flagged AS (SELECT run_id, chr, strand, s, e, count(*) AS tag_count, EXISTS (SELECT 1 FROM gene_region g WHERE g.chr = t.chr AND g.strand = t.strand AND g.s <= t.e AND t.s <= g.e) AS refseq
   FROM tag t GROUP BY run_id, chr, strand, s, e),
 {_fold("proto", "flagged", "run_id, chr, strand", "s, e", 0, "")},
 {_fold("protogap", "flagged", "run_id, chr, strand", "s, e", 5, "")},
+extended AS (SELECT run_id, chr, strand, f.s AS own_s, f.e AS own_e, greatest(CASE WHEN strand = 1 THEN f.s - 200 ELSE f.s END, 0) AS s, least(CASE WHEN strand = 0 THEN f.e + 200 ELSE f.e END, length - 1) AS e, refseq, tag_count
+  FROM flagged f JOIN chromosome c ON c.id = f.chr),
+{_fold("protoext", "extended", "run_id, chr, strand", "own_s, own_e", 0, "")},
+{_fold("merged", "(SELECT 0 AS run_id, chr, strand, s, e, true AS refseq, count(*) AS tag_count FROM gene_region GROUP BY chr, strand, s, e)", "run_id, chr, strand", "s, e", 0, "")},
 {_fold("st", "(SELECT run_id, chr, strand, s, e, refseq, tag_count, gaps AS g FROM proto)", "chr, strand", "s, e, run_id", 0, "")},
 stitched AS (SELECT {ID.format("e")} AS id, chr, strand, CASE WHEN n = 1 THEN first_s ELSE s END AS s, e, refseq, n FROM st),
 ssource AS (SELECT {ID.format("ce")} AS id, chr, run_id, CAST(sum(tag_count) AS BIGINT) AS tag_count, CAST(sum(g) AS BIGINT) AS gaps
@@ -212,7 +324,7 @@ ssource AS (SELECT {ID.format("ce")} AS id, chr, run_id, CAST(sum(tag_count) AS
 dens AS (SELECT t.*, greatest(0.0, 1000.0::DOUBLE * x.tags / (x.runs * {LEN})) AS density FROM stitched t JOIN (SELECT id, sum(tag_count) AS tags, count(*) AS runs FROM ssource GROUP BY id) x USING (id)),
 reach AS (SELECT t.id, max(least(g.e - t.e + 1, (g.e - g.s + 1) * 0.2::DOUBLE)) AS o FROM dens t JOIN gene_region g ON g.chr = t.chr AND g.strand = t.strand AND t.e BETWEEN g.s AND g.e GROUP BY t.id),
 prep AS (SELECT t.*, CASE WHEN o IS NOT NULL THEN greatest(60.0::DOUBLE, o) ELSE 60.0::DOUBLE * least(density / 25.0::DOUBLE, 1.0::DOUBLE) END AS edge FROM dens t LEFT JOIN reach USING (id)),
-thr AS (SELECT * FROM prep WHERE id IN (SELECT id FROM ssource GROUP BY id HAVING avg(tag_count) > 1 AND (count(*) > 1 OR avg(tag_count) >= 3))),
+thr AS (SELECT * FROM prep WHERE id IN (SELECT id FROM ssource GROUP BY id HAVING avg(tag_count) > 1 AND (count(*) > 1 OR avg(tag_count) >= {least_tags}))),
 clos AS (SELECT a.id, a.chr, a.strand, a.s, a.refseq, greatest(max(b.e), a.e) AS max_end FROM thr a LEFT JOIN thr b ON a.chr = b.chr AND a.strand = b.strand AND a.refseq = b.refseq AND a.s <= b.s
   AND (b.s - a.e) * (b.s - a.e) + (b.density - a.density) * (b.density - a.density) <= a.edge * a.edge GROUP BY a.id, a.chr, a.strand, a.s, a.refseq, a.e),
 dr AS (SELECT *, coalesce(s > max(max_end) OVER (PARTITION BY chr, strand ORDER BY s, max_end, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS b FROM clos),
@@ -257,11 +369,11 @@ def _error_sql(reference: str, target: str) -> str:
     return f"((SELECT avg(CAST(broken AS DOUBLE)) FROM {_broken_sql(known, target)}) + (SELECT avg(CAST(broken AS DOUBLE)) FROM {_broken_sql(target, known)}))"
 
 
-def _matrix_sql() -> str:
+def _matrix_sql(digits: int = 6) -> str:
     sets = "(SELECT run_id, least, chr, strand, s, e FROM proto, (VALUES (1), (2), (3)) v(least) WHERE tag_count >= least)"
     known = f"(SELECT x.run_id, x.least, g.chr, g.strand, g.s, g.e FROM gene_region g JOIN (SELECT DISTINCT run_id, least, chr, strand FROM {sets}) x ON x.chr = g.chr AND x.strand = g.strand)"
     share = lambda a, b: f"(SELECT run_id, least, avg(CAST(broken AS DOUBLE)) AS x FROM {_broken_sql(a, b, 'run_id, least, ')} GROUP BY run_id, least)"
-    cells = ", ".join(f"round(max(a.x + b.x) FILTER (a.least = {x}), 6) AS error_{x}" for x in LEAST_TAGS)
+    cells = ", ".join(f"round(max(a.x + b.x) FILTER (a.least = {x}), {digits}) AS error_{x}" for x in LEAST_TAGS)
     return f"SELECT a.run_id, {cells} FROM {share(known, sets)} a JOIN {share(sets, known)} b USING (run_id, least) GROUP BY a.run_id"
 
 
@@ -275,8 +387,33 @@ def oracle_sql() -> dict[str, str]:
     sign, chrom = "CASE WHEN strand = 1 THEN '-' ELSE '+' END AS strand_char", "concat('chr', chr - 1) AS chromosome"
     tag = f"SELECT {sign}, {chrom}, s AS start, repeat('A', e - s) AS sequence FROM tag"
     region = f"SELECT identifier, {chrom}, {sign}, s, e FROM gene_region"
+    whole = f"SELECT {final}, distal, parent_id, round(rpkm, 6) AS rpkm, round(score, 6) AS score, round(standard_error, 6) AS standard_error FROM t"
+    score = "round(score / (SELECT max(score) FROM t) * 1000, 6)"
+    line = f"""concat_ws(chr(9), name, greatest(s, 0), least(e, length), concat('Transcript_', b.id), {score},
+  CASE WHEN strand = 0 THEN '+' ELSE '-' END, greatest(s, 0), least(e, length), CASE WHEN strand = 0 THEN '0,0,255' ELSE '0,255,0' END) AS line FROM t b JOIN chromosome c ON c.id = b.chr WHERE score >= 1"""
+    rna = "concat('FR', id, ': ', description, ', note') AS description"
     own = {
-        "read_sam": tag + " WHERE s % 40 >= 10",
+        "read_sam": tag + " WHERE s % 40 >= 10 AND s % 97 <> 0 AND s % 11 <> 0 AND s % 7 <> 1 AND NOT (s % 7 = 0 AND strand = 0)",
+        "load_chromosome": "SELECT row_number() OVER (ORDER BY id) AS id, name, length FROM chromosome WHERE id % 9 <> 0",
+        "load_ncrna_summary": "SELECT concat('FR', id) AS id, concat(description, ', note') AS description, type, concat('src', id % 5) AS source FROM noncoding WHERE id % 4 <> 0",
+        "read_intervals": f"SELECT concat('chr', chr - 1) AS chr, s AS start, e AS \"end\", {sign.replace('strand_char', 'strand')} FROM gene_region",
+        "normalize_intervals": "SELECT concat('chr', chr - 1) AS chr, strand, s, e FROM gene_region",
+        "gene_regions": "SELECT identifier, type, chr, strand, s, e, s - 1000 AS wide_s, e + 1000 AS wide_e, ts AS site_s, te AS site_e FROM sites",
+        "noncoding_rna": f"SELECT type, {rna}, concat('src', id % 5) AS source FROM noncoding WHERE id % 4 <> 0 AND id % 3 <> 0",
+        "noncoding_regions": f"SELECT type, {rna}, chr, CASE WHEN strand = 1 THEN 1 ELSE 0 END AS strand, s, e FROM noncoding WHERE id % 4 <> 0 AND id % 3 <> 0",
+        "refseq_transcripts": f"SELECT * REPLACE (round(density, 6) AS density), round(60.0::DOUBLE * least(density / 25.0::DOUBLE, 1.0::DOUBLE), 6) AS edge FROM (SELECT {ID.format('e')} AS id, chr, strand, s, e, refseq, 1000.0::DOUBLE * tag_count / {LEN} AS density FROM merged)",
+        "first_region": "SELECT identifier, id, chr, strand, s, e FROM gene_region QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY s, id) = 1",
+        "first_noncoding_region": "SELECT type, id, chr, strand, s, e FROM noncoding QUALIFY row_number() OVER (PARTITION BY type ORDER BY s, id) = 1",
+        "proto_transcripts_extended": f"SELECT {proto} FROM protoext",
+        "cluster_lineage": f"SELECT {ID.format('ce')} AS id, run_id, s, e FROM (SELECT *, max(e) OVER (PARTITION BY chr, strand, cid) AS ce FROM st4)",
+        "incremental_stitch": f"SELECT {final}, n FROM stitched",
+        "incremental_source": "SELECT * FROM ssource",
+        "set_density_null_only": "SELECT id, round(CASE WHEN n = 1 THEN 0.5::DOUBLE ELSE density END, 6) AS density FROM dens",
+        "persisted_atlas": whole,
+        "rebuilt_final": whole,
+        "peaks_homer": "SELECT chr, s, e, CASE WHEN id % 2 = 0 THEN 0 ELSE 1 END AS strand, e - s AS length, CAST(id % 1000 AS DOUBLE) AS tag_count, CAST(id % 90 AS DOUBLE) AS score, 2.5::DOUBLE AS p_value, CAST(-(id % 40) AS INT) AS p_value_exp, CAST(id % 30 AS DOUBLE) AS fold_enrichment FROM peak",
+        "grid_best_setting": f"SELECT run_id, col AS column, round(error, 6) AS error FROM (UNPIVOT (SELECT run_id, error_1 AS \"1\", error_2 AS \"2\", error_3 AS \"3\" FROM ({_matrix_sql(20)})) ON \"1\", \"2\", \"3\" INTO NAME col VALUE error) ORDER BY error, run_id, col LIMIT 1",
+        "bed_track": f"SELECT strand, line FROM (SELECT strand, {line}) UNION ALL SELECT v.strand, concat('track name=transcripts_', v.strand, ' description=\"Transcripts, ', CASE WHEN v.strand = 0 THEN '+' ELSE '-' END, ' strand\" useScore=1 itemRgb=On') FROM (VALUES (0), (1)) v(strand)",
         "read_bowtie": tag,
         "read_tags4": tag,
         "normalize_tags": "SELECT chr, strand, s, e FROM tag",
@@ -286,7 +423,7 @@ def oracle_sql() -> dict[str, str]:
         "peaks_macs": "SELECT chr, s, e, e - s AS length, s + 100 AS summit, CAST(id % 1000 AS DOUBLE) AS tag_count, CAST(id % 70 AS DOUBLE) AS log_ten_p_value, CAST(id % 30 AS DOUBLE) AS fold_enrichment FROM peak",
         "peaks_sicer": "SELECT chr, s, e, e - s AS length, CAST(id % 1000 AS DOUBLE) AS tag_count, 1.5::DOUBLE AS p_value, CAST(-(id % 50) AS INT) AS p_value_exp, CAST(id % 30 AS DOUBLE) AS fold_enrichment, 0.25::DOUBLE AS fdr_threshold, 0 AS fdr_threshold_exp FROM peak",
         "peaks_bed": "SELECT chr, s, e, e - s AS length, CAST(id % 1000 AS DOUBLE) AS score FROM peak",
-        "run_registry": "SELECT * FROM run",
+        "run_registry": "SELECT r AS id, concat('run_', r) AS source_table, (SELECT count(*) FROM tag WHERE run_id = r) AS total_tags FROM (VALUES (1), (2), (3)) v(r) UNION ALL SELECT 0, 'gene_regions', NULL",
         "collapse_tags": "SELECT run_id, chr, strand, s, e, count(*) AS tag_count FROM tag GROUP BY ALL",
         "union_runs_distinct": "SELECT DISTINCT chr, s, e, CASE WHEN strand = 0 THEN '+' ELSE '-' END AS sign FROM tag",
         "extend_tags": "SELECT run_id, chr, strand, greatest(CASE WHEN strand = 1 THEN s - 200 ELSE s END, 0) AS s, least(CASE WHEN strand = 0 THEN e + 200 ELSE e END, length - 1) AS e FROM tag JOIN chromosome c ON c.id = chr",
@@ -312,7 +449,7 @@ def oracle_sql() -> dict[str, str]:
         "atlas_score": "SELECT id, round(score, 6) AS score FROM t",
         "standard_error": "SELECT id, round(standard_error, 6) AS standard_error FROM t",
         "filtered_transcripts": f"SELECT {final} FROM t WHERE score >= 1",
-        "atlas_pipeline": f"SELECT {final}, distal, parent_id, round(rpkm, 6) AS rpkm, round(score, 6) AS score, round(standard_error, 6) AS standard_error FROM t",
+        "atlas_pipeline": whole,
         "q_bases_per_strand": f"SELECT strand, CAST(sum{LEN} AS BIGINT) AS bases FROM t GROUP BY strand",
         "q_totals": "SELECT count(*) AS n_all, count(*) FILTER (score >= 1) AS n_1, count(*) FILTER (score >= 0.75) AS n_75 FROM t WHERE parent_id IS NULL",
         "q_refseq_major_minor": "SELECT major, count(DISTINCT id) AS n FROM ok JOIN anng ON transcript_id = id GROUP BY major",
@@ -343,8 +480,8 @@ def oracle_sql() -> dict[str, str]:
         "compare_sets": f"SELECT round({_error_sql('gene_region', 'final')}, 6) AS forward, round({_error_sql('final', 'gene_region')}, 6) AS backward",
         "grid_error_matrix": _matrix_sql(),
         "sequence_identifiers": "SELECT DISTINCT identifier, CASE substr(identifier, 1, 2) WHEN 'NM' THEN 'mRNA' WHEN 'NR' THEN 'RNA' END AS type FROM gene_region",
-        "bed_rows": """SELECT strand, chr, s AS start, concat_ws(chr(9), name, greatest(s, 0), least(e, length), concat('Transcript_', b.id), CAST(floor(round(score / (SELECT max(score) FROM t) * 1000, 6)) AS BIGINT),
-  CASE WHEN strand = 0 THEN '+' ELSE '-' END, greatest(s, 0), least(e, length), CASE WHEN strand = 0 THEN '0,0,255' ELSE '0,255,0' END) AS line FROM t b JOIN chromosome c ON c.id = b.chr WHERE score >= 1""",
+        "bed_rows": f"SELECT strand, chr, s AS start, {line}",
     }
+    heads = {"rebuilt_final": _prelude(STRICTER.min_one_run_tags)}
     head = _prelude()
-    return {k: head + v for k, v in own.items()}
+    return {k: heads.get(k, head) + v for k, v in own.items()}

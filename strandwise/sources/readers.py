@@ -7,7 +7,7 @@ Tag readers give (strand_char, chromosome, start, sequence), as
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -89,11 +89,22 @@ def read_bed_regions(spark: SparkSession, path) -> DataFrame:
 
 
 def read_ncrna_summary(spark: SparkSession, path, species: str) -> DataFrame:
-    """(id, description) of rows whose organism contains the species, at most 255 characters each."""
+    """(id, description, type, source) of rows whose organism contains the species, at most 255 characters each; header lines are left out."""
     names = ["id", "acc", "description", "so_name", "organism", "xref", "length"]
-    rows = spark.read.csv(path, header=True, quote='"', escape='"', schema=", ".join(f"{n} string" for n in names), enforceSchema=True)
-    kept = rows.where(F.col("organism").contains(species) & (F.trim("id") != ""))
-    return kept.select(F.substring("id", 1, 255).alias("id"), F.substring("description", 1, 255).alias("description"))
+    rows = spark.read.csv(path, quote='"', escape='"', schema=", ".join(f"{n} string" for n in names))
+    kept = rows.where(F.col("organism").contains(species) & (F.trim("id") != "") & (F.col("id") != "ID"))
+    short = lambda c, name: F.substring(c, 1, 255).alias(name)
+    return kept.select(short("id", "id"), short("description", "description"), short("so_name", "type"), short("xref", "source"))
+
+
+def read_chromosomes(spark: SparkSession, path) -> DataFrame:
+    """(id, name, length) of lines (name, last base): sequences with a plain name, numbered in the order of the file.
+
+    A genome has few sequences, so numbering them takes one task.
+    """
+    rows = _fields(spark, path).select(F.monotonically_increasing_id().alias("place"), _at(0).alias("name"), (_at(1, "long") + 1).alias("length"))
+    kept = rows.where(F.col("name").rlike(CHROMOSOME) & F.col("length").isNotNull())
+    return kept.select(F.row_number().over(Window.orderBy("place")).cast("long").alias("id"), "name", "length")
 
 
 def read_intervals(spark: SparkSession, path) -> DataFrame:

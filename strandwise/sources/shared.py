@@ -22,15 +22,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df once and read it back, so that several later steps share it and lost executors do not repeat it."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stored_text(lines: DataFrame, name: str) -> str:
     """The path of a folder of text files with the lines (value)."""
-    path = f"{shared_dir(lines.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch(lines.sparkSession, name)
     lines.write.text(path)
     return path

@@ -35,6 +35,63 @@ def test_segments_equal_the_fold(spark, gap, block):
         assert sorted(got[g]) == fold([r[1:] for r in rows if r[0] == g], gap)
 
 
+def test_extended_tags_keep_their_order(spark):
+    from strandwise.operators.transcripts import Parameters, proto_transcripts
+
+    tags = spark.createDataFrame([(1, 1, 0, 10, 20, False, 1), (1, 1, 0, 30, 40, False, 2), (1, 1, 1, 90, 98, True, 1)], "run_id int, chr int, strand int, s long, e long, refseq boolean, tag_count long")
+    chromosomes = spark.createDataFrame([(1, "chr1", 100)], "id int, name string, length long")
+    with pytest.raises(ValueError, match="lengths"):
+        proto_transcripts(tags, Parameters(tag_extension=10))
+    for block in (None, 7):
+        got = {(r.strand, r.s, r.e, r.tag_count) for r in proto_transcripts(tags, Parameters(tag_extension=10, block=block), chromosomes).collect()}
+        assert got == {(0, 10, 50, 3), (1, 80, 98, 1)}
+
+
+def test_new_runs_change_their_chromosomes_only(spark, tmp_path):
+    from strandwise.operators.transcripts import Parameters, proto_transcripts, stitch
+    from strandwise.plans.store import AtlasStore, add_runs
+
+    rng = random.Random(5)
+    rows = [(1 + i % 2, c, i % 2, s := rng.randrange(300), s + rng.randrange(1, 30), rng.random() < 0.3, 1) for i in range(60) for c in (1, 2, 3)]
+    rows += [(3, 2, 0, s := rng.randrange(300), s + 20, False, 1) for _ in range(15)]
+    tags = spark.createDataFrame(rows, "run_id int, chr int, strand int, s long, e long, refseq boolean, tag_count long").dropDuplicates(["run_id", "chr", "strand", "s", "e"])
+    p, store = Parameters(block=50), AtlasStore(spark, str(tmp_path / "atlas"))
+    add_runs(store, tags.where("run_id < 3"), p)
+    files = {c: sorted(f.name for f in (tmp_path / "atlas" / "stitched" / f"chr={c}").glob("*.parquet")) for c in (1, 2, 3)}
+    add_runs(store, tags.where("run_id = 3"), p)
+    changed = {c for c in files if files[c] != sorted(f.name for f in (tmp_path / "atlas" / "stitched" / f"chr={c}").glob("*.parquet"))}
+    assert changed == {2}
+    stitched, sources = stitch(proto_transcripts(tags, p), p)
+    for name, want in (("stitched", stitched.drop("cluster")), ("stitched_sources", sources)):
+        got = store.read(name).select(*want.columns)
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_a_tracks_files_in_order_are_the_track(spark, tmp_path):
+    from strandwise.operators.analysis import write_bed
+
+    rng = random.Random(6)
+    rows = [(i, c := rng.randrange(1, 4), rng.randrange(2), s := rng.randrange(-5, 900), s + 200, 1 + rng.random()) for i in range(300)]
+    t = spark.createDataFrame(rows, "id long, chr int, strand int, s long, e long, score double")
+    chromosomes = spark.createDataFrame([(c, f"chr{c}", 1000) for c in (1, 2, 3)], "id int, name string, length long")
+    write_bed(t, chromosomes, str(tmp_path / "bed"), "mine")
+    for strand in (0, 1):
+        lines = [x for f in sorted((tmp_path / "bed" / f"strand={strand}").glob("part-*")) for x in f.read_text().splitlines()]
+        assert lines[0].startswith(f"track name=mine_{strand} ") and len(lines) == 1 + sum(r[2] == strand for r in rows)
+        cells = [x.split("\t") for x in lines[1:]]
+        assert [(c[0], int(c[3][11:])) for c in cells] == [(f"chr{r[1]}", r[0]) for r in sorted((r for r in rows if r[2] == strand), key=lambda r: (r[1], r[3], f"chr{r[1]}\t{max(r[3], 0)}\t{min(r[4], 1000)}\tTranscript_{r[0]}"))]
+        assert all(0 <= int(c[1]) and int(c[2]) <= 1000 for c in cells)
+
+
+@pytest.mark.parametrize("salt", [3, 8])
+def test_salted_bins_give_the_same_pairs(spark, salt):
+    rng = random.Random(salt)
+    rows = [(i, 1, s := rng.randrange(100), s + rng.randrange(50)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, chr int, s long, e long")
+    pairs = lambda **kw: sorted((r.l.id, r.r.id) for r in overlap_pairs(df, df, width=10, **kw).collect())
+    assert pairs(salt=salt) == pairs()
+
+
 @pytest.mark.parametrize("width", [1, 7, 100, 5000])
 def test_overlap_join_equals_the_plain_condition(spark, width):
     rng = random.Random(width)

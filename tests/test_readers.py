@@ -47,7 +47,9 @@ def test_annotation(spark, write, tmp_path):
     assert R.read_bed_regions(spark, str(tmp_path / "none")).count() == 0
     summary = tmp_path / "s.csv"
     summary.write_text('ID,acc,Description,SO name,Organism,Xref,Length\n"r1",a,"one, two",x,"Mus musculus (mouse)",y,3\n"",a,b,x,Mus musculus,y,3\nr2,a,b,x,Homo sapiens,y,3\n')
-    assert list(map(tuple, R.read_ncrna_summary(spark, str(summary), "Mus musculus").collect())) == [("r1", "one, two")]
+    assert list(map(tuple, R.read_ncrna_summary(spark, str(summary), "Mus musculus").collect())) == [("r1", "one, two", "x", "y")]
+    info = write("chromInfo.txt", ("chrX", 9, "p"), ("chr1_random", 5, "p"), ("chr1", 19, "p"))
+    assert list(map(tuple, R.read_chromosomes(spark, info).collect())) == [(1, "chrX", 10), (2, "chr1", 20)]
     assert tuple(R.read_intervals(spark, write("g.bed", ("chr", "start", "end"), ("chr1", 1, 5, ".", ".", "+"))).first())[:4] == ("chr1", 1, 5, "+")
 
 
