@@ -7,6 +7,7 @@ boolean column. Nothing is shuffled and no user function runs.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -64,36 +65,38 @@ def with_metrics(df: DataFrame, text: str = "text", stop_words: list[str] | None
     texts.
     """
     stops = list(stop_words or STOP_WORDS)
-    out = df.withColumn("_t", body(text))
-    out = out.withColumn("_w", F.array_remove(F.split("_t", f"[{SPACE}]+"), ""))
-    out = out.withColumn("_l", F.filter(F.split("_t", "\n"), lambda x: x.rlike(f"[^{SPACE}]")))
+    # Names that no column of df has.
+    t_, w_, l_, h_, g_, p_ = (f"{name}-{uuid.uuid4().hex}" for name in "twlhgp")
+    out = df.withColumn(t_, body(text))
+    out = out.withColumn(w_, F.array_remove(F.split(t_, f"[{SPACE}]+"), ""))
+    out = out.withColumn(l_, F.filter(F.split(t_, "\n"), lambda x: x.rlike(f"[^{SPACE}]")))
     out = out.withColumns(
         {
-            "n_words": F.size("_w").cast("long"),
-            "word_chars": F.length(F.array_join("_w", "")).cast("long"),
-            "n_symbols": (F.length("_t") - F.length(F.regexp_replace("_t", f"[{SYMBOLS}]", ""))).cast("long"),
-            "n_lines": F.size("_l").cast("long"),
-            "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
-            "n_stop_words": F.size(F.filter("_w", lambda x: F.lower(x).isin(stops))).cast("long"),
+            "n_words": F.size(w_).cast("long"),
+            "word_chars": F.length(F.array_join(w_, "")).cast("long"),
+            "n_symbols": (F.length(t_) - F.length(F.regexp_replace(t_, f"[{SYMBOLS}]", ""))).cast("long"),
+            "n_lines": F.size(l_).cast("long"),
+            "n_dup_lines": (F.size(l_) - F.size(F.array_distinct(l_))).cast("long"),
+            "n_stop_words": F.size(F.filter(w_, lambda x: F.lower(x).isin(stops))).cast("long"),
         }
     )
     def windows(make):
-        return F.transform(F.sequence(F.lit(0), F.size("_w") - 3), lambda i: make(i, F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)))
+        return F.transform(F.sequence(F.lit(0), F.size(w_) - 3), lambda i: make(i, F.get(w_, i), F.get(w_, i + 1), F.get(w_, i + 2)))
 
     # Equal windows have equal hashes, so only rows with a repeated hash look at the strings.
-    out = out.withColumn("_h", F.when(F.col("n_words") >= 3, windows(lambda i, a, b, c: F.xxhash64(a, b, c))))
+    out = out.withColumn(h_, F.when(F.col("n_words") >= 3, windows(lambda i, a, b, c: F.xxhash64(a, b, c))))
     strings = windows(lambda i, a, b, c: F.struct(F.xxhash64(a, b, c).alias("h"), F.concat_ws(" ", a, b, c).alias("g"), i.alias("i")))
-    out = out.withColumn("_g", F.when(F.size("_h") > F.size(F.array_distinct("_h")), F.sort_array(strings)))
-    near = lambda k: F.get("_g", k)["g"]
-    marked = F.filter("_g", lambda x, k: F.coalesce(x.g == near(k - 1), F.lit(False)) | F.coalesce(x.g == near(k + 1), F.lit(False)))
-    out = out.withColumn("_p", F.sort_array(F.transform(marked, lambda x: x.i)))
+    out = out.withColumn(g_, F.when(F.size(h_) > F.size(F.array_distinct(h_)), F.sort_array(strings)))
+    near = lambda k: F.get(g_, k)["g"]
+    marked = F.filter(g_, lambda x, k: F.coalesce(x.g == near(k - 1), F.lit(False)) | F.coalesce(x.g == near(k + 1), F.lit(False)))
+    out = out.withColumn(p_, F.sort_array(F.transform(marked, lambda x: x.i)))
     covered = F.aggregate(
-        F.transform("_p", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("_p", k + 1) - p, F.lit(3)))),
+        F.transform(p_, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(p_, k + 1) - p, F.lit(3)))),
         F.lit(0),
         lambda total, x: total + x,
     )
     out = out.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
-    return out.drop("_t", "_w", "_l", "_h", "_g", "_p")
+    return out.drop(t_, w_, l_, h_, g_, p_)
 
 
 def compile_rules(rules=RULES) -> Column:
@@ -110,7 +113,7 @@ def quality(df: DataFrame, text: str = "text", rules=RULES, min_words: int = MIN
     Null and empty texts have no words, so they fail the base rule. Rows are
     judged one by one: ties and repeated rows get the same verdict each, an
     empty table stays empty. Columns of df that have the name of an added one
-    are replaced; others pass through.
+    are replaced, and one named n_stop_words_plus_one is dropped; others pass through.
     """
     out = with_metrics(df, text).withColumn("n_stop_words_plus_one", F.col("n_stop_words") + 1)
     failed = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(max_repeat_percent) * F.col("n_words"))

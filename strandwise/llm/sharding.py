@@ -2,8 +2,10 @@
 
 Equal texts form an atomic group. Groups stand in the order of their digest; a
 shard is a contiguous run of them. The smallest capacity for which a greedy
-fill needs at most the wanted number of shards is found by binary search, and
-the cuts of that fill are the shards' bounds.
+fill needs at most the wanted number of shards is found by binary search. No shard
+is larger than it. Where one large group makes it far larger than the mean, the greedy
+cuts would leave the last shards empty, so every cut moves to the group's end nearest
+to a fair share that still keeps within the capacity (``even``).
 
 The search never sees all groups at once. Summaries of running sizes bound
 every greedy fill from below and above; only the stretches where the bounds
