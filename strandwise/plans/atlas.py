@@ -26,7 +26,7 @@ class Atlas:
 
 def build_prep(tags: DataFrame, genes: DataFrame, p: Parameters, chromosomes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Stitched transcripts with density and edge, and their source rows. Tables that several steps read are written once."""
-    flagged = T.flag_refseq(T.collapse_tags(tags), genes, p.bin)
+    flagged = stored(T.flag_refseq(T.collapse_tags(tags), genes, p.bin), "flagged")
     rows = stored(T.stitch_rows(stored(T.proto_transcripts(flagged, p, chromosomes), "protos"), p), "stitch-rows")
     stitched = stored(T.stitched_transcripts(rows), "stitched")
     sources = stored(T.source_rows(rows, stitched), "prep-sources")

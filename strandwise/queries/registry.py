@@ -12,7 +12,7 @@ from ..operators import transcripts as T
 from ..operators.analysis import Analysis, bed_rows, write_bed
 from ..plans.store import AtlasStore, add_runs, rebuild_final, save_atlas
 from ..sources import readers
-from ..sources.shared import scratch, stored_text
+from ..sources.shared import scratch, stored, stored_text
 from .fixtures import PARAMETERS as P
 from .fixtures import VIEWS, atlas, kept_atlas, view
 
@@ -33,15 +33,21 @@ def _flagged(spark, d):
 
 
 def _protos(spark, d, p=P):
-    return T.proto_transcripts(_flagged(spark, d), p)
+    return T.proto_transcripts(stored(_flagged(spark, d), "flagged"), p)
+
+
+def _stitch_rows(spark, d):
+    return stored(T.stitch_rows(stored(_protos(spark, d), "protos"), P), "stitch-rows")
 
 
 def _stitched(spark, d):
-    return T.stitch(_protos(spark, d), P)
+    rows = _stitch_rows(spark, d)
+    stitched = T.stitched_transcripts(rows)
+    return stitched, T.source_rows(rows, stitched)
 
 
 def _lineage(spark, d):
-    rows = T.stitch_rows(_protos(spark, d), P)
+    rows = _stitch_rows(spark, d)
     return T.lineage(rows, T.stitched_transcripts(rows))
 
 
