@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from .common import SPACE, body
 
 # The most frequent function words of English, French, German and
-# Spanish, lower case. A text in another language has none of them, so the rule
-# that uses them only rejects texts which also look wrong otherwise.
+# Spanish, lower case. Running text of these languages has one in three to six words.
 STOP_WORDS = (
     "the of and to in a is that it for on with as was at by an be this "
     "le la les de des et un une en du que est pour dans qui par sur avec "
@@ -48,7 +47,7 @@ RULES = (
     Rule("word length at least 2", 2, "n_words", 1, "word_chars"),
     Rule("symbols at most a fifth of words", 5, "n_symbols", 1, "n_words"),
     Rule("repeated lines at most 60 in 100", 100, "n_dup_lines", 60, "n_lines"),
-    Rule("some function word in 1000 words", 1, "n_words", 1000, "n_stop_words_plus_one"),
+    Rule("a function word in 50 words", 1, "n_words", 50, "n_stop_words"),
 )
 
 MIN_WORDS = 50
@@ -107,16 +106,19 @@ def compile_rules(rules=RULES) -> Column:
     return verdict
 
 
-def quality(df: DataFrame, text: str = "text", rules=RULES, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
+def quality(df: DataFrame, text: str = "text", rules=RULES, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, stop_words: list[str] | None = None) -> DataFrame:
     """Add metrics, ``base_failed``, ``failed_rules`` and ``kept`` to df.
 
+    ``stop_words`` replaces STOP_WORDS, as texts in languages other than its four need:
+    a text without any of the list's words fails the rule on function words.
+
     Null and empty texts have no words, so they fail the base rule. Rows are
     judged one by one: ties and repeated rows get the same verdict each, an
     empty table stays empty. Columns of df that have the name of an added one
-    are replaced, and one named n_stop_words_plus_one is dropped; others pass through.
+    are replaced; others pass through.
     """
-    out = with_metrics(df, text).withColumn("n_stop_words_plus_one", F.col("n_stop_words") + 1)
+    out = with_metrics(df, text, stop_words)
     failed = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(max_repeat_percent) * F.col("n_words"))
     names = F.array_compact(F.array(*[F.when(~r.passes(), F.lit(r.name)) for r in rules]))
     out = out.withColumns({"base_failed": failed, "failed_rules": F.array_join(names, "; ")})
-    return out.withColumn("kept", ~F.col("base_failed") & compile_rules(rules)).drop("n_stop_words_plus_one")
+    return out.withColumn("kept", ~F.col("base_failed") & compile_rules(rules))

@@ -96,7 +96,7 @@ WITH w AS (
   SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
-    CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, coalesce(s.n, 0) + 1 AS n_stop_words_plus_one
+    CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, coalesce(s.n, 0) AS n_stop_words
   FROM w JOIN l USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN s USING (doc_id)
 ), f AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m

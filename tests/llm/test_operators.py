@@ -57,6 +57,15 @@ def test_quality(docs, empty, rows):
     assert quality.quality(empty).count() == 0
 
 
+def test_function_word_rule(spark):
+    text = lambda n: " ".join(["the"] * n + [f"w{i}" for i in range(100 - n)])
+    docs = spark.createDataFrame([(n, text(n)) for n in range(4)], "doc_id long, text string")
+    judged = lambda **given: {r.doc_id: (r.kept, r.failed_rules) for r in quality.quality(docs, **given).collect()}
+    poor = (False, "a function word in 50 words")
+    assert judged() == {0: poor, 1: poor, 2: (True, ""), 3: (True, "")}
+    assert judged(stop_words=["w1", "w2"]) == dict.fromkeys(range(4), (True, ""))
+
+
 def test_personal_data(docs, empty, rows):
     model = pii.fit(docs)
     got = {r.doc_id: r for r in pii.find(docs, model).select("doc_id", "base", "added").collect()}

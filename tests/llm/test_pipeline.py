@@ -15,7 +15,8 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 def words(rng, n):
-    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 8))) for _ in range(n))
+    """Invented words, every eighth a function word."""
+    return " ".join("the" if k % 8 == 3 else "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 8))) for k in range(n))
 
 
 def plain_quality(text):
@@ -27,7 +28,7 @@ def plain_quality(text):
     stops = sum(x.lower() in quality.STOP_WORDS for x in w)
     if len(w) < 50 or 100 * len(marked) > 50 * len(w):
         return False
-    return 2 * len(w) <= chars <= 20 * len(w) and 5 * symbols <= len(w) and 100 * (len(lines) - len(set(lines))) <= 60 * len(lines) and len(w) <= 1000 * (stops + 1)
+    return 2 * len(w) <= chars <= 20 * len(w) and 5 * symbols <= len(w) and 100 * (len(lines) - len(set(lines))) <= 60 * len(lines) and len(w) <= 50 * stops
 
 
 def plain_classes(texts):
@@ -55,6 +56,7 @@ def corpus():
     texts += [words(rng, 40) + " " + item + " " + words(rng, 40), words(rng, 40) + " " + item.replace(" ", " zz ", 3) + " " + words(rng, 40)]
     texts += [words(rng, 60) + f" mail a{i}@b.example.org and 10.0.0.{i} " + words(rng, 20) for i in range(6)]
     texts += [None, "", "too short", "same words again " * 40, "# * $ % " * 30 + words(rng, 40)]
+    texts += [words(rng, 80).replace(" the ", " "), words(rng, 120).replace(" the ", " ", 12)]
     return [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], item
 
 
