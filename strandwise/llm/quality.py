@@ -24,21 +24,31 @@ STOP_WORDS = (
     "el los las y por para con una del se lo no su al"
 ).split()
 
+#: The languages of these words, and so of the rule on them.
+STOP_LANGUAGES = ("en", "fr", "de", "es")
+
 SYMBOLS = "#*$%&|<>"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A document passes when ``times * metric <= bound * per``; both are metric names."""
+    """A document passes when ``times * metric <= bound * per``; both are metric names.
+
+    A rule of some languages only passes every document that names another one.
+    """
 
     name: str
     times: int
     metric: str
     bound: int
     per: str
+    languages: tuple[str, ...] = ()
 
-    def passes(self) -> Column:
-        return F.lit(self.times) * F.col(self.metric) <= F.lit(self.bound) * F.col(self.per)
+    def passes(self, lang: str | None = None) -> Column:
+        held = F.lit(self.times) * F.col(self.metric) <= F.lit(self.bound) * F.col(self.per)
+        if lang is None or not self.languages:
+            return held
+        return held | F.coalesce(~F.lower(F.regexp_substr(lang, F.lit("^[^-_]*"))).isin(*self.languages), F.lit(False))
 
 
 #: Production thresholds. Ratios are scaled to integers, so no engine rounds them.
@@ -47,7 +57,7 @@ RULES = (
     Rule("word length at least 2", 2, "n_words", 1, "word_chars"),
     Rule("symbols at most a fifth of words", 5, "n_symbols", 1, "n_words"),
     Rule("repeated lines at most 60 in 100", 100, "n_dup_lines", 60, "n_lines"),
-    Rule("a function word in 50 words", 1, "n_words", 50, "n_stop_words"),
+    Rule("a function word in 50 words", 1, "n_words", 50, "n_stop_words", STOP_LANGUAGES),
 )
 
 MIN_WORDS = 50
@@ -98,19 +108,21 @@ def with_metrics(df: DataFrame, text: str = "text", stop_words: list[str] | None
     return out.drop(t_, w_, l_, h_, g_, p_)
 
 
-def compile_rules(rules=RULES) -> Column:
+def compile_rules(rules=RULES, lang: str | None = None) -> Column:
     """The conjunction of a table of rules, as one column."""
     verdict = F.lit(True)
     for rule in rules:
-        verdict = verdict & rule.passes()
+        verdict = verdict & rule.passes(lang)
     return verdict
 
 
-def quality(df: DataFrame, text: str = "text", rules=RULES, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, stop_words: list[str] | None = None) -> DataFrame:
+def quality(df: DataFrame, text: str = "text", rules=RULES, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, stop_words: list[str] | None = None, lang: str | None = None) -> DataFrame:
     """Add metrics, ``base_failed``, ``failed_rules`` and ``kept`` to df.
 
-    ``stop_words`` replaces STOP_WORDS, as texts in languages other than its four need:
-    a text without any of the list's words fails the rule on function words.
+    ``lang`` names a column of language tags ("en", "en-GB"): the rule on function
+    words then leaves alone what is tagged with a language that STOP_WORDS does not
+    cover, and judges the rest, texts of a null tag too. Without it, or with a list of
+    the caller's in ``stop_words``, which replaces STOP_WORDS, all texts are judged.
 
     Null and empty texts have no words, so they fail the base rule. Rows are
     judged one by one: ties and repeated rows get the same verdict each, an
@@ -118,7 +130,8 @@ def quality(df: DataFrame, text: str = "text", rules=RULES, min_words: int = MIN
     are replaced; others pass through.
     """
     out = with_metrics(df, text, stop_words)
+    lang = None if stop_words else lang
     failed = (F.col("n_words") < min_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(max_repeat_percent) * F.col("n_words"))
-    names = F.array_compact(F.array(*[F.when(~r.passes(), F.lit(r.name)) for r in rules]))
+    names = F.array_compact(F.array(*[F.when(~r.passes(lang), F.lit(r.name)) for r in rules]))
     out = out.withColumns({"base_failed": failed, "failed_rules": F.array_join(names, "; ")})
-    return out.withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
+    return out.withColumn("kept", ~F.col("base_failed") & compile_rules(rules, lang))

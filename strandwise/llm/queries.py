@@ -30,8 +30,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.quality(docs, lang="lang").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +78,7 @@ def queries() -> dict:
 
 OP2_SQL = r"""
 WITH w AS (
-  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
 ), one AS (
   SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w
 ), g AS (
@@ -93,7 +93,7 @@ WITH w AS (
 ), s AS (
   SELECT doc_id, count(*) AS n FROM one WHERE lower(word) IN ({stops}) GROUP BY doc_id
 ), m AS (
-  SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+  SELECT w.doc_id, w.lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, coalesce(s.n, 0) AS n_stop_words
@@ -116,7 +116,8 @@ FROM (SELECT *, sha1(coalesce(html, '')) AS d, min(page_id) OVER (PARTITION BY c
 
 def oracle_sql() -> dict[str, str]:
     stops = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
-    rules = " AND ".join(f"{r.times} * {r.metric} <= {r.bound} * {r.per}" for r in quality.RULES)
+    other = lambda r: f"coalesce(nullif(lower(regexp_extract(lang, '^[^-_]*')), '') NOT IN {r.languages}, false) OR " if r.languages else ""
+    rules = " AND ".join(f"({other(r)}{r.times} * {r.metric} <= {r.bound} * {r.per})" for r in quality.RULES)
     # Five hexadecimal digits are four of base 32.
     hexes = [f"(('0x' || substr(d, {1 + 5 * g}, 5))::BIGINT)" for g in range(8)]
     base32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (({h} >> {s}) & 31)::INT, 1)" for h in hexes for s in (15, 10, 5, 0))

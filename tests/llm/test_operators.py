@@ -64,6 +64,11 @@ def test_function_word_rule(spark):
     poor = (False, "a function word in 50 words")
     assert judged() == {0: poor, 1: poor, 2: (True, ""), 3: (True, "")}
     assert judged(stop_words=["w1", "w2"]) == dict.fromkeys(range(4), (True, ""))
+    tags = ["en", "EN-gb", "fr", None, "", "fi", "zh_TW", "est"]
+    tagged = spark.createDataFrame([(i, text(0), tag) for i, tag in enumerate(tags)], "doc_id long, text string, lang string")
+    kept = lambda **given: [r.kept for r in quality.quality(tagged, **given).orderBy("doc_id").collect()]
+    assert kept(lang="lang") == [False] * 5 + [True] * 3 and kept() == [False] * 8
+    assert kept(lang="lang", stop_words=["w1"]) == [False] * 8 and kept(lang="lang", stop_words=["w1", "w2"]) == [True] * 8
 
 
 def test_personal_data(docs, empty, rows):
