@@ -17,8 +17,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    return where_computed(quality.quality(docs), "kept").select(*COLUMNS)
+    """Documents that the rules reject go; those tagged with other languages are not judged by function words."""
+    return where_computed(quality.quality(docs, lang="lang"), "kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
