@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, license_scan, near_dedup, packing, pii, quality, sharding, suffix_dedup, token_rollup, warc
+from . import collocations, decontamination, divergence, lattice_dedup, license_scan, near_dedup, packing, pii, quality, sharding, suffix_dedup, token_rollup, warc
 from .common import scratch_path, table
 
 SHARDS = 40
@@ -71,8 +71,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    own = (op1_pii, op2_quality, op3_warc, op4_near_dedup, op5_sharding, op6_token_counts, op7_suffix_dedup, op8_decontamination, op9_licenses, op10_packing)
+    own = (op1_pii, op2_quality, op3_warc, op4_near_dedup, op5_sharding, op6_token_counts, op7_suffix_dedup, op8_decontamination, op9_licenses, op10_packing, op11_collocations, op12_divergence, op13_embedding_dedup)
     return {f.__name__: f for f in own}
 
 
@@ -113,6 +125,84 @@ SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, {ba
 FROM (SELECT *, sha1(coalesce(html, '')) AS d, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
 """
 
+ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = r"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+), total AS (
+  SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 6) t(k)
+), f AS (
+  SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM (SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase FROM g)
+  GROUP BY ALL HAVING count(*) >= 100
+), c AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1
+), cut AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n, j, 1000 * c.a * n // (x.a * y.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN total USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1 : j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[j + 1 :], ' ')
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+) WHERE rank <= 2000
+"""
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row, {lower} AS t FROM documents
+), w AS (
+  SELECT lang, source, row, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS c FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+), grp AS (
+  SELECT DISTINCT lang, source FROM d
+), n AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS lang_n FROM kept GROUP BY lang
+), full_ AS (
+  SELECT g.lang, g.source, k.term, coalesce(n.c, 0) AS c, k.c AS all_c, v, lang_n, coalesce(m.group_n, 0) AS group_n
+  FROM grp g JOIN kept k USING (lang) JOIN sizes USING (lang) LEFT JOIN n USING (lang, source, term)
+  LEFT JOIN (SELECT lang, source, sum(c)::HUGEINT AS group_n FROM n GROUP BY ALL) m USING (lang, source)
+), p AS (
+  SELECT lang, source, term, c, 1 + 1000000000 * (c + 5) // (group_n + 5 * v) AS p, 1 + 1000000000 * (all_c + 5) // (lang_n + 5 * v) AS q FROM full_
+), pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND x.term = y.term
+  WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY ALL
+), term AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank::INT AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+) WHERE part = 'pair' OR rank <= 50
+"""
+
+OP13_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), ok AS (
+  SELECT vec_id, e, len(e) AS d FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.d = b.d AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS v, vec_id AS r FROM v UNION SELECT v, b FROM reach JOIN link ON a = r
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN (SELECT v AS vec_id, min(r) AS component_id FROM reach GROUP BY v) USING (vec_id) LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a) USING (vec_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     stops = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
@@ -121,4 +211,10 @@ def oracle_sql() -> dict[str, str]:
     # Five hexadecimal digits are four of base 32.
     hexes = [f"(('0x' || substr(d, {1 + 5 * g}, 5))::BIGINT)" for g in range(8)]
     base32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (({h} >> {s}) & 31)::INT, 1)" for h in hexes for s in (15, 10, 5, 0))
-    return {"op2_quality": OP2_SQL.format(stops=stops, rules=rules), "op3_warc": OP3_SQL.format(base32=base32)}
+    return {
+        "op2_quality": OP2_SQL.format(stops=stops, rules=rules),
+        "op3_warc": OP3_SQL.format(base32=base32),
+        "op11_collocations": OP11_SQL.format(lower=ASCII_LOWER),
+        "op12_divergence": OP12_SQL.format(lower=ASCII_LOWER),
+        "op13_embedding_dedup": OP13_SQL,
+    }
