@@ -14,7 +14,7 @@ import pyarrow as pa
 from .words import mix, powers
 
 #: Bytes of texts that are worked on at a time; a longer text comes alone.
-CHUNK = 8 << 20
+CHUNK = 3 << 20
 #: Bytes of words that are hashed at a time.
 SLICE = 1 << 20
 
@@ -87,11 +87,11 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, *others: str, size: int
 
 def joined(words: Words, first: np.ndarray, n: int) -> list[str]:
     """The n words from each of the given ones on, with one space between them."""
-    lengths = words.ends - words.starts + 1
-    at = np.concatenate(([0], np.cumsum(lengths)))
+    of = (first[:, None] + np.arange(n)[None, :]).ravel()
+    starts, lengths = words.starts[of], words.ends[of] - words.starts[of]
+    at = np.concatenate(([0], np.cumsum(lengths + 1)))
     buffer = np.full(int(at[-1]), 32, np.uint8)
-    inner = lengths - 1
-    within = np.arange(int(inner.sum())) - np.repeat(np.cumsum(inner) - inner, inner)
-    buffer[np.repeat(at[:-1], inner) + within] = words.data[np.repeat(words.starts, inner) + within]
-    raw = buffer.tobytes()
-    return [raw[a:b].decode("utf-8") for a, b in zip(at[first].tolist(), (at[first + n] - 1).tolist())]
+    within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    buffer[np.repeat(at[:-1], lengths) + within] = words.data[np.repeat(starts, lengths) + within]
+    raw, cuts = buffer.tobytes(), at[::n].tolist()
+    return [raw[a : b - 1].decode("utf-8") for a, b in zip(cuts, cuts[1:])]

@@ -91,30 +91,29 @@ def exact_counts(docs: DataFrame, words: H.BitTable, grams: H.BitTable, longest:
     """(lang, k, phrase, n) of all that the tables let through; k is 0 for the number of words."""
     sent = docs.sparkSession.sparkContext.broadcast((words, grams))
 
+    def made(k: int, names: list[str], of: list[str], n: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((of, [k] * len(n), names, n), COUNTED)], schema=COUNTED)
+
+    def rows_of(words: Words, text_of: np.ndarray, langs: list[str], k: int, value: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, first, n = np.unique(value, return_index=True, return_counts=True)
+        for lo in range(0, len(first), 20_000):
+            some = at[first[lo : lo + 20_000]]
+            yield made(k, joined(words, some, k), [langs[t] for t in text_of[some].tolist()], n[lo : lo + 20_000].tolist())
+
     def run(batches):
         known_words, known = sent.value
         for texts, (langs,) in chunks(batches, "text", "lang"):
             words, own, piece = language_words(texts, langs)
-            text_of, out = words.text_of(), {c: [] for c in COUNTED.names}
-
-            def put(k: int, names: list[str], of: list[str], n: list[int]) -> None:
-                for c, values in zip(COUNTED.names, (of, [k] * len(n), names, n)):
-                    out[c] += values
-
-            totals: dict[str, int] = {}
+            text_of, totals = words.text_of(), {}
             for lang, n in zip(langs, np.diff(words.bounds).tolist()):
                 totals[lang] = totals.get(lang, 0) + n
-            put(0, [""] * len(totals), list(totals), list(totals.values()))
+            yield made(0, [""] * len(totals), list(totals), list(totals.values()))
             allowed = known_words.has(own)
             single = np.flatnonzero(allowed)
-            for k, value, at in [(1, own[single], single), *phrases(own, piece, allowed, longest)]:
-                if k > 1:
-                    kept = known.has(value)
-                    value, at = value[kept], at[kept]
-                _, first, n = np.unique(value, return_index=True, return_counts=True)
-                put(k, joined(words, at[first], k), [langs[t] for t in text_of[at[first]].tolist()], n.tolist())
-            table = pa.table([pa.array(out[f.name], f.type) for f in COUNTED], schema=COUNTED)
-            yield from table.to_batches(max_chunksize=50_000)
+            yield from rows_of(words, text_of, langs, 1, own[single], single)
+            for k, value, at in phrases(own, piece, allowed, longest):
+                kept = known.has(value)
+                yield from rows_of(words, text_of, langs, k, value[kept], at[kept])
 
     counted = docs.mapInArrow(run, "lang string, k int, phrase string, n long")
     return counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
