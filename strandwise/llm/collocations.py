@@ -1,14 +1,15 @@
 """Phrase collocations by language, from Misra-Gries summaries of hashed n-grams.
 
 First pass: each hash partition of the n-grams has a summary with more counters
-than its mass by the threshold, so every frequent n-gram survives. A pass over
-single words comes before it, as the words of a frequent phrase are frequent.
+than its mass by the threshold, so every frequent n-gram survives. It goes by
+length, single words, pairs, longer phrases, as all parts of a frequent phrase are frequent.
 Second pass: what survived is counted exactly. Scores come from exact counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
@@ -42,37 +43,49 @@ def language_words(texts: list[bytes], langs: list[str]) -> tuple[Words, np.ndar
     return words, own, np.cumsum(BREAKS[words.data])[words.starts]
 
 
-def phrases(own: np.ndarray, piece: np.ndarray, allowed: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(k, hash, first word) of all stretches of k allowed words within a piece, for k from 2."""
-    value = own
+@dataclass
+class Tables:
+    """What is known to be frequent so far, as tables that all frequent n-grams of a length pass: single words, pairs, and longer ones."""
+
+    words: H.BitTable | None = None
+    pairs: H.BitTable | None = None
+    longer: H.BitTable | None = None
+
+
+def phrases(own: np.ndarray, piece: np.ndarray, known: Tables, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, hash, first word) of all stretches of k words within a piece, for k from 2, of which all words, and all pairs, pass the tables."""
+    value, allowed = own, known.words.has(own)
     for k in range(2, longest + 1):
         if len(own) < k:
             return
         value = mix(value[:-1] * ODD + own[k - 1 :])
         allowed = allowed[:-1] & allowed[1:]
+        if k == 2 and known.pairs:
+            at = np.flatnonzero(allowed)
+            allowed[at] = known.pairs.has(value[at])
         at = np.flatnonzero(allowed & (piece[: len(value)] == piece[k - 1 :]))
         yield k, value[at], at
 
 
-def frequent(docs: DataFrame, mass: int, threshold: int, longest: int, words: H.BitTable | None, least_capacity: int) -> tuple[H.BitTable, int]:
-    """The table of n-grams that may count the threshold (single words where none are given), and the mass of all.
+def frequent(docs: DataFrame, mass: int, threshold: int, longest: int, known: Tables, least_capacity: int) -> tuple[H.BitTable, int]:
+    """The table of what may count the threshold, and the mass of all: single words, then pairs of these, then the longer phrases of these pairs, by what is known.
 
     The number of counters follows from a bound of the mass. Few heavy n-grams can
     make one partition's mass larger than its share, so what summaries lost is
     looked at, and there are more counters if that could have cost an n-gram.
     """
-    spark = docs.sparkSession
     parts = H.FINER * H.partitions(docs)
-    sent = spark.sparkContext.broadcast(words)
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
         for texts, (langs,) in chunks(batches, "text", "lang"):
             _, own, piece = language_words(texts, langs)
-            if sent.value is None:
-                yield H.pieces(*H.added_up(own), parts)
+            known = sent.value
+            if known.words is None:
+                found = [own]
             else:
-                found = [value for _, value, _ in phrases(own, piece, sent.value.has(own), longest)]
-                yield H.pieces(*H.added_up(np.concatenate([np.zeros(0, np.uint64), *found])), parts)
+                found = [value for k, value, _ in phrases(own, piece, known, longest if known.pairs else 2) if k > 2 or not known.pairs]
+            yield H.pieces(*H.added_up(np.concatenate([np.zeros(0, np.uint64), *found])), parts)
 
     packed = docs.mapInArrow(run, H.PIECE_DDL)
     capacity = max(least_capacity, 2 * mass // (threshold * parts) + 1)
@@ -87,33 +100,52 @@ def frequent(docs: DataFrame, mass: int, threshold: int, longest: int, words: H.
 COUNTED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
-def exact_counts(docs: DataFrame, words: H.BitTable, grams: H.BitTable, longest: int) -> DataFrame:
+#: Phrases whose counts a task holds at a time.
+HELD = 300_000
+
+
+def exact_counts(docs: DataFrame, known: Tables, longest: int) -> DataFrame:
     """(lang, k, phrase, n) of all that the tables let through; k is 0 for the number of words."""
-    sent = docs.sparkSession.sparkContext.broadcast((words, grams))
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
-    def made(k: int, names: list[str], of: list[str], n: list[int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((of, [k] * len(n), names, n), COUNTED)], schema=COUNTED)
+    def made(rows: list[tuple[str, int, str, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], f.type) for c, f in enumerate(COUNTED)], schema=COUNTED)
 
-    def rows_of(words: Words, text_of: np.ndarray, langs: list[str], k: int, value: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
-        _, first, n = np.unique(value, return_index=True, return_counts=True)
-        for lo in range(0, len(first), 20_000):
-            some = at[first[lo : lo + 20_000]]
-            yield made(k, joined(words, some, k), [langs[t] for t in text_of[some].tolist()], n[lo : lo + 20_000].tolist())
+    def given(held: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        rows = [tuple(x) for x in held.values()]
+        for lo in range(0, len(rows), 20_000):
+            yield made(rows[lo : lo + 20_000])
 
     def run(batches):
-        known_words, known = sent.value
+        known = sent.value
+        totals: dict[str, int] = {}
+        # By hash, so that a phrase is spelt out once however many pieces have it.
+        held: dict[int, list] = {}
         for texts, (langs,) in chunks(batches, "text", "lang"):
             words, own, piece = language_words(texts, langs)
-            text_of, totals = words.text_of(), {}
+            text_of = words.text_of()
             for lang, n in zip(langs, np.diff(words.bounds).tolist()):
                 totals[lang] = totals.get(lang, 0) + n
-            yield made(0, [""] * len(totals), list(totals), list(totals.values()))
-            allowed = known_words.has(own)
-            single = np.flatnonzero(allowed)
-            yield from rows_of(words, text_of, langs, 1, own[single], single)
-            for k, value, at in phrases(own, piece, allowed, longest):
-                kept = known.has(value)
-                yield from rows_of(words, text_of, langs, k, value[kept], at[kept])
+            single = np.flatnonzero(known.words.has(own))
+            for k, value, at in [(1, own[single], single), *phrases(own, piece, known, longest)]:
+                if k > 2:
+                    kept = known.longer.has(value)
+                    value, at = value[kept], at[kept]
+                value, first, n = np.unique(value, return_index=True, return_counts=True)
+                new = []
+                for i, (h, count) in enumerate(zip(value.tolist(), n.tolist())):
+                    if (row := held.get(h)) is not None:
+                        row[3] += count
+                    else:
+                        new.append(i)
+                at = at[first[new]]
+                for h, lang, phrase, count in zip(value[new].tolist(), text_of[at].tolist(), joined(words, at, k), n[new].tolist()):
+                    held[h] = [langs[lang], k, phrase, count]
+            if len(held) > HELD:
+                yield from given(held)
+                held = {}
+        yield from given(held)
+        yield made([(lang, 0, "", n) for lang, n in totals.items()])
 
     counted = docs.mapInArrow(run, "lang string, k int, phrase string, n long")
     return counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
@@ -131,9 +163,11 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LON
     small_batches(docs.sparkSession)
     docs = docs.select(body().alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    words, n_words = frequent(docs, size // 2, threshold, longest, None, least_capacity)
-    grams, _ = frequent(docs, (longest - 1) * n_words, threshold, longest, words, least_capacity)
-    counts = materialize(exact_counts(docs, words, grams, longest).where((F.col("k") == 0) | (F.col("n") >= threshold)), "phrase-counts")
+    known = Tables()
+    known.words, n_words = frequent(docs, size // 2, threshold, longest, known, least_capacity)
+    known.pairs, n_pairs = frequent(docs, n_words, threshold, longest, known, least_capacity)
+    known.longer, _ = frequent(docs, (longest - 2) * n_pairs, threshold, longest, known, least_capacity)
+    counts = materialize(exact_counts(docs, known, longest).where((F.col("k") == 0) | (F.col("n") >= threshold)), "phrase-counts")
     candidates = counts.where("k > 1").withColumn("words", F.split("phrase", " ", -1)).withColumnRenamed("n", "a")
     part = lambda name, n: counts.where("k > 0").select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
     text = lambda at, n: F.array_join(F.slice("words", at, n), " ")
