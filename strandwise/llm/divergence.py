@@ -64,25 +64,52 @@ def often_used(docs: DataFrame, least: int, least_capacity: int) -> H.BitTable:
 COUNTED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 
 
+#: Counts that a task holds at a time.
+HELD = 500_000
+
+
+def by_group(group: np.ndarray, own: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (group, hash), and the sums of their counts."""
+    order = np.lexsort((own, group))
+    group, own = group[order], own[order]
+    first = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (group[1:] != group[:-1]))) if len(own) else np.zeros(0, np.int64)
+    return group[first], own[first], *(np.add.reduceat(c[order], first) if len(first) else c for c in counts)
+
+
 def term_counts(docs: DataFrame, table: H.BitTable) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences, and documents that hold the term, of all terms that the table lets through."""
+    """(lang, source, term, n, docs): occurrences, and documents that hold the term, of all terms that the table lets through.
+
+    A task adds up what its pieces of text have before it spells the terms out.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
+        index: dict[tuple[str, str], int] = {}
+        names: dict[int, str] = {}
+        held = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+
+        def given():
+            groups = list(index)
+            for lo in range(0, len(held[0]), 20_000):
+                group, own, n, in_docs = (x[lo : lo + 20_000] for x in held)
+                of = [groups[g] for g in group.tolist()]
+                columns = [[g[0] for g in of], [g[1] for g in of], [names[h] for h in own.tolist()], n, in_docs]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTED)], schema=COUNTED)
+
         for texts, (langs, sources) in chunks(batches, "text", "lang", "source"):
             words, own, text, n, place = in_documents(texts, langs)
             kept = sent.value.has(own)
             own, text, n, place = own[kept], text[kept], n[kept], place[kept]
-            groups = sorted(set(zip(langs, sources)))
-            index = {g: i for i, g in enumerate(groups)}
-            group = np.array([index[g] for g in zip(langs, sources)], np.int64)[text]
-            order = np.lexsort((own, group))
-            own, group, n, place = own[order], group[order], n[order], place[order]
-            first = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (group[1:] != group[:-1]))) if len(own) else np.zeros(0, np.int64)
-            of = [groups[g] for g in group[first].tolist()]
-            columns = [[g[0] for g in of], [g[1] for g in of], joined(words, place[first], 1), np.add.reduceat(n, first) if len(first) else n, np.diff(np.append(first, len(own)))]
-            out = pa.table([pa.array(c, f.type) for c, f in zip(columns, COUNTED)], schema=COUNTED)
-            yield from out.to_batches(max_chunksize=50_000)
+            group = np.array([index.setdefault(g, len(index)) for g in zip(langs, sources)], np.int64)[text]
+            terms, first = np.unique(own, return_index=True)
+            new = [i for i, h in enumerate(terms.tolist()) if h not in names]
+            names.update(zip(terms[new].tolist(), joined(words, place[first[new]], 1)))
+            piece = by_group(group, own, n, np.ones(len(own), np.int64))
+            held = list(by_group(*(np.concatenate(x) for x in zip(held, piece))))
+            if len(held[0]) > HELD:
+                yield from given()
+                held, names = [x[:0] for x in held], {}
+        yield from given()
 
     counted = docs.mapInArrow(run, "lang string, source string, term string, n long, docs long")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
