@@ -1,36 +1,43 @@
-"""Benchmark decontamination: gapped two-word seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare two-word seeds, then Smith-Waterman alignment.
 
-Seeds are two words of an item that stand next to each other or one apart, in
-the document as well. Any copy that the alignment accepts has so many of them
-within twice the item's length (``least_pairs``) that documents with fewer are
-left out without loss; where there are enough, the item is aligned word by word.
-Items too short for that are looked up whole.
+A seed is a pair of words that stand next to each other in an item. Every copy that
+the alignment accepts has so many of an item's pairs, next to each other or one apart
+(``least_pairs``), that an item needs its rarest pairs as seeds only: as many as
+leave fewer than that out. How rare a pair is comes from a count over all documents.
+Seeds are joined with the places where documents have them; around those, the
+item is aligned word by word where there are pairs enough. Items too short for that are
+looked up whole.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import body, small_batches
-from .words import ODD, gram_places, grams, hashed_words, mix
+from .common import body, materialize, small_batches
+from .hashed_counts import BitTable, added_up, bit_table
+from .words import ODD, gram_places, grams, hashed_words, mix, salt
 
 #: Items of fewer words match where all their words stand next to each other, without alignment.
 GRAM = 4
-#: Characters of items that are sent to the tasks at a time, as words and pairs (some 6 bytes for each); more take more passes.
-CHARS_AT_ONCE = 16_000_000
 #: Score of a mismatch and of a gap, where a match scores 1.
 PENALTY = 0.5
 #: Share of an item's words that the alignment has to score.
 LEAST_SCORE = 0.5
+#: Texts whose words are hashed at a time.
+TEXTS_AT_ONCE = 64
+#: Items that one task aligns with one text at most; a text that meets more goes to several tasks.
+ITEMS_A_TASK = 2000
 
 
-def pair_hashes(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place of the first word in it, hash) of every two words of a text next to each other or one apart."""
+def pair_hashes(words: np.ndarray, bounds: np.ndarray, steps=(1, 2)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place of the first word in it, hash) of every two words of a text that are so many apart."""
     texts, places, values = [], [], []
-    for step in (1, 2):
+    for step in steps:
         text, place = gram_places(bounds, step + 1)
         texts.append(text)
         places.append(place - bounds[text])
@@ -38,15 +45,22 @@ def pair_hashes(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return np.concatenate(texts), np.concatenate(places), np.concatenate(values)
 
 
-def least_pairs(lengths: np.ndarray, least: float, penalty: float) -> np.ndarray:
-    """How many pairs of neighbouring matches with one edit at most between them an accepted alignment has at least.
+def least_pairs(n: int, least: float, penalty: float) -> int:
+    """How many pairs of neighbouring words of an item of n words any accepted alignment has, next to each other or one apart in the text.
 
-    M matches and E edits score M - penalty E, so E is at most (M - least L) / penalty
-    for an item of L words; of the M - 1 gaps between matches, E / 2 at most hold two
-    edits or more. What is left is linear in M, which lies between least L and L.
+    With M matches the edits E are (M - least n) / penalty at most. D of them leave out a
+    word of the item, which breaks two pairs, and two insertions break one. D is E at
+    most, and n - M; more of it is always worse.
     """
-    few, all_ = least * lengths - 1, lengths - 1 - (1 - least) * lengths / (2 * penalty)
-    return np.maximum(1, np.ceil(np.minimum(few, all_) - 1e-9)).astype(np.int64)
+    m = np.arange(int(np.ceil(least * n - 1e-9)), n + 1)
+    edits = np.floor((m - least * n) / penalty + 1e-9)
+    out = np.minimum(edits, n - m)
+    return max(1, int((m - 1 - out - (edits - out) // 2).min()))
+
+
+def reach_of(n: int, least: float, penalty: float) -> int:
+    """Words of a text that an accepted copy of an item of n words takes at most: one edit a match, as far as the score allows."""
+    return int(np.ceil(n * (1 + (1 - least) / penalty)))
 
 
 def align(item: np.ndarray, words: np.ndarray, penalty: float) -> tuple[float, int]:
@@ -64,6 +78,160 @@ def align(item: np.ndarray, words: np.ndarray, penalty: float) -> tuple[float, i
     return best, end
 
 
+def whole_seed(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all n words in a row, unlike those of pairs."""
+    return mix(grams(words, n) + salt(100 + n))
+
+
+def by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            part = batch.slice(lo, TEXTS_AT_ONCE)
+            yield part, *hashed_words(part["text"].to_pylist())
+
+
+ITEM = pa.schema([("item", pa.int64()), ("words", pa.binary()), ("size", pa.int32()), ("least_pairs", pa.int32()), ("reach", pa.int32()), ("seeds", pa.list_(pa.int64()))])
+ITEM_DDL = "item long, words binary, size int, least_pairs int, reach int, seeds array<long>"
+
+
+def item_words(items: DataFrame, k: int, least: float, penalty: float) -> DataFrame:
+    """Items (item, text) as hashes of words, with all the pairs that may be seeds; an item of fewer than k words is one seed."""
+
+    def run(batches):
+        for part, words, bounds in by_text(batches):
+            rows = []
+            for i, item in enumerate(part["item"].to_pylist()):
+                own = words[bounds[i] : bounds[i + 1]]
+                n = len(own)
+                if n >= k:
+                    seeds = pair_hashes(own, np.array([0, n]), (1,))[2]
+                    rows.append((item, own.tobytes(), n, least_pairs(n, least, penalty), reach_of(n, least, penalty), seeds.view(np.int64)))
+                elif n:
+                    rows.append((item, own.tobytes(), n, 0, n, whole_seed(own, n).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], f.type) for c, f in enumerate(ITEM)], schema=ITEM)
+
+    return items.mapInArrow(run, ITEM_DDL)
+
+
+def seed_table(seeds: DataFrame) -> BitTable:
+    """A table of bounded size that all seeds pass, and few other hashes."""
+
+    def run(batches):
+        for batch in batches:
+            own = np.unique(batch["seed"].to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(own)]), "hashes": pa.array([own.tobytes()], pa.binary())})
+
+    return bit_table(seeds.select("seed").mapInArrow(run, "n long, hashes binary"))
+
+
+def seed_counts(docs: DataFrame, table: BitTable) -> DataFrame:
+    """(seed, n): how often documents have what the table lets through."""
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+    schema = pa.schema([("seed", pa.int64()), ("n", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for _, words, bounds in by_text(iter([batch])):
+                value = pair_hashes(words, bounds)[2]
+                found.append(value[sent.value.has(value)])
+            value, n = added_up(np.concatenate(found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], schema=schema)
+
+    return docs.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+
+
+def rarest(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """(item, seed, reach): of each item the rarest pairs, so many that fewer than least_pairs are left out; pairs that no document has stay out besides."""
+    every = items.select("item", "size", "least_pairs", "reach", F.posexplode("seeds").alias("place", "seed")).join(counts, "seed", "left")
+    rank = F.row_number().over(Window.partitionBy("item").orderBy(F.coalesce("n", F.lit(0)), "seed", "place"))
+    few = (F.col("least_pairs") == 0) | (F.col("n").isNotNull() & (F.col("rank") <= F.col("size") - F.col("least_pairs")))
+    return every.withColumn("rank", rank).where(few).select("item", "seed", "reach").distinct()
+
+
+def seed_places(docs: DataFrame, table: BitTable, sizes: list[int]) -> DataFrame:
+    """(h1, h2, seed, place) where documents have what the table lets through; the first place only of items that are looked up whole, of these sizes."""
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("seed", pa.int64()), ("place", pa.int32())])
+
+    def run(batches):
+        for part, words, bounds in by_text(batches):
+            found = [pair_hashes(words, bounds)]
+            for n in sizes:
+                text, place = gram_places(bounds, n)
+                value = whole_seed(words, n)[place]
+                kept = np.flatnonzero(sent.value.has(value))
+                _, first = np.unique(np.stack((text[kept].astype(np.uint64), value[kept])), axis=1, return_index=True)
+                kept = kept[first]
+                found.append((text[kept], place[kept] - bounds[text[kept]], value[kept]))
+            text, place, value = (np.concatenate(x) for x in zip(*found))
+            kept = sent.value.has(value)
+            text, place, value = text[kept], place[kept], value[kept]
+            h1, h2 = (part[c].to_numpy()[text] for c in ("h1", "h2"))
+            yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(value.view(np.int64)), pa.array(place.astype(np.int32))], schema=schema)
+
+    return docs.select("h1", "h2", "text").mapInArrow(run, "h1 long, h2 long, seed long, place int")
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h1, h2, text) of documents whose h1 is among those of wanted, and of few others: the rest is not shuffled."""
+    sent = docs.sparkSession.sparkContext.broadcast(seed_table(wanted.select(F.col("h1").alias("seed"))))
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(sent.value.has(batch["h1"].to_numpy().view(np.uint64))))
+
+    return docs.select("h1", "h2", "text").mapInArrow(run, "h1 long, h2 long, text string")
+
+
+def best_copy(own: np.ndarray, item: np.ndarray, spans: list[tuple[int, int]], needed: int, reach: int, penalty: float) -> tuple[float, int]:
+    """Best alignment of the item within reach of places (first, last) of its seeds, where there are enough of its pairs; and where it ends."""
+    ranges: list[list[int]] = []
+    for first, last in sorted(spans):
+        a, z = max(0, first - reach), last + reach + 2
+        if ranges and a <= ranges[-1][1]:
+            ranges[-1][1] = max(z, ranges[-1][1])
+        else:
+            ranges.append([a, z])
+    pairs = pair_hashes(item, np.array([0, len(item)]), (1,))[2]
+    best, end = 0.0, 0
+    for a, z in ranges:
+        part = own[a:z]
+        there = pair_hashes(part, np.array([0, len(part)]))[2]
+        if np.isin(pairs, there).sum() >= needed:
+            score, stop = align(item, part, penalty)
+            if score > best:
+                best, end = score, a + stop
+    return best, end
+
+
+FOUND = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("item", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())])
+FOUND_DDL = "h1 long, h2 long, item long, score double, end_word long"
+
+
+def aligned(rows: DataFrame, least: float, penalty: float) -> DataFrame:
+    """Accepted copies, from rows of one text and its candidates after it: the text first, as its item is null."""
+
+    def run(batches):
+        own = np.zeros(0, np.uint64)
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if row["item"] is None:
+                    own = hashed_words([row["text"]])[0]
+                    continue
+                words = np.frombuffer(row["words"], np.uint64)
+                if row["least_pairs"] == 0:
+                    out.append((row["h1"], row["h2"], row["item"], 1.0, min(s["first"] for s in row["spans"]) + len(words)))
+                    continue
+                best, end = best_copy(own, words, [(s["first"], s["last"]) for s in row["spans"]], row["least_pairs"], row["reach"], penalty)
+                if best >= least * len(words):
+                    out.append((row["h1"], row["h2"], row["item"], best / len(words), end))
+            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], f.type) for c, f in enumerate(FOUND)], schema=FOUND)
+
+    return rows.mapInArrow(run, FOUND_DDL)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = GRAM, least: float = LEAST_SCORE, penalty: float = PENALTY) -> DataFrame:
     """(doc_id, item_id, score, end_word): documents that hold a copy of an item, also an edited one.
 
@@ -73,108 +241,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = GRAM, least: fl
     doc_id count as one, and so do those without; the best of them counts. An
     empty table on either side gives none. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    docs = docs.select("doc_id", body().alias("text"))
-    items = benchmark.select("item_id", body().alias("text"))
-    chars = items.agg(F.sum(F.length("text") + 1)).first()[0] or 0
-    blocks = -(-chars // CHARS_AT_ONCE)
-    found = None
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
-        if rows:
-            part = align_near(docs, [r.item_id for r in rows], [r.text for r in rows], k, least, penalty)
-            found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], "doc_id long, item_id long, score double, end_word long")
+    small_batches(docs.sparkSession)
+    text = ["h1", "h2"]
+    keyed = lambda df: df.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
+    docs = keyed(docs.select("doc_id", body().alias("text")))
+    known = materialize(benchmark.select("item_id", body().alias("text")).withColumn("item", F.monotonically_increasing_id()), "items")
+    items = materialize(item_words(known.select("item", "text"), k, least, penalty), "item-words")
+    pairs = items.where("least_pairs > 0").select(F.explode("seeds").alias("seed"))
+    seeds = materialize(rarest(items, seed_counts(docs, seed_table(pairs))), "seeds")
+    sizes = [r[0] for r in items.where("least_pairs = 0").select("size").distinct().collect()]
+    places = seed_places(docs, seed_table(seeds), sizes)
+    met = places.join(seeds, "seed").groupBy(*text, "item", F.floor(F.col("place") / F.col("reach")).alias("part"))
+    spans = met.agg(F.struct(F.min("place").alias("first"), F.max("place").alias("last")).alias("span"))
+    found = materialize(spans.groupBy(*text, "item").agg(F.collect_list("span").alias("spans")), "candidates")
+    parts = found.groupBy(*text).agg(F.ceil(F.count("*") / ITEMS_A_TASK).cast("int").alias("parts"))
+    candidates = found.join(items.drop("seeds", "size"), "item").join(parts, text)
+    candidates = candidates.withColumn("dealt", F.pmod(F.xxhash64("item"), "parts").cast("int")).withColumn("text", F.lit(None).cast("string")).drop("parts")
+    needed = parts.join(texts_of(docs, parts), text).groupBy(*text, "parts").agg(F.any_value("text").alias("text"))
+    texts = needed.withColumn("dealt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    rows = texts.unionByName(candidates, allowMissingColumns=True).repartition(*text, "dealt").sortWithinPartitions(*text, "dealt", F.col("item").asc_nulls_first())
+    copies = materialize(aligned(rows, least, penalty), "copies")
     best = F.max(F.struct("score", (-F.col("end_word")).alias("end"))).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.score", (-F.col("best.end")).alias("end_word"))
-
-
-def whole_places(words: np.ndarray, bounds: np.ndarray, items: dict[int, dict[int, list[int]]]) -> list[tuple[int, int, int]]:
-    """(text, item, end) of the first place of each short item in each text; items by number of words and hash."""
-    out = {}
-    for n, known in items.items():
-        text, place = gram_places(bounds, n)
-        value = grams(words, n)[place]
-        for i in np.flatnonzero(np.isin(value, np.fromiter(known, np.uint64, len(known)))).tolist():
-            for item in known[int(value[i])]:
-                out.setdefault((int(text[i]), item), int(place[i] - bounds[text[i]]) + n)
-    return [(t, q, end) for (t, q), end in out.items()]
-
-
-def align_near(docs: DataFrame, ids: list, texts: list[str], k: int, least: float, penalty: float) -> DataFrame:
-    """(doc_id, item_id, score, end_word) of alignments that score enough, where an item has enough pairs close together."""
-    words, bounds = hashed_words(texts)
-    of, place, value = pair_hashes(words, bounds)
-    lengths = np.diff(bounds)
-    short: dict[int, dict[int, list[int]]] = {}
-    for i in np.flatnonzero((lengths > 0) & (lengths < k)).tolist():
-        whole = int(grams(words[bounds[i] : bounds[i + 1]], int(lengths[i]))[0])
-        short.setdefault(int(lengths[i]), {}).setdefault(whole, []).append(i)
-    keep = lengths[of] >= k
-    of, place, value = of[keep], place[keep], value[keep]
-    order = np.argsort(value, kind="stable")
-    # An accepted copy has at most one edit a match, so it reaches over twice the item's words at most.
-    reach = np.int64(np.ceil(lengths * (1 + (1 - least) / penalty)))
-    sent = docs.sparkSession.sparkContext.broadcast((value[order], of[order].astype(np.int32), place[order].astype(np.int32), words, bounds, reach, least_pairs(lengths, least, penalty), ids, short))
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())])
-
-    def run(batches):
-        known, item_of, item_at, item_words, item_bounds, reach, needed, ids, short = sent.value
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                words, bounds = hashed_words(part["text"].to_pylist())
-                text, at, value = pair_hashes(words, bounds)
-                first = np.searchsorted(known, value)
-                met = np.flatnonzero(known[np.minimum(first, len(known) - 1)] == value) if len(known) else np.zeros(0, np.int64)
-                n = np.searchsorted(known, value[met], "right") - first[met]
-                entry = np.repeat(first[met] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                item, own = item_of[entry].astype(np.int64), item_at[entry].astype(np.int64)
-                text, at = np.repeat(text[met], n), np.repeat(at[met], n)
-                wide = np.int64(1) << np.int64(32)
-                group = text * len(ids) + item
-                order = np.lexsort((at, own, group))
-                group, own, at, item, text = group[order], own[order], at[order], item[order], text[order]
-                again = np.zeros(len(at), bool)
-                again[1:] = (group[1:] == group[:-1]) & (own[1:] == own[:-1]) & (at[1:] == at[:-1])
-                group, own, at, item, text = (x[~again] for x in (group, own, at, item, text))
-                # Places that begin a hit of their item place: the count over (start, start + reach) is of
-                # distinct item places, as +1 from max(previous place + 1, place - reach) to place.
-                same = np.zeros(len(at), bool)
-                same[1:] = (group[1:] == group[:-1]) & (own[1:] == own[:-1])
-                before = np.where(same, np.append(-1, at[:-1])[: len(at)], -1)
-                since = np.maximum(before + 1, at - reach[item] + 1)
-                since = np.maximum(since, 0)
-                spot = np.concatenate((group * wide + since, group * wide + at + 1))
-                step = np.concatenate((np.ones(len(at), np.int64), -np.ones(len(at), np.int64)))
-                order = np.argsort(spot, kind="stable")
-                spot, level = spot[order], np.cumsum(step[order])
-                last = np.append(spot[1:] != spot[:-1], True) if len(spot) else np.zeros(0, bool)
-                spot, level = spot[last], level[last]
-                hot = level >= needed[(spot // wide) % len(ids)]
-                out = [(part["doc_id"][t].as_py(), ids[q], 1.0, end) for t, q, end in whole_places(words, bounds, short)]
-                for g in np.unique(spot[hot] // wide).tolist():
-                    t, q = divmod(g, len(ids))
-                    own_words, item_own = words[bounds[t] : bounds[t + 1]], item_words[item_bounds[q] : item_bounds[q + 1]]
-                    best, end, r = 0.0, 0, int(reach[q])
-                    # Counts hold until the next change, so a stretch of starts reaches there.
-                    lo_at, hi_at = np.searchsorted(spot, g * int(wide)), np.searchsorted(spot, (g + 1) * int(wide))
-                    places, on = spot[lo_at:hi_at] - g * int(wide), hot[lo_at:hi_at]
-                    ranges = []
-                    for i in np.flatnonzero(on).tolist():
-                        a, z = max(0, int(places[i]) - r), int(places[i + 1] if i + 1 < len(places) else places[i]) + r + 2
-                        if ranges and a <= ranges[-1][1]:
-                            ranges[-1][1] = max(z, ranges[-1][1])
-                        else:
-                            ranges.append([a, z])
-                    for a, z in ranges:
-                        score, stop = align(item_own, own_words[a:z], penalty)
-                        if score > best:
-                            best, end = score, a + stop
-                    if best >= least * len(item_own):
-                        out.append((part["doc_id"][t].as_py(), ids[q], best / len(item_own), end))
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], f.type) for i, f in enumerate(schema)], schema=schema)
-
-    return docs.mapInArrow(run, "doc_id long, item_id long, score double, end_word long")
+    named = copies.join(known.select("item", "item_id"), "item").join(docs.select("doc_id", *text), text)
+    return named.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.score", (-F.col("best.end")).alias("end_word"))
