@@ -29,12 +29,14 @@ CHUNK_BYTES = 8 << 10
 RECORDS_PER_FILE = 2000
 #: Compressed bytes that reading inflates at a time, and bytes that they may become.
 READ_BYTES, INFLATED_BYTES = 64 << 10, 4 << 20
+#: Bytes of an archive file at most.
+MOST_ARCHIVE_BYTES = 1 << 30
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-PARSED = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("kind", pa.string()), ("record_id", pa.string()), ("refers", pa.string()), ("origin", pa.string()), ("copy", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
-RESPONSE = pa.schema([PARSED.field(c) for c in ("page_id", "payload_bytes", "payload_digest", "record_id")])
-PARSED_SQL = "page_id long, payload_bytes long, payload_digest string, kind string, record_id string, refers string, origin string, copy string, segment int, total long, block binary"
+PARSED = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("kind", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("refers", pa.string()), ("origin", pa.string()), ("copy", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary()), ("content", pa.string())])
+RESPONSE = pa.schema([PARSED.field(c) for c in ("page_id", "payload_bytes", "payload_digest", "record_id", "target_uri")])
+PARSED_SQL = "page_id long, payload_bytes long, payload_digest string, kind string, record_id string, target_uri string, refers string, origin string, copy string, segment int, total long, block binary, content string"
 
 
 def digest(payload: bytes) -> str:
@@ -47,12 +49,14 @@ def chunked(payload: bytes, size: int) -> bytes:
 
 
 def dechunked(framed: bytes) -> bytes:
+    """What chunks hold; extensions of chunks and trailer fields after the last one are passed over."""
     out, at = [], 0
     while True:
         stop = framed.index(b"\r\n", at)
-        n = int(framed[at:stop].split(b";")[0], 16)
+        n = int(framed[at:stop].split(b";")[0].strip(), 16)
         if not n:
-            if framed[stop:] != b"\r\n\r\n":
+            end = stop if framed[stop:].startswith(b"\r\n\r\n") else framed.index(b"\r\n\r\n", stop + 2)
+            if end + 4 != len(framed):
                 raise ValueError("chunked body goes on after its end")
             return b"".join(out)
         out.append(framed[stop + 2 : stop + 2 + n])
@@ -61,6 +65,46 @@ def dechunked(framed: bytes) -> bytes:
         at = stop + 4 + n
 
 
+def fields_of(head: bytes) -> dict[str, str]:
+    """Fields below the first line of a head, by lower-case name; the first of repeated ones. A line that begins with space goes on with the field before it."""
+    lines: list[str] = []
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and lines:
+            lines[-1] += " " + line.strip()
+        else:
+            lines.append(line)
+    out: dict[str, str] = {}
+    for name, colon, value in (x.partition(":") for x in lines):
+        if colon:
+            out.setdefault(name.strip().lower(), value.strip())
+    return out
+
+
+def http_payload(block: bytes, content_type: str) -> tuple[bytes, bytes]:
+    """The payload of a response, without transfer framing, and as it stands. A block that is no HTTP message is payload as a whole."""
+    if content_type and not content_type.lower().startswith("application/http"):
+        return block, block
+    stop = block.find(b"\r\n\r\n")
+    if stop < 0:
+        raise ValueError("HTTP head without its end")
+    body = block[stop + 4 :]
+    codings = fields_of(block[:stop]).get("transfer-encoding", "").lower().split(",")
+    return (dechunked(body) if codings[-1].strip() == "chunked" else body), body
+
+
+def agrees(claimed: str | None, *payloads: bytes) -> bool:
+    """Whether a digest field is that of one of the payloads; so is none at all, or one by an unknown algorithm."""
+    name, colon, value = (claimed or "").partition(":")
+    name = name.strip().lower().replace("-", "")
+    if not colon or name not in ("sha1", "md5", "sha256", "sha512"):
+        return True
+    for payload in payloads:
+        raw = hashlib.new(name, payload).digest()
+        if value.strip().lower() == raw.hex() or value.strip().upper().rstrip("=") == base64.b32encode(raw).decode().rstrip("="):
+            return True
+    return False
+
+
 def record(fields: dict, block: bytes) -> bytes:
     """One record as a gzip member, without its last byte, a zero."""
     head = "".join(f"{k}: {v}\r\n" for k, v in fields.items() if v is not None)
@@ -177,8 +221,8 @@ def parse(data: bytes):
     while True:
         stop = held.find(b"\r\n\r\n", at)
         if stop >= 0:
-            fields = {k: v.strip() for k, _, v in (x.partition(":") for x in held[at:stop].decode().split("\r\n")[1:])}
-            end = stop + 4 + int(fields["Content-Length"])
+            fields = fields_of(held[at:stop].lstrip(b"\r\n"))
+            end = stop + 4 + int(fields["content-length"])
             if len(held) >= end + 4:
                 yield fields, held[stop + 4 : end]
                 at = end + 4
@@ -191,26 +235,25 @@ def parse(data: bytes):
         held, at = held[at:] + more, 0
 
 
-def _response(page, block: bytes, claimed: str, own: str) -> tuple:
-    payload = dechunked(block[block.index(b"\r\n\r\n") + 4 :])
-    found = digest(payload)
-    if found != claimed:
-        raise ValueError(f"{own}: payload digest {found}, {claimed} recorded")
-    return page, len(payload), found, own
+def _response(page, block: bytes, kind: str, claimed: str | None, own: str, target: str | None) -> tuple:
+    payload, body = http_payload(block, kind)
+    if not agrees(claimed, payload, body):
+        raise ValueError(f"{own}: payload digest {digest(payload)}, {claimed} recorded")
+    return page, len(payload), digest(payload), own, target
 
 
 def _parsed(fields: dict, block: bytes) -> tuple | None:
     """A row of PARSED for a record; None for one that is no part of a page."""
-    kind, own, claimed = fields["WARC-Type"], fields["WARC-Record-ID"], fields.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
-    page = int(fields["X-Page"]) if "X-Page" in fields else None
+    kind, own, claimed = fields["warc-type"].lower(), fields["warc-record-id"], fields.get("warc-payload-digest")
+    page, target, content = (int(fields["x-page"]) if "x-page" in fields else None), fields.get("warc-target-uri"), fields.get("content-type", "")
     if kind == "revisit":
-        return page, None, claimed, kind, own, fields["WARC-Refers-To"], *[None] * 5
-    if "WARC-Segment-Number" in fields:
-        total = fields.get("WARC-Segment-Total-Length")
-        return page, None, claimed, kind, own, None, fields.get("WARC-Segment-Origin-ID", own), fields.get("X-Copy", ""), int(fields["WARC-Segment-Number"]), total and int(total), block
+        return page, None, claimed, kind, own, target, fields.get("warc-refers-to"), *[None] * 6
+    if "warc-segment-number" in fields and kind in ("response", "continuation"):
+        total, n = fields.get("warc-segment-total-length"), int(fields["warc-segment-number"])
+        return page, None, claimed, kind, own, target, None, fields.get("warc-segment-origin-id", own), fields.get("x-copy", ""), n, total and int(total), block, content
     if kind == "response":
-        page, size, found, own = _response(page, block, claimed, own)
-        return page, size, found, kind, own, *[None] * 6
+        page, size, found, own, target = _response(page, block, content, claimed, own, target)
+        return page, size, found, kind, own, target, *[None] * 7
     return None
 
 
@@ -218,15 +261,25 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of the archives: page_id, payload_bytes, payload_digest, record_type, refers_to.
+def read_archives(spark: SparkSession, path: str, resolve: bool = True) -> DataFrame:
+    """Pages of the archives: page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, target_uri.
+
+    Archives may come from other writers: names of fields in any case, bodies with or
+    without chunked framing and trailer fields, digests of several kinds, of the
+    payload or of its framed form, or none, records of other types, which are passed over, and
+    no page_id, which is then null.
 
     A missing or repeated segment, a wrong total length or digest, a broken frame, an
     archive cut off, and a revisit of a record that is not there raise: such archives
-    were not written whole. Segments may stand in any order and in different files.
-    A revisit's size is that of the response it refers to.
+    were not written whole. Without ``resolve`` such a revisit has no size. Segments may
+    stand in any order and in different files. A revisit's size is that of the
+    response it refers to, by record id, or else by digest. Files of more than
+    MOST_ARCHIVE_BYTES raise, as one task holds a file.
     """
     small_batches(spark)
+    files = spark.read.format("binaryFile").load(path)
+    if not (largest := files.agg(F.max("length")).first()[0] or 0) <= MOST_ARCHIVE_BYTES:
+        raise ValueError(f"an archive has {largest} bytes, {MOST_ARCHIVE_BYTES} are the most")
 
     def run(batches):
         for batch in batches:
@@ -248,27 +301,36 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 block = b"".join(p["block"] for p in parts)
                 if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or parts[-1]["total"] != len(block):
                     raise ValueError(f"{origin}: segments are missing, repeated or of another length")
-                rows.append(_response(parts[0]["page_id"], block, parts[0]["payload_digest"], origin))
+                head = parts[0]
+                rows.append(_response(head["page_id"], block, head["content"], head["payload_digest"], origin, head["target_uri"]))
             if rows:
                 yield _batch(rows, RESPONSE)
 
-    files = spark.read.format("binaryFile").load(path).select("content")
-    parsed = materialize(files.mapInArrow(run, PARSED_SQL), "warc-records")
+    parsed = materialize(files.select("content").mapInArrow(run, PARSED_SQL), "warc-records")
     whole = parsed.where("origin is null and kind = 'response'").select(*RESPONSE.names)
-    parts = parsed.where("origin is not null").groupBy("origin", "copy").agg(F.array_sort(F.collect_list(F.struct("segment", "total", "block", "page_id", "payload_digest"))).alias("parts"))
-    joined = materialize(parts.mapInArrow(join, "page_id long, payload_bytes long, payload_digest string, record_id string"), "warc-joined")
+    held = F.struct("segment", "total", "block", "page_id", "payload_digest", "content", "target_uri")
+    parts = parsed.where("origin is not null").groupBy("origin", "copy").agg(F.array_sort(F.collect_list(held)).alias("parts"))
+    joined = materialize(parts.mapInArrow(join, "page_id long, payload_bytes long, payload_digest string, record_id string, target_uri string"), "warc-joined")
     responses = whole.unionByName(joined)
-    revisits = parsed.where("kind = 'revisit'").select("page_id", F.col("payload_digest").alias("claimed"), "refers")
+    # A digest as the field has it, in the form that responses have.
+    bare = F.upper(F.regexp_extract("payload_digest", "(?i)^sha-?1:([A-Z2-7]{32})$", 1))
+    revisits = parsed.where("kind = 'revisit'").select("page_id", "target_uri", F.col("record_id").alias("own"), F.coalesce("refers", F.concat(F.lit("sha1:"), bare), F.lit("")).alias("refers"), bare.alias("claimed"))
     wanted = revisits.groupBy("refers").agg(F.count("*").alias("n"))
-    targets = wanted.join(responses.withColumnRenamed("page_id", "refers_to"), F.col("refers") == F.col("record_id"), "left")
-    targets = materialize(targets.groupBy("refers", "n").agg(F.first("refers_to").alias("refers_to"), F.first("payload_bytes").alias("payload_bytes"), F.first("payload_digest").alias("payload_digest")), "warc-targets")
-    sound = F.coalesce(F.col("payload_digest") == F.col("claimed"), F.lit(False))
-    size = F.when(sound, F.col("payload_bytes")).otherwise(F.raise_error(F.concat(F.lit("no response with this payload: "), F.col("refers"))).cast("long"))
-    again = join_counted(revisits, targets, "refers").select("page_id", size.alias("payload_bytes"), "payload_digest", F.lit("revisit").alias("record_type"), "refers_to")
-    return responses.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).unionByName(again)
+    named = F.explode(F.array("record_id", F.concat(F.lit("sha1:"), "payload_digest"))).alias("refers")
+    known = responses.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest", named).join(wanted, "refers")
+    first = F.min(F.struct(F.col("refers_to").isNull().alias("unnamed"), "refers_to", "payload_bytes", "payload_digest")).alias("first")
+    targets = wanted.join(known.groupBy("refers").agg(first), "refers", "left").select("refers", "n", "first.refers_to", "first.payload_bytes", "first.payload_digest")
+    targets = materialize(targets, "warc-targets")
+    sound = F.coalesce((F.col("payload_digest") == F.col("claimed")) | (F.col("payload_digest").isNotNull() & (F.col("claimed") == "")), F.lit(False))
+    size = F.col("payload_bytes")
+    if resolve:
+        size = F.when(sound, size).otherwise(F.raise_error(F.concat(F.lit("no response with this payload: "), F.col("refers"))).cast("long"))
+    again = join_counted(revisits, targets, "refers").select("page_id", size.alias("payload_bytes"), F.coalesce("payload_digest", F.nullif("claimed", F.lit(""))).alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers_to", F.col("own").alias("record_id"), "target_uri")
+    first_ones = responses.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), "record_id", "target_uri")
+    return first_ones.unionByName(again)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
     path = scratch_path(pages.sparkSession, "warc")
     write_archives(pages, path)
-    return read_archives(pages.sparkSession, path)
+    return read_archives(pages.sparkSession, path).drop("record_id", "target_uri")

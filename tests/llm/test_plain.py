@@ -1,5 +1,6 @@
 """The training-data operators against plain versions, on broken input and on long texts."""
 
+import hashlib
 import random
 import re
 import time
@@ -199,6 +200,60 @@ def test_broken_archives_raise(spark, tmp_path, broken):
         warc.read_archives(spark, stored(tmp_path / "x", members)).collect()
 
 
+def foreign(fields: list[tuple[str, str]], block: bytes) -> bytes:
+    head = "".join(f"{k}:{v}\r\n" for k, v in [*fields, ("content-LENGTH", len(block))])
+    return zlib.compress(b"WARC/1.0\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n", 6, 31)
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    """Plain and chunked bodies, trailers, several digests and none, fields in any case, records of other types, foreign ids and revisits."""
+    plain, framed = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n", b"HTTP/1.1 200 OK\r\ntransfer-encoding: gzip, Chunked\r\n\r\n"
+    body, chunks = b"<p>\xff one</p>", b"4;x=1\r\n<p>\xff\r\n9\r\n one</p>\xe9\r\n"
+    whole_body = b"<p>\xff one</p>\xe9"
+    response = lambda i, **more: [("WARC-TYPE", "response"), ("warc-record-id", f"<urn:uuid:{i}>"), ("Warc-Target-Uri", f"http://x/{i}"), ("Content-Type", "application/http; msgtype=response"), *[(k.replace("_", "-"), v) for k, v in more.items()]]
+    members = [
+        foreign([("WARC-Type", "request"), ("WARC-Record-ID", "<urn:uuid:r>")], b"GET / HTTP/1.1\r\n\r\n"),
+        foreign(response(1), plain + body),
+        foreign(response(2, warc_payload_digest="sha1:" + warc.digest(whole_body).lower()), framed + chunks + b"0\r\nExpires: never\r\nX: y\r\n\r\n"),
+        foreign(response(3, WARC_Payload_Digest="sha-256:" + hashlib.sha256(b"").hexdigest()), plain),
+        foreign(response(4, WARC_Payload_Digest="sha1:" + warc.digest(chunks + b"0\r\n\r\n")), framed + chunks + b"0\r\n\r\n"),
+        foreign(response(5, WARC_Payload_Digest="blake3:zz"), plain + b"5"),
+        foreign([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:6>"), ("Content-Type", "text/dns")], b"20240101\r\nx. A 1.1.1.1"),
+        foreign([("WARC-Type", "metadata"), ("WARC-Record-ID", "<urn:uuid:m>")], b"a: b"),
+        foreign([("warc-type", "revisit"), ("warc-record-id", "<urn:uuid:7>"), ("WARC-Refers-To", "<urn:uuid:1>")], plain),
+        foreign([("warc-type", "revisit"), ("warc-record-id", "<urn:uuid:8>"), ("WARC-Payload-Digest", "sha1:" + warc.digest(whole_body)), ("WARC-Target-URI", "http://x/8")], b""),
+    ]
+    got = {r.record_id[10:-1]: r for r in warc.read_archives(spark, stored(tmp_path / "a", members)).collect()}
+    sizes = {"1": body, "2": whole_body, "3": b"", "4": whole_body, "5": b"5", "6": b"20240101\r\nx. A 1.1.1.1", "7": body, "8": whole_body}
+    assert {i: (r.payload_bytes, r.payload_digest) for i, r in got.items()} == {i: (len(b), warc.digest(b)) for i, b in sizes.items()}
+    assert all(r.page_id is None and r.refers_to is None for r in got.values())
+    assert [got[i].record_type for i in "1278"] == ["response", "response", "revisit", "revisit"] and got["8"].target_uri == "http://x/8"
+
+
+@pytest.mark.parametrize("broken", ["sha1", "md5", "trailer", "head", "revisit"])
+def test_broken_foreign_archives_raise(spark, tmp_path, broken):
+    fields = [("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:1>")]
+    plain, framed = b"HTTP/1.1 200 OK\r\n\r\n", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
+    members = {
+        "sha1": foreign([*fields, ("WARC-Payload-Digest", "sha1:" + warc.digest(b"a"))], plain + b"b"),
+        "md5": foreign([*fields, ("WARC-Payload-Digest", "md5:" + hashlib.md5(b"a").hexdigest())], plain + b"b"),
+        "trailer": foreign(fields, framed + b"1\r\na\r\n0\r\nX: y\r\n\r\nmore"),
+        "head": foreign(fields, b"HTTP/1.1 200 OK\r\nX: y"),
+        "revisit": foreign([("WARC-Type", "revisit"), ("WARC-Record-ID", "<urn:uuid:2>"), ("WARC-Refers-To", "<urn:uuid:9>")], b""),
+    }[broken]
+    path = stored(tmp_path / "x", [members])
+    with pytest.raises(Exception, match="payload|chunked body|without its end"):
+        warc.read_archives(spark, path).collect()
+    if broken == "revisit":
+        assert [r.payload_bytes for r in warc.read_archives(spark, path, resolve=False).collect()] == [None]
+
+
+def test_an_archive_over_the_bound_raises(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_ARCHIVE_BYTES", 100)
+    with pytest.raises(ValueError, match="100 are the most"):
+        warc.read_archives(spark, stored(tmp_path / "a", segments()))
+
+
 def test_records_of_written_archives(spark, tmp_path):
     """Each file begins with a warcinfo record, ids are named once but for repeated rows, and what is referred to is there."""
     pages = spark.createDataFrame([(i, f"http://x/{i}", f"page {i % 7}" * (1 + 9000 * (i % 7 == 3))) for i in range(60)], "page_id long, url string, html string")
@@ -207,9 +262,9 @@ def test_records_of_written_archives(spark, tmp_path):
     for f in (tmp_path / "w").glob("part-*"):
         if data := f.read_bytes():
             records = list(warc.parse(data))
-            assert records[0][0]["WARC-Type"] == "warcinfo" and len(records) <= 10
-            ids.update(h["WARC-Record-ID"] for h, _ in records)
-            refers |= {h["WARC-Refers-To"] for h, _ in records if "WARC-Refers-To" in h}
+            assert records[0][0]["warc-type"] == "warcinfo" and len(records) <= 10
+            ids.update(h["warc-record-id"] for h, _ in records)
+            refers |= {h["warc-refers-to"] for h, _ in records if "warc-refers-to" in h}
     assert max(ids.values()) == 1 and len(refers) == 7 and refers <= set(ids)
 
 
