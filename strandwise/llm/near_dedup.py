@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import body, join_counted, materialize, small_batches
+from .common import body, join_counted, materialize, small_batches, stand_ins
 from .words import ODD, gram_places, grams, hashed_words, mix, salt
 
 SHINGLE = 5
@@ -238,12 +238,13 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESH
     buckets (some thirty of them) that a pair shares.
 
     Null and empty texts have no shingles and are one class; texts shorter than k
-    words are one shingle. Rows of one doc_id count as one document. An empty
-    table gives no rows. Other columns are ignored.
+    words are one shingle. Rows of one doc_id count as one document. A row without
+    doc_id is a document of its own, which every doc_id precedes: a class that has no
+    other rows has no class_id. An empty table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select("doc_id", body().alias("text"))
+    docs, stand_in = stand_ins(docs.select("doc_id", body().alias("text")))
     signed = materialize(sign(docs, k, bands, rows), "signatures")
     fp = ["fp1", "fp2"]
     sets = materialize(signed.groupBy(*fp).agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")), "sets")
@@ -292,4 +293,5 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESH
         late = compare(close_pairs(members, texts, k, threshold)).where(F.col("sim") >= threshold)
         labels = joined_classes(labels, late)
     classes = materialize(sets.select(*fp, "node").join(labels, F.col("node") == F.col("v"), "left").select(*fp, F.coalesce("label", "node").alias("class_id")), "classes")
-    return signed.select("doc_id", *fp).join(classes, fp).select("doc_id", "class_id")
+    out = signed.select("doc_id", *fp).join(classes, fp).select("doc_id", "class_id")
+    return out if stand_in is None else out.select(*[F.when(F.col(c) < stand_in, F.col(c)).alias(c) for c in ("doc_id", "class_id")])

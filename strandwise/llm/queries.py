@@ -40,7 +40,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
-    return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -133,7 +133,7 @@ def shard(docs: DataFrame, shards: int = 40, text: str = "text", doc_id: str = "
 
     ``size`` is the UTF-8 length plus ROW_BYTES; a null text counts as empty and
     shares a group with empty ones. Repeated rows are one group each and get a
-    slot each. With fewer groups than shards, some shards stay empty; an empty
+    slot each; so do rows without doc_id, first in their stretch. With fewer groups than shards, some shards stay empty; an empty
     table gives no rows. Other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(body(text)) + ROW_BYTES).cast("long").alias("size"), F.crc32(body(text).cast("binary")).alias("text_crc32"), text_key(text).alias("key"))

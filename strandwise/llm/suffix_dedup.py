@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import body, join_counted, materialize, small_batches
+from .common import body, join_counted, materialize, small_batches, stand_ins, without_stand_ins
 from .words import ODD, grams, hashed_words, mix
 
 MIN_WORDS = 50
@@ -157,7 +157,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, k: int = GRAM
 
     Spans are [first word, end) of maximal stretches. Documents without any have
     no row, and so have null, empty and short texts and an empty table. Rows of
-    one doc_id count as one document. Other columns are ignored.
+    one doc_id count as one document; a row without doc_id is a document of its own.
+    Other columns are ignored.
 
     A gram with up to ``neighbours`` + 1 places is sorted with its suffixes in one
     task, where each is compared to all before it. For one with more, the runs
@@ -166,7 +167,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, k: int = GRAM
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select("doc_id", body().alias("text"))
+    docs, stand_in = stand_ins(docs.select("doc_id", body().alias("text")))
     window = min_words - k + 1
     suffixes = materialize(select_suffixes(docs, k, window), "suffixes")
     twice = suffixes.groupBy("gram").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a <> b").select("gram", "n")
@@ -206,4 +207,4 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, k: int = GRAM
                 total.append(int((e - s).sum()))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(out, span), pa.array(total, pa.int64())], names=["doc_id", "spans", "repeated_words"])
 
-    return pairs.mapInArrow(merge, "doc_id long, spans array<struct<s:bigint,e:bigint>>, repeated_words long")
+    return without_stand_ins(pairs.mapInArrow(merge, "doc_id long, spans array<struct<s:bigint,e:bigint>>, repeated_words long"), stand_in)

@@ -90,7 +90,7 @@ class Store:
         return self.commit(batch, counted.withColumn("sign", F.lit(1)))
 
     def live(self, keys: DataFrame) -> DataFrame:
-        """What the committed batches hold of (doc_id, tokenizer) keys: the rows to take back."""
+        """What the committed batches hold of (doc_id, tokenizer) keys: the rows to take back. What was put in without doc_id no key names, so it stays."""
         held = self._read("ledger", LEDGER).join(keys.select("doc_id", "tokenizer").distinct(), ["doc_id", "tokenizer"], "left_semi")
         net = held.groupBy("doc_id", *KEYS, "tokens").agg(F.sum("sign").alias("n")).where("n > 0")
         return net.withColumn("sign", -F.col("n")).drop("n")
@@ -100,8 +100,8 @@ class Store:
         return self.commit(batch, self.live(keys))
 
     def revise(self, batch: str, counted: DataFrame) -> bool:
-        """Replace what committed batches hold for the counted documents by the new counts."""
-        counted = counted.select("doc_id", *KEYS, "tokens", F.lit(1).cast("long").alias("sign"))
+        """Replace what committed batches hold for the counted documents by the new counts; those without doc_id replace nothing and are left out."""
+        counted = counted.where("doc_id is not null").select("doc_id", *KEYS, "tokens", F.lit(1).cast("long").alias("sign"))
         return self.commit(batch, counted.unionByName(self.live(counted)))
 
     def totals(self) -> DataFrame:
