@@ -1,10 +1,11 @@
 """Errors of a called transcript set against reference annotation.
 
 A reference interval is broken when, among called ones of its chromosome and
-strand, the first to end at or past its start ends within it, the last to start
-at or before its end starts within it, and they are two. Both are the first and
-last of those that overlap it: one that does not overlap can be neither, or its
-test fails. So a bin join and two aggregates decide it, for all keys at once.
+strand in order, the first to end at or past its start ends within it, the last to start
+at or before its end starts within it, and they are two. Both are as-of look-ups in
+a union of both sides: the last in order of starts, and the first among those that
+end further than all before them, in which starts and ends go alike. No pairs of
+overlapping intervals are made.
 """
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import BIN, overlap_pairs
+from ..sources.shared import stored
+from .segments import cluster_rows, last_seen
 
 KEYS = ("chr", "strand")
+#: Positions of a stretch.
+BLOCK = 1 << 20
 
 
 def normalize_intervals(df: DataFrame, more=()) -> DataFrame:
@@ -25,35 +29,47 @@ def normalize_intervals(df: DataFrame, more=()) -> DataFrame:
     return df.select(*more, named.alias("chr"), strand.alias("strand"), F.col("start").cast("long").alias("s"), F.col("end").cast("long").alias("e"))
 
 
-def broken_intervals(whole: DataFrame, breaking: DataFrame, keys=KEYS, width: int = BIN) -> DataFrame:
+def broken_intervals(whole: DataFrame, breaking: DataFrame, keys=KEYS, block: int | None = BLOCK) -> DataFrame:
     """(keys, s, e, n): intervals of whole that breaking ones break, with the number of equal rows.
 
     Equal rows of breaking are different intervals. Rows with a null in a key or end, or with e < s, take no part.
+    Windows run within stretches of ``block`` positions; None takes whole keys.
     """
-    cols = [*keys, "s", "e"]
-    rows = whole.groupBy(*cols).agg(F.count("*").alias("n"))
-    parts = breaking.groupBy(*cols).agg(F.count("*").alias("n"))
-    place = F.struct("r.s", "r.e")
-    ends = overlap_pairs(rows, parts, keys, width).groupBy("l").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.sum("r.n").alias("several"))
-    apart = (F.col("several") > 1) & (F.col("first.e") <= F.col("l.e")) & (F.col("last.s") >= F.col("l.s"))
-    return ends.where(apart).select("l.*")
-
-
-def count_broken(reference: DataFrame, target: DataFrame, by=(), width: int = BIN) -> DataFrame:
+    keys = list(keys)
+    proper = " and ".join([f"{k} is not null" for k in keys] + ["s <= e"])
+    rows, parts = (df.where(proper).groupBy(*keys, "s", "e").agg(F.count("*").alias("n")) for df in (whole, breaking))
+    parts = cluster_rows(parts.withColumn("refseq", F.lit(False)), keys, 0, ("s", "e"), block)
+    parts = stored(parts.select(*keys, "s", "e", "n", (F.col("reached").isNull() | (F.col("e") > F.col("reached"))).alias("further")), "breaking")
+
+    def union(of: DataFrame, position: str, sign: int, at: str) -> DataFrame:
+        """Breaking intervals by one end, before whole ones by the other at the same position."""
+        a = of.select(*keys, F.struct("s", "e", "n").alias("_part"), (F.col(position) * sign).alias("_at"), F.lit(0).alias("_kind"), F.col("e").alias("_then"))
+        b = rows.select(*keys, (F.col(at) * sign).alias("_at"), F.lit(1).alias("_kind"), "s", "e", "n")
+        return a.unionByName(b, allowMissingColumns=True)
+
+    order = ["_at", "_kind", "_then"]
+    first = last_seen(union(parts.where("further"), "e", -1, "s"), keys, "_at", order, "_part", "first", block).where("_kind = 1")
+    last = last_seen(union(parts, "s", 1, "e"), keys, "_at", order, "_part", "last", block).where("_kind = 1")
+    both = first.select(*keys, "s", "e", "n", "first").join(last.select(*keys, "s", "e", "last"), [*keys, "s", "e"])
+    two = (F.col("first.s") != F.col("last.s")) | (F.col("first.e") != F.col("last.e")) | (F.col("first.n") > 1)
+    return both.where((F.col("first.e") <= F.col("e")) & (F.col("last.s") >= F.col("s")) & two).select(*keys, "s", "e", "n")
+
+
+def count_broken(reference: DataFrame, target: DataFrame, by=(), block: int | None = BLOCK) -> DataFrame:
     """n: reference intervals that target ones break, for each value of the columns ``by``."""
-    return _total(broken_intervals(reference, target, (*by, *KEYS), width), by, F.sum("n"))
+    return _total(broken_intervals(reference, target, (*by, *KEYS), block), by, F.sum("n"))
 
 
-def count_run_together(reference: DataFrame, target: DataFrame, by=(), width: int = BIN) -> DataFrame:
+def count_run_together(reference: DataFrame, target: DataFrame, by=(), block: int | None = BLOCK) -> DataFrame:
     """n: target intervals that run reference ones together."""
-    return count_broken(target, reference, by, width)
+    return count_broken(target, reference, by, block)
 
 
 def _total(df: DataFrame, by, total: Column) -> DataFrame:
     return df.groupBy(*by).agg(F.coalesce(total, F.lit(0)).cast("long").alias("n"))
 
 
-def summed_error(reference: DataFrame, target: DataFrame, by=(), width: int = BIN) -> DataFrame:
+def summed_error(reference: DataFrame, target: DataFrame, by=(), block: int | None = BLOCK) -> DataFrame:
     """error: share of broken reference intervals and share of targets that run some together, added.
 
     Only reference rows whose chromosome and strand have targets count. With
@@ -62,9 +78,9 @@ def summed_error(reference: DataFrame, target: DataFrame, by=(), width: int = BI
     groups = target.select(*by, *KEYS).distinct()
     known = reference.join(groups, list(KEYS))
     parts = {
-        "broken": count_broken(known, target, by, width),
+        "broken": count_broken(known, target, by, block),
         "references": _total(known, by, F.count("*")),
-        "together": count_run_together(known, target, by, width),
+        "together": count_run_together(known, target, by, block),
         "targets": _total(target, by, F.count("*")),
     }
     counts = None
@@ -76,15 +92,15 @@ def summed_error(reference: DataFrame, target: DataFrame, by=(), width: int = BI
     return counts.groupBy(*by).agg((share("broken", "references") + share("together", "targets")).alias("error"))
 
 
-def compare_sets(first: DataFrame, second: DataFrame, width: int = BIN) -> DataFrame:
+def compare_sets(first: DataFrame, second: DataFrame, block: int | None = BLOCK) -> DataFrame:
     """forward and backward error of two transcript sets, each against the other."""
-    forward = summed_error(first, second, width=width).withColumnRenamed("error", "forward")
-    return forward.crossJoin(F.broadcast(summed_error(second, first, width=width).withColumnRenamed("error", "backward")))
+    forward = summed_error(first, second, block=block).withColumnRenamed("error", "forward")
+    return forward.crossJoin(F.broadcast(summed_error(second, first, block=block).withColumnRenamed("error", "backward")))
 
 
-def grid_error_matrix(reference: DataFrame, candidates: DataFrame, row: str, column: str, values: list, width: int = BIN) -> DataFrame:
+def grid_error_matrix(reference: DataFrame, candidates: DataFrame, row: str, column: str, values: list, block: int | None = BLOCK) -> DataFrame:
     """Errors of many candidate sets: one line for each value of row, one column for each of values; null without a set."""
-    errors = summed_error(reference, candidates, (row, column), width)
+    errors = summed_error(reference, candidates, (row, column), block)
     return errors.groupBy(row).pivot(column, values).agg(F.first("error"))
 
 

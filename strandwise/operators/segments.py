@@ -10,57 +10,110 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
+
+#: Stretches that are sent to all tasks (some 100 bytes each); more are joined by a shuffle.
+SENT_STRETCHES = 500_000
+
+
+def _opened(refseq, s, reached, last, max_gap: int):
+    return F.coalesce(reached.isNull() | (s > reached + max_gap) | (last != refseq), F.lit(False))
+
+
+def numbered(df: DataFrame, part, max_gap: int, order) -> DataFrame:
+    """df with what its rows are within their part, as if nothing came before it.
+
+    ``_lm`` is the furthest end before a row, ``_rec`` whether it extends that, ``_own``
+    whether it then opens a cluster, and ``_n`` how many were opened so far. All windows
+    have one order, so rows are dealt and sorted once.
+    """
+    w = Window.partitionBy(*part).orderBy(*order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("refseq", F.coalesce("refseq", F.lit(False))).withColumn("_lm", F.max("e").over(before))
+    df = df.withColumn("_rec", F.col("_lm").isNull() | (F.col("e") > F.col("_lm") + 1))
+    last = F.last(F.when(F.col("_rec"), F.col("refseq")), ignorenulls=True).over(before)
+    df = df.withColumn("_last", last)
+    df = df.withColumn("_own", F.col("_rec") & F.col("_lm").isNotNull() & _opened(F.col("refseq"), F.col("s"), F.col("_lm"), F.col("_last"), max_gap))
+    return df.drop("_last").withColumn("_n", F.sum(F.col("_own").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def sent(stretches: DataFrame) -> DataFrame:
+    """A written table of stretches, broadcast if its number of rows allows it."""
+    return F.broadcast(stretches) if stretches.count() <= SENT_STRETCHES else stretches
+
+
+def carried(rows: DataFrame, keys, max_gap: int) -> DataFrame:
+    """What each stretch (keys, _blk) of numbered rows takes over from earlier ones: a prefix scan over summaries of stretches.
+
+    The summary of a stretch is its furthest end, then, for the end M that is carried
+    in, its rows that extend M too: they are the last of those that extend within the
+    stretch, so the first and the last of them tell everything else. Only the first can
+    depend on the flag that is carried in. ``_m`` is M, ``_first`` the end of the first
+    such row, ``_at`` its _n, ``_head`` whether it opens a cluster, ``_ahead`` the number
+    of clusters opened before the stretch.
+    """
+    keys = list(keys)
+    part = [*keys, "_blk"]
+    earlier = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = stored(rows.groupBy(*part).agg(F.max("e").alias("_end")), "stretch-ends")
+    ends = ends.select(*part, F.max("_end").over(earlier).alias("_m"))
+    beyond = rows.where("_rec").join(sent(ends), part).where("_m is null or e > _m + 1")
+    first = F.min_by(F.struct("e", "_n", "refseq", "s", F.greatest("_lm", "_m").alias("reached")), "e").alias("_f")
+    found = beyond.groupBy(*part).agg(first, F.max_by("refseq", "e").alias("_flag"), F.max("_n").alias("_last_n"))
+    table = ends.join(found, part, "left").withColumn("_in", F.last("_flag", ignorenulls=True).over(earlier))
+    opens = F.col("_f").isNotNull() & _opened(F.col("_f.refseq"), F.col("_f.s"), F.col("_f.reached"), F.col("_in"), max_gap)
+    table = table.withColumn("_head", opens.cast("long")).withColumn("_at", F.col("_f._n"))
+    ahead = F.sum(F.col("_head") + F.coalesce(F.col("_last_n") - F.col("_at"), F.lit(0))).over(earlier)
+    return stored(table.select(*part, "_m", F.col("_f.e").alias("_first"), "_at", "_head", F.coalesce(ahead, F.lit(0)).alias("_ahead")), "stretches")
+
+
+def last_seen(rows: DataFrame, keys, position: str, order, value: str, name: str, block: int | None = None) -> DataFrame:
+    """rows with ``name``: the last value that is not null at or before each row, in the order of the columns, which goes by position first.
+
+    An as-of look-up for a union of both sides. With ``block``, windows run within
+    stretches of so many positions, and the last value of each stretch is carried on
+    over the table of stretches.
+    """
+    keys = list(keys)
+    if not block:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn(name, F.last(value, ignorenulls=True).over(w))
+    part = [*keys, "_blk"]
+    rows = rows.withColumn("_blk", F.floor(F.col(position) / block))
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = stored(rows.withColumn(name, F.last(value, ignorenulls=True).over(w)), "swept")
+    earlier = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy(*part).agg(F.max_by(name, F.struct(*order)).alias("_end"))
+    carry = stored(ends.select(*part, F.last("_end", ignorenulls=True).over(earlier).alias("_in")), "stretches")
+    return rows.join(sent(carry), part).withColumn(name, F.coalesce(name, "_in")).drop("_in", "_blk")
+
 
 def cluster_rows(df: DataFrame, keys, max_gap: int = 0, order=("s", "e"), block: int | None = None) -> DataFrame:
     """df (s, e, refseq) with each row's ``cluster``, numbered by key, ``opens`` it or not, and ``reached``, the furthest end before it.
 
     A null refseq counts as false. With ``block``, no key's rows go to one task:
-    windows run within stretches of that many positions of the first order column,
-    and two windows over the much smaller table of stretches carry on what crosses
-    from one to the next: the furthest end, then the last flag with the number of
-    clusters. A row that does not extend the furthest end never opens a cluster, so of a
-    stretch only its first extending row depends on the flag that is carried in.
+    rows are numbered within stretches of that many positions of the first order
+    column and written, once; what crosses from one stretch to the next comes from
+    the much smaller table of stretches (``carried``).
     """
     keys = list(keys)
-    df = df.withColumn("refseq", F.coalesce("refseq", F.lit(False)))
-    part = [*keys, "_blk"] if block else keys
-    if block:
-        df = df.withColumn("_blk", F.floor(F.col(order[0]) / block))
-    w = Window.partitionBy(*part).orderBy(*order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    if block:
-        ends = df.groupBy(*part).agg(F.max("e").alias("_end")).select(*part, F.max("_end").over(earlier).alias("_reached"))
-        df = df.join(ends, part).withColumn("reached", F.greatest(F.max("e").over(before), "_reached")).drop("_reached")
-    else:
-        df = df.withColumn("reached", F.max("e").over(before))
-    extends = F.col("reached").isNull() | (F.col("e") > F.col("reached") + 1)
-    df = df.withColumn("_flag", F.when(extends, F.col("refseq")))
-    df = df.withColumn("_last", F.last("_flag", ignorenulls=True).over(before))
-
-    def opened(refseq, s, reached, last):
-        return F.coalesce(reached.isNull() | (s > reached + max_gap) | (last != refseq), F.lit(False))
-
-    own = opened(F.col("refseq"), F.col("s"), F.col("reached"), F.col("_last"))
     if not block:
-        df = df.withColumn("opens", extends & own).withColumn("cluster", F.sum(F.col("opens").cast("long")).over(upto))
-        return df.drop("_flag", "_last")
-    place = F.when(extends, F.struct(*order))
-    inner = extends & F.col("_last").isNotNull() & own
-    table = df.groupBy(*part).agg(
-        F.max_by("_flag", place).alias("_flag"),
-        F.min_by(F.struct("refseq", "s", "reached"), place).alias("_first"),
-        F.count_if(inner).alias("_inner"),
-    )
-    table = table.withColumn("_carried", F.last("_flag", ignorenulls=True).over(earlier))
-    table = table.withColumn("_head", F.col("_first").isNotNull() & opened(F.col("_first.refseq"), F.col("_first.s"), F.col("_first.reached"), F.col("_carried")))
-    ahead = F.sum(F.col("_inner") + F.col("_head").cast("long")).over(earlier)
-    table = table.select(*part, "_head", F.coalesce(ahead, F.lit(0)).alias("_ahead"))
-    df = df.drop("_flag").join(table, part)
-    df = df.withColumn("opens", extends & F.when(F.col("_last").isNull(), F.col("_head")).otherwise(own))
-    df = df.withColumn("cluster", F.col("_ahead") + F.sum(F.col("opens").cast("long")).over(upto))
-    return df.drop("_last", "_head", "_ahead", "_blk")
+        rows = numbered(df, keys, max_gap, order)
+        first = F.col("_lm").isNull()
+        opened = F.sum(first.cast("long")).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumns({"reached": F.col("_lm"), "opens": F.col("_own") | first, "cluster": F.col("_n") + opened})
+        return rows.drop("_lm", "_rec", "_own", "_n")
+    part = [*keys, "_blk"]
+    df = df.withColumn("_blk", F.floor(F.col(order[0]) / block))
+    rows = stored(numbered(df, part, max_gap, order), "numbered")
+    rows = rows.join(sent(carried(rows, keys, max_gap)), part).withColumn("reached", F.greatest("_lm", "_m"))
+    extends = F.col("_rec") & (F.col("_m").isNull() | (F.col("e") > F.col("_m") + 1))
+    opens = extends & F.when(F.col("e") == F.col("_first"), F.col("_head") == 1).otherwise(F.col("_own"))
+    # From the first row that extends what is carried in, the furthest end is past that row's own.
+    since = F.when(F.greatest("_lm", "e") >= F.col("_first"), F.col("_head") + F.col("_n") - F.col("_at")).otherwise(0)
+    rows = rows.withColumns({"opens": opens, "cluster": F.col("_ahead") + since})
+    return rows.drop("_blk", "_lm", "_rec", "_own", "_n", "_m", "_first", "_at", "_head", "_ahead")
 
 
 def clusters_of(rows: DataFrame, keys) -> DataFrame:

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.intervals import contains, length, place_id
-from .joins import overlap_pairs
+from .joins import circle_pairs, overlap_pairs
 from .segments import cluster_rows, clusters_of, segment
 
 
 @dataclass(frozen=True)
 class Parameters:
-    """Defaults suit a mammalian genome. Windows run within stretches of ``block`` positions; None takes whole strands."""
+    """Defaults suit a mammalian genome. Windows run within stretches of ``block`` positions; None takes whole strands.
+
+    Overlap joins have bins of ``bin`` positions at least and deal out those of over ``split`` rows; None leaves that to adaptive execution.
+    """
 
     max_gap: int = 0
     tag_extension: int = 0
@@ -29,6 +32,7 @@ class Parameters:
     count_pseudo_run: bool = True
     block: int | None = 1 << 20
     bin: int = 1000
+    split: int | None = 1 << 20
 
 
 def normalize_tags(raw: DataFrame, chromosomes: DataFrame, flip: bool = False) -> DataFrame:
@@ -44,11 +48,11 @@ def collapse_tags(tags: DataFrame, keys=("run_id", "chr", "strand")) -> DataFram
     return tags.groupBy(*keys, "s", "e").agg(F.count("*").alias("tag_count"), *flag)
 
 
-def flag_refseq(tags: DataFrame, genes: DataFrame, width: int = 1000) -> DataFrame:
+def flag_refseq(tags: DataFrame, genes: DataFrame, width: int = 1000, split: int | None = None) -> DataFrame:
     """refseq: whether a gene on the same chromosome and strand overlaps."""
     keys = ["chr", "strand", "s", "e"]
     places = tags.select(*keys).distinct()
-    met = overlap_pairs(places, genes.select(*keys), ("chr", "strand"), width).select("l.*").distinct()
+    met = overlap_pairs(places, genes.select(*keys), ("chr", "strand"), width, split=split).select("l.*").distinct()
     return tags.join(met.withColumn("_met", F.lit(True)), keys, "left").withColumn("refseq", F.coalesce("_met", F.lit(False))).drop("_met")
 
 
@@ -144,7 +148,7 @@ def allowed_edge(transcripts: DataFrame, genes: DataFrame, p: Parameters, extend
         return transcripts.withColumn("edge", sparse)
     ends = transcripts.select("id", "chr", "strand", F.col("e").alias("s"), "e")
     reach = F.least(F.col("r.e") - F.col("l.e") + 1, (F.col("r.e") - F.col("r.s") + 1) * F.lit(float(p.extension_percent)))
-    inside = overlap_pairs(ends, genes.select("chr", "strand", "s", "e"), ("chr", "strand"), p.bin).groupBy(F.col("l.id").alias("id")).agg(F.max(reach).alias("_o"))
+    inside = overlap_pairs(ends, genes.select("chr", "strand", "s", "e"), ("chr", "strand"), p.bin, split=p.split).groupBy(F.col("l.id").alias("id")).agg(F.max(reach).alias("_o"))
     edge = F.when(F.col("_o").isNotNull(), F.greatest(F.lit(float(p.max_edge)), F.col("_o"))).otherwise(sparse)
     return transcripts.join(inside, "id", "left").withColumn("edge", edge).drop("_o")
 
@@ -157,11 +161,10 @@ def above_threshold(transcripts: DataFrame, sources: DataFrame, p: Parameters) -
 
 def close_transcripts(prep: DataFrame, p: Parameters) -> DataFrame:
     """max_end: the furthest end among downstream transcripts within reach in length and density."""
-    around = prep.select("id", "chr", "strand", "refseq", F.col("s").alias("from"), F.col("e").alias("end"), "density", "edge", F.floor(F.col("e") - F.col("edge")).alias("s"), F.ceil(F.col("e") + F.col("edge")).alias("e"))
-    points = prep.select("id", "chr", "strand", "refseq", "s", F.col("s").alias("e"), F.col("e").alias("end"), "density")
-    dx, dy = F.col("r.s") - F.col("l.end"), F.col("r.density") - F.col("l.density")
-    near = (F.col("l.refseq") == F.col("r.refseq")) & (F.col("l.from") <= F.col("r.s")) & (dx * dx + dy * dy <= F.col("l.edge") * F.col("l.edge"))
-    found = overlap_pairs(around, points, ("chr", "strand"), p.bin, near).groupBy(F.col("l.id").alias("id")).agg(F.max("r.end").alias("_far"))
+    around = prep.select("id", "chr", "strand", "refseq", F.col("s").alias("from"), F.col("e").alias("x"), F.col("density").alias("y"), F.col("edge").alias("radius"))
+    points = prep.select("chr", "strand", "refseq", F.col("s").alias("x"), F.col("e").alias("end"), F.col("density").alias("y"))
+    near = circle_pairs(around, points, ("chr", "strand", "refseq"), condition=F.col("l.from") <= F.col("r.x"))
+    found = near.groupBy(F.col("l.id").alias("id")).agg(F.max("r.end").alias("_far"))
     return prep.join(found, "id", "left").withColumn("max_end", F.greatest("_far", "e")).drop("_far")
 
 
@@ -176,7 +179,7 @@ def draw_edges(close: DataFrame, p: Parameters) -> DataFrame:
 def final_sources(final: DataFrame, prep: DataFrame, sources: DataFrame, p: Parameters) -> DataFrame:
     """Tags and gaps of final transcripts by run, from all prep rows they contain."""
     cols = ["id", "chr", "strand", "s", "e"]
-    within = overlap_pairs(final.select(*cols), prep.select(*cols), ("chr", "strand"), p.bin, contains("l", "r")).select(F.col("l.id").alias("final_id"), F.col("r.id").alias("id"))
+    within = overlap_pairs(final.select(*cols), prep.select(*cols), ("chr", "strand"), p.bin, contains("l", "r"), p.split).select(F.col("l.id").alias("final_id"), F.col("r.id").alias("id"))
     return within.join(sources.drop("chr"), "id").groupBy(F.col("final_id").alias("id"), "run_id").agg(F.sum("tag_count").alias("tag_count"), (F.count("*") - 1).alias("gaps"))
 
 
@@ -191,13 +194,13 @@ def annotate(final: DataFrame, regions: DataFrame, p: Parameters) -> DataFrame:
         .otherwise("overlaps with")
     )
     shared = F.least("l.e", "r.e") - F.greatest("l.s", "r.s") + 1
-    pairs = overlap_pairs(final.select(*cols), regions.select(*cols), ("chr",), p.bin, fits)
+    pairs = overlap_pairs(final.select(*cols), regions.select(*cols), ("chr",), p.bin, fits, p.split)
     return pairs.select(F.col("l.id").alias("transcript_id"), F.col("r.id").alias("region_id"), relation.alias("relationship"), (shared * 2 > F.col("r.e") - F.col("r.s") + 1).alias("major"))
 
 
 def distal_flag(final: DataFrame, genes: DataFrame, p: Parameters) -> DataFrame:
     wide = genes.select("chr", (F.col("s") - p.gene_margin).alias("s"), (F.col("e") + p.gene_margin).alias("e"))
-    met = overlap_pairs(final.select("id", "chr", "s", "e"), wide, ("chr",), p.bin).select(F.col("l.id").alias("id")).distinct()
+    met = overlap_pairs(final.select("id", "chr", "s", "e"), wide, ("chr",), p.bin, split=p.split).select(F.col("l.id").alias("id")).distinct()
     return final.join(met.withColumn("_met", F.lit(True)), "id", "left").withColumn("distal", F.col("_met").isNull()).drop("_met")
 
 
@@ -207,28 +210,32 @@ def link_post_gene(final: DataFrame, p: Parameters) -> DataFrame:
     genes = final.where("refseq").select("id", "chr", "strand", F.when(F.col("strand") == 0, F.col("e")).otherwise(F.col("s") - d).alias("s"), F.when(F.col("strand") == 0, F.col("e") + d - 1).otherwise(F.col("s") - 1).alias("e"), F.col("s").alias("gs"), F.col("e").alias("ge"))
     rest = final.where("not refseq").select("id", "chr", "strand", "s", "e")
     gap = F.when(F.col("l.strand") == 0, F.col("l.s") - F.col("r.ge")).otherwise(F.col("r.gs") - F.col("l.e"))
-    found = overlap_pairs(rest, genes, ("chr", "strand"), p.bin).groupBy(F.col("l.id").alias("id")).agg(F.min(F.struct(gap.alias("gap"), F.col("r.id").alias("parent"))).alias("_m"))
+    found = overlap_pairs(rest, genes, ("chr", "strand"), p.bin, split=p.split).groupBy(F.col("l.id").alias("id")).agg(F.min(F.struct(gap.alias("gap"), F.col("r.id").alias("parent"))).alias("_m"))
     return final.join(found, "id", "left").withColumn("parent_id", F.col("_m.parent")).drop("_m")
 
 
-def score(final: DataFrame, sources: DataFrame, prep_sources: DataFrame, runs: DataFrame, p: Parameters) -> DataFrame:
-    """rpkm over all prep tags, length-weighted score, and standard error over runs."""
-    total = prep_sources.agg((F.sum("tag_count") / F.lit(1e6)).alias("_millions"))
-    sums = sources.groupBy("id").agg(F.sum("tag_count").alias("_tags"))
-    out = final.join(sums, "id", "left").crossJoin(F.broadcast(total))
-    out = out.withColumn("rpkm", F.col("_tags") / (length() / 1000.0) / F.col("_millions")).drop("_tags", "_millions")
-    out = out.withColumn("score", F.col("rpkm") * F.log(F.greatest(F.lit(1.0), (length() - 200).cast("double"))) / F.log(F.lit(100.0)))
-    return out.join(standard_error(sources, runs, p), "id", "left").withColumn("standard_error", F.coalesce("standard_error", F.lit(0.0)))
-
-
-def standard_error(sources: DataFrame, runs: DataFrame, p: Parameters) -> DataFrame:
-    """Standard error of the mean of normalised tags over all runs; a run without tags counts as zero.
+def moments(final: DataFrame, sources: DataFrame, runs: DataFrame) -> DataFrame:
+    """final with what its scores are made of, whatever runs come later: tags, and sum (a) and sum of squares (b) of its tags by ten million of each run.
 
-    Moments of the present runs suffice, so absent ones are never made rows.
+    Absent runs count as zero, so they are never made rows. The three add up over runs.
     """
-    counted = runs if p.count_pseudo_run else runs.where("total_tags is not null")
     x = F.coalesce(F.col("tag_count") / F.col("total_tags") * 1e7, F.lit(0.0))
-    sums = sources.join(runs.select(F.col("id").alias("run_id"), "total_tags"), "run_id").groupBy("id").agg(F.sum(x).alias("a"), F.sum(x * x).alias("b"))
-    out = sums.crossJoin(F.broadcast(counted.agg(F.count("*").alias("n"))))
-    variance = F.greatest(F.lit(0.0), (F.col("b") - F.col("a") * F.col("a") / F.col("n")) / (F.col("n") - 1))
-    return out.select("id", F.when(F.col("n") > 1, F.sqrt(variance) / F.sqrt("n")).alias("standard_error"))
+    known = sources.join(runs.select(F.col("id").alias("run_id"), "total_tags"), "run_id", "left")
+    return final.join(known.groupBy("id").agg(F.sum("tag_count").alias("tags"), F.sum(x).alias("a"), F.sum(x * x).alias("b")), "id", "left")
+
+
+def run_count(runs: DataFrame, p: Parameters) -> DataFrame:
+    """One row: n_runs, the number of runs that a mean goes over."""
+    return (runs if p.count_pseudo_run else runs.where("total_tags is not null")).agg(F.count("*").alias("n_runs"))
+
+
+def scored(facts: DataFrame, totals: DataFrame) -> DataFrame:
+    """rpkm over all prep tags, length-weighted score, and standard error of the mean over runs, from the moments and one row of totals (total_tags, n_runs)."""
+    out = facts.crossJoin(F.broadcast(totals))
+    rpkm = F.col("tags") / (length() / 1000.0) / (F.col("total_tags") / F.lit(1e6))
+    out = out.withColumn("rpkm", rpkm)
+    out = out.withColumn("score", F.col("rpkm") * F.log(F.greatest(F.lit(1.0), (length() - 200).cast("double"))) / F.log(F.lit(100.0)))
+    n, a, b = F.col("n_runs"), F.coalesce("a", F.lit(0.0)), F.coalesce("b", F.lit(0.0))
+    variance = F.greatest(F.lit(0.0), (b - a * a / n) / (n - 1))
+    error = F.when(n > 1, F.sqrt(variance) / F.sqrt(n)).otherwise(F.lit(0.0))
+    return out.withColumn("standard_error", error).drop("tags", "a", "b", "total_tags", "n_runs")

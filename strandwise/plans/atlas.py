@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import transcripts as T
 from ..operators.transcripts import Parameters
@@ -13,25 +14,30 @@ from ..sources.shared import stored
 
 @dataclass
 class Atlas:
-    """Output tables and the steps on the way."""
+    """Output tables and the steps on the way. ``facts`` are final transcripts with what their scores are made of, ``transcripts`` have the scores."""
 
     prep: DataFrame
     prep_sources: DataFrame
     close: DataFrame
+    facts: DataFrame
     transcripts: DataFrame
     sources: DataFrame
     genes: DataFrame
     noncoding: DataFrame
 
 
+def finish_prep(stitched: DataFrame, sources: DataFrame, genes: DataFrame, p: Parameters) -> DataFrame:
+    """Stitched transcripts with density and edge."""
+    return T.allowed_edge(T.set_density(stitched.drop("cluster"), sources, p), genes, p)
+
+
 def build_prep(tags: DataFrame, genes: DataFrame, p: Parameters, chromosomes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Stitched transcripts with density and edge, and their source rows. Tables that several steps read are written once."""
-    flagged = stored(T.flag_refseq(T.collapse_tags(tags), genes, p.bin), "flagged")
-    rows = stored(T.stitch_rows(stored(T.proto_transcripts(flagged, p, chromosomes), "protos"), p), "stitch-rows")
+    flagged = T.flag_refseq(T.collapse_tags(tags), genes, p.bin, p.split)
+    rows = T.stitch_rows(T.proto_transcripts(flagged, p, chromosomes), p)
     stitched = stored(T.stitched_transcripts(rows), "stitched")
     sources = stored(T.source_rows(rows, stitched), "prep-sources")
-    prep = T.allowed_edge(T.set_density(stitched.drop("cluster"), sources, p), genes, p)
-    return stored(prep, "prep"), sources
+    return stored(finish_prep(stitched, sources, genes, p), "prep"), sources
 
 
 def build_final(prep: DataFrame, prep_sources: DataFrame, genes: DataFrame, noncoding: DataFrame, runs: DataFrame, p: Parameters) -> Atlas:
@@ -39,8 +45,9 @@ def build_final(prep: DataFrame, prep_sources: DataFrame, genes: DataFrame, nonc
     drawn = stored(T.draw_edges(close, p), "drawn")
     sources = stored(T.final_sources(drawn, prep, prep_sources, p), "sources")
     final = T.link_post_gene(T.distal_flag(drawn, genes, p), p)
-    final = stored(T.score(final, sources, prep_sources, runs, p), "transcripts")
-    return Atlas(prep, prep_sources, close, final, sources, T.annotate(final, genes, p), T.annotate(final, noncoding, p))
+    facts = stored(T.moments(final, sources, runs), "facts")
+    totals = prep_sources.agg(F.sum("tag_count").alias("total_tags")).crossJoin(T.run_count(runs, p))
+    return Atlas(prep, prep_sources, close, facts, T.scored(facts, totals), sources, T.annotate(final, genes, p), T.annotate(final, noncoding, p))
 
 
 def build_atlas(tags: DataFrame, genes: DataFrame, noncoding: DataFrame, runs: DataFrame, p: Parameters | None = None, chromosomes: DataFrame | None = None) -> Atlas:

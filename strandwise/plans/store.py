@@ -1,70 +1,212 @@
-"""Atlas tables kept by chromosome, rebuilt in part, and grown run by run."""
+"""Atlases kept by chromosome, with every state of them named by one manifest.
+
+Folders of data are written once and never changed. A manifest lists, for each table
+and chromosome, the folders that hold it, with the runs that have been added and
+the parameters of the final sets. Writers put new folders beside the old ones
+and then name a new manifest by one rename, so a writer that breaks off, wherever
+it does, has changed nothing, and readers keep the state that they began with.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import asdict, dataclass, field, replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.intervals import chromosome_of
 from ..operators import transcripts as T
 from ..operators.transcripts import Parameters
-from ..sources.shared import stored
-from .atlas import Atlas, build_final
+from ..sources.shared import delete, names_in, put_new, stored, transient
+from .atlas import Atlas, build_final, finish_prep
 
+#: Tables of a final set, and the column that tells a row's chromosome where there is no other.
+FINAL = {"facts": "id", "sources": "id", "genes": "transcript_id", "noncoding": "transcript_id"}
+#: Rows of a row group, in the order of their starts, so that a range of positions opens few groups.
+GROUP_BYTES = 4 << 20
 
-class AtlasStore:
-    """Tables of one atlas below a path in the shared store, each partitioned by chromosome.
 
-    A path for each genome, cell type and stage keeps atlases apart. Reads that name a
-    chromosome open its folder only.
-    """
+@dataclass(frozen=True)
+class Manifest:
+    """A state of a store. ``tables`` has folders by table and chromosome, ``longest`` the longest
+    interval of a table, ``runs`` the tags of each run, ``tags`` those of prep by chromosome, ``sets`` the parameters of each final set."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    number: int = 0
+    runs: dict[str, int] = field(default_factory=dict)
+    tags: dict[str, int] = field(default_factory=dict)
+    sets: dict[str, dict] = field(default_factory=dict)
+    tables: dict[str, dict[str, list[str]]] = field(default_factory=dict)
+    longest: dict[str, int] = field(default_factory=dict)
+    schemas: dict[str, dict] = field(default_factory=dict)
 
-    def write(self, name: str, df: DataFrame, key: str = "id", mode: str = "overwrite", parts_only: bool = False) -> None:
-        """Rows without a chromosome are placed by their transcript id. With parts_only, chromosomes that df lacks stay as they are."""
-        if "chr" not in df.columns:
-            df = df.withColumn("chr", chromosome_of(key))
-        out = df.write.mode(mode).partitionBy("chr")
-        if parts_only:
-            out = out.option("partitionOverwriteMode", "dynamic")
-        out.parquet(f"{self.path}/{name}")
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}").withColumn("chr", F.col("chr").cast("long"))
+class Conflict(RuntimeError):
+    """Another writer has committed meanwhile; read the current state and try again."""
 
 
-def save_atlas(store: AtlasStore, atlas: Atlas) -> None:
-    """Prep tables, which further final sets can be built from, and the final ones."""
+class AtlasStore:
+    """Tables of one atlas below a path in the shared store. A path for each genome, cell type and stage keeps atlases apart."""
+
+    def __init__(self, spark: SparkSession, path: str, pinned: Manifest | None = None):
+        self.spark, self.path, self._pinned = spark, path.rstrip("/"), pinned
+
+    def manifest(self) -> Manifest:
+        """The pinned state, or the last one committed."""
+        if self._pinned:
+            return self._pinned
+        numbers = self.numbers()
+        return self.manifest_of(numbers[-1]) if numbers else Manifest()
+
+    def numbers(self) -> list[int]:
+        return sorted(int(x.removesuffix(".json")) for x in names_in(self.spark, f"{self.path}/manifests") if x.removesuffix(".json").isdigit() and x.endswith(".json"))
+
+    def manifest_of(self, number: int) -> Manifest:
+        text = self.spark.read.text(f"{self.path}/manifests/{number:08d}.json", wholetext=True).first()[0]
+        return Manifest(**json.loads(text))
+
+    def pinned(self, number: int | None = None) -> AtlasStore:
+        """The store as it is now, or as it was, whatever is committed later."""
+        return AtlasStore(self.spark, self.path, self.manifest() if number is None else self.manifest_of(number))
+
+    def commit(self, new: Manifest) -> Manifest:
+        """Make ``new``, drawn from the state before it, the current one."""
+        new = replace(new, number=new.number + 1)
+        if not put_new(self.spark, f"{self.path}/manifests/{new.number:08d}.json", json.dumps(asdict(new))):
+            raise Conflict(f"state {new.number} is there already")
+        return new
+
+    def write(self, state: Manifest, name: str, df: DataFrame, key: str = "id", add: bool = False, chromosomes: set[str] | None = None) -> Manifest:
+        """Write rows to new folders, and the state in which they are the table.
+
+        Chromosomes that df has replace what the table held of them, or go beside it with ``add``.
+        ``chromosomes`` names those that are replaced also where df has no rows of them; None means all.
+        Rows are in the order of their starts within a file.
+        """
+        if "chr" not in df.columns:
+            df = df.withColumn("chr", chromosome_of(key))
+        folder = uuid.uuid4().hex[:12]
+        df = df.withColumn("_chr", F.col("chr"))
+        order = ["_chr", "s"] if "s" in df.columns else ["_chr"]
+        dealt = df.repartitionByRange(*order) if "s" in df.columns else df.repartition("_chr")
+        dealt.sortWithinPartitions(*order).write.option("parquet.block.size", GROUP_BYTES).partitionBy("_chr").parquet(f"{self.path}/data/{name}/{folder}")
+        found = [x.removeprefix("_chr=") for x in names_in(self.spark, f"{self.path}/data/{name}/{folder}") if x.startswith("_chr=")]
+        before = state.tables.get(name, {})
+        if not add:
+            before = {} if chromosomes is None else {c: x for c, x in before.items() if c not in chromosomes}
+        table = {**before, **{c: [*(before.get(c, []) if add else []), folder] for c in found}}
+        longest = state.longest
+        if "s" in df.columns and "e" in df.columns:
+            widest = self.spark.read.parquet(f"{self.path}/data/{name}/{folder}").agg(F.max(F.col("e") - F.col("s"))).first()[0] if found else 0
+            longest = {**longest, name: max(longest.get(name, 0) if before else 0, widest or 0)}
+        schemas = {**state.schemas, name: df.drop("_chr").schema.jsonValue()}
+        return replace(state, tables={**state.tables, name: table}, longest=longest, schemas=schemas)
+
+    def read(self, name: str, state: Manifest | None = None, chromosomes: set[str] | None = None) -> DataFrame:
+        """A table of the state; only the folders of the chromosomes that are asked for are listed and opened."""
+        state = state or self.manifest()
+        if name not in state.tables:
+            raise KeyError(f"no table {name} in state {state.number}")
+        schema = StructType.fromJson(state.schemas[name])
+        found = [f"{self.path}/data/{name}/{x}/_chr={c}" for c, folders in state.tables[name].items() for x in folders if chromosomes is None or c in chromosomes]
+        reader = self.spark.read.schema(schema)
+        return reader.parquet(*found) if found else self.spark.createDataFrame([], schema)
+
+    def read_range(self, name: str, chromosome, start: int, end: int, state: Manifest | None = None) -> DataFrame:
+        """Rows of a table that overlap the closed range. An interval that begins further before it than the longest one is long cannot, so row groups are skipped on both sides."""
+        state = state or self.manifest()
+        rows = self.read(name, state, {str(chromosome)})
+        return rows.where(F.col("s").between(start - state.longest.get(name, 0), end) & (F.col("e") >= start))
+
+    def transcripts(self, key: str = "final", state: Manifest | None = None) -> DataFrame:
+        """A final set with its scores, from what is kept of each transcript and the totals of the state."""
+        state = state or self.manifest()
+        p = Parameters(**state.sets[key])
+        totals = self.spark.createDataFrame([(sum(state.tags.values()), len(state.runs) + bool(p.count_pseudo_run))], "total_tags long, n_runs long")
+        return T.scored(self.read(f"{key}.facts", state), totals)
+
+    def clean(self, keep: int = 1) -> None:
+        """Delete the states before the last ``keep``, and all folders that no state left names. No writer may be under way."""
+        numbers = self.numbers()
+        named: dict[str, set[str]] = {}
+        for n in numbers[-keep:]:
+            for name, table in self.manifest_of(n).tables.items():
+                named.setdefault(name, set()).update(x for folders in table.values() for x in folders)
+        for n in numbers[:-keep]:
+            delete(self.spark, f"{self.path}/manifests/{n:08d}.json")
+        for name in names_in(self.spark, f"{self.path}/data"):
+            for folder in names_in(self.spark, f"{self.path}/data/{name}"):
+                if folder not in named.get(name, ()):
+                    delete(self.spark, f"{self.path}/data/{name}/{folder}")
+
+
+def _tags_by_chromosome(sources: DataFrame) -> dict[str, int]:
+    return {str(r.chr): r.n for r in sources.groupBy("chr").agg(F.sum("tag_count").alias("n")).collect()}
+
+
+def _with_final(store: AtlasStore, state: Manifest, key: str, atlas: Atlas, p: Parameters, chromosomes: set[str] | None = None) -> Manifest:
+    for name, own in FINAL.items():
+        state = store.write(state, f"{key}.{name}", getattr(atlas, name), own, chromosomes=chromosomes)
+    return replace(state, sets={**state.sets, key: asdict(p)})
+
+
+def save_atlas(store: AtlasStore, atlas: Atlas, runs: DataFrame, p: Parameters, key: str = "final") -> Manifest:
+    """Prep tables, which further final sets can be built from, and one final set."""
+    state = store.manifest()
     for name in ("prep", "prep_sources"):
-        store.write(name, getattr(atlas, name))
-    save_final(store, atlas)
+        state = store.write(state, name, getattr(atlas, name))
+    real = {str(r.id): r.total_tags for r in runs.where("total_tags is not null").collect()}
+    state = replace(state, runs=real, tags=_tags_by_chromosome(atlas.prep_sources))
+    return store.commit(_with_final(store, state, key, atlas, p))
 
 
-def save_final(store: AtlasStore, atlas: Atlas) -> None:
-    for name, key in (("transcripts", "id"), ("sources", "id"), ("genes", "transcript_id"), ("noncoding", "transcript_id")):
-        store.write(name, getattr(atlas, name), key)
+def rebuild_final(store: AtlasStore, genes: DataFrame, noncoding: DataFrame, p: Parameters, key: str = "final") -> Manifest:
+    """A final set, with other parameters or under another key beside those that are there, from the prep tables that are kept."""
+    state = store.manifest()
+    with transient(store.spark):
+        atlas = build_final(store.read("prep", state), store.read("prep_sources", state), genes, noncoding, run_table(store, state), p)
+        return store.commit(_with_final(store, state, key, atlas, p))
 
 
-def rebuild_final(store: AtlasStore, genes: DataFrame, noncoding: DataFrame, runs: DataFrame, p: Parameters) -> Atlas:
-    """The final tables anew, with other parameters, from the prep tables that are kept."""
-    atlas = build_final(store.read("prep"), store.read("prep_sources"), genes, noncoding, runs, p)
-    save_final(store, atlas)
-    return atlas
+def run_table(store: AtlasStore, state: Manifest) -> DataFrame:
+    """(id, total_tags) of the runs of a state, and the pseudo-run of the annotation, without a total."""
+    rows = [*((int(r), n) for r, n in state.runs.items()), (0, None)]
+    return store.spark.createDataFrame(rows, "id int, total_tags long")
 
 
-def add_runs(store: AtlasStore, tags: DataFrame, p: Parameters) -> None:
-    """Proto-transcripts of the flagged tags of new runs are added, and only the chromosomes that they touch are stitched anew.
+def add_runs(store: AtlasStore, tags: DataFrame, p: Parameters, genes: DataFrame, noncoding: DataFrame) -> Manifest:
+    """New runs (run_id, chr, strand, s, e, refseq, tag_count), from proto-transcripts to every final set that is kept.
 
-    Tables: ``protos`` of all runs so far, ``stitched`` and ``stitched_sources``. A run
-    is added once; adding it again counts it twice.
+    Only the chromosomes that they touch are stitched and joined anew. What the scores of
+    other transcripts take from all runs, the number of runs and of tags, is
+    in the state and not in their rows. Runs that the state has already are
+    left out, so a repeated call changes nothing; one with another number of
+    tags raises. All of it is one commit: whatever breaks off before leaves the old state.
     """
-    new = stored(T.proto_transcripts(tags, p), "new-protos")
-    store.write("protos", new, mode="append")
-    # A row for each chromosome of the genome at most.
-    touched = F.broadcast(new.select("chr").distinct())
-    rows = stored(T.stitch_rows(store.read("protos").join(touched, "chr", "left_semi"), p), "stitch-rows")
-    stitched = T.stitched_transcripts(rows)
-    store.write("stitched_sources", T.source_rows(rows, stitched), parts_only=True)
-    store.write("stitched", stitched.drop("cluster"), parts_only=True)
+    state = store.manifest()
+    totals = {str(r.run_id): r.n for r in tags.groupBy("run_id").agg(F.sum("tag_count").alias("n")).collect()}
+    other = sorted(r for r, n in totals.items() if state.runs.get(r, n) != n)
+    if other:
+        raise ValueError(f"runs {', '.join(other)} have been added with other tags")
+    new = sorted(int(r) for r in totals if r not in state.runs)
+    if not new:
+        return state
+    with transient(store.spark):
+        protos = stored(T.proto_transcripts(tags.where(F.col("run_id").isin(new)), p), "new-protos")
+        touched = {str(r.chr) for r in protos.select("chr").distinct().collect()}
+        state = store.write(state, "protos", protos, add=True)
+        of = lambda df: df.where(F.col("chr").isin([int(c) for c in touched]))
+        rows = T.stitch_rows(store.read("protos", state, touched), p)
+        stitched = T.stitched_transcripts(rows)
+        state = store.write(state, "prep_sources", stored(T.source_rows(rows, stitched), "sources"), chromosomes=touched)
+        sources = store.read("prep_sources", state, touched)
+        state = store.write(state, "prep", finish_prep(stitched, sources, of(genes), p), chromosomes=touched)
+        kept = {c: n for c, n in state.tags.items() if c not in touched}
+        state = replace(state, runs={**state.runs, **{str(r): totals[str(r)] for r in new}}, tags={**kept, **_tags_by_chromosome(sources)})
+        prep, known = store.read("prep", state, touched), run_table(store, state)
+        for key in list(state.sets) or ["final"]:
+            own = Parameters(**state.sets[key]) if key in state.sets else p
+            state = _with_final(store, state, key, build_final(prep, sources, of(genes), of(noncoding), known, own), own, touched)
+        return store.commit(state)

@@ -11,7 +11,7 @@ from ..plans.atlas import Atlas, build_atlas
 from ..sources.shared import stored
 
 #: A chromosome of the fixtures has 10,000 positions, so reaches are short.
-PARAMETERS = Parameters(max_edge=60, density_multiplier=1000, edge_scaling_factor=25, post_gene_distance=60, bin=100, block=1000)
+PARAMETERS = Parameters(max_edge=60, density_multiplier=1000, edge_scaling_factor=25, post_gene_distance=60, bin=100, block=1000, split=None)
 
 TAG_E = "(l_orderkey*37 + l_partkey*11) % 9800 + 20 + CAST(l_quantity AS BIGINT)"
 #: Valid in Spark and DuckDB; later views read earlier ones.
@@ -55,3 +55,8 @@ def kept_atlas(spark: SparkSession, sf_dir: str) -> Atlas:
         made = atlas(spark, sf_dir)
         _kept[key] = replace(made, **{name: stored(getattr(made, name), name) for name in ("close", "genes", "noncoding")})
     return _kept[key]
+
+
+def forget() -> None:
+    """The next query builds its atlas anew."""
+    _kept.clear()

@@ -33,11 +33,11 @@ def _flagged(spark, d):
 
 
 def _protos(spark, d, p=P):
-    return T.proto_transcripts(stored(_flagged(spark, d), "flagged"), p)
+    return T.proto_transcripts(_flagged(spark, d), p)
 
 
 def _stitch_rows(spark, d):
-    return stored(T.stitch_rows(stored(_protos(spark, d), "protos"), P), "stitch-rows")
+    return T.stitch_rows(_protos(spark, d), P)
 
 
 def _stitched(spark, d):
@@ -128,21 +128,28 @@ STRICTER = replace(P, min_one_run_tags=5)
 
 def _saved(spark, d):
     store = AtlasStore(spark, scratch(spark, "atlas"))
-    save_atlas(store, atlas(spark, d))
+    save_atlas(store, atlas(spark, d), view(spark, d, "run"), P)
     return store
 
 
 def _rebuilt(spark, d):
+    """A stricter final set beside the first."""
     store = _saved(spark, d)
-    rebuild_final(store, *(view(spark, d, x) for x in ("gene_region", "noncoding", "run")), STRICTER)
-    return store.read("transcripts")
+    rebuild_final(store, *(view(spark, d, x) for x in ("gene_region", "noncoding")), STRICTER, "strict")
+    return store
+
+
+def _kept_sets(spark, d):
+    plain = lambda key: store.transcripts(key).select("chr", "strand", "s", "e")
+    store = _rebuilt(spark, d)
+    return E.compare_sets(plain("final"), plain("strict"), P.block)
 
 
 def _grown(spark, d):
-    """Two runs first, then the third."""
-    store, flagged = AtlasStore(spark, scratch(spark, "atlas")), _flagged(spark, d)
-    add_runs(store, flagged.where("run_id < 3"), P)
-    add_runs(store, flagged.where("run_id = 3"), P)
+    """Two runs first, then the third, and that once more, as after a lost answer."""
+    store, flagged = AtlasStore(spark, scratch(spark, "atlas")), stored(_flagged(spark, d), "flagged")
+    for runs in ("run_id < 3", "run_id = 3", "run_id = 3"):
+        add_runs(store, flagged.where(runs), P, view(spark, d, "gene_region"), view(spark, d, "noncoding"))
     return store
 
 
@@ -180,7 +187,7 @@ def _evaluated(f):
 
 def _matrix(spark, d):
     sets = _protos(spark, d).withColumn("least", F.explode(F.array(*map(F.lit, LEAST_TAGS)))).where("tag_count >= least")
-    return E.grid_error_matrix(view(spark, d, "gene_region"), sets, "run_id", "least", LEAST_TAGS, P.bin)
+    return E.grid_error_matrix(view(spark, d, "gene_region"), sets, "run_id", "least", LEAST_TAGS, P.block)
 
 
 def _error_matrix(spark, d):
@@ -219,8 +226,12 @@ def queries() -> dict:
         "stitch_transcripts": lambda spark, d: _stitched(spark, d)[0].select(*FINAL, "n"),
         "stitched_source": lambda spark, d: _stitched(spark, d)[1],
         "cluster_lineage": lambda spark, d: _lineage(spark, d).select("id", "run_id", "s", "e"),
-        "incremental_stitch": lambda spark, d: _grown(spark, d).read("stitched").select(*FINAL, "n"),
-        "incremental_source": lambda spark, d: _grown(spark, d).read("stitched_sources").select("id", "chr", "run_id", "tag_count", "gaps"),
+        "incremental_stitch": lambda spark, d: _grown(spark, d).read("prep").select(*FINAL, "n"),
+        "incremental_source": lambda spark, d: _grown(spark, d).read("prep_sources").select("id", "chr", "run_id", "tag_count", "gaps"),
+        "incremental_atlas": lambda spark, d: whole(_grown(spark, d).transcripts()),
+        "kept_sets": lambda spark, d: _round(_kept_sets(spark, d), "forward", "backward"),
+        "stored_range": lambda spark, d: _round(_saved(spark, d).read_range("prep", 3, 1000, 3000), "density", "edge").select(*FINAL, "density", "edge"),
+        "flag_refseq_split": lambda spark, d: T.flag_refseq(T.collapse_tags(view(spark, d, "tag")), view(spark, d, "gene_region"), 10, 20),
         "set_density": lambda spark, d: _round(_density(spark, d), "density").select("id", "density"),
         "set_density_null_only": lambda spark, d: _round(_density_of_null_only(spark, d), "density").select("id", "density"),
         "allowed_edge": lambda spark, d: _round(T.allowed_edge(_density(spark, d), view(spark, d, "gene_region"), P), "edge").select("id", "edge"),
@@ -238,8 +249,8 @@ def queries() -> dict:
         "standard_error": on(lambda a: _round(a.transcripts, "standard_error").select("id", "standard_error")),
         "filtered_transcripts": on(lambda a: a.transcripts.where(F.col("score") >= P.min_score).select(*FINAL)),
         "atlas_pipeline": lambda spark, d: whole(atlas(spark, d).transcripts),
-        "persisted_atlas": lambda spark, d: whole(_saved(spark, d).read("transcripts")),
-        "rebuilt_final": lambda spark, d: whole(_rebuilt(spark, d)),
+        "persisted_atlas": lambda spark, d: whole(_saved(spark, d).transcripts()),
+        "rebuilt_final": lambda spark, d: whole(_rebuilt(spark, d).transcripts("strict")),
         "q_bases_per_strand": q("bases_per_strand"),
         "q_totals": q("totals"),
         "q_refseq_major_minor": q("refseq_major_minor"),
@@ -285,10 +296,10 @@ def queries() -> dict:
         "peaks_sicer": _peaks(readers.read_sicer, "sicer", "tag_count", "p_value", "fold_enrichment", "fdr_threshold"),
         "peaks_bed": _peaks(readers.read_bed_peaks, "bed_peaks", "score"),
         "peaks_homer": _peaks(readers.read_homer, "homer", "tag_count", "score", "p_value", "fold_enrichment"),
-        "count_broken": _evaluated(lambda g, t: E.count_broken(g, t, width=P.bin)),
-        "count_run_together": _evaluated(lambda g, t: E.count_run_together(g, t, width=P.bin)),
-        "summed_error": _evaluated(lambda g, t: _round(E.summed_error(g, t, width=P.bin), "error")),
-        "compare_sets": _evaluated(lambda g, t: _round(E.compare_sets(g, t, P.bin), "forward", "backward")),
+        "count_broken": _evaluated(lambda g, t: E.count_broken(g, t, block=P.block)),
+        "count_run_together": _evaluated(lambda g, t: E.count_run_together(g, t, block=P.block)),
+        "summed_error": _evaluated(lambda g, t: _round(E.summed_error(g, t, block=P.block), "error")),
+        "compare_sets": _evaluated(lambda g, t: _round(E.compare_sets(g, t, P.block), "forward", "backward")),
         "grid_error_matrix": _error_matrix,
         "grid_best_setting": lambda spark, d: _round(E.best_setting(_matrix(spark, d), "run_id", LEAST_TAGS), "error"),
         "sequence_identifiers": lambda spark, d: N.sequence_identifiers(readers.read_refgene(spark, _text(spark, d, "refgene"))),
@@ -312,6 +323,18 @@ ID = "CAST((chr * 2 + strand) * 1000000000000 + {} AS BIGINT)"
 LEN = "(e - s + 1)"
 
 
+def _final_sql(name: str, least_tags: int) -> str:
+    """Common table expressions from prep to the final set ``name``; the one named final has thr and clos without a suffix."""
+    x = "" if name == "final" else f"_{name}"
+    w = "(PARTITION BY chr, strand ORDER BY s, max_end, id ROWS"
+    return f"""thr{x} AS (SELECT * FROM prep WHERE id IN (SELECT id FROM ssource GROUP BY id HAVING avg(tag_count) > 1 AND (count(*) > 1 OR avg(tag_count) >= {least_tags}))),
+clos{x} AS (SELECT a.id, a.chr, a.strand, a.s, a.refseq, greatest(max(b.e), a.e) AS max_end FROM thr{x} a LEFT JOIN thr{x} b ON a.chr = b.chr AND a.strand = b.strand AND a.refseq = b.refseq AND a.s <= b.s
+  AND (b.s - a.e) * (b.s - a.e) + (b.density - a.density) * (b.density - a.density) <= a.edge * a.edge GROUP BY a.id, a.chr, a.strand, a.s, a.refseq, a.e),
+dr{x} AS (SELECT *, coalesce(s > max(max_end) OVER {w} BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS b FROM clos{x}),
+dr2{x} AS (SELECT *, sum(CAST(b AS INT)) OVER {w} UNBOUNDED PRECEDING) AS c FROM dr{x}),
+{name} AS (SELECT {ID.format("min(s)")} AS id, chr, strand, min(s) AS s, max(max_end) AS e, bool_or(b AND refseq) AS refseq FROM dr2{x} GROUP BY chr, strand, c)"""
+
+
 def _prelude(least_tags: int = 3) -> str:
     views = ",\n".join(f"{k} AS ({v})" for k, v in VIEWS.items())
     return f"""WITH {views},
@@ -330,12 +353,8 @@ ssource AS (SELECT {ID.format("ce")} AS id, chr, run_id, CAST(sum(tag_count) AS
 dens AS (SELECT t.*, greatest(0.0, 1000.0::DOUBLE * x.tags / (x.runs * {LEN})) AS density FROM stitched t JOIN (SELECT id, sum(tag_count) AS tags, count(*) AS runs FROM ssource GROUP BY id) x USING (id)),
 reach AS (SELECT t.id, max(least(g.e - t.e + 1, (g.e - g.s + 1) * 0.2::DOUBLE)) AS o FROM dens t JOIN gene_region g ON g.chr = t.chr AND g.strand = t.strand AND t.e BETWEEN g.s AND g.e GROUP BY t.id),
 prep AS (SELECT t.*, CASE WHEN o IS NOT NULL THEN greatest(60.0::DOUBLE, o) ELSE 60.0::DOUBLE * least(density / 25.0::DOUBLE, 1.0::DOUBLE) END AS edge FROM dens t LEFT JOIN reach USING (id)),
-thr AS (SELECT * FROM prep WHERE id IN (SELECT id FROM ssource GROUP BY id HAVING avg(tag_count) > 1 AND (count(*) > 1 OR avg(tag_count) >= {least_tags}))),
-clos AS (SELECT a.id, a.chr, a.strand, a.s, a.refseq, greatest(max(b.e), a.e) AS max_end FROM thr a LEFT JOIN thr b ON a.chr = b.chr AND a.strand = b.strand AND a.refseq = b.refseq AND a.s <= b.s
-  AND (b.s - a.e) * (b.s - a.e) + (b.density - a.density) * (b.density - a.density) <= a.edge * a.edge GROUP BY a.id, a.chr, a.strand, a.s, a.refseq, a.e),
-dr AS (SELECT *, coalesce(s > max(max_end) OVER (PARTITION BY chr, strand ORDER BY s, max_end, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS b FROM clos),
-dr2 AS (SELECT *, sum(CAST(b AS INT)) OVER (PARTITION BY chr, strand ORDER BY s, max_end, id ROWS UNBOUNDED PRECEDING) AS c FROM dr),
-final AS (SELECT {ID.format("min(s)")} AS id, chr, strand, min(s) AS s, max(max_end) AS e, bool_or(b AND refseq) AS refseq FROM dr2 GROUP BY chr, strand, c),
+{_final_sql("final", least_tags)},
+{_final_sql("strict", STRICTER.min_one_run_tags)},
 fsource AS (SELECT f.id, x.run_id, CAST(sum(x.tag_count) AS BIGINT) AS tag_count, count(*) - 1 AS gaps FROM final f JOIN prep p ON p.chr = f.chr AND p.strand = f.strand AND f.s <= p.s AND p.e <= f.e JOIN ssource x ON x.id = p.id GROUP BY f.id, x.run_id),
 annall AS (SELECT f.id AS transcript_id, g.id AS region_id, g.kind, CASE WHEN f.s = g.s AND f.e = g.e THEN 'is equal to' WHEN f.s <= g.s AND g.e <= f.e THEN 'contains' WHEN g.s <= f.s AND f.e <= g.e THEN 'is contained by' ELSE 'overlaps with' END AS relationship,
   (least(f.e, g.e) - greatest(f.s, g.s) + 1) * 2 > g.e - g.s + 1 AS major
@@ -414,6 +433,10 @@ def oracle_sql() -> dict[str, str]:
         "cluster_lineage": f"SELECT {ID.format('ce')} AS id, run_id, s, e FROM (SELECT *, max(e) OVER (PARTITION BY chr, strand, cid) AS ce FROM st4)",
         "incremental_stitch": f"SELECT {final}, n FROM stitched",
         "incremental_source": "SELECT * FROM ssource",
+        "incremental_atlas": whole,
+        "kept_sets": f"SELECT round({_error_sql('final', 'strict')}, 6) AS forward, round({_error_sql('strict', 'final')}, 6) AS backward",
+        "stored_range": f"SELECT {final}, round(density, 6) AS density, round(edge, 6) AS edge FROM prep WHERE chr = 3 AND s <= 3000 AND e >= 1000",
+        "flag_refseq_split": "SELECT * FROM flagged",
         "set_density_null_only": "SELECT id, round(CASE WHEN n = 1 THEN 0.5::DOUBLE ELSE density END, 6) AS density FROM dens",
         "persisted_atlas": whole,
         "rebuilt_final": whole,

@@ -1,9 +1,10 @@
-"""Tables in the folder that driver and executors share."""
+"""Tables and small files in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +23,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folders of tables that are only steps on the way, of each ``transient`` block that is open.
+_open: list[list[str]] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _open:
+        _open[-1].append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -39,3 +47,59 @@ def stored_text(lines: DataFrame, name: str) -> str:
     path = scratch(lines.sparkSession, name)
     lines.write.text(path)
     return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The path for the JVM's file system calls, and its file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it; one that is not there is no error."""
+    found, fs = hadoop_path(spark, path)
+    fs.delete(found, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of files and folders in a folder; none if it is not there."""
+    found, fs = hadoop_path(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(found)) if fs.exists(found) else []
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole under a name that must be new; False if somebody else has it.
+
+    The text goes to a file of its own first, and one rename, which no file system
+    does by halves, gives it the name.
+    """
+    own, fs = hadoop_path(spark, f"{path}.{uuid.uuid4().hex[:12]}")
+    out = fs.create(own, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    target, _ = hadoop_path(spark, path)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    kinds = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    none = spark.sparkContext._gateway.new_array(kinds, 1)
+    none[0] = kinds.NONE
+    try:
+        context.rename(own, target, none)
+    except Exception:
+        if not fs.exists(target):
+            raise
+        fs.delete(own, False)
+        return False
+    return True
+
+
+@contextmanager
+def transient(spark: SparkSession):
+    """Tables that are stored within the block are deleted at its end; what it makes for later has to be written elsewhere."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            delete(spark, path)

@@ -47,24 +47,14 @@ def test_extended_tags_keep_their_order(spark):
         assert got == {(0, 10, 50, 3), (1, 80, 98, 1)}
 
 
-def test_new_runs_change_their_chromosomes_only(spark, tmp_path):
-    from strandwise.operators.transcripts import Parameters, proto_transcripts, stitch
-    from strandwise.plans.store import AtlasStore, add_runs
-
-    rng = random.Random(5)
-    rows = [(1 + i % 2, c, i % 2, s := rng.randrange(300), s + rng.randrange(1, 30), rng.random() < 0.3, 1) for i in range(60) for c in (1, 2, 3)]
-    rows += [(3, 2, 0, s := rng.randrange(300), s + 20, False, 1) for _ in range(15)]
-    tags = spark.createDataFrame(rows, "run_id int, chr int, strand int, s long, e long, refseq boolean, tag_count long").dropDuplicates(["run_id", "chr", "strand", "s", "e"])
-    p, store = Parameters(block=50), AtlasStore(spark, str(tmp_path / "atlas"))
-    add_runs(store, tags.where("run_id < 3"), p)
-    files = {c: sorted(f.name for f in (tmp_path / "atlas" / "stitched" / f"chr={c}").glob("*.parquet")) for c in (1, 2, 3)}
-    add_runs(store, tags.where("run_id = 3"), p)
-    changed = {c for c in files if files[c] != sorted(f.name for f in (tmp_path / "atlas" / "stitched" / f"chr={c}").glob("*.parquet"))}
-    assert changed == {2}
-    stitched, sources = stitch(proto_transcripts(tags, p), p)
-    for name, want in (("stitched", stitched.drop("cluster")), ("stitched_sources", sources)):
-        got = store.read(name).select(*want.columns)
-        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+def test_rows_are_dealt_and_sorted_once(spark):
+    from strandwise.operators.segments import numbered
+
+    df = spark.range(1000).selectExpr("id % 7 as g", "id % 5 as _blk", "id as s", "id + 9 as e", "id % 3 = 0 as refseq", "1 as tag_count")
+    df.write.mode("overwrite").parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/dealt-once")
+    plan = numbered(spark.read.parquet(path), ["g", "_blk"], 0, ("s", "e"))._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("+- == Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
 
 
 def test_a_tracks_files_in_order_are_the_track(spark, tmp_path):
@@ -83,13 +73,63 @@ def test_a_tracks_files_in_order_are_the_track(spark, tmp_path):
         assert all(0 <= int(c[1]) and int(c[2]) <= 1000 for c in cells)
 
 
-@pytest.mark.parametrize("salt", [3, 8])
-def test_salted_bins_give_the_same_pairs(spark, salt):
-    rng = random.Random(salt)
-    rows = [(i, 1, s := rng.randrange(100), s + rng.randrange(50)) for i in range(40)]
-    df = spark.createDataFrame(rows, "id int, chr int, s long, e long")
-    pairs = lambda **kw: sorted((r.l.id, r.r.id) for r in overlap_pairs(df, df, width=10, **kw).collect())
-    assert pairs(salt=salt) == pairs()
+def intervals(spark, rng, n, longest, start=100):
+    rows = [(i, 1, s := rng.randrange(start), s + rng.randrange(1 << rng.randrange(longest))) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "id int, chr int, s long, e long")
+
+
+@pytest.mark.parametrize(("width", "split"), [(1, None), (1, 5), (3, 2), (10, 1000), (200, 7)])
+def test_classes_of_length_and_split_cells_give_the_same_pairs(spark, width, split):
+    rng = random.Random(width)
+    (a, x), (b, y) = intervals(spark, rng, 90, 14, 4000), intervals(spark, rng, 80, 7, 4000)
+    for (p, l), (q, r) in (((a, x), (b, y)), ((b, y), (a, x)), ((a, x), (a, x))):
+        want = sorted((i[0], j[0]) for i in p for j in q if i[2] <= j[3] and j[2] <= i[3])
+        assert sorted((z.l.id, z.r.id) for z in overlap_pairs(l, r, width=width, split=split).collect()) == want
+
+
+def test_rows_of_an_interval_do_not_grow_with_its_length(spark):
+    from pyspark.sql import functions as F
+
+    from strandwise.operators.joins import CLASSES, SPAN, _class_of, cells_of
+
+    df = spark.createDataFrame([(i, 3, 3 + 7**i) for i in range(12)], "id int, s long, e long").withColumn("_level", _class_of(F.col("e") - F.col("s") + 1, 10))
+    for own in (0, 1):
+        most = max(r[1] for r in cells_of(df, df, 10, own).groupBy("id").count().collect())
+        assert most <= SPAN + 1 + 2 * CLASSES
+    levels = {r.id: r._level for r in df.collect()}
+    assert levels[0] == 0 and levels[11] == 9 and list(levels.values()) == sorted(levels.values())
+
+
+def test_a_bin_with_a_tenth_of_all_rows_is_split(spark):
+    from pyspark.sql import functions as F
+
+    from strandwise.operators.joins import crowded
+
+    rows = spark.range(2000).select(F.when(F.col("id") < 200, 5).otherwise(F.col("id")).alias("bin"))
+    got = crowded(rows, rows.where("bin > 5"), ["bin"], 50).collect()
+    assert [tuple(r) for r in got] == [(5, 4, 1)]
+
+
+def test_points_in_circles_equal_the_plain_condition(spark):
+    from strandwise.operators.joins import circle_pairs
+
+    rng = random.Random(9)
+    circles = [(i, i % 2, rng.randrange(-300, 300), rng.uniform(-50, 50), rng.choice([0.0, 0.5, 3.0, 16.0, 40.0, 300.0, None, -1.0])) for i in range(120)]
+    points = [(i, i % 2, rng.randrange(-300, 300), rng.uniform(-50, 50)) for i in range(200)] + [(500 + c[0], c[1], c[2], c[3]) for c in circles[:40]]
+    want = sorted((c[0], p[0]) for c in circles for p in points if c[1] == p[1] and c[4] is not None and c[4] >= 0 and (p[2] - c[2]) ** 2 + (p[3] - c[3]) ** 2 <= c[4] ** 2)
+    x = spark.createDataFrame(circles, "id int, chr int, x long, y double, radius double")
+    y = spark.createDataFrame(points, "id int, chr int, x long, y double")
+    for least in (0.5, 16.0, 1000.0):
+        assert sorted((r.l.id, r.r.id) for r in circle_pairs(x, y, least=least).collect()) == want
+
+
+def test_a_dense_locus_compares_near_densities_only(spark):
+    """What the grid compares stays within a constant of the true pairs where all positions are near each other."""
+    from strandwise.operators.joins import circle_pairs, near_points
+
+    df = spark.range(2000).selectExpr("id", "1 as chr", "id % 50 as x", "double(id) as y", "double(20) as radius")
+    true, compared = circle_pairs(df, df.drop("radius")).count(), near_points(df, df.drop("radius"), ("chr",), 16.0).count()
+    assert true <= compared <= 12 * true and 20 * compared < 2000 * 2000
 
 
 @pytest.mark.parametrize("width", [1, 7, 100, 5000])
