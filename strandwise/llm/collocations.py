@@ -98,34 +98,31 @@ def frequent(docs: DataFrame, mass: int, threshold: int, longest: int, known: Ta
 
 
 COUNTED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
-
-
-#: Phrases whose counts a task holds at a time.
+PACKED = pa.schema([("part", pa.int32()), *[(f.name, pa.list_(f.type)) for f in COUNTED]])
+#: Phrases whose counts a task holds at a time, before they are shuffled.
 HELD = 300_000
 
 
-def exact_counts(docs: DataFrame, known: Tables, longest: int) -> DataFrame:
-    """(lang, k, phrase, n) of all that the tables let through; k is 0 for the number of words."""
+def packed_counts(docs: DataFrame, known: Tables, longest: int, parts: int) -> DataFrame:
+    """(part, lang, k, phrase, n) as arrays: what a task has counted of all that the tables let through, a row for each hash partition. k is 0 for the number of words."""
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
-    def made(rows: list[tuple[str, int, str, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], f.type) for c, f in enumerate(COUNTED)], schema=COUNTED)
-
-    def given(held: dict[int, list]) -> Iterator[pa.RecordBatch]:
-        rows = [tuple(x) for x in held.values()]
-        for lo in range(0, len(rows), 20_000):
-            yield made(rows[lo : lo + 20_000])
+    def given(held: dict[int, list]) -> pa.RecordBatch:
+        by_part: dict[int, list] = {}
+        for h, row in held.items():
+            by_part.setdefault(((h >> 32) * parts) >> 32, []).append(row)
+        columns = [[[r[c] for r in rows] for rows in by_part.values()] for c in range(len(COUNTED))]
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip([list(by_part), *columns], PACKED)], schema=PACKED)
 
     def run(batches):
         known = sent.value
-        totals: dict[str, int] = {}
         # By hash, so that a phrase is spelt out once however many pieces have it.
         held: dict[int, list] = {}
         for texts, (langs,) in chunks(batches, "text", "lang"):
             words, own, piece = language_words(texts, langs)
             text_of = words.text_of()
-            for lang, n in zip(langs, np.diff(words.bounds).tolist()):
-                totals[lang] = totals.get(lang, 0) + n
+            for lang, h, n in zip(langs, salted(langs).tolist(), np.diff(words.bounds).tolist()):
+                held.setdefault(h, [lang, 0, "", 0])[3] += n
             single = np.flatnonzero(known.words.has(own))
             for k, value, at in [(1, own[single], single), *phrases(own, piece, known, longest)]:
                 if k > 2:
@@ -139,16 +136,36 @@ def exact_counts(docs: DataFrame, known: Tables, longest: int) -> DataFrame:
                     else:
                         new.append(i)
                 at = at[first[new]]
-                for h, lang, phrase, count in zip(value[new].tolist(), text_of[at].tolist(), joined(words, at, k), n[new].tolist()):
-                    held[h] = [langs[lang], k, phrase, count]
+                for h, text, phrase, count in zip(value[new].tolist(), text_of[at].tolist(), joined(words, at, k), n[new].tolist()):
+                    held[h] = [langs[text], k, phrase, count]
             if len(held) > HELD:
-                yield from given(held)
+                yield given(held)
                 held = {}
-        yield from given(held)
-        yield made([(lang, 0, "", n) for lang, n in totals.items()])
+        if held:
+            yield given(held)
+
+    return docs.mapInArrow(run, "part int, lang array<string>, k array<int>, phrase array<string>, n array<long>")
+
+
+def exact_counts(docs: DataFrame, known: Tables, longest: int, threshold: int) -> DataFrame:
+    """(lang, k, phrase, n) of all phrases that count the threshold, by their words and not by hashes; k is 0 for the number of words.
+
+    A hash partition holds about as many phrases as its summary had counters.
+    """
+
+    def run(batches):
+        total: dict[tuple, int] = {}
+        for batch in batches:
+            for lang, k, phrase, n in zip(*(batch[c].to_pylist() for c in COUNTED.names)):
+                for key, count in zip(zip(lang, k, phrase), n):
+                    total[key] = total.get(key, 0) + count
+        rows = [(*key, n) for key, n in total.items() if n >= threshold or key[1] == 0]
+        for lo in range(0, len(rows), 20_000):
+            some = rows[lo : lo + 20_000]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in some], f.type) for c, f in enumerate(COUNTED)], schema=COUNTED)
 
-    counted = docs.mapInArrow(run, "lang string, k int, phrase string, n long")
-    return counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    packed = packed_counts(docs, known, longest, H.FINER * H.partitions(docs))
+    return packed.repartition(H.partitions(docs), "part").mapInArrow(run, "lang string, k int, phrase string, n long")
 
 
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, top: int = TOP, least_capacity: int = H.LEAST_CAPACITY) -> DataFrame:
@@ -167,7 +184,7 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LON
     known.words, n_words = frequent(docs, size // 2, threshold, longest, known, least_capacity)
     known.pairs, n_pairs = frequent(docs, n_words, threshold, longest, known, least_capacity)
     known.longer, _ = frequent(docs, (longest - 2) * n_pairs, threshold, longest, known, least_capacity)
-    counts = materialize(exact_counts(docs, known, longest).where((F.col("k") == 0) | (F.col("n") >= threshold)), "phrase-counts")
+    counts = materialize(exact_counts(docs, known, longest, threshold), "phrase-counts")
     candidates = counts.where("k > 1").withColumn("words", F.split("phrase", " ", -1)).withColumnRenamed("n", "a")
     part = lambda name, n: counts.where("k > 0").select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
     text = lambda at, n: F.array_join(F.slice("words", at, n), " ")
