@@ -1,6 +1,7 @@
 """Stored atlases: runs added once, states that break off, readers that keep theirs, ranges of positions."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,82 +40,61 @@ def rows(df):
 
 @pytest.fixture(scope="module")
 def full(tables):
-    """Atlases of some runs, built from all their tags at once."""
+    """The atlas of all runs, built from all tags at once."""
     tags, _, genes, noncoding = tables
-    out = {}
-    for last in (2, 3):
-        kept = tags.where(F.col("run_id") <= last)
-        atlas = build_atlas(kept, genes, noncoding, run_rows(kept), P)
-        out[last] = atlas, {name: (getattr(atlas, name).columns, rows(getattr(atlas, name))) for name in ("transcripts", "sources", "genes", "noncoding")}
-    return out
+    return build_atlas(tags, genes, noncoding, run_rows(tags), P)
 
 
-def same(store, full, last, names=("sources", "genes", "noncoding")):
-    _, want = full[last]
-    assert rows(store.transcripts()) == want["transcripts"][1]
-    for name in names:
-        columns, found = want[name]
-        assert rows(store.read(f"final.{name}").select(*columns)) == found
-
-
-def test_runs_added_one_by_one_and_again_equal_a_full_build(spark, tables, full, tmp_path):
+def test_runs_are_added_once_or_not_at_all(spark, tables, full, tmp_path, monkeypatch):
     _, flagged, genes, noncoding = tables
     store = S.AtlasStore(spark, str(tmp_path / "atlas"))
-    S.add_runs(store, flagged.where("run_id < 3"), P, genes, noncoding)
-    first = store.manifest()
-    same(store, full, 2)
-    before = store.pinned()
-    S.add_runs(store, flagged.where("run_id >= 2"), P, genes, noncoding)
+    add = lambda which: S.add_runs(store, flagged.where(which), P, genes, noncoding)
+    add("run_id < 3")
+    first, pinned = store.manifest(), store.pinned()
+    before = rows(pinned.transcripts())
+    # A writer breaks off after its first write, or at the rename itself: the old state stands.
+    writes, put = S.AtlasStore.write, S.put_new
+
+    def lost(*args, **kw):
+        raise OSError("lost")
+
+    def write(self, *args, **kw):
+        writes(self, *args, **kw)
+        lost()
+
+    for where, what in ((S.AtlasStore, {"write": write}), (S, {"put_new": lost})):
+        for name, instead in what.items():
+            monkeypatch.setattr(where, name, instead)
+        with pytest.raises(OSError, match="lost"):
+            add("run_id = 3")
+        monkeypatch.setattr(S.AtlasStore, "write", writes)
+        monkeypatch.setattr(S, "put_new", put)
+        assert store.manifest() == first
+    # Run 2 is there already, and all runs are after it: they are not added again.
+    add("run_id >= 2")
     again = store.manifest()
-    S.add_runs(store, flagged, P, genes, noncoding)
+    add("run_id > 0")
     assert store.manifest() == again and again.number == first.number + 1 and set(again.runs) == {"1", "2", "3"}
     # Only chromosomes 2 and 4, which run 3 touches, have new folders.
     for name in ("prep", "prep_sources", "final.facts"):
         assert {c for c in again.tables[name] if again.tables[name][c] != first.tables[name].get(c)} == {"2", "4"}
-    same(store, full, 3)
     # A reader that began before keeps its state, scores included.
-    same(before, full, 2)
-    with pytest.raises(ValueError, match="run.* 3 "):
-        S.add_runs(store, flagged.where("run_id = 3 and s > 100"), P, genes, noncoding)
-
-
-def test_a_writer_that_breaks_off_anywhere_changes_nothing(spark, tables, full, tmp_path, monkeypatch):
-    _, flagged, genes, noncoding = tables
-    store = S.AtlasStore(spark, str(tmp_path / "atlas"))
-    S.add_runs(store, flagged.where("run_id < 3"), P, genes, noncoding)
-    state, writes, put = store.manifest(), S.AtlasStore.write, S.put_new
-    n_writes = 0
-
-    def refused(*args):
-        raise OSError("lost")
-
-    # After the first write, in the midst of the prep tables, in the final set, and at the rename itself.
-    for broken in (1, 3, 5, None):
+    assert rows(pinned.transcripts()) == before
 
-        def write(self, *args, **kw):
-            nonlocal n_writes
-            n_writes += 1
-            out = writes(self, *args, **kw)
-            if n_writes == broken:
-                raise OSError("lost")
-            return out
+    def same():
+        assert rows(store.transcripts()) == rows(full.transcripts) != before
+        for name in ("sources", "genes", "noncoding"):
+            want = getattr(full, name)
+            assert rows(store.read(f"final.{name}").select(*want.columns)) == rows(want)
 
-        n_writes = 0
-        monkeypatch.setattr(S.AtlasStore, "write", write)
-        monkeypatch.setattr(S, "put_new", refused)
-        with pytest.raises(OSError, match="lost"):
-            S.add_runs(store, flagged.where("run_id = 3"), P, genes, noncoding)
-        monkeypatch.setattr(S.AtlasStore, "write", writes)
-        monkeypatch.setattr(S, "put_new", put)
-        assert store.manifest() == state
-    same(store, full, 2, ())
-    S.add_runs(store, flagged.where("run_id = 3"), P, genes, noncoding)
-    same(store, full, 3)
+    same()
+    with pytest.raises(ValueError, match="runs 3 have"):
+        add("run_id = 3 and s > 100")
     folders = lambda: sum(len(list(t.iterdir())) for t in (tmp_path / "atlas" / "data").iterdir())
     many = folders()
     store.clean()
-    assert folders() < many and store.numbers() == [store.manifest().number]
-    same(store, full, 3)
+    assert folders() < many and store.numbers() == [again.number]
+    same()
 
 
 def test_two_writers_of_one_state(spark, tables, tmp_path):
@@ -127,17 +107,14 @@ def test_two_writers_of_one_state(spark, tables, tmp_path):
 
 
 def test_sets_with_other_parameters_stand_side_by_side(spark, tables, full, tmp_path):
-    from dataclasses import replace
-
-    tags, flagged, genes, noncoding = tables
+    tags, _, genes, noncoding = tables
     store = S.AtlasStore(spark, str(tmp_path / "atlas"))
-    S.save_atlas(store, full[2][0], run_rows(tags.where("run_id < 3")), P)
+    S.save_atlas(store, full, run_rows(tags), P)
     stricter = replace(P, min_one_run_tags=4, max_edge=5)
     S.rebuild_final(store, genes, noncoding, stricter, "strict")
-    same(store, full, 2)
-    want = build_final(full[2][0].prep, full[2][0].prep_sources, genes, noncoding, run_rows(tags.where("run_id < 3")), stricter).transcripts
+    assert rows(store.transcripts()) == rows(full.transcripts)
     strict = rows(store.transcripts("strict"))
-    assert strict == rows(want) and 0 < len(strict) != len(full[2][1]["transcripts"][1])
+    assert strict == rows(build_final(full.prep, full.prep_sources, genes, noncoding, run_rows(tags), stricter).transcripts) != rows(full.transcripts)
 
 
 def test_a_range_opens_few_row_groups(spark, tmp_path, monkeypatch):
