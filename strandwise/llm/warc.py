@@ -313,7 +313,7 @@ def read_archives(spark: SparkSession, path: str, resolve: bool = True) -> DataF
     joined = materialize(parts.mapInArrow(join, "page_id long, payload_bytes long, payload_digest string, record_id string, target_uri string"), "warc-joined")
     responses = whole.unionByName(joined)
     # A digest as the field has it, in the form that responses have.
-    bare = F.upper(F.regexp_extract("payload_digest", "(?i)^sha-?1:([A-Z2-7]{32})$", 1))
+    bare = F.upper(F.regexp_extract(F.coalesce("payload_digest", F.lit("")), "(?i)^sha-?1:([A-Z2-7]{32})$", 1))
     revisits = parsed.where("kind = 'revisit'").select("page_id", "target_uri", F.col("record_id").alias("own"), F.coalesce("refers", F.concat(F.lit("sha1:"), bare), F.lit("")).alias("refers"), bare.alias("claimed"))
     wanted = revisits.groupBy("refers").agg(F.count("*").alias("n"))
     named = F.explode(F.array("record_id", F.concat(F.lit("sha1:"), "payload_digest"))).alias("refers")
