@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -11,10 +12,12 @@ from ..operators import evaluation as E
 from ..operators import transcripts as T
 from ..operators.analysis import Analysis, bed_rows, write_bed
 from ..plans.store import AtlasStore, add_runs, rebuild_final, save_atlas
+from ..plans.views import open_store, open_views
 from ..sources import readers
 from ..sources.shared import scratch, stored, stored_text
 from .fixtures import PARAMETERS as P
 from .fixtures import VIEWS, atlas, kept_atlas, view
+from .templates import TEMPLATES
 
 RUN1, RUN2 = "run_1", "run_2"
 
@@ -24,6 +27,37 @@ def _analysis(spark, d) -> Analysis:
     return Analysis(a.transcripts, a.sources, a.genes, a.noncoding, view(spark, d, "gene_region"), view(spark, d, "run"), P.min_score, P.gene_margin, P.bin)
 
 
+#: Where the views of the registered queries do not take the names of a user's.
+VIEW_PREFIX = "atlas_"
+
+
+def _sql(spark, text, **given):
+    """A template over the views of VIEW_PREFIX, with the parameters that it names."""
+    names = "|".join(["transcript(?:_source|_gene|_noncoding|_cell)?", "(?:gene|noncoding)_region(?:_cell)?", "gene_site_cell", "run", "peak"])
+    text = re.sub(rf"\b(FROM|JOIN) ({names})\b", rf"\1 {VIEW_PREFIX}\2", text)
+    return spark.sql(text, args={k: v for k, v in given.items() if f":{k}" in text})
+
+
+def _templated(name, pad=0):
+    """A template as SQL over the views of the kept atlas."""
+
+    def run(spark, d):
+        a = kept_atlas(spark, d)
+        own = {"transcript": a.transcripts, "transcript_source": a.sources, "transcript_gene": a.genes, "transcript_noncoding": a.noncoding}
+        given = {"gene_region": "gene_region", "noncoding_region": "noncoding", "run": "run", "peak": "peak"}
+        open_views(own | {k: view(spark, d, v) for k, v in given.items()}, VIEW_PREFIX, P.gene_margin)
+        return _sql(spark, TEMPLATES[name], min_score=P.min_score, run1=RUN1, run2=RUN2, pad=pad)
+
+    return run
+
+
+def _stored_sql(spark, d):
+    """A template over the stricter of two stored final sets; rows of runs come from the state."""
+    store = _rebuilt(spark, d)
+    open_store(store, view(spark, d, "gene_region"), view(spark, d, "noncoding"), key="strict", prefix=VIEW_PREFIX, margin=P.gene_margin)
+    return _sql(spark, TEMPLATES["expressed_genes"], min_score=P.min_score)
+
+
 def _round(df, *names):
     return df.withColumns({n: F.round(n, 6) for n in names})
 
@@ -275,6 +309,8 @@ def queries() -> dict:
         "q_gene_fold_change": q("gene_fold_change", RUN1, RUN2, rounded=["rpkm1", "rpkm2", "log_fold_change"]),
         "q_expressed_genes": q("expressed_genes"),
         "q_rows_per_chromosome": q("rows_per_chromosome"),
+        **{f"sql_{name}": _templated(name, 2000 if name == "distal_near_peak" else 0) for name in TEMPLATES},
+        "sql_stored_genes": _stored_sql,
         "read_sam": lambda spark, d: readers.read_tags(spark, _text(spark, d, "sam"), "sam"),
         "read_bowtie": lambda spark, d: readers.read_tags(spark, _text(spark, d, "bowtie"), "bowtie"),
         "read_tags4": lambda spark, d: readers.read_tags(spark, _text(spark, d, "tags")),
@@ -511,6 +547,7 @@ def oracle_sql() -> dict[str, str]:
         "sequence_identifiers": "SELECT DISTINCT identifier, CASE substr(identifier, 1, 2) WHEN 'NM' THEN 'mRNA' WHEN 'NR' THEN 'RNA' END AS type FROM gene_region",
         "bed_rows": f"SELECT strand, chr, s AS start, {line}",
     }
-    heads = {"rebuilt_final": _prelude(STRICTER.min_one_run_tags)}
+    own |= {f"sql_{name}": own[f"q_{name}"] for name in TEMPLATES} | {"sql_stored_genes": own["q_expressed_genes"]}
+    heads = dict.fromkeys(["rebuilt_final", "sql_stored_genes"], _prelude(STRICTER.min_one_run_tags))
     head = _prelude()
     return {k: heads.get(k, head) + v for k, v in own.items()}
