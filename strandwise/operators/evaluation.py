@@ -98,9 +98,14 @@ def compare_sets(first: DataFrame, second: DataFrame, block: int | None = BLOCK)
     return forward.crossJoin(F.broadcast(summed_error(second, first, block=block).withColumnRenamed("error", "backward")))
 
 
-def grid_error_matrix(reference: DataFrame, candidates: DataFrame, row: str, column: str, values: list, block: int | None = BLOCK) -> DataFrame:
-    """Errors of many candidate sets: one line for each value of row, one column for each of values; null without a set."""
+def grid_error_matrix(reference: DataFrame, candidates: DataFrame, row: str, column: str, values: list, block: int | None = BLOCK, expected: DataFrame | None = None) -> DataFrame:
+    """Errors of many candidate sets: one line for each value of row, one column for each of values; null without a set.
+
+    ``expected`` (row, column) has all settings that were tried, so that a line also comes where none of its sets is there.
+    """
     errors = summed_error(reference, candidates, (row, column), block)
+    if expected is not None:
+        errors = expected.select(row, column).distinct().join(errors, [row, column], "left")
     return errors.groupBy(row).pivot(column, values).agg(F.first("error"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import replace
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..operators import annotation as N
@@ -228,6 +229,46 @@ def _error_matrix(spark, d):
     return _matrix(spark, d).select("run_id", *[F.round(F.col(str(x)), 6).alias(f"error_{x}") for x in LEAST_TAGS])
 
 
+def _files_matrix(spark, d):
+    """Candidate sets as folders of BED lines by run and least number of tags; those of run 2 with 3 tags, and all of run 4, are not there."""
+    root = scratch(spark, "calls")
+    sets = _protos(spark, d).withColumn("least", F.explode(F.array(*map(F.lit, LEAST_TAGS)))).where("tag_count >= least and not (run_id = 2 and least = 3)")
+    line = F.concat_ws("\t", F.expr(NAME), "s", "e", F.lit("."), F.lit("."), F.expr(SIGN))
+    sets.select("run_id", "least", line.alias("value")).write.partitionBy("run_id", "least").text(root)
+    found, expected = readers.read_interval_sets(spark, f"{root}/run_id={{run_id}}/least={{least}}", {"run_id": [1, 2, 3, 4], "least": LEAST_TAGS})
+    reference = view(spark, d, "gene_region").withColumn("chr", F.expr(NAME))
+    matrix = E.grid_error_matrix(reference, E.normalize_intervals(found, ["run_id", "least"]), "run_id", "least", LEAST_TAGS, P.block, expected)
+    return matrix.select("run_id", *[F.round(F.col(str(x)), 6).alias(f"error_{x}") for x in LEAST_TAGS])
+
+
+def _by_suffix(spark, d):
+    """The same tags in files of three formats, told by their suffixes."""
+    found = None
+    for kind, suffix in (("sam", "sam"), ("bowtie", "bowtie"), ("tags", "txt")):
+        path = f"{scratch(spark, kind)}.{suffix}"
+        source, line = LINES[kind]
+        view(spark, d, source).select(F.expr(line).alias("value")).where("value is not null").write.text(path)
+        one = readers.read_tags(spark, path).groupBy("strand_char", "chromosome").agg(F.count("*").alias("n"), F.sum("start").alias("starts")).withColumn("kind", F.lit(kind))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _line_counts(spark, d):
+    """Lines of four formats and those left out, by reason, each from the scan that writes the rows."""
+    named = {
+        "sam": lambda c: readers.read_sam(spark, _text(spark, d, "sam"), counts=c),
+        "summary": lambda c: readers.read_ncrna_summary(spark, _text(spark, d, "summary"), "Mus musculus", counts=c),
+        "chrominfo": lambda c: readers.read_chromosomes(spark, _text(spark, d, "chrominfo"), counts=c),
+        "macs": lambda c: readers.read_macs(spark, _text(spark, d, "macs"), view(spark, d, "chromosome").where("id % 3 <> 0"), counts=c),
+    }
+    rows = []
+    for kind, read in named.items():
+        counts = Observation()
+        read(counts).write.format("noop").mode("overwrite").save()
+        rows += [(kind, reason, n) for reason, n in counts.get.items()]
+    return spark.createDataFrame(rows, "kind string, reason string, n long")
+
+
 def queries() -> dict:
     def tags(f):
         return lambda spark, d: f(view(spark, d, "tag"), spark, d)
@@ -337,6 +378,9 @@ def queries() -> dict:
         "summed_error": _evaluated(lambda g, t: _round(E.summed_error(g, t, block=P.block), "error")),
         "compare_sets": _evaluated(lambda g, t: _round(E.compare_sets(g, t, P.block), "forward", "backward")),
         "grid_error_matrix": _error_matrix,
+        "grid_from_files": _files_matrix,
+        "read_tags_by_suffix": _by_suffix,
+        "line_counts": _line_counts,
         "grid_best_setting": lambda spark, d: _round(E.best_setting(_matrix(spark, d), "run_id", LEAST_TAGS), "error"),
         "sequence_identifiers": lambda spark, d: N.sequence_identifiers(readers.read_refgene(spark, _text(spark, d, "refgene"))),
         "bed_track": _track,
@@ -453,8 +497,28 @@ def oracle_sql() -> dict[str, str]:
     line = f"""concat_ws(chr(9), name, greatest(s, 0), least(e, length), concat('Transcript_', b.id), {score},
   CASE WHEN strand = 0 THEN '+' ELSE '-' END, greatest(s, 0), least(e, length), CASE WHEN strand = 0 THEN '0,0,255' ELSE '0,255,0' END) AS line FROM t b JOIN chromosome c ON c.id = b.chr WHERE score >= 1"""
     rna = "concat('FR', id, ': ', description, ', note') AS description"
+    in_sam = "s % 40 >= 10 AND s % 97 <> 0 AND s % 11 <> 0 AND s % 7 <> 1 AND NOT (s % 7 = 0 AND strand = 0)"
+    lines, unmapped = "tag WHERE s % 97 <> 0", "s % 7 = 0 AND strand = 0"
+    counted = [
+        ("sam", "lines", 0, lines),
+        ("sam", "malformed", 0, f"{lines} AND s % 11 = 0"),
+        ("sam", "unmapped", 0, f"{lines} AND s % 11 <> 0 AND {unmapped}"),
+        ("sam", "secondary", 0, f"{lines} AND s % 11 <> 0 AND s % 7 = 1"),
+        ("sam", "low_quality", 0, f"{lines} AND s % 11 <> 0 AND s % 7 <> 1 AND NOT ({unmapped}) AND s % 40 < 10"),
+        ("summary", "lines", 1, "noncoding"),
+        ("summary", "no_id", 0, "noncoding WHERE false"),
+        ("summary", "header", 1, "noncoding WHERE false"),
+        ("summary", "other_species", 0, "noncoding WHERE id % 4 = 0"),
+        ("chrominfo", "lines", 0, "chromosome"),
+        ("chrominfo", "other_name", 0, "chromosome WHERE id % 9 = 0"),
+        ("chrominfo", "no_length", 0, "chromosome WHERE false"),
+        ("macs", "lines", 0, "peak"),
+        ("macs", "other_name", 0, "peak WHERE false"),
+        ("macs", "no_position", 0, "peak WHERE false"),
+        ("macs", "unknown_chromosome", 0, "peak WHERE chr % 3 = 0"),
+    ]
     own = {
-        "read_sam": tag + " WHERE s % 40 >= 10 AND s % 97 <> 0 AND s % 11 <> 0 AND s % 7 <> 1 AND NOT (s % 7 = 0 AND strand = 0)",
+        "read_sam": f"{tag} WHERE {in_sam}",
         "load_chromosome": "SELECT row_number() OVER (ORDER BY id) AS id, name, length FROM chromosome WHERE id % 9 <> 0",
         "load_ncrna_summary": "SELECT concat('FR', id) AS id, concat(description, ', note') AS description, type, concat('src', id % 5) AS source FROM noncoding WHERE id % 4 <> 0",
         "read_intervals": f"SELECT concat('chr', chr - 1) AS chr, s AS start, e AS \"end\", {sign.replace('strand_char', 'strand')} FROM gene_region",
@@ -545,6 +609,9 @@ def oracle_sql() -> dict[str, str]:
         "compare_sets": f"SELECT round({_error_sql('gene_region', 'final')}, 6) AS forward, round({_error_sql('final', 'gene_region')}, 6) AS backward",
         "grid_error_matrix": _matrix_sql(),
         "sequence_identifiers": "SELECT DISTINCT identifier, CASE substr(identifier, 1, 2) WHEN 'NM' THEN 'mRNA' WHEN 'NR' THEN 'RNA' END AS type FROM gene_region",
+        "grid_from_files": f"SELECT * REPLACE (CASE WHEN run_id <> 2 THEN error_3 END AS error_3) FROM ({_matrix_sql()}) UNION ALL SELECT 4, NULL, NULL, NULL",
+        "read_tags_by_suffix": " UNION ALL ".join(f"SELECT '{k}' AS kind, {sign}, {chrom}, count(*) AS n, CAST(sum(s) AS BIGINT) AS starts FROM tag WHERE {w} GROUP BY ALL" for k, w in (("sam", in_sam), ("bowtie", "true"), ("tags", "true"))),
+        "line_counts": " UNION ALL ".join(f"SELECT '{k}' AS kind, '{r}' AS reason, count(*) + {more} AS n FROM {w}" for k, r, more, w in counted),
         "bed_rows": f"SELECT strand, chr, s AS start, {line}",
     }
     own |= {f"sql_{name}": own[f"q_{name}"] for name in TEMPLATES} | {"sql_stored_genes": own["q_expressed_genes"]}

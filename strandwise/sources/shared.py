@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -103,3 +104,20 @@ def transient(spark: SparkSession):
     finally:
         for path in _open.pop():
             delete(spark, path)
+
+
+def _address(qualified) -> str:
+    """A path as ``_metadata.file_path`` has it, with one slash after the scheme."""
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", qualified.toUri().toString())
+
+
+def address(spark: SparkSession, path: str) -> str:
+    """What tells a file or folder from all others."""
+    found, fs = hadoop_path(spark, path)
+    return _address(fs.makeQualified(found))
+
+
+def paths_like(spark: SparkSession, pattern: str) -> set[str]:
+    """Addresses of the files and folders that a pattern with asterisks matches."""
+    found, fs = hadoop_path(spark, pattern)
+    return {_address(x.getPath()) for x in fs.globStatus(found) or ()}

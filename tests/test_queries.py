@@ -9,7 +9,7 @@ from strandwise.queries import registry
 DATA = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["proto_transcripts_gap", "stitch_transcripts", "allowed_edge", "atlas_pipeline", "q_antisense_gene", "q_distal_no_peak", "compare_sets", "read_sam", "normalize_tags_flipped", "peaks_sicer", "grid_error_matrix", "sequence_identifiers", "bed_rows", "proto_transcripts_extended", "cluster_lineage", "incremental_stitch", "rebuilt_final", "bed_track", "noncoding_regions", "refseq_transcripts", "grid_best_setting", "run_registry", "sql_antisense_gene", "sql_distal_no_peak", "sql_fold_change"])
+@pytest.mark.parametrize("name", ["proto_transcripts_gap", "stitch_transcripts", "allowed_edge", "atlas_pipeline", "q_antisense_gene", "q_distal_no_peak", "compare_sets", "read_sam", "normalize_tags_flipped", "peaks_sicer", "grid_error_matrix", "sequence_identifiers", "bed_rows", "proto_transcripts_extended", "cluster_lineage", "incremental_stitch", "rebuilt_final", "bed_track", "noncoding_regions", "refseq_transcripts", "grid_best_setting", "run_registry", "sql_antisense_gene", "grid_from_files", "line_counts", "read_tags_by_suffix", "sql_distal_no_peak", "sql_fold_change"])
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     if not os.path.isdir(DATA):

@@ -64,3 +64,42 @@ def test_peaks(spark, write, chromosomes):
     head = ("#PeakID", "chr", "start", "end", "strand", "Normalized Tag Count", "p-value vs Local", "Fold Change vs Local")
     row = R.read_homer(spark, write("h", ("# note",), head, ("p", "chr1", 2, 8, "-", 3.2, "1e-5", 2)), chromosomes).first()
     assert (row.strand, row.length, float(row.score), float(row.p_value), row.p_value_exp, float(row.fold_enrichment)) == (1, 6, 0.0, 1.0, -5, 2.0)
+
+
+def test_counts_by_reason_come_from_the_scan_of_the_rows(spark, write, chromosomes):
+    from pyspark.sql import Observation
+
+    def counted(read):
+        counts = Observation()
+        rows = read(counts).count()
+        return rows, {k: v for k, v in counts.get.items() if v}
+
+    path = write("c.sam", ("@HD", "VN:1"), sam(0), sam(4), sam(0x100), sam(0, 9), ("q", 0, "chr1"), sam("x"))
+    assert counted(lambda c: R.read_sam(spark, path, counts=c)) == (1, {"lines": 6, "malformed": 2, "unmapped": 1, "secondary": 1, "low_quality": 1})
+    four = write("c.txt", ("+", "chr2", 7, "ACG"), ("+", "chr2", "x", "ACG"), ("+", "chr2"))
+    assert counted(lambda c: R.read_tags(spark, four, counts=c)) == (1, {"lines": 3, "malformed": 1, "no_position": 1})
+    macs = write("c.xls", ("chr", "start"), ("chr1", 1, 9, 8, 4, 2.5, 30.1, 7), ("chr9", 1, 2, 1, 1, 1, 1, 1), ("chr_un", 1, 2, 1, 1, 1, 1, 1))
+    # The header's name has the form of a chromosome's but for what follows "chr".
+    assert counted(lambda c: R.read_macs(spark, macs, chromosomes, c)) == (1, {"lines": 4, "other_name": 2, "unknown_chromosome": 1})
+    peaks = write("c.bed", ("chr1", 1, 9, "n", 4.5), ("chr1", "x", 9, "n", 4.5))
+    assert counted(lambda c: R.read_bed_peaks(spark, peaks, chromosomes, c)) == (1, {"lines": 2, "no_position": 1})
+
+
+def test_interval_sets_of_a_grid(spark, write, tmp_path):
+    from strandwise.operators import evaluation as E
+
+    calls = lambda *rows: [("chr1", s, e, ".", ".", "+") for s, e in rows]
+    write("calls_-100_5.bed", *calls((50, 150), (175, 250)))
+    write("calls_-100_10.bed", ("chr", "start", "end"), *calls((90, 260)))
+    write("calls_-300_5.bed", *calls((1, 2)))
+    (tmp_path / "calls_-200_10.bed").write_text("")
+    sets, expected = R.read_interval_sets(spark, f"{tmp_path}/calls_{{penalty}}_{{shape}}.bed", {"penalty": [-100, -200], "shape": [5, 10, 15]})
+    assert sorted(map(tuple, sets.collect())) == [(-100, 5, "chr1", 50, 150, "+"), (-100, 5, "chr1", 175, 250, "+"), (-100, 10, "chr1", 90, 260, "+")]
+    assert {tuple(r) for r in expected.where("found").collect()} == {(-100, 5, True), (-100, 10, True), (-200, 10, True)}
+    reference = E.normalize_intervals(spark.createDataFrame([("chr1", 100, 200, "+")], "chr string, start long, end long, strand string"))
+    matrix = E.grid_error_matrix(reference, E.normalize_intervals(sets, ["penalty", "shape"]), "shape", "penalty", [-100, -200], expected=expected)
+    assert {r.shape: (r["-100"], r["-200"]) for r in matrix.collect()} == {5: (1.0, None), 10: (0.0, None), 15: (None, None)}
+    nothing, _ = R.read_interval_sets(spark, f"{tmp_path}/none/{{a}}.bed", {"a": [1]})
+    assert nothing.collect() == []
+    with pytest.raises(ValueError, match="fields"):
+        R.read_interval_sets(spark, "x/{a}.bed", {"b": [1]})

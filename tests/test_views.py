@@ -31,3 +31,20 @@ def test_functions_are_inlined_and_sites_have_margins(spark):
     plan = spark.sql("SELECT id FROM g_gene_region WHERE overlaps(s, e, 1, 6000)")._jdf.queryExecution().optimizedPlan().toString()
     assert "overlaps" not in plan and "<= 6000" in plan
     assert spark.sql("SELECT rpkm(1, 1000, 5, 1000000)").first()[0] == 5.0
+
+
+def test_antisense_template(spark):
+    """Regions of the other strand: met in the body, at the start, on the same strand, under a named transcript."""
+    from strandwise.queries.templates import TEMPLATES
+
+    t = [(i, 1, 1, s, s + 100, 5.0, None, False) for i, s in ((1, 6000), (2, 100), (3, 26000), (4, 6200))]
+    V.open_views(
+        {
+            "transcript": spark.createDataFrame(t, "id long, chr int, strand int, s long, e long, score double, parent_id long, distal boolean"),
+            "transcript_gene": spark.createDataFrame([(4, 7, True)], "transcript_id long, region_id long, major boolean"),
+            "transcript_noncoding": spark.createDataFrame([], "transcript_id long, region_id long"),
+            "gene_region": spark.createDataFrame([(7, 1, 0, 0, 9000), (8, 1, 1, 25000, 29000)], "id long, chr int, strand int, s long, e long"),
+        }
+    )
+    counts = {name: spark.sql(TEMPLATES[name], args={"min_score": 1.0}).first().n for name in ("antisense", "antisense_gene", "parna", "unannotated")}
+    assert counts == {"antisense": 1, "antisense_gene": 1, "parna": 1, "unannotated": 3}
