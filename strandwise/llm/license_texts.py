@@ -20,7 +20,7 @@ NOTICES = (
     ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by", "licensed under cc by nc 4 0"),
+    ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("reserved", "copyright all rights reserved"),
     ("public-domain", "this is free and unencumbered software released into the public domain"),

@@ -290,3 +290,10 @@ def test_decontamination_of_edited_copies(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
     assert got == pytest.approx(want) and len(want) > 200
+
+
+def test_a_licence_against_commerce_has_a_label_of_its_own(spark):
+    texts = ["text licensed under cc by nc 4 0 here", "This work is licensed under a Creative Commons Attribution 4.0 International License."]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.base_labels, set(r.labels.split(","))) for r in license_scan.scan(rows).collect()}
+    assert got == {0: ("cc-by", {"cc-by", "cc-by-nc"}), 1: ("", {"cc-by"})}
