@@ -140,3 +140,25 @@ def test_files_of_one_name_are_written_once(spark, tmp_path):
     path = str(tmp_path / "m" / "1.json")
     assert put_new(spark, path, "é1") and not put_new(spark, path, "2")
     assert (tmp_path / "m" / "1.json").read_text() == "é1" and [n for n in names_in(spark, str(tmp_path / "m")) if not n.startswith(".")] == ["1.json"]
+
+
+def test_folders_do_not_grow_with_chromosomes(spark, tmp_path):
+    """Fixed parts hold any number of chromosomes; a range of one of them has no rows of another in its part."""
+    df = spark.range(6_000).selectExpr("id", "id % 300 as chr", "id as s", "id + 4 as e")
+    store = S.AtlasStore(spark, str(tmp_path / "atlas"))
+    state = store.commit(store.write(store.manifest(), "prep", df))
+    [folder] = (tmp_path / "atlas" / "data" / "prep").iterdir()
+    assert len(list(folder.glob("_part=*"))) == len(state.tables["prep"]) == S.PARTS
+    assert rows(store.read("prep")) == rows(df)
+    assert rows(store.read_range("prep", 33, 1_000, 4_000)) == rows(df.where("chr = 33 and s <= 4000 and e >= 1000"))
+    # Parts that are replaced keep none of their rows, the others all.
+    again = store.commit(store.write(state, "prep", df.where("chr = 33"), parts={"1"}))
+    assert rows(store.read("prep", again)) == rows(df.where("chr % 32 <> 1 or chr = 33"))
+
+
+def test_a_layout_of_earlier_versions_is_told(spark, tmp_path):
+    from strandwise.sources.shared import put_new
+
+    put_new(spark, str(tmp_path / "manifests" / "00000001.json"), '{"number": 1}')
+    with pytest.raises(ValueError, match="save its atlas anew"):
+        S.AtlasStore(spark, str(tmp_path)).manifest()
