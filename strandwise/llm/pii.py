@@ -40,10 +40,6 @@ OCTETS = "^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 #: Words right before a span that speak for personal data. They label candidates; no feature holds them.
 CUES = r"(?i)(?:mail|contact|phone|tel|call|fax|mobile|card|visa|account|host|server|address|ssn|password|passwd|token|key|secret|api)[\"'\x20:=#-]*$"
 
-#: Documents that are drawn to fit the trees (in the mean); about half of them are held out.
-SAMPLE_DOCUMENTS = 20_000
-#: Candidates of these documents that are fitted or calibrated on (in the mean), as many as there are below that.
-SAMPLE_SPANS = 200_000
 TREES, DEPTH, STEP = 12, 3, 0.3
 #: Share of right spans among the selected ones that a threshold has to reach.
 PRECISION = 0.9
@@ -221,12 +217,12 @@ def _undecided(spans: Column) -> Column:
     return let(_base(spans), lambda base: let(loose, lambda rest: _free(base, rest, SPAN)))
 
 
-def fit(df: DataFrame, text: str = "text", documents: int = SAMPLE_DOCUMENTS, spans: int = SAMPLE_SPANS, precision: float = PRECISION) -> Model:
-    """Fit the trees on the undecided candidates of a sample of documents.
+def fit(df: DataFrame, text: str = "text", precision: float = PRECISION) -> Model:
+    """Fit the trees on the undecided candidates of all documents.
 
-    Each row is drawn by a hash of its text and number with the same chance, so that the
-    sample is close to ``documents`` at any size and copies are drawn one by one. If their
-    candidates are over ``spans``, these are drawn likewise.
+    Candidates of equal kind, label and features are one row with their number as its
+    weight, so that copies cost nothing. Every candidate counts in the trees' gains, in the thresholds and in the
+    report; only where a feature may be cut is drawn from some of them by MLlib, for tables of over 10,000 rows.
 
     Labels are weak, and come from what no feature holds: a candidate right behind a word
     of CUES is right, any other one wrong, and so is a base candidate that its own proof
@@ -235,34 +231,29 @@ def fit(df: DataFrame, text: str = "text", documents: int = SAMPLE_DOCUMENTS, sp
     an even hash are fitted on; the others calibrate each kind's threshold, the smallest
     score above which the precision holds, and give the model's report. Candidates
     without a cue count as wrong there, so true precision is higher than reported. A kind
-    without such a score adds nothing, a sample with one class only gets a constant score.
+    without such a score adds nothing, candidates of one class only get a constant score.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    fine = 1 << 60
-
-    def drawn(rows: DataFrame, n: int, wanted: int, *by) -> DataFrame:
-        return rows.where(F.pmod(F.xxhash64(*by), F.lit(fine)) < F.lit(int(fine * min(1.0, wanted / max(1, n)))))
-
-    keep = drawn(df, df.count(), documents, "doc_id", text).select(body(text).alias("t"))
+    keep = df.select(body(text).alias("t"))
     # A plain explode lets the optimizer infer a filter on the array's size, push it below
     # the candidates and write them all out in it; an outer one is left alone.
     loose = let(F.col("t"), lambda t: let(candidates(t), _undecided))
     rows = keep.select(F.xxhash64("t").alias("half"), F.explode_outer(loose).alias("c")).where("c is not null")
     known = rows.select("half", F.col("c.s").alias("s"), F.col("c.kind").alias("kind"), F.when(F.col("c.before").rlike(CUES) & F.col("c.kind").isin(list(MORE)), 1.0).otherwise(0.0).alias("label"), *[x.alias(n) for n, x in features(F.col("c")).items()])
-    known = materialize(known, "pii-sample")
-    known = drawn(known, known.count(), spans, "half", "s", "kind").withColumn("half", F.pmod("half", F.lit(2))).repartition(1)
+    known = known.withColumn("half", F.pmod("half", F.lit(2)))
+    known = materialize(known.groupBy("half", "kind", "label", *FEATURES).agg(F.count("*").cast("double").alias("weight")), "pii-candidates")
     known = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(known)
     fitted_on = known.where("half = 0")
-    mean, n = fitted_on.agg(F.avg("label"), F.count("*")).first()
+    mean, n = fitted_on.agg(F.sum(F.col("label") * F.col("weight")) / F.sum("weight"), F.count("*")).first()
     if not n or mean in (0.0, 1.0):
         return Model(constant=float(mean or 0.0), thresholds=dict.fromkeys(MORE, LEAST_SCORE) if mean else {})
-    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7, cacheNodeIds=False).fit(fitted_on)
+    trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7, cacheNodeIds=False).fit(fitted_on)
     model = Model(trees=_parse(trees.toDebugString))
-    held = trees.transform(known.where("half = 1")).select("kind", "label", F.round(vector_to_array("probability")[1], 3).alias("score"))
-    counted = held.groupBy("kind", "score").agg(F.sum("label").alias("right"), F.count("*").alias("n")).collect()
+    held = trees.transform(known.where("half = 1")).select("kind", "label", "weight", F.round(vector_to_array("probability")[1], 3).alias("score"))
+    counted = held.groupBy("kind", "score").agg(F.sum(F.col("label") * F.col("weight")).cast("long").alias("right"), F.sum("weight").cast("long").alias("n")).collect()
     for kind in sorted({r.kind for r in counted} & MORE.keys()):
         own = sorted((r for r in counted if r.kind == kind), key=lambda r: -r.score)
         right = total = 0

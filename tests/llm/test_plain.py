@@ -387,3 +387,12 @@ def test_short_items_match_whole(spark):
     texts = [words(rng, 20) + " zeta! Omega " + words(rng, 5), "zeta omega (psi)", "omega zeta", words(rng, 50)]
     got = {(r.doc_id, r.item_id): (r.score, r.end_word) for r in decontamination.contaminated(spark.createDataFrame(list(enumerate(texts)), TEXTS), items).collect()}
     assert got == {(0, 1): (1, 21), (0, 2): (1, 22), (1, 1): (1, 1), (1, 2): (1, 2), (1, 3): (1, 3), (2, 1): (1, 2)}
+
+
+def test_pii_fit_counts_every_document(spark):
+    """The report has all held out candidates of 44,000 documents, every copy of them too."""
+    n = 44_000
+    docs = spark.range(n).selectExpr("id as doc_id", "concat(if(id % 20 = 0, 'see ', 'ssn '), lpad(id % 900 + 100, 3, '0'), '-45-', lpad(id div 2 % 9000 + 1000, 4, '0')) as text")
+    model = pii.fit(docs)
+    held = docs.where("pmod(xxhash64(text), 2) = 1").count()
+    assert held > 20_000 and model.report["id_number"][2] == held
