@@ -143,3 +143,12 @@ def test_overlap_join_equals_the_plain_condition(spark, width):
     got = sorted((r.l.id, r.r.id) for r in overlap_pairs(x, y, width=width).collect())
     assert got == want
     assert {r.id for r in having_overlap(x, y, how="left_anti", width=width).collect()} == {p[0] for p in a} - {i for i, _ in want}
+
+
+def test_only_few_stretches_are_sent_to_all_tasks(spark):
+    """A query of evaluation sends up to sixteen tables of stretches through the driver, so one has to be small."""
+    from strandwise.operators.segments import sent
+
+    rows = spark.range(30_000).selectExpr("id as chr", "id as _blk")
+    hinted = lambda df: "Hint" in df._jdf.queryExecution().logical().toString()
+    assert hinted(sent(rows.where("chr < 10"))) and not hinted(sent(rows))
