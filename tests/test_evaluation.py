@@ -45,6 +45,18 @@ def test_random_layouts_equal_a_loop(spark):
         assert {int(r[0][3:]): r[1] for r in rows} == {k: n for k, n in want.items() if n}
 
 
+def test_errors_by_key_equal_those_by_stretches(spark, monkeypatch):
+    rng = random.Random(8)
+    draw = lambda n, sets: [(rng.randrange(sets), f"chr{rng.randrange(5)}", rng.randrange(2), s := rng.randrange(150), s + rng.randrange(-1, 30)) for _ in range(n)]
+    schema = "set int, chr string, strand int, s long, e long"
+    ref, got = spark.createDataFrame(draw(70, 1), schema).drop("set"), spark.createDataFrame(draw(240, 3) + [(1, None, 0, 1, 5), (2, "chr1", None, 1, 5)], schema)
+    one = {tuple(r) for r in E.summed_error(ref, got, ["set"], 50).collect()}
+    plan = E._errors_by_key(ref.crossJoin(got.select("set").distinct()), got, ["set"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1
+    monkeypatch.setattr(E, "fits", lambda *_: False)
+    assert len(one) == 3 and all(e > 0 for _, e in one) and one == {tuple(r) for r in E.summed_error(ref, got, ["set"], 50).collect()}
+
+
 def test_names_without_prefix_raise(spark):
     with pytest.raises(Exception, match="chromosome"):
         E.normalize_intervals(spark.createDataFrame([("1", 1, 2, "+")], SCHEMA)).collect()
