@@ -26,3 +26,13 @@ def test_query_equals_sql(spark, name):
 
 def test_every_query_has_sql():
     assert set(registry.queries()) == set(registry.oracle_sql())
+
+
+def test_a_query_of_the_kept_atlas_stores_only_what_it_reads(spark):
+    from strandwise.queries import fixtures
+
+    fixtures.forget()
+    registry.queries()["q_totals"](spark, DATA)
+    assert not {"close", "genes", "noncoding"} & set(vars(fixtures.kept_atlas(spark, DATA)))
+    registry.queries()["sql_expressed_genes"](spark, DATA)
+    assert {"close", "genes", "noncoding"} & set(vars(fixtures.kept_atlas(spark, DATA))) == {"genes"}

@@ -48,3 +48,18 @@ def test_tags_are_dealt_once_on_the_way_to_stitched_transcripts(spark, tables):
 def test_a_crowded_strand_does_not_fit(spark):
     df = spark.range(100).selectExpr("id % 9 as chr", "0 as strand")
     assert fits((df,), S.STRAND, 12) and not fits((df.limit(5), df), S.STRAND, 11)
+
+
+def test_stitched_transcripts_are_dealt_once_on_the_way_to_drawn_ones(spark, tables):
+    kept = spark.createDataFrame([(1, 1, 0, 5, 90, False, 1, 4.0)], "id long, chr long, strand int, s long, e long, refseq boolean, n long, density double")
+    plan = T.draw_edges(S.close_transcripts(S.allowed_edge(kept, tables[1], P)), P)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("+- == Initial Plan")[0].count("Exchange") == 1
+
+
+def test_a_circle_touches_four_squares_at_most_and_meets_each_start_once(spark):
+    rng = random.Random(8)
+    above = [(i, 1, 0, s := 40 * i + rng.randrange(9), s + rng.randrange(1, 30), False, rng.uniform(0, 90), rng.choice([0.0, 3.0, 16.0, 50.0, 400.0])) for i in range(150)]
+    df = spark.createDataFrame(above, "id long, chr long, strand int, s long, e long, refseq boolean, density double, edge double")
+    assert max(r[1] for r in S.squares(df).where("_kind = 1").groupBy("id").count().collect()) <= 4
+    far = {a[0]: max([a[4]] + [b[4] for b in above if b[3] >= a[3] and b[4] > a[4] and (b[3] - a[4]) ** 2 + (b[6] - a[6]) ** 2 <= a[7] ** 2]) for a in above}
+    assert {r.id: r.max_end for r in S.close_transcripts(df).collect()} == far and any(far[a[0]] > a[4] for a in above)
