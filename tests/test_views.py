@@ -23,6 +23,19 @@ def test_cells_do_not_grow_with_length(spark):
     assert max(r.n for r in rows) <= 2 * (9 + 2 * V.LEVELS)
 
 
+def test_cells_up_to_a_length_are_few_and_meet_longer_intervals_too(spark):
+    rng = random.Random(12)
+    draw = lambda n: [(i, (s := rng.randrange(-9000, 40000)), s + rng.choice([50, 900, 9000, 70000])) for i in range(n)]
+    left, right = draw(40), draw(50)
+    tables = {name: spark.createDataFrame(rows, "id long, s long, e long").selectExpr("*", "1 as chr") for name, rows in (("transcript", left), ("peak", right))}
+    V.open_views(tables, "u_", longest=10000)
+    met = spark.sql("SELECT l.id, r.id FROM u_transcript_cell l JOIN u_peak_cell r ON r.chr = l.chr AND r.cell = l.cell AND meets(l.s, l.e, r.s, r.e, l.cell)")
+    assert sorted(map(tuple, met.collect())) == sorted((a[0], b[0]) for a in left for b in right if a[1] <= b[2] and b[1] <= a[2])
+    assert spark.sql("SELECT size(left_cells(10L, 90L)) + size(right_cells(10L, 90L))").first()[0] == 2 + 3
+    V.create_functions(spark)
+    assert spark.sql("SELECT size(left_cells(10L, 90L)) + size(right_cells(10L, 90L))").first()[0] == 6 + 7
+
+
 def test_functions_are_inlined_and_sites_have_margins(spark):
     genes = spark.createDataFrame([(1, 1, 0, 5000, 9000), (2, 1, 1, 5000, 9000), (3, 1, None, None, None)], "id long, chr int, strand int, s long, e long")
     names = V.open_views({"gene_region": genes}, "g_", margin=100)
