@@ -3,8 +3,9 @@
 A seed is a pair of words that stand next to each other in an item. Every copy that
 the alignment accepts has so many of an item's pairs, next to each other or one apart
 (``least_pairs``), that an item needs its rarest pairs as seeds only: as many as
-leave fewer than that out. How rare a pair is comes from a count over all documents.
-Seeds are joined with the places where documents have them; around those, the
+leave fewer than that out, and a few more, of which every copy then has a few more. How rare
+a pair is comes from a count over all documents. Seeds are joined with the places where
+documents have them. Around those, where a text has enough of them, the
 item is aligned word by word where there are pairs enough. Items too short for that are
 looked up whole.
 """
@@ -28,6 +29,8 @@ GRAM = 4
 PENALTY = 0.5
 #: Share of an item's words that the alignment has to score.
 LEAST_SCORE = 0.5
+#: Seeds of an item beyond those of which every copy has one. Every copy has so many more, so texts that meet an item by chance drop out before they are shuffled.
+MORE_SEEDS = 2
 #: Texts whose words are hashed at a time.
 TEXTS_AT_ONCE = 64
 #: Items that one task aligns with one text at most; a text that meets more goes to several tasks.
@@ -142,17 +145,22 @@ def seed_counts(docs: DataFrame, table: BitTable) -> DataFrame:
 
 
 def rarest(items: DataFrame, counts: DataFrame) -> DataFrame:
-    """(item, seed, reach): of each item the rarest pairs, so many that fewer than least_pairs are left out; pairs that no document has stay out besides."""
+    """(item, seed, reach, weight, needed): of each item the rarest pairs, so many that every accepted copy has needed of them; pairs that no document has stay out besides.
+
+    ``weight`` is how many of these pairs of the item are the seed. An item has size - 1 pairs and a copy lacks
+    all but least_pairs of them at most, so of size - least_pairs + more pairs it has more + 1.
+    """
     every = items.select("item", "size", "least_pairs", "reach", F.posexplode("seeds").alias("place", "seed")).join(counts, "seed", "left")
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.coalesce("n", F.lit(0)), "seed", "place"))
-    few = (F.col("least_pairs") == 0) | (F.col("n").isNotNull() & (F.col("rank") <= F.col("size") - F.col("least_pairs")))
-    return every.withColumn("rank", rank).where(few).select("item", "seed", "reach").distinct()
+    more = F.greatest(F.lit(0), F.least(F.lit(MORE_SEEDS), F.col("least_pairs") - 1))
+    few = (F.col("least_pairs") == 0) | (F.col("n").isNotNull() & (F.col("rank") <= F.col("size") - F.col("least_pairs") + more))
+    return every.withColumn("rank", rank).where(few).groupBy("item", "seed", "reach", (more + 1).alias("needed")).agg(F.count("*").alias("weight"))
 
 
 def seed_places(docs: DataFrame, table: BitTable, sizes: list[int]) -> DataFrame:
-    """(h1, h2, seed, place) where documents have what the table lets through; the first place only of items that are looked up whole, of these sizes."""
+    """(h1, h2, seed, place, first) where documents have what the table lets through, and at one place of a text's seed that it is the first; the first place only of items that are looked up whole, of these sizes."""
     sent = docs.sparkSession.sparkContext.broadcast(table)
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("seed", pa.int64()), ("place", pa.int32())])
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("seed", pa.int64()), ("place", pa.int32()), ("first", pa.bool_())])
 
     def run(batches):
         for part, words, bounds in by_text(batches):
@@ -167,10 +175,26 @@ def seed_places(docs: DataFrame, table: BitTable, sizes: list[int]) -> DataFrame
             text, place, value = (np.concatenate(x) for x in zip(*found))
             kept = sent.value.has(value)
             text, place, value = text[kept], place[kept], value[kept]
+            order = np.lexsort((place, value, text))
+            text, place, value = text[order], place[order], value[order]
+            first = np.append(True, (text[1:] != text[:-1]) | (value[1:] != value[:-1]))[: len(text)]
             h1, h2 = (part[c].to_numpy()[text] for c in ("h1", "h2"))
-            yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(value.view(np.int64)), pa.array(place.astype(np.int32))], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(value.view(np.int64)), pa.array(place.astype(np.int32)), pa.array(first)], schema=schema)
+
+    return docs.select("h1", "h2", "text").mapInArrow(run, "h1 long, h2 long, seed long, place int, first boolean")
 
-    return docs.select("h1", "h2", "text").mapInArrow(run, "h1 long, h2 long, seed long, place int")
+
+def met_items(places: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(h1, h2, item, spans): texts that have as many seeds of an item as its copies have, each seed counted once, and where they are.
+
+    Equal texts are one text here, and each of them counts its seeds; that only lets more through.
+    """
+    part = F.floor(F.col("place") / F.col("reach")).alias("part")
+    met = places.join(seeds, "seed").groupBy("h1", "h2", "item", "needed", part).agg(
+        F.struct(F.min("place").alias("first"), F.max("place").alias("last")).alias("span"), F.sum(F.when(F.col("first"), F.col("weight")).otherwise(0)).alias("met")
+    )
+    found = met.groupBy("h1", "h2", "item", "needed").agg(F.collect_list("span").alias("spans"), F.sum("met").alias("met"))
+    return found.where("met >= needed").drop("needed", "met")
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -250,10 +274,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = GRAM, least: fl
     pairs = items.where("least_pairs > 0").select(F.explode("seeds").alias("seed"))
     seeds = materialize(rarest(items, seed_counts(docs, seed_table(pairs))), "seeds")
     sizes = [r[0] for r in items.where("least_pairs = 0").select("size").distinct().collect()]
-    places = seed_places(docs, seed_table(seeds), sizes)
-    met = places.join(seeds, "seed").groupBy(*text, "item", F.floor(F.col("place") / F.col("reach")).alias("part"))
-    spans = met.agg(F.struct(F.min("place").alias("first"), F.max("place").alias("last")).alias("span"))
-    found = materialize(spans.groupBy(*text, "item").agg(F.collect_list("span").alias("spans")), "candidates")
+    found = materialize(met_items(seed_places(docs, seed_table(seeds), sizes), seeds), "candidates")
     parts = found.groupBy(*text).agg(F.ceil(F.count("*") / ITEMS_A_TASK).cast("int").alias("parts"))
     candidates = found.join(items.drop("seeds", "size"), "item").join(parts, text)
     candidates = candidates.withColumn("dealt", F.pmod(F.xxhash64("item"), "parts").cast("int")).withColumn("text", F.lit(None).cast("string")).drop("parts")

@@ -292,6 +292,33 @@ def test_decontamination_of_edited_copies(spark):
     assert got == pytest.approx(want) and len(want) > 200
 
 
+def test_only_texts_with_several_seeds_are_aligned(spark, monkeypatch):
+    """Texts with one or two pairs of an item are not shuffled for it; copies are found, also of an item that repeats its pairs."""
+    from strandwise.llm.words import hashed_words
+
+    rng = random.Random(21)
+    items = [words(rng, 30), " ".join("ab cd ef".split() * 7), " ".join("gh ij".split() * 3)]
+    pairs = [(i, *items[0].split()[i : i + 2]) for i in range(29)]
+    texts = [f"{words(rng, 40)} {a} {b} {words(rng, 40)}" for _, a, b in pairs]
+    chance = len(texts)
+    for item in items:
+        own = item.split()
+        texts += [words(rng, 20) + " " + " ".join(x) + " " + words(rng, 20) for x in (own, [w for i, w in enumerate(own) if i % 5], own[: len(own) * 2 // 3], [x for w in own for x in (w, "zz")])]
+    want = {}
+    for j, item in enumerate(items):
+        w = hashed_words([item])[0]
+        for i, text in enumerate(texts):
+            score = decontamination.align(w, hashed_words([text])[0], decontamination.PENALTY)[0] / len(w)
+            if score >= decontamination.LEAST_SCORE:
+                want[i, j] = score
+    sent, aligned = [], decontamination.aligned
+    monkeypatch.setattr(decontamination, "aligned", lambda rows, *a: sent.append(rows.where("item is not null").count()) or aligned(rows, *a))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got == pytest.approx(want) and {i for i, _ in want} > set(range(chance, chance + 3))
+    assert sent[0] < chance // 2 + 12
+
+
 def test_a_licence_against_commerce_has_a_label_of_its_own(spark):
     texts = ["text licensed under cc by nc 4 0 here", "This work is licensed under a Creative Commons Attribution 4.0 International License."]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
